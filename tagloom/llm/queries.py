@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from . import exact_dedup
+from . import exact_dedup, license_scan, packing, token_store
 
 
 def queries() -> dict:
-    return {"op2_exact_dedup": exact_dedup.op2_exact_dedup}
+    return {
+        "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+        "op5_token_store": token_store.op5_token_store,
+        "op6_license_scan": license_scan.op6_license_scan,
+        "op9_best_fit_packing": packing.op9_best_fit_packing,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
