@@ -12,11 +12,10 @@ from math import ceil
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, keep, text_or_empty
+from .common import LOWER, UPPER, keep, text_or_empty
 
-#: Java form of what stands between words.
-BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: ASCII characters that stand between words: all but letters and digits.
+BETWEEN = "".join(c for c in map(chr, range(128)) if not c.isalnum())
 
 #: Phrases whose words stand consecutively, and their labels.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
@@ -48,15 +47,22 @@ TEMPLATES = {
 THRESHOLD = 0.85
 
 
-def _has_any(column: str, words: list[str]) -> Column:
-    """Whether one of the words stands in lower-cased text as a whole word."""
-    edge = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
-    return F.col(column).rlike(f"(?<!{edge})(?:{'|'.join(words)})(?!{edge})")
+def _spaced(text: Column) -> Column:
+    """Lower-cased words with blanks between and around them, some of them repeated. One pass, without a regular expression."""
+    return F.concat(F.lit(" "), F.translate(text, UPPER + BETWEEN, LOWER + " " * len(BETWEEN)), F.lit(" "))
+
+
+def _words(spaced: Column) -> Column:
+    return F.array_remove(F.split(spaced, " "), "")
+
+
+def _has_any(words: Column, wanted: list[str]) -> Column:
+    return F.arrays_overlap(words, F.array(*map(F.lit, wanted)))
 
 
 def template_words(docs: DataFrame, vocabulary: list[str], text_col: str) -> dict[str, int]:
     """How often each word of the templates occurs in all texts. As many rows as the templates have words."""
-    words = docs.select(F.explode(F.split(ascii_lower(text_or_empty(text_col)), BETWEEN)).alias("word"))
+    words = docs.select(F.explode(F.split(_spaced(text_or_empty(text_col)), " ")).alias("word"))
     counted = words.where(F.col("word").isin(vocabulary)).groupBy("word").agg(F.count("*").alias("n"))
     return {r.word: r.n for r in counted.collect()}
 
@@ -91,17 +97,15 @@ def template_matches(
         for x in index
     ]
     prefixes = docs.sparkSession.range(1).select(F.inline(F.array(*literals)))
-    low = docs.select(
+    near = docs.select(
         F.col(id_col).alias("id"),
         F.xxhash64(text_or_empty(text_col)).alias("key"),
-        ascii_lower(text_or_empty(text_col)).alias("low"),
-    ).where(_has_any("low", sorted(rare)))
-    lines = low.select("id", "key", F.posexplode(F.split("low", "\n")).alias("block", "line")).where(
-        _has_any("line", sorted(rare))
-    )
+        text_or_empty(text_col).alias("text"),
+    ).where(_has_any(_words(_spaced(F.col("text"))), sorted(rare)))
+    lines = near.select("id", "key", F.posexplode(F.split("text", "\n")).alias("block", "line"))
     known = F.array(*[F.lit(w) for w in sorted(vocabulary, key=place.get)])
-    block_words = F.array_distinct(F.filter(F.split("line", BETWEEN), lambda w: w != ""))
-    blocks = lines.withColumn("words", F.array_intersect(known, block_words))  # in the global order
+    blocks = lines.withColumn("words", _words(_spaced(F.col("line")))).where(_has_any(F.col("words"), sorted(rare)))
+    blocks = blocks.withColumn("words", F.array_intersect(known, "words"))  # in the global order
     entry = blocks.select(
         "id", "key", "block", F.col("words").alias("have"), F.posexplode("words").alias("block_at", "word")
     )
@@ -127,13 +131,11 @@ def scan(
     and text give equal rows. Other columns are not read. score is the largest containment of a template that was found,
     1 where a phrase stands, and 0 without either. labels are empty text where there is none.
     """
-    small = lambda: ascii_lower(text_or_empty(text_col))
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_or_empty(text_col)).alias("key"), small().alias("low"))
-    maybe = F.lit(False)
-    for phrase, _ in PHRASES:
-        maybe = maybe | F.col("low").contains(phrase.split()[-1])
-    words = F.when(maybe, F.filter(F.split("low", BETWEEN), lambda w: w != "")).otherwise(F.array().cast("array<string>"))
-    rows = rows.select("id", "key", F.regexp_count("low", F.lit(WORD)).cast("long").alias("n_words"), words.alias("words"))
+    rows = docs.select(
+        F.col(id_col).alias("id"),
+        F.xxhash64(text_or_empty(text_col)).alias("key"),
+        _words(_spaced(text_or_empty(text_col))).alias("words"),
+    )
 
     def starts(phrase: str) -> Column:
         parts = phrase.split()
@@ -146,10 +148,14 @@ def scan(
 
         last = F.size("words") - len(parts)
         none = F.array().cast("array<int>")
-        return F.when(last >= 0, F.filter(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), stands)).otherwise(none)
+        maybe = (last >= 0) & F.array_contains("words", parts[-1])
+        return F.when(maybe, F.filter(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), stands)).otherwise(none)
 
     rows = rows.select(
-        "id", "key", "n_words", F.array(*[F.struct(F.lit(y).alias("label"), starts(p).alias("at")) for p, y in PHRASES]).alias("hits")
+        "id",
+        "key",
+        F.size("words").cast("long").alias("n_words"),
+        F.array(*[F.struct(F.lit(y).alias("label"), starts(p).alias("at")) for p, y in PHRASES]).alias("hits"),
     )
     places = F.flatten(F.transform("hits", lambda h: h["at"]))
     base = F.transform(F.filter("hits", lambda h: F.size(h["at"]) > 0), lambda h: h["label"])
@@ -180,5 +186,36 @@ def scan(
     )
 
 
+def oracle() -> str:
+    """DuckDB SQL for the whole scan."""
+    sets = [(y, sorted({*t.split()})) for y, texts in TEMPLATES.items() for t in texts]
+    values = ", ".join(f"('{y}', {words})" for y, words in sets)
+    between = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    low = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
+    hits = " + ".join(
+        f"[{{'y': '{y}', 'at': list_filter(range(len(w)), lambda i: "
+        + " and ".join(f"w[i + {k + 1}] = '{word}'" for k, word in enumerate(p.split()))
+        + ")}]"
+        for p, y in PHRASES
+    )
+    return f"""
+with t(label, words) as (values {values}),
+d as (select doc_id, {low} as low, regexp_extract_all({low}, '{between}') as w from documents),
+h as (select doc_id, len(w) as n_words, {hits} as hits from d),
+p as (select *, flatten(list_transform(hits, lambda h: h.at)) as places,
+             list_sort(list_transform(list_filter(hits, lambda h: len(h.at) > 0), lambda h: h.y)) as base from h),
+b as (select doc_id, list_distinct(regexp_extract_all(unnest(string_split(low, chr(10))), '{between}')) as have from d
+      where low like '%license%' or low like '%permi%' or low like '%redistrib%' or low like '%commons%' or low like '%terms%'),
+m as (select doc_id, label, max(len(list_intersect(have, words)) / len(words)) as share from b, t
+      group by doc_id, label having share >= {THRESHOLD}),
+g as (select doc_id, list(label) as more, max(share) as best from m group by doc_id)
+select p.doc_id, n_words, len(places)::bigint as n_base, list_min(places)::bigint as first_word, list_max(places)::bigint as last_word,
+       array_to_string(base, ',') as base_labels,
+       array_to_string(list_sort(list_distinct(base || coalesce(more, []))), ',') as labels,
+       case when len(places) > 0 then 1.0::double else coalesce(best, 0)::double end as score
+from p left join g using (doc_id)
+"""
+
+
 def op6_license_scan(spark, sf_dir: str) -> DataFrame:
     return scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
