@@ -113,8 +113,8 @@ def _signed(batches: Iterator[pa.RecordBatch], heavy, width: int, percent: int)
         head = values[_first(bounds, size)]
         p1, p2 = digests(head, np.r_[0, np.cumsum(size)])
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), *(pa.array(x) for x in (n, s1, s2, p1, p2)), _lists(head, size)],
-            ["id", "n", "s1", "s2", "p1", "p2", "prefix"],
+            [batch.column("id"), batch.column("text_key"), *(pa.array(x) for x in (n, s1, s2, p1, p2)), _lists(head, size)],
+            ["id", "text_key", "n", "s1", "s2", "p1", "p2", "prefix"],
         )
 
 
@@ -186,15 +186,15 @@ class _Join:
         return known[order], np.log2(np.maximum(1, top["n"].to_numpy(float))).astype(np.uint8)[order]
 
     def index(self) -> None:
-        """Tables: rows (id, n, s1, s2), members (node, gid, n, low, s1, s2), postings (gram, at, gid, n)."""
+        """Tables: rows (id, text_key, n, s1, s2), members (node, gid, n, low, s1, s2), postings (gram, at, gid, n)."""
         signed = keep(
-            self.docs.mapInArrow(
+            self.docs.withColumn("text_key", F.xxhash64("text")).mapInArrow(
                 partial(_signed, heavy=self.share(self.heavy()), width=self.width, percent=self.percent),
-                "id long, n long, s1 long, s2 long, p1 long, p2 long, prefix array<long>",
+                "id long, text_key long, n long, s1 long, s2 long, p1 long, p2 long, prefix array<long>",
             ),
             "signed",
         )
-        self.rows = signed.select("id", "n", "s1", "s2")
+        self.rows = signed.select("id", "text_key", "n", "s1", "s2")
         classes = (
             signed.where("n > 0")
             .groupBy("s1", "s2")
@@ -217,7 +217,7 @@ class _Join:
         Of the first n-gram that two prefixes share, the bound holds for whatever both have from there on.
         """
         n, m, i, j = (F.col(x) for x in (f"{a}.n", f"{b}.n", f"{a}.at", f"{b}.at"))
-        most = 1 + F.least(n - i, m - j) - 1
+        most = F.least(n - i, m - j)
         p = self.percent
         return (100 * F.least(n, m) >= p * F.greatest(n, m)) & ((100 + p) * most >= p * (n + m))
 
@@ -292,16 +292,21 @@ class _Join:
         placed = self.members.join(labels, "node", "left").select("node", "low", "s1", "s2", F.coalesce("label", "node").alias("label"))
         placed = keep(placed, "placed")
         smallest = placed.groupBy("label").agg(F.min("low").alias("component_id"))
-        found = placed.join(smallest, "label").select("s1", "s2", "component_id")
+        found = placed.join(smallest, "label").select("s1", "s2", "label", "component_id")
         return self.rows.join(found, ["s1", "s2"], "left").select(
-            "id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id")
+            "id",
+            F.col("n").alias("n_shingles"),
+            F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
+            "text_key",
+            "label",
         )
 
 
 def near_components(
     docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """One row per input row: id, n_shingles, component_id (the smallest id reachable by links, itself included).
+    """One row per input row: id, n_shingles, component_id (the smallest id reachable by links, itself included), text_key
+    (a hash of the text) and label (a number of the component; null for a text without words).
 
     Words are lower-cased in A-Z. Two documents link when 100 * |intersection| >= percent * |union| of their sets. Texts
     without words have an empty set and link with nothing, not even with each other. Ids are integers; null ids don't count as
@@ -315,11 +320,18 @@ def near_components(
 def drop_near_copies(
     docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows of docs whose id is the smallest of their component, with all their columns; of rows that share an id, all that are."""
-    found = near_components(docs, width, percent, id_col, text_col)
-    away = found.where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_id")).distinct()
-    return docs.join(away, docs[id_col].eqNullSafe(away["_id"]), "left_anti").select(*docs.columns)
+    """One document of each component, that of the smallest id, and every text without words, with all their columns.
+
+    Of documents of a component that share the smallest id, one text stays; rows equal in id and text stay together.
+    """
+    found = near_components(docs, width, percent, id_col, text_col).withColumnRenamed(id_col, "_id")
+    least = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "text_key")).alias("x")
+    stay = found.where("n_shingles > 0").groupBy("label").agg(least).select("x._id", "x.text_key")
+    stay = stay.union(found.where("n_shingles = 0").select("_id", "text_key"))
+    same = docs[id_col].cast("long").eqNullSafe(stay["_id"]) & (F.xxhash64(text_or_empty(text_col)) == stay["text_key"])
+    return docs.join(stay, same, "left_semi").select(*docs.columns)
 
 
 def op7_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
-    return near_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    found = near_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return found.select("doc_id", "n_shingles", "component_id")

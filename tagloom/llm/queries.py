@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import ann, exact_dedup, license_scan, near_dup, packing, substring_dedup, token_store, toxicity
+from . import ann, exact_dedup, license_scan, mixing, near_dup, packing, recurrent_lm, substring_dedup, token_store, toxicity
 
 
 def queries() -> dict:
     return {
         "op1_nearest_neighbours": ann.op1_nearest_neighbours,
         "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+        "op3_recurrent_lm": recurrent_lm.op3_recurrent_lm,
+        "op4_mixing": mixing.op4_mixing,
         "op5_token_store": token_store.op5_token_store,
         "op6_license_scan": license_scan.op6_license_scan,
         "op7_ngram_jaccard_join": near_dup.op7_ngram_jaccard_join,

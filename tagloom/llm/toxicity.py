@@ -1,7 +1,7 @@
 """Toxicity by two Kneser-Ney bigram models, one of toxic and one of ordinary texts.
 
-Each class discounts its own bigram counts and falls back to its own discounted word counts; these fall back to counts of
-both classes together, by the number of different words before a word. A rare expression thus gets the same small
+Each class discounts its own bigram counts and falls back to its own discounted word counts; these fall back to the class's
+counts of beginnings of words, and from there to counts of both classes together, by the number of different words before. A rare expression thus gets the same small
 probability in both, and only what a class has shown moves the score. Log-likelihoods are compared per word: over the whole
 text, and over its segments, so that an insult in a very long text isn't lost in the mean. A logistic fit on labelled texts
 that the counts haven't seen turns the differences into a score.
@@ -25,11 +25,12 @@ from pyspark.sql import types as T
 from .common import crc_remainder, split_words, steps, text_or_empty
 
 PER_CLASS = 4000
-#: Words and bigrams of a model at most, most frequent first.
-VOCABULARY, BIGRAMS = 60_000, 200_000
+#: Words, bigrams and beginnings of words of a model at most, most frequent first; letters of a beginning.
+VOCABULARY, BIGRAMS, BEGINNINGS = 60_000, 200_000, 30_000
+LETTERS = 4
 SEGMENT = 16
 DISCOUNT = 0.75
-FEATURES = 4
+FEATURES = 5
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 
 
@@ -47,11 +48,12 @@ def cleaned(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
 
 
 class Model(NamedTuple):
-    """place: number of each known word, from 1; 0 stands for all others.
-    word: log probability of each word by class; bigram: sorted keys, and log probability by class; back: log of what a
-    context leaves to its words, by class."""
+    """place: number of each known word, from 1; begin: number of each beginning, which stands for all other words of it; 0
+    stands for the rest. word: log probability of each number by class; bigram: sorted keys, and log probability by class;
+    back: log of what a context leaves to its words, by class."""
 
     place: dict[str, int]
+    begin: dict[str, int]
     word: np.ndarray
     keys: np.ndarray
     bigram: np.ndarray
@@ -59,29 +61,49 @@ class Model(NamedTuple):
     weights: np.ndarray
 
 
-def fit_counts(words: dict[tuple[int, str], int], bigrams: list[tuple[int, str, str, int]], before: dict[str, int]) -> Model:
-    """words: count by class and word; bigrams: (class, first, second, count); before: number of different words before a word."""
-    total: dict[str, int] = {}
-    for (_, w), n in words.items():
-        total[w] = total.get(w, 0) + n
+def _discounted(counts: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """Kneser-Ney in one step: each class's counts less the discount, which goes to the shared distribution."""
+    sums = np.maximum(counts.sum(1, keepdims=True), 1)
+    left = np.minimum(counts, DISCOUNT).sum(1, keepdims=True) / sums
+    left[counts.sum(1) == 0] = 1
+    return np.maximum(counts - DISCOUNT, 0) / sums + left * shared
+
+
+def fit_counts(
+    words: dict[tuple[int, str], int],
+    bigrams: list[tuple[int, str, str, int]],
+    before: dict[str, int],
+    begins: dict[tuple[int, str], int],
+) -> Model:
+    """words: count by class and word; bigrams: (class, first, second, count); before: number of different words before a word;
+    begins: count by class and beginning, over all words."""
+    total, heads = {}, {}
+    for source, out in ((words, total), (begins, heads)):
+        for (_, w), n in source.items():
+            out[w] = out.get(w, 0) + n
     known = sorted(total, key=lambda w: (-total[w], w))[:VOCABULARY]
     place = {w: i + 1 for i, w in enumerate(known)}
-    size = len(known) + 1
-    counts = np.zeros((2, size))
+    begin = {h: len(known) + 1 + i for i, h in enumerate(sorted(heads, key=lambda h: (-heads[h], h))[:BEGINNINGS])}
+    size = 1 + len(known) + len(begin)
+    head = np.zeros(size, np.int64)  # of each number; 0 for the rest
+    for h, i in begin.items():
+        head[i] = i
+    for w, i in place.items():
+        head[i] = begin.get(w[:LETTERS], 0)
+    counts, started, shared = np.zeros((2, size)), np.zeros((2, size)), np.ones(size)
     for (c, w), n in words.items():
-        counts[c, place.get(w, 0)] += n
-    shared = np.ones(size)
+        counts[c, place.get(w, begin.get(w[:LETTERS], 0))] += n
+    for (c, h), n in begins.items():
+        started[c, begin.get(h, 0)] += n
     for w, n in before.items():
-        shared[place.get(w, 0)] += n
-    shared /= shared.sum()
-    sums = np.maximum(counts.sum(1, keepdims=True), 1)
-    left = np.minimum(counts, DISCOUNT).sum(1, keepdims=True) / sums
-    left[counts.sum(1) == 0] = 1
-    word = np.maximum(counts - DISCOUNT, 0) / sums + left * shared
+        shared[place.get(w, begin.get(w[:LETTERS], 0))] += n
+    mass = np.bincount(head, shared, size)
+    of_head = _discounted(started, mass / mass.sum())  # 0 where no word has that number as its beginning
+    word = _discounted(counts, of_head[:, head] * (shared / mass[head]))
     of_pair: dict[int, list[int]] = {}
     follow, held = np.zeros((2, size)), np.zeros((2, size))
     for c, v, w, n in bigrams:
-        a, b = place.get(v, 0), place.get(w, 0)
+        a, b = place.get(v), place.get(w)
         if a and b:
             of_pair.setdefault(a * size + b, [0, 0])[c] += n
     for key, ns in of_pair.items():
@@ -96,19 +118,22 @@ def fit_counts(words: dict[tuple[int, str], int], bigrams: list[tuple[int, str,
     first, second = keys // size, keys % size
     bigram = np.maximum(pair - DISCOUNT, 0) / whole[:, first] + back[:, first] * word[:, second]
     log = np.log
-    return Model(place, log(word), keys, log(bigram), log(np.maximum(back, 1e-12)), np.zeros(FEATURES + 1))
+    return Model(place, begin, log(word), keys, log(bigram), log(np.maximum(back, 1e-12)), np.zeros(FEATURES + 1))
 
 
 def features(model: Model, texts: pa.Array) -> np.ndarray:
-    """Per text: the difference of the classes' log-likelihoods per word, the largest and second largest of a segment's, and
-    the largest sum of a segment's."""
+    """Per text: the difference of the classes' log-likelihoods per word; the largest of a segment's, per word and in sum; and
+    the largest and second largest of a single word's, whatever stands before it."""
     codes, offsets, vocabulary = cleaned(texts)
     n, out = len(offsets) - 1, np.zeros((len(offsets) - 1, FEATURES))
     if not len(codes):
         return out
-    known = np.fromiter((model.place.get(w, 0) for w in vocabulary), np.int64, len(vocabulary))[codes]
+    place, begin = model.place, model.begin
+    number = (place[w] if w in place else begin.get(w[:LETTERS], 0) for w in vocabulary)
+    known = np.fromiter(number, np.int64, len(vocabulary))[codes]
     size = model.word.shape[1]
-    gain = model.word[1, known] - model.word[0, known]
+    alone = model.word[1, known] - model.word[0, known]
+    gain = alone.copy()
     inner = np.ones(len(known), bool)
     inner[offsets[:-1][offsets[:-1] < len(known)]] = False
     at = np.flatnonzero(inner)
@@ -119,7 +144,7 @@ def features(model: Model, texts: pa.Array) -> np.ndarray:
         found = np.minimum(np.searchsorted(model.keys, key), len(model.keys) - 1)
         hit = model.keys[found] == key
         gain[at[hit]] = model.bigram[1, found[hit]] - model.bigram[0, found[hit]]
-    gain = np.clip(gain, -8, 8)
+    gain = np.clip(gain, -6, 6)
     lengths = np.diff(offsets)
     full = np.flatnonzero(lengths > 0)
     out[full, 0] = np.add.reduceat(gain, offsets[full]) / lengths[full]
@@ -128,15 +153,14 @@ def features(model: Model, texts: pa.Array) -> np.ndarray:
     new = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (segment[1:] != segment[:-1])])
     sums = np.add.reduceat(gain, new)
     held = np.diff(np.r_[new, len(known)])
-    rate = sums / (held + 4)  # a short rest of a text counts for less
-    doc = owner[new]
-    order = np.lexsort((-rate, doc))
-    starts = np.searchsorted(doc[order], full)
-    out[full, 1] = rate[order][starts]
-    second_at = starts + 1
-    has = (second_at < len(order)) & (doc[order][np.minimum(second_at, len(order) - 1)] == full)
-    out[full[has], 2] = rate[order][second_at[has]]
-    out[full, 3] = np.maximum.reduceat(sums, np.searchsorted(doc, full)) / SEGMENT
+    begins = np.searchsorted(owner[new], full)
+    out[full, 1] = np.maximum.reduceat(sums / (held + 4), begins)  # a short rest of a text counts for less
+    out[full, 2] = np.maximum.reduceat(sums, begins) / SEGMENT
+    out[full, 3] = np.maximum.reduceat(alone, offsets[full])
+    first = (np.repeat(out[full, 3], lengths[full]) == alone).astype(np.int64)
+    once = (np.add.reduceat(first, offsets[full]) < 2).repeat(lengths[full])
+    left = np.where((first > 0) & once, 0, alone)
+    out[full, 4] = np.maximum.reduceat(left, offsets[full])
     return out
 
 
@@ -192,6 +216,9 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, salt:
     often = counted.groupBy("word").agg(F.sum("n").alias("all")).where("all > 1").orderBy(F.desc("all"), "word").limit(VOCABULARY)
     top = often.join(counted, "word").select("y", "word", "n").toPandas()
     words = {(int(y), w): int(n) for y, w, n in top.itertuples(index=False)}
+    starts = counted.groupBy("y", F.substring("word", 1, LETTERS).alias("head")).agg(F.sum("n").alias("n"))
+    starts = starts.orderBy(F.desc("n"), "head", "y").limit(2 * BEGINNINGS).toPandas()
+    begins = {(int(y), h): int(n) for y, h, n in starts.itertuples(index=False)}
     held = spark.sparkContext.broadcast(frozenset(top["word"]))
 
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,8 +247,8 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, salt:
     pairs = pairs.groupBy("y", "first", "second").agg(F.sum("n").alias("n"))
     before = pairs.groupBy("second").agg(F.count_distinct("first").alias("n"))  # at most VOCABULARY rows
     before = {r.second: r.n for r in before.toLocalIterator()}
-    often = pairs.where("n > 1").orderBy(F.desc("n"), "y", "first", "second").limit(BIGRAMS).toPandas()
-    model = fit_counts(words, [tuple(r) for r in often.itertuples(index=False)], before)
+    often = pairs.where("n > 2").orderBy(F.desc("n"), "y", "first", "second").limit(BIGRAMS).toPandas()
+    model = fit_counts(words, [tuple(r) for r in often.itertuples(index=False)], before, begins)
     shared = spark.sparkContext.broadcast(model)
 
     def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

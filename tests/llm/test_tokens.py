@@ -64,18 +64,23 @@ def test_store_of_nothing(spark):
 def test_cuts_follow_content():
     r = np.random.default_rng(1)
     ids = r.integers(0, 40000, 20000).astype("<u4")
-    a, b = token_store.cuts(ids), token_store.cuts(np.concatenate([ids[:5000], ids[:7], ids[5000:]]))
+    other = np.concatenate([ids[:5000], ids[:7], ids[5000:]])
+    both = np.concatenate([ids, other, ids[:1]])
+    a, b, c = token_store.cuts(both, np.cumsum([0, len(ids), len(other), 1]))
     chunks = lambda x, ends: {x[s:e].tobytes() for s, e in zip([0, *ends[:-1]], ends, strict=True)}
-    shared = chunks(ids, a) & chunks(np.concatenate([ids[:5000], ids[:7], ids[5000:]]), b)
-    assert len(shared) >= len(a) - 4
+    assert len(chunks(ids, a) & chunks(other, b)) >= len(a) - 4
     assert max(np.diff([0, *a])) <= token_store.MAX_IDS
-    assert token_store.cuts(ids[:1]) == [1]
+    assert a == token_store.cuts(ids, np.array([0, len(ids)]))[0]
+    assert c == [1]
 
 
-def test_joined_crc():
+def test_joined_crcs():
     r = np.random.default_rng(2)
-    parts = [r.integers(0, 60000, n).astype("<u4") for n in (1, 64, 700, 3)]
-    assert token_store._joined_crc([[zlib.crc32(p.tobytes()), len(p)] for p in parts]) == zlib.crc32(np.concatenate(parts).tobytes())
+    docs = [[r.integers(0, 60000, n).astype("<u4") for n in sizes] for sizes in ((1, 64, 700, 3), (5,), (2048, 2048, 64, 64, 9, 1))]
+    crcs = np.array([zlib.crc32(p.tobytes()) for d in docs for p in d])
+    sizes = np.array([len(p) for d in docs for p in d])
+    got = token_store.joined_crcs(crcs, sizes, np.cumsum([0, *map(len, docs)]))
+    assert got.tolist() == [zlib.crc32(np.concatenate(d).tobytes()) for d in docs]
 
 
 def test_packing_against_brute_force(spark, tokenizer):
