@@ -125,6 +125,26 @@ def mixed(values: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
+def rolled(values: np.ndarray, width: int, base: np.uint64) -> np.ndarray:
+    """The polynomial hash of each run of `width` values, by a rolling sum of powers modulo 2**64."""
+    n = len(values) - width + 1
+    if n <= 0:
+        return np.empty(0, np.uint64)
+    with np.errstate(over="ignore"):
+        out, span, shift = np.zeros(n, np.uint64), values.copy(), base
+        # Runs of doubling length: run(2k)[i] = run(k)[i] * base**k + run(k)[i + k].
+        length, done = 1, 0
+        while True:
+            if width & length:
+                out = out * shift + span[done : done + n]
+                done += length
+            if length * 2 > width:
+                break
+            span = span[:-length] * shift + span[length:]
+            shift, length = shift * shift, length * 2
+        return mixed(out)
+
+
 # --- membership filters of a fixed size --------------------------------------------------------------------------
 
 #: Bits of a filter. Its size never grows: beyond some ten million keys it only lets more rows pass, none is lost.

@@ -45,9 +45,10 @@ def cut(
         encoder, seen = Encoder.of(tokenizer), 0
         for batch in steps(batches, "text"):
             row, piece, start, length, crc = [], [], [], [], []
-            for i, ids in enumerate(with_end(*encoder.encode(batch.column("text")), end)):
-                for k, at in enumerate(range(0, len(ids), capacity)):
-                    part = ids[at : at + capacity]
+            flat, bounds = with_end(*encoder.encode(batch.column("text")), end)
+            for i, (begin, stop) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
+                for k, at in enumerate(range(0, stop - begin, capacity)):
+                    part = flat[begin + at : min(begin + at + capacity, stop)]
                     row.append(i)
                     piece.append(k)
                     start.append(at)

@@ -20,32 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import hash_words, keep, may_contain, membership, mixed, spread, split_words, steps, text_or_empty
+from .common import hash_words, keep, may_contain, membership, rolled, spread, split_words, steps, text_or_empty
 
 WINDOW = 50
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 
 
-def rolled(values: np.ndarray, width: int, base: np.uint64) -> np.ndarray:
-    """The polynomial hash of each run of `width` values, by a rolling sum of powers modulo 2**64."""
-    n = len(values) - width + 1
-    if n <= 0:
-        return np.empty(0, np.uint64)
-    with np.errstate(over="ignore"):
-        out, span, shift = np.zeros(n, np.uint64), values.copy(), base
-        # Runs of doubling length: run(2k)[i] = run(k)[i] * base**k + run(k)[i + k].
-        length, done = 1, 0
-        while True:
-            if width & length:
-                out = out * shift + span[done : done + n]
-                done += length
-            if length * 2 > width:
-                break
-            span = span[:-length] * shift + span[length:]
-            shift, length = shift * shift, length * 2
-        return mixed(out)
-
-
 def least(values: np.ndarray, width: int) -> np.ndarray:
     """The least of each `width` neighbouring values."""
     out, length = values, 1

@@ -7,15 +7,18 @@ batch is encoded once, and the ids of frequent words are kept between batches.
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from .common import split_words
 
-#: Distinct words whose ids a Python worker keeps at most.
-CACHE_WORDS = 300_000
+#: Pieces of words that a Python worker remembers, about.
+CACHE_PIECES = 500_000
+#: Marks at the end of a word that follow an ASCII letter or digit are a piece of their own for this tokenizer.
+_MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
+_TAIL = r"[A-Za-z0-9](?P<tail>[!\"#$%&()*+,\-./:;=?@\[\\\]^_`{}~]+)$"
 
 
 def default_tokenizer() -> str:
@@ -25,7 +28,12 @@ def default_tokenizer() -> str:
 
 
 class Encoder:
-    """Ids of whole texts. One for each tokenizer file lives in each Python worker."""
+    """Ids of whole texts. One for each tokenizer file lives in each Python worker.
+
+    A word is a stem and the marks at its end; stems in ASCII are known in lower case, as the tokenizer lowers them itself.
+    New stems are encoded in long rows, which is far cheaper than one by one: a stem of letters alone ends where a token ends a
+    word; other stems get a special token between them.
+    """
 
     _loaded: dict[str, Encoder] = {}
 
@@ -34,7 +42,13 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._cache: dict[str, np.ndarray] = {}
+        special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values() if t.special]
+        self._special, self._between = special, special[0]
+        self._between_id = self._tokenizer.token_to_id(special[0])
+        names = self._tokenizer.get_vocab(with_added_tokens=False)
+        self._ends = np.zeros(max(names.values()) + 1, bool)
+        self._ends[[i for name, i in names.items() if name.endswith("</w>")]] = True
+        self._forget()
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -42,34 +56,73 @@ class Encoder:
             cls._loaded[path] = cls(path)
         return cls._loaded[path]
 
-    def _ids_of_words(self, words: list[str]) -> list[np.ndarray]:
-        cache = self._cache
-        new = [w for w in words if w not in cache]
-        fresh: dict[str, np.ndarray] = {}
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for word, got in zip(part, self._tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                fresh[word] = np.array(got.ids, np.uint32)
-        out = [cache[w] if w in cache else fresh[w] for w in words]
-        if len(cache) < CACHE_WORDS:
-            cache.update(fresh)
-        return out
+    def _forget(self) -> None:
+        self._pieces: dict[str, int] = {"": 0}
+        self._ids, self._size = [np.empty(0, np.uint32)], [np.zeros(1, np.int64)]
+
+    def _row(self, text: str) -> np.ndarray:
+        return np.array(self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Give each new piece a number, its ids and their number."""
+        letters, plain, odd = [], [], []
+        for p in pieces:
+            (letters if p.isalpha() else odd if "<|" in p else plain).append(p)
+        learnt = []
+        for at in range(0, len(letters), 4096):
+            part = letters[at : at + 4096]
+            ids = self._row(" ".join(part))
+            ends = np.flatnonzero(self._ends[ids]) + 1
+            if len(ends) != len(part) or ends[-1] != len(ids):  # a letter became more than letters when normalised
+                plain += part
+                continue
+            learnt += part
+            self._ids.append(ids)
+            self._size.append(np.diff(ends, prepend=0))
+        for at in range(0, len(plain), 4096):
+            ids = self._row(f" {self._between} ".join(plain[at : at + 4096]))
+            cut = np.flatnonzero(ids == self._between_id)
+            self._ids.append(np.delete(ids, cut))
+            self._size.append(np.diff(np.r_[-1, cut, len(ids)]) - 1)
+        for piece in odd:
+            self._ids.append(self._row(piece))
+            self._size.append(np.array([len(self._ids[-1])], np.int64))
+        self._pieces.update(zip([*learnt, *plain, *odd], range(len(self._pieces), len(self._pieces) + len(pieces)), strict=True))
+
+    def _numbers(self, pieces: pa.Array) -> np.ndarray:
+        """The number of each piece; null has that of the empty piece."""
+        coded = pieces.dictionary_encode()
+        names, known = coded.dictionary.to_pylist(), self._pieces
+        self._learn([x for x in names if x not in known])
+        numbers = np.r_[np.fromiter(map(known.__getitem__, names), np.int64, len(names)), 0]
+        return numbers[coded.indices.fill_null(len(names)).to_numpy(zero_copy_only=False)]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and where each text's begin (with the end)."""
-        codes, offsets, vocabulary = split_words(texts)
-        ids = self._ids_of_words(vocabulary.to_pylist())
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        table = np.concatenate(ids) if ids else np.empty(0, np.uint32)
+        if len(self._pieces) > CACHE_PIECES:
+            self._forget()
+        codes, offsets, words = split_words(texts)
+        tails = pc.struct_field(pc.extract_regex(words, _TAIL), "tail")
+        stems = pc.if_else(pc.is_null(tails), words, pc.ascii_rtrim(words, characters=_MARKS))
+        stems = pc.if_else(pc.match_substring(stems, "<|"), stems, pc.ascii_lower(stems))
+        stem, tail = self._numbers(stems), self._numbers(tails)
+        if len(self._ids) > 1:
+            self._ids, self._size = [np.concatenate(self._ids)], [np.concatenate(self._size)]
+        table, size = self._ids[0], self._size[0]
         first = np.cumsum(size) - size
-        n = size[codes]
-        ends = np.r_[0, np.cumsum(n)]
-        flat = table[np.repeat(first[codes] - ends[:-1], n) + np.arange(ends[-1])] if len(codes) else table[:0]
+        pieces = np.stack([stem, tail], axis=1).reshape(-1)
+        words_ids, ends = _gathered(table, first[pieces], size[pieces])  # of each distinct word
+        ends = ends[::2]
+        flat, ends = _gathered(words_ids, ends[:-1][codes], np.diff(ends)[codes])
         return flat, ends[offsets]
 
 
-def with_end(ids: np.ndarray, bounds: np.ndarray, end: int) -> Iterator[np.ndarray]:
-    """Each text's ids as little-endian unsigned 32-bit integers, with the end id."""
-    tail = np.array([end], "<u4")
-    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-        yield np.concatenate([ids[a:b].astype("<u4", copy=False), tail])
+def _gathered(table: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """table[first : first + size] of all pairs in a row, and where each begins (with the end)."""
+    ends = np.r_[0, np.cumsum(size)]
+    return table[np.repeat(first - ends[:-1], size) + np.arange(ends[-1])], ends
+
+
+def with_end(ids: np.ndarray, bounds: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts in a row with the end id after each, as little-endian unsigned 32-bit integers, and their bounds."""
+    return np.insert(ids.astype("<u4", copy=False), bounds[1:], end), bounds + np.arange(len(bounds))

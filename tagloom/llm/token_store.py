@@ -25,7 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import mixed, new_folder, steps, text_or_empty
+from .common import mixed, new_folder, rolled, steps, text_or_empty
 from .token_ids import Encoder, default_tokenizer, with_end
 
 END = 2
@@ -36,25 +36,26 @@ PART_DOCUMENTS = 50_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-def cuts(ids: np.ndarray) -> list[int]:
-    """The ends of the chunks. They depend on the WINDOW ids before them and on the chunk's length only."""
-    n = len(ids)
-    with np.errstate(over="ignore"):
-        hashed, power = np.zeros(max(0, n - WINDOW + 1), np.uint64), np.uint64(1)
-        values = mixed(ids.astype(np.uint64))
-        for k in range(WINDOW):
-            hashed += values[WINDOW - 1 - k : n - k][: len(hashed)] * power
-            power = power * _BASE
-    marks = np.flatnonzero(hashed >> np.uint64(64 - MEAN_BITS) == 0) + WINDOW
-    out, last = [], 0
-    for at in [*marks.tolist(), n]:
-        while at - last > MAX_IDS:
-            last += MAX_IDS
-            out.append(last)
-        if at - last >= MIN_IDS and at < n:
-            out.append(at)
-            last = at
-    return [*out, n] if n > last else out
+def cuts(ids: np.ndarray, bounds: np.ndarray) -> list[list[int]]:
+    """The ends of each document's chunks, counted from its own begin. They depend on the WINDOW ids before them and on the
+    chunk's length only."""
+    marks = np.flatnonzero(rolled(mixed(ids.astype(np.uint64)), WINDOW, _BASE) >> np.uint64(64 - MEAN_BITS) == 0) + WINDOW
+    first = np.searchsorted(marks, bounds[:-1] + WINDOW)  # a window lies within one document
+    last = np.maximum(first, np.searchsorted(marks, bounds[1:]))
+    places, out = marks.tolist(), []
+    for begin, end, i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist(), first.tolist(), last.tolist(), strict=True):
+        found, at = [], begin
+        for mark in [*places[i:j], end]:
+            while mark - at > MAX_IDS:
+                at += MAX_IDS
+                found.append(at - begin)
+            if mark - at >= MIN_IDS and mark < end:
+                found.append(mark - begin)
+                at = mark
+        if end > at:
+            found.append(end - begin)
+        out.append(found)
+    return out
 
 
 def _block_schema(kind: T.DataType) -> T.StructType:
@@ -101,17 +102,19 @@ def write_store(
         for batch in steps(batches, "text"):
             recipes: list[tuple[int, int, list[bytes]]] = []
             fresh: list[tuple[bytes, bytes]] = []
-            for ids in with_end(*encoder.encode(batch.column("text")), end):
+            ids, bounds = with_end(*encoder.encode(batch.column("text")), end)
+            packed, width = ids.astype("<u4" if wide else "<u2").tobytes(), 4 if wide else 2
+            for begin, stop, found in zip(bounds[:-1].tolist(), bounds[1:].tolist(), cuts(ids, bounds), strict=True):
                 digests, last = [], 0
-                for at in cuts(ids):
-                    data = ids[last:at].astype("<u4" if wide else "<u2").tobytes()
+                for at in found:
+                    data = packed[(begin + last) * width : (begin + at) * width]
                     digest = hashlib.sha256(data).digest()
                     digests.append(digest)
                     if digest not in stored:  # copies within a task go before the shuffle
                         stored.add(digest)
                         fresh.append((digest, data))
                     last = at
-                recipes.append((nth, len(ids), digests))
+                recipes.append((nth, stop - begin, digests))
                 nth += 1
             if len(stored) > 1_000_000:
                 stored.clear()
@@ -213,13 +216,22 @@ class _Shift:
         return self._known[n_bytes]
 
 
-def _joined_crc(parts: list[list]) -> int:
-    """parts: checksum and number of ids of each chunk, in order."""
-    shift, crc = _joined_crc.__dict__.setdefault("shift", _Shift()), 0
-    for value, n in parts:
-        moved = shift.apply(shift.of(4 * n), np.array(crc, np.uint64)) if crc else 0
-        crc = int(moved) ^ value
-    return crc
+def joined_crcs(crcs: np.ndarray, sizes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The checksum of each document from those of its chunks, in order, and their numbers of ids; all documents side by side."""
+    kinds, which = np.unique(sizes, return_inverse=True)
+    shift = _Shift()
+    matrices = np.stack([shift.of(4 * int(n)) for n in kinds]) if len(kinds) else np.zeros((0, 32), np.uint64)
+    many = np.diff(bounds)
+    order = np.argsort(-many, kind="stable")
+    first, many = bounds[:-1][order], many[order]
+    value = np.zeros(len(order), np.uint64)
+    for k in range(int(many[0]) if len(many) else 0):
+        n = int(np.searchsorted(-many, -k, side="left"))  # documents of more than k chunks
+        at = first[:n] + k
+        value[:n] = shift.apply(matrices[which[at]], value[:n]) ^ crcs[at].astype(np.uint64)
+    out = np.empty(len(order), np.int64)
+    out[order] = value.astype(np.int64)
+    return out
 
 
 def _chunk_facts(blocks: DataFrame, wide: bool) -> DataFrame:
@@ -276,11 +288,13 @@ def read_digests(spark: SparkSession, path: str, kind: T.DataType | None = None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            crcs = []
-            for parts, n in zip(batch.column("parts").to_pylist(), batch.column("n_tokens").to_pylist(), strict=True):
-                if sum(p["n"] for p in parts) != n:
-                    raise ValueError("a recipe's chunks don't add up to its length")
-                crcs.append(_joined_crc([[p["crc"], p["n"]] for p in parts]))
+            lists = batch.column("parts")
+            parts, bounds = lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
+            sizes = parts.field("n").to_numpy()
+            total = np.r_[0, np.cumsum(sizes)][bounds - bounds[0]]
+            if (np.diff(total) != batch.column("n_tokens").to_numpy()).any():
+                raise ValueError("a recipe's chunks don't add up to its length")
+            crcs = joined_crcs(parts.field("crc").to_numpy(), sizes, bounds - bounds[0])
             kept = [batch.column(c) for c in ("start", "doc_id", "n_tokens")]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(crcs, pa.int64())], schema.fieldNames())
 
