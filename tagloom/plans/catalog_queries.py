@@ -1,4 +1,681 @@
-"""Named queries over the shared tables, each with the SQL it is held against."""
+"""Named queries over the shared tables, each with the SQL it is held against.
+
+The tables hold no annotations. Both sides derive them by one rule: tokens stand between blanks, a token that begins with A-Z
+is an entity whose label follows from its length, and neighbours of one label are one entity. Documents are texts of a
+language (lang) and a subset (source); conversations are documents of several rows.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import ids, tags, text
+from ..functions import spans as sp
+from ..operators import documents as docs_ops
+from ..operators import labels as label_ops
+from ..operators import merging, sampling, selecting, stats
+from ..sources import conll
+from . import metadata
 
 QUERIES: dict = {}
 ORACLE: dict = {}
+
+LABELS = ("PER", "LOC", "ORG")
+LONG_NAMES = {"PER": "person", "LOC": "location", "ORG": "organization"}
+
+
+def query(sql: str):
+    """Register a function of (spark, sf_dir) under its name, with its SQL."""
+
+    def add(function):
+        QUERIES[function.__name__] = function
+        ORACLE[function.__name__] = sql
+        return function
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# --- annotations by rule -------------------------------------------------------------------------------------------
+
+
+def _tags(tokens: Column) -> Column:
+    def label(t: Column) -> Column:
+        n = F.length(t) % 3
+        return F.when(t.rlike("^[A-Z]"), F.when(n == 0, "PER").when(n == 1, "LOC").otherwise("ORG"))
+
+    def tagged(y: Column) -> Column:
+        inside = lambda x, i: (i > 0) & F.get(y, i - 1).eqNullSafe(x)
+        return F.transform(y, lambda x, i: F.when(x.isNull(), "O").when(inside(x, i), F.concat(F.lit("I-"), x)).otherwise(F.concat(F.lit("B-"), x)))
+
+    return sp.let(F.transform(tokens, label), tagged)
+
+
+def tagged(rows: DataFrame) -> DataFrame:
+    """tokens and tags of each row's text, without a shuffle."""
+    rows = rows.withColumn("tokens", text.words(F.coalesce("text", F.lit(""))))
+    return rows.withColumn("tags", _tags(F.col("tokens")))
+
+
+def annotated(rows: DataFrame) -> DataFrame:
+    """ner, and the text as its tokens joined by a blank."""
+    rows = tagged(rows)
+    joined = rows.withColumn("text", F.array_join("tokens", " ")).withColumn("spans", sp.joined_spans(F.col("tokens"), F.lit(" ")))
+    return joined.withColumn("ner", sp.bio_to_spans(F.col("tags"), F.col("spans")))
+
+
+def flat(rows: DataFrame, *keys: str) -> DataFrame:
+    """One row per span: keys, ent_idx, label, start, stop."""
+    each = rows.select(*keys, F.posexplode("ner").alias("ent_idx", "a"))
+    out = each.select(*keys, F.col("ent_idx").cast("long").alias("ent_idx"), F.col("a.label").alias("label"), F.explode("a.spans").alias("s"))
+    return out.select(*keys, "ent_idx", "label", F.col("s.start").alias("start"), F.col("s.stop").alias("stop"))
+
+
+def _documents(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", "lang", "source", "text")
+
+
+def _sequences(spark: SparkSession, d: str) -> DataFrame:
+    """Conversations as rows of documents: a line end after each row but the last."""
+    from pyspark.sql import Window as W
+
+    rows = table(spark, d, "conversations").select(F.col("conv_id").alias("document_index"), F.col("turn").alias("document_position"), "role", "text")
+    last = F.lead("document_position").over(W.partitionBy("document_index").orderBy("document_position")).isNull()
+    rows = rows.withColumn("space_after", F.when(last, "").otherwise("\n")).withColumn("text", F.coalesce("text", F.lit("")))
+    return rows.withColumn("sequence_id", ids.sequence_id(F.lit("conversations"), F.lit("all"), F.lit("train"), F.col("document_index"), F.col("document_position")))
+
+
+def sql_tags(source: str = "documents", keys: str = "doc_id, lang, source") -> str:
+    """CTEs w (token lists), tok, lab, tg (tags), sp (offsets), ent (entities) over a table, by the same rule."""
+    first = keys
+    return f"""
+w as (select {keys}, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\r\\f]+'), lambda x: x <> '') as ts from {source}),
+tok as (select {first}, unnest(ts) as token, unnest(range(len(ts))) as pos from w),
+lab as (select *, case when regexp_matches(token, '^[A-Z]') then
+          case length(token) % 3 when 0 then 'PER' when 1 then 'LOC' else 'ORG' end end as label from tok),
+tg as (select *, case when label is null then 'O'
+          when lag(label) over (partition by {first} order by pos) = label then 'I-' || label else 'B-' || label end as tag,
+          coalesce(sum(length(token) + 1) over (partition by {first} order by pos rows between unbounded preceding and 1 preceding), 0)::bigint as start
+        from lab),
+sp as (select *, start + length(token) as stop,
+          sum((tag like 'B-%')::int) over (partition by {first} order by pos rows unbounded preceding) - 1 as ent from tg),
+ent as (select {first}, ent::bigint as ent_idx, label, min(start)::bigint as start, max(stop)::bigint as stop from sp where label is not null
+        group by {first}, ent, label)"""
+
+
+SEQ = """seq as (select conv_id, turn, role, coalesce(text, '') as text,
+  case when lead(turn) over (partition by conv_id order by turn) is null then '' else chr(10) end as space_after from conversations)"""
+TAGS = sql_tags()
+CONV = SEQ + ", " + sql_tags("seq", "conv_id, turn, space_after")
+
+
+# --- tokens and tags -------------------------------------------------------------------------------------------------
+
+
+@query(f"with {TAGS} select lang, label, count(*) as n from ent group by lang, label")
+def entity_counts(spark, d):
+    labels = annotated(_documents(spark, d)).select("lang", F.explode(F.transform("ner", lambda a: a["label"])).alias("label"))
+    return labels.groupBy("lang", "label").agg(F.count("*").alias("n"))
+
+
+@query(f"with {TAGS} select doc_id, pos, token from tok")
+def tokenize_whitespace(spark, d):
+    rows = _documents(spark, d).select("doc_id", F.posexplode(text.words(F.coalesce("text", F.lit("")))).alias("pos", "token"))
+    return rows.withColumn("pos", F.col("pos").cast("long"))
+
+
+@query(f"with {TAGS} select doc_id, pos, start, stop from sp")
+def token_offsets(spark, d):
+    each = annotated(_documents(spark, d)).select("doc_id", F.posexplode("spans").alias("pos", "s"))
+    return each.select("doc_id", F.col("pos").cast("long").alias("pos"), "s.start", "s.stop")
+
+
+@query(f"with {TAGS} select doc_id, ent_idx, label, start, stop from ent")
+def bio_to_spans(spark, d):
+    return flat(annotated(_documents(spark, d)), "doc_id")
+
+
+@query(f"with {TAGS} select doc_id, ent_idx, label, start, stop from ent")
+def any_tags_to_spans(spark, d):
+    """By the sequential rule, tag by tag."""
+    rows = tagged(_documents(spark, d)).withColumn("spans", sp.joined_spans(F.col("tokens"), F.lit(" ")))
+    each = rows.select("doc_id", F.posexplode(F.arrays_zip("tags", "spans")).alias("pos", "x"))
+    return flat(_folded(each), "doc_id")
+
+
+def _folded(each: DataFrame) -> DataFrame:
+    """Runs of tokens of one entity by a window over positions; ner per document."""
+    from pyspark.sql import Window as W
+
+    w = W.partitionBy("doc_id").orderBy("pos")
+    t, last = F.col("x.tags"), F.lag("x.tags").over(w)
+    begins = (tags.position(t) == "B") | ((tags.position(t) == "I") & ~tags.entity_type(t).eqNullSafe(tags.entity_type(last)))
+    marked = each.withColumn("_b", begins.cast("int"))
+    marked = marked.withColumn("e", F.sum("_b").over(w)).where(t != "O")
+    runs = marked.groupBy("doc_id", "e").agg(
+        F.min(tags.entity_type(t)).alias("label"), F.min("x.spans.start").alias("start"), F.max("x.spans.stop").alias("stop")
+    )
+    item = F.struct("e", sp.annotation(F.col("label"), F.array(sp.span(F.col("start"), F.col("stop")))).alias("a"))
+    return runs.groupBy("doc_id").agg(F.transform(F.sort_array(F.collect_list(item)), lambda v: v["a"]).alias("ner"))
+
+
+@query(f"with {TAGS} select doc_id, pos, tag from tg")
+def bioes_to_bio(spark, d):
+    """Tags as BIOES, by what follows, and back."""
+
+    def bioes(t: Column) -> Column:
+        return F.transform(
+            t,
+            lambda x, i: F.when((x == "O") | F.coalesce(F.get(t, i + 1), F.lit("O")).startswith("I-"), x).otherwise(
+                F.concat(F.when(x.startswith("B"), "S").otherwise("E"), F.substring(x, 2, 1 << 20))
+            ),
+        )
+
+    rows = tagged(_documents(spark, d)).withColumn("tags", sp.let(F.col("tags"), bioes))
+    each = rows.select("doc_id", F.posexplode(F.transform("tags", tags.bioes_to_bio)).alias("pos", "tag"))
+    return each.withColumn("pos", F.col("pos").cast("long"))
+
+
+@query(f"with {TAGS} select doc_id, pos, split_part(tag, '-', 1) as position, label as entity_type from tg")
+def bio_prefix_split(spark, d):
+    each = tagged(_documents(spark, d)).select("doc_id", F.posexplode("tags").alias("pos", "t"))
+    return each.select("doc_id", F.col("pos").cast("long").alias("pos"), tags.position(F.col("t")).alias("position"), tags.entity_type(F.col("t")).alias("entity_type"))
+
+
+@query(f"with {TAGS} select doc_id, ent_idx, label, start, stop from ent")
+def iob_type_only(spark, d):
+    """Tags reduced to types, and read as such."""
+    rows = annotated(_documents(spark, d))
+    bare = F.transform("tags", lambda t: F.coalesce(tags.entity_type(t), F.lit("O")))
+    rows = rows.withColumn("bare", bare)
+    return flat(rows.withColumn("ner", sp.bio_to_spans(F.transform("bare", tags.type_only), F.col("spans"))), "doc_id")
+
+
+@query(f"with {TAGS} select doc_id, pos, case when tag = 'O' then '0' else tag end as tag from tg")
+def inverted_tags(spark, d):
+    """Tags turned round, as some sources have them, and back; O is written 0."""
+    turned = F.transform("tags", lambda t: F.when(t == "O", "0").otherwise(F.concat_ws("-", tags.entity_type(t), tags.position(t))))
+    rows = tagged(_documents(spark, d)).withColumn("turned", turned)
+    each = rows.select("doc_id", F.posexplode(F.transform("turned", tags.inverted)).alias("pos", "t"))
+    return each.select("doc_id", F.col("pos").cast("long").alias("pos"), F.when(F.col("t") == "O", "0").otherwise(F.col("t")).alias("tag"))
+
+
+# --- inventories and counts ------------------------------------------------------------------------------------------
+
+
+@query(f"with {TAGS} select source, string_agg(label, ',' order by label) as labels from (select distinct source, label from ent) group by source")
+def label_inventory(spark, d):
+    found = label_ops.label_inventory(annotated(_documents(spark, d)), by=("source",))
+    return found.select("source", F.array_join("labels", ",").alias("labels"))
+
+
+@query(f"with {TAGS} select source, string_agg(tag, ',' order by tag) as bio_labels from (select distinct source, tag from tg) group by source")
+def bio_label_inventory(spark, d):
+    found = label_ops.tag_inventory(tagged(_documents(spark, d)), "tags", ("source",))
+    return found.select("source", F.array_join("bio_labels", ",").alias("bio_labels"))
+
+
+@query("select role, count(distinct conv_id) as document_count, count(*) as sequence_count from conversations group by role")
+def split_counts(spark, d):
+    return stats.split_counts(table(spark, d, "conversations"), ("role",), ("conv_id",))
+
+
+_WORD_SQL = """, c as (select doc_id, lang, count(*) as total_token_count,
+  count(*) filter (regexp_matches(token, '^\\p{P}*\\p{N}[\\p{N}\\p{P}]*$') and not regexp_matches(token, '^\\p{P}+$')) as number_count,
+  count(*) filter (regexp_matches(token, '^\\p{P}+$')) as punctuation_count from tok group by doc_id, lang)"""
+
+
+@query(
+    f"with {TAGS}{_WORD_SQL} select d.doc_id, coalesce(total_token_count, 0) as total_token_count, coalesce(number_count, 0) as number_count, "
+    "coalesce(punctuation_count, 0) as punctuation_count, coalesce(total_token_count - number_count - punctuation_count, 0) as word_count "
+    "from documents d left join c using (doc_id)"
+)
+def word_stats(spark, d):
+    return stats.word_stats(_documents(spark, d).withColumn("text", F.coalesce("text", F.lit(""))), ["doc_id"])
+
+
+@query(
+    f"with {TAGS}{_WORD_SQL} select lang, sum(total_token_count)::bigint as total_token_count, sum(number_count)::bigint as number_count, "
+    "sum(punctuation_count)::bigint as punctuation_count, sum(total_token_count - number_count - punctuation_count)::bigint as word_count from c group by lang"
+)
+def word_stats_by_lang(spark, d):
+    rows = stats.word_stats(_documents(spark, d).withColumn("text", F.coalesce("text", F.lit(""))), ["lang"]).where("total_token_count > 0")
+    names = ("total_token_count", "number_count", "punctuation_count", "word_count")
+    return rows.groupBy("lang").agg(*[F.sum(c).alias(c) for c in names])
+
+
+@query("select source, lang, count(*) as n, min(doc_id) as first_doc from documents group by source, lang")
+def partition_by_language(spark, d):
+    return _documents(spark, d).groupBy("source", "lang").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc"))
+
+
+@query(
+    "select source, count(*) as n, case when count(*) <= 1000 then 'n<1K' when count(*) <= 10000 then '1K<n<10K' when count(*) <= 100000 "
+    "then '10K<n<100K' when count(*) <= 1000000 then '100K<n<1M' else '1M<n<10M' end as size_category from documents group by source"
+)
+def size_category(spark, d):
+    counted = _documents(spark, d).groupBy("source").agg(F.count("*").alias("n"))
+    return counted.withColumn("size_category", text.size_category(F.col("n")))
+
+
+@query("select string_agg(code, ',' order by code) as languages from (select distinct split_part(lang, '-', 1) as code from documents where lang <> 'MULTI')")
+def language_union(spark, d):
+    return stats.languages(_documents(spark, d), "lang").select(F.array_join("languages", ",").alias("languages"))
+
+
+_CODES = {c: text.LANGUAGE_CODES[c] for c in ("en", "de", "fr", "es", "it", "nl", "pt")}
+
+
+@query(
+    "select doc_id, case lang " + " ".join(f"when '{a}' then '{b}'" for a, b in _CODES.items()) + " else lang end as iso, "
+    "case lang " + " ".join(f"when '{a}' then '{b}'" for a, b in _CODES.items()) + " else lang end || '_Latn' as tokenizer from documents"
+)
+def language_codes(spark, d):
+    iso = text.iso_language(F.col("lang"))
+    return _documents(spark, d).select("doc_id", iso.alias("iso"), text.tokenizer_language(iso).alias("tokenizer"))
+
+
+# --- documents --------------------------------------------------------------------------------------------------------
+
+
+@query(f"with {TAGS} select doc_id, sha256(array_to_string(ts, ' ')) as text_sha, len(ts)::bigint as n_tokens from w")
+def detok_concat(spark, d):
+    rows = _documents(spark, d).withColumn("tokens", text.words(F.coalesce("text", F.lit(""))))
+    rows = rows.withColumn("ner_iob", F.transform("tokens", lambda t: F.lit("O")))
+    out = docs_ops.detokenize(rows, F.lit("eng"))
+    return out.select("doc_id", F.sha2(F.encode("text", "UTF-8"), 256).alias("text_sha"), F.size("tokens").cast("long").alias("n_tokens"))
+
+
+@query(f"with {SEQ} select conv_id, string_agg(text || space_after, '' order by turn) as text from seq group by conv_id")
+def merge_documents_text(spark, d):
+    merged = docs_ops.merge_documents(_sequences(spark, d), tagset=None)
+    return merged.select(F.col("document_index").alias("conv_id"), "text")
+
+
+@query(
+    f"with {CONV}, len as (select conv_id, turn, sum(length(array_to_string(ts, ' ')) + length(space_after)) over "
+    "(partition by conv_id order by turn rows between unbounded preceding and 1 preceding) as before from w), "
+    "moved as (select e.conv_id, turn, ent_idx, label, start + coalesce(before, 0) as start, stop + coalesce(before, 0) as stop "
+    "from ent e join len using (conv_id, turn)) select conv_id, row_number() over (partition by conv_id order by turn, ent_idx) - 1 as ent_idx, "
+    "label, start::bigint as start, stop::bigint as stop from moved"
+)
+def merge_documents_spans(spark, d):
+    merged = docs_ops.merge_documents(annotated(_sequences(spark, d)))
+    return flat(merged, "document_index").withColumnRenamed("document_index", "conv_id")
+
+
+_TARGET = 200
+
+
+@query(
+    f"with {CONV}, seg as (select conv_id, turn, array_to_string(ts, ' ') as text, space_after, "
+    f"floor(sum(len(ts)) over (partition by conv_id order by turn) / {_TARGET})::bigint as segment_id from w) "
+    "select conv_id, segment_id, string_agg(text || space_after, '' order by turn) as text from seg group by conv_id, segment_id"
+)
+def merge_segments_budget(spark, d):
+    rows = docs_ops.budget_segments(annotated(_sequences(spark, d)), F.size("tokens"), _TARGET)
+    merged = docs_ops.merge_documents(rows, by_segment=True)
+    return merged.select(F.col("document_index").alias("conv_id"), "segment_id", "text")
+
+
+@query(f"with {TAGS}, x as (select *, row_number() over (partition by doc_id order by ent_idx) - 1 as k from ent where label <> 'ORG') select doc_id, k as ent_idx, label, start, stop from x")
+def drop_discontinuous(spark, d):
+    """Organisations as entities of two spans, which go."""
+
+    def twofold(a: Column) -> Column:
+        s = a["spans"][0]
+        both = F.array(sp.span(s["start"], s["start"] + 1), sp.span(s["stop"] - 1, s["stop"]))
+        return sp.annotation(a["label"], F.when(a["label"] == "ORG", both).otherwise(a["spans"]))
+
+    rows = annotated(_documents(spark, d)).withColumn("ner", F.transform("ner", twofold))
+    each = selecting.drop_discontinuous(rows).select("doc_id", F.posexplode("ner").alias("ent_idx", "a"))
+    return each.select("doc_id", F.col("ent_idx").cast("long").alias("ent_idx"), "a.label", "a.spans.start", "a.spans.stop")
+
+
+@query(f"with {TAGS} select doc_id, count(*) as n_entities from ent group by doc_id")
+def filter_has_entities(spark, d):
+    return selecting.with_entities(annotated(_documents(spark, d))).select("doc_id", F.size("ner").cast("long").alias("n_entities"))
+
+
+@query(
+    "with x as (select conv_id, turn, case when length(text) % 17 = 0 then '' else text end as text from conversations), "
+    "b as (select conv_id from x group by conv_id having bool_or(text = '')) select conv_id, turn from x where conv_id not in (select conv_id from b)"
+)
+def drop_empty_documents(spark, d):
+    rows = table(spark, d, "conversations").withColumn("text", F.when(F.length("text") % 17 == 0, "").otherwise(F.col("text")))
+    return docs_ops.drop_documents_with_empty_text(rows, ("conv_id",)).select("conv_id", "turn")
+
+
+def _dotted(rows: DataFrame) -> DataFrame:
+    """Sentences that end with a token that ends with a full stop, as offsets into the joined tokens."""
+
+    def of(v: Column) -> Column:
+        n = F.size(v["t"])
+        ends = F.filter(F.sequence(F.lit(0), n - 1), lambda i: F.get(v["t"], i).endswith(".") | (i == n - 1))
+        return sp.let(ends, lambda e: F.transform(e, lambda i, k: sp.span(F.get(v["s"], F.when(k == 0, 0).otherwise(F.get(e, k - 1) + 1))["start"], F.get(v["s"], i)["stop"])))
+
+    rows = rows.where(F.size("tokens") > 0)
+    return rows.withColumn("sentence_offsets", sp.let(F.struct(F.col("tokens").alias("t"), F.col("spans").alias("s")), of))
+
+
+_SENT = """, nx as (select *, lead(tag) over (partition by doc_id order by pos) as next_tag from sp),
+ cut as (select *, coalesce(sum((token like '%.' and coalesce(next_tag, 'O') not like 'I-%')::int)
+   over (partition by doc_id order by pos rows between unbounded preceding and 1 preceding), 0)::bigint as sentence from nx),
+ sent as (select doc_id, sentence, min(start)::bigint as start, max(stop)::bigint as stop, string_agg(token, ' ' order by pos) as text from cut group by doc_id, sentence)"""
+
+
+@query(f"with {TAGS}{_SENT} select doc_id, sentence, start, stop from sent")
+def sentence_merge_crossing(spark, d):
+    rows = _dotted(annotated(_documents(spark, d)))
+    each = rows.select("doc_id", F.posexplode(sp.merged_bounds(F.col("sentence_offsets"), [F.col("ner")])).alias("sentence", "b"))
+    return each.select("doc_id", F.col("sentence").cast("long").alias("sentence"), "b.start", "b.stop")
+
+
+@query(
+    f"with {TAGS}{_SENT} select s.doc_id, s.sentence, sha256(s.text) as text_sha, count(e.ent_idx) as n_entities, "
+    "min(e.start - s.start)::bigint as first_start, case when s.sentence < max(s.sentence) over (partition by s.doc_id) then ' ' else '' end as space_after "
+    "from sent s left join ent e on e.doc_id = s.doc_id and e.start >= s.start and e.start < s.stop group by s.doc_id, s.sentence, s.text"
+)
+def sentence_split(spark, d):
+    rows = _dotted(annotated(_documents(spark, d))).select(
+        "doc_id", F.lit(0).alias("document_position"), "text", F.lit("").alias("space_after"), "ner", "sentence_offsets"
+    )
+    out = docs_ops.split_sentences(rows, keys=("doc_id",))
+    return out.select(
+        "doc_id",
+        F.col("document_position").alias("sentence"),
+        F.sha2(F.encode("text", "UTF-8"), 256).alias("text_sha"),
+        F.size("ner").cast("long").alias("n_entities"),
+        F.array_min(F.transform("ner", lambda a: a["spans"][0]["start"])).alias("first_start"),
+        "space_after",
+    )
+
+
+@query(f"with {TAGS} select doc_id, ent_idx, label, start, stop from ent")
+def sort_annotations(spark, d):
+    """Entities in reverse, put in order again."""
+    rows = annotated(_documents(spark, d)).withColumn("ner", F.reverse("ner"))
+    return flat(rows.withColumn("ner", sp.ordered(F.col("ner"))), "doc_id")
+
+
+@query(f"with {TAGS} select doc_id, ent_idx, start, stop from ent where stop - start > 12")
+def fix_offset(spark, d):
+    """Spans of long entities moved by up to two characters, and mended by their text."""
+    rows = annotated(_documents(spark, d)).select("doc_id", "text", F.posexplode("ner").alias("ent_idx", "a"))
+    rows = rows.select("doc_id", F.col("ent_idx").cast("long").alias("ent_idx"), "text", F.col("a.spans")[0].alias("s")).where("s.stop - s.start > 12")
+    by = F.when(F.col("s.start") > 2, F.pmod(F.col("doc_id"), F.lit(3)) - 1).otherwise(F.lit(0))
+    expected = text.piece(F.col("text"), F.col("s.start"), F.col("s.stop"))
+    fixed = sp.repaired(F.col("text"), F.col("s.start") + by, F.col("s.stop") + by, expected)
+    return rows.withColumn("f", fixed).select("doc_id", "ent_idx", F.col("f.start").alias("start"), F.col("f.stop").alias("stop"))
+
+
+@query("select doc_id, strlen(left(text, n)) as byte, n as char from (select doc_id, text, (length(text) // 2)::bigint as n from documents where text is not null)")
+def byte_to_char_offsets(spark, d):
+    half = F.floor(F.length("text") / 2).cast("long")
+    rows = _documents(spark, d).where("text is not null").withColumn("byte", F.octet_length(F.substring(F.col("text"), F.lit(1), half.cast("int"))).cast("long"))
+    return rows.select("doc_id", "byte", text.char_of_byte(F.col("text"), F.col("byte")).alias("char"))
+
+
+# --- samples, unions, labels -----------------------------------------------------------------------------------------
+
+
+_LIMIT = 103
+
+
+@query(
+    f"with p as (select lang, source, count(*) over (partition by lang) as k, row_number() over (partition by lang order by source) as i from (select distinct lang, source from documents)), "
+    f"r as (select lang, source, doc_id, row_number() over (partition by lang, source order by doc_id) as n from documents) "
+    f"select r.lang, r.source, r.doc_id from r join p using (lang, source) where n <= {_LIMIT} // k + case when i = k then {_LIMIT} % k else 0 end"
+)
+def distributed_limit_sample(spark, d):
+    return sampling.quota_sample(_documents(spark, d), "lang", "source", _LIMIT, ("doc_id",)).select("lang", "source", "doc_id")
+
+
+def _splits(spark: SparkSession, d: str) -> list[tuple[dict, DataFrame]]:
+    """Three datasets of one row schema: documents by language, conversations, benchmark items. Only the first has tokens."""
+    names = ("sequence_id", "document_index", "document_position", "text", "space_after", "ner")
+    out = []
+    docs = annotated(_documents(spark, d)).withColumnRenamed("doc_id", "document_index")
+    docs = docs.withColumns({"document_position": F.lit(0).cast("long"), "space_after": F.lit("")})
+    docs = docs.withColumn("sequence_id", ids.sequence_id(F.lit("documents"), F.col("lang"), F.lit("train"), F.col("document_index"), F.col("document_position")))
+    for lang in ("en", "de", "fr", "es"):
+        rows = docs.where(F.col("lang") == lang).select(*names, "tokens", F.col("tags").alias("ner_iob"))
+        out.append(({"dataset": "documents", "subset": [lang], "split": "train", "language": lang, "tagsets": ["ner"]}, rows))
+    talks = annotated(_sequences(spark, d))
+    for role in ("user", "assistant"):
+        entry = {"dataset": "conversations", "subset": ["role", role], "split": "train", "language": "en", "tagsets": ["ner"]}
+        out.append((entry, talks.where(F.col("role") == role).select(*names)))
+    items = table(spark, d, "benchmark").select(F.col("item_id").alias("document_index"), "text")
+    items = annotated(items).withColumns({"document_position": F.lit(0).cast("long"), "space_after": F.lit("")})
+    items = items.withColumn("sequence_id", ids.sequence_id(F.lit("benchmark"), F.lit("all"), F.lit("test"), F.col("document_index"), F.col("document_position")))
+    out.append(({"dataset": "benchmark", "subset": [], "split": "test", "language": "en", "tagsets": ["ner"]}, items.select(*names)))
+    return out
+
+
+_ALL = """, a as (
+ select 'documents' as dataset, lang as subset, 'train' as split, lang as language, doc_id as document_index, 0::bigint as document_position, text, true as tokenized
+   from documents where lang in ('en', 'de', 'fr', 'es')
+ union all select 'conversations', 'role/' || role, 'train', 'en', conv_id, turn, text, false from conversations where role in ('user', 'assistant')
+ union all select 'benchmark', '', 'test', 'en', item_id, 0, text, false from benchmark),
+ b as (select *, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\r\\f]+'), lambda x: x <> '') as ts from a)"""
+_SAMPLE = 150
+
+
+@query(
+    f"with z as (select 1){_ALL}, p as (select dataset, subset, count(*) over (partition by dataset) as k, row_number() over (partition by dataset order by subset) as i "
+    "from (select distinct dataset, subset from b where language = 'en' and split = 'train')), "
+    "r as (select *, row_number() over (partition by dataset, subset order by document_index, document_position) as n from b where language = 'en' and split = 'train') "
+    f"select dataset, document_index, document_position, sha256(array_to_string(ts, ' ')) as text_sha from r join p using (dataset, subset) "
+    f"where n <= {_SAMPLE} // k + case when i = k then {_SAMPLE} % k else 0 end"
+)
+def monolingual_sample(spark, d):
+    rows = sampling.monolingual_sample(_splits(spark, d), "en", _SAMPLE)
+    return rows.select("dataset", "document_index", "document_position", F.sha2(F.encode("text", "UTF-8"), 256).alias("text_sha"))
+
+
+@query(f"with z as (select 1){_ALL} select dataset, subset, split, language, document_index, document_position, sha256(array_to_string(ts, ' ')) as text_sha from b")
+def merge_all(spark, d):
+    rows = merging.merge_splits(_splits(spark, d))
+    return rows.select("dataset", "subset", "split", "language", "document_index", "document_position", F.sha2(F.encode("text", "UTF-8"), 256).alias("text_sha"))
+
+
+@query(f"with z as (select 1){_ALL} select dataset, document_index, document_position, case when tokenized then len(ts)::bigint end as n_tokens from b")
+def union_typed_nulls(spark, d):
+    rows = merging.merge_splits(_splits(spark, d), {})
+    n = F.when(F.col("tokens").isNotNull(), F.size("tokens").cast("long"))
+    return rows.select("dataset", "document_index", "document_position", n.alias("n_tokens"))
+
+
+_CASE = "case label " + " ".join(f"when '{a}' then '{b}'" for a, b in LONG_NAMES.items()) + " end"
+
+
+@query(f"with {TAGS} select doc_id, ent_idx, {_CASE} as label, start, stop from ent")
+def label_map_strict(spark, d):
+    return flat(label_ops.map_labels(annotated(_documents(spark, d)), {"ner": LONG_NAMES}), "doc_id")
+
+
+@query(f"with {TAGS} select doc_id, pos, case when tag = 'O' then tag else left(tag, 2) || {_CASE} end as tag from tg")
+def iob_label_map(spark, d):
+    rows = tagged(_documents(spark, d)).withColumn("tags", label_ops.mapped_tags(F.col("tags"), LONG_NAMES))
+    each = rows.select("doc_id", F.posexplode("tags").alias("pos", "tag"))
+    return each.withColumn("pos", F.col("pos").cast("long"))
+
+
+@query(f"with {TAGS} select source, string_agg(label, ',' order by label) as labels from (select distinct source, {_CASE} as label from ent) group by source")
+def label_map_join(spark, d):
+    """The map as a table, joined to the labels of each subset."""
+    maps = label_ops.expand_label_map({"documents": [{"subsets": [["all"]], "tagset": "ner", "label_map": LONG_NAMES}]})
+    names = label_ops.label_table(spark, maps).select(F.col("src").alias("label"), "dst")
+    labels = annotated(_documents(spark, d)).select("source", F.explode(F.transform("ner", lambda a: a["label"])).alias("label")).distinct()
+    named = labels.join(F.broadcast(names), "label")  # as many rows as the map has labels
+    return named.groupBy("source").agg(F.array_join(F.sort_array(F.collect_set("dst")), ",").alias("labels"))
+
+
+# --- ids, catalog -----------------------------------------------------------------------------------------------------
+
+_NS = ids.NAMESPACE.replace("-", "")
+_UUID = (
+    "select doc_id, left(h, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || substr('89ab', (('0x' || substr(h, 17, 1))::int & 3) + 1, 1) "
+    "|| substr(h, 18, 3) || '-' || substr(h, 21, 12) as sequence_id from (select doc_id, sha1(unhex('" + _NS + "' || hex('documents ' || source || ' train') || "
+    "rpad(substr(x, 15, 2) || substr(x, 13, 2) || substr(x, 11, 2) || substr(x, 9, 2) || substr(x, 7, 2) || substr(x, 5, 2) || substr(x, 3, 2) || substr(x, 1, 2), 128, '0') "
+    "|| repeat('0', 128))) as h from (select doc_id, source, lpad(to_hex(doc_id), 16, '0') as x from documents))"
+)
+
+
+def _ids(spark: SparkSession, d: str) -> DataFrame:
+    id_ = ids.sequence_id(F.lit("documents"), F.col("source"), F.lit("train"), F.col("doc_id"), F.lit(0))
+    return _documents(spark, d).select("doc_id", id_.alias("id"))
+
+
+@query(_UUID)
+def uuid5_sequence_id(spark, d):
+    return _ids(spark, d).select("doc_id", ids.uuid_text(F.col("id")).alias("sequence_id"))
+
+
+@query(f"select doc_id, sequence_id, true as same from ({_UUID})")
+def uuid_text_roundtrip(spark, d):
+    rows = _ids(spark, d).withColumn("sequence_id", ids.uuid_text(F.col("id")))
+    return rows.select("doc_id", "sequence_id", (ids.uuid_bytes(F.col("sequence_id")) == F.col("id")).alias("same"))
+
+
+@query("select distinct 'documents--' || lang || '--' || source as config from documents")
+def config_name(spark, d):
+    rows = _documents(spark, d).select("lang", "source").distinct()
+    return rows.select(text.config_name(F.lit("documents"), F.array("lang", "source")).alias("config"))
+
+
+@query(
+    "with s as (select source as dataset, lang as split, count(*) as n from documents group by source, lang) "
+    "select dataset, split from s where dataset in (select dataset from s group by dataset having bool_and(n >= 2))"
+)
+def dataset_all_splits_filter(spark, d):
+    splits = _documents(spark, d).groupBy(F.col("source").alias("dataset"), F.col("lang").alias("split")).agg(F.count("*").alias("n"))
+    return selecting.datasets_where_all(splits, F.col("n") >= 2).select("dataset", "split")
+
+
+@query("select source, count(*) as n from documents where source not in (select distinct source from documents where doc_id % 4 = 0 and lang = 'de') group by source")
+def stats_append_anti(spark, d):
+    rows = _documents(spark, d)
+    fresh = selecting.without_processed(rows, rows.where("doc_id % 4 = 0 and lang = 'de'"), "source")
+    return fresh.groupBy("source").agg(F.count("*").alias("n"))
+
+
+@query("select source, count(*) as n from documents where source in (select distinct source from documents where doc_id % 9 = 0 and lang = 'es') group by source")
+def requested_semi_join(spark, d):
+    rows = _documents(spark, d)
+    return selecting.only_requested(rows, rows.where("doc_id % 9 = 0 and lang = 'es'"), "source").groupBy("source").agg(F.count("*").alias("n"))
+
+
+@query("select event_id, (props->>'k')::bigint as k from events")
+def json_offsets_decode(spark, d):
+    rows = table(spark, d, "events").withColumn("p", F.from_json("props", "k bigint"))
+    return rows.select("event_id", "p.k")
+
+
+# --- lines, segments, columns ----------------------------------------------------------------------------------------
+
+
+def _lines(spark: SparkSession, d: str) -> DataFrame:
+    """Documents as files of lines, every fifth of them blank."""
+    rows = _documents(spark, d).select(F.col("doc_id").cast("string").alias("source"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"))
+    return rows.withColumn("line", F.when(F.col("line_no") % 5 == 4, "").otherwise(F.col("line")))
+
+
+@query(
+    "with l as (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) as line_no from documents), "
+    "m as (select doc_id, line_no, case when line_no % 5 = 4 then '' else line end as line from l), "
+    "n as (select *, (line <> '' and coalesce(lag(line) over (partition by doc_id order by line_no), '') = '')::int as fresh from m) "
+    "select doc_id, line_no, segment from (select doc_id, line_no, line, sum(fresh) over (partition by doc_id order by line_no)::bigint - 1 as segment from n) where line <> ''"
+)
+def blank_line_segments(spark, d):
+    rows = conll.segments(_lines(spark, d))
+    return rows.select(F.col("source").cast("long").alias("doc_id"), F.col("line_no").cast("long").alias("line_no"), "segment")
+
+
+def _token_lines(spark: SparkSession, d: str) -> DataFrame:
+    """One line of form and tag per token, a blank one after a full stop, and a document start before every fiftieth token."""
+    rows = tagged(_documents(spark, d)).select(F.col("doc_id").cast("string").alias("source"), F.posexplode(F.arrays_zip("tokens", "tags")).alias("pos", "x"))
+    line = F.concat_ws("\t", "x.tokens", "x.tags")
+    before = F.when(F.col("pos") % 50 == 0, F.array(F.lit(""), F.lit("-DOCSTART-\tO"), F.lit(""))).otherwise(F.array().cast("array<string>"))
+    after = F.when(F.col("x.tokens").endswith("."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    each = rows.select("source", "pos", F.posexplode(F.concat(before, F.array(line), after)).alias("k", "line"))
+    return each.select("source", (F.col("pos").cast("long") * 8 + F.col("k")).alias("line_no"), "line")
+
+
+_CONLL = """, c as (select doc_id, pos, token, tag, pos // 50 as document,
+   coalesce(sum((token like '%.')::int) over (partition by doc_id, pos // 50 order by pos rows between unbounded preceding and 1 preceding), 0)::bigint as sentence from tg)"""
+
+
+@query(f"with {TAGS}{_CONLL} select doc_id, document, count(*) as n_tokens, max(sentence) + 1 as n_sentences from c group by doc_id, document")
+def docstart_documents(spark, d):
+    rows = conll.parse(_token_lines(spark, d), "conll2003_two_column")
+    return rows.groupBy(F.col("source").cast("long").alias("doc_id"), "document").agg(
+        F.count("*").alias("n_tokens"), (F.max("sentence") + 1).alias("n_sentences")
+    )
+
+
+@query(
+    f"with {TAGS}{_CONLL} select doc_id, document, sentence, row_number() over (partition by doc_id, document, sentence order by pos) - 1 as position, token as form, tag as ner from c"
+)
+def conll_row_parse(spark, d):
+    rows = conll.parse(_token_lines(spark, d), "conll2003_two_column")
+    return rows.select(F.col("source").cast("long").alias("doc_id"), "document", "sentence", "position", "form", "ner")
+
+
+@query("select doc_id, source as src, lang as language, case when lang = 'en' then null else lang end as other from documents")
+def kv_map_parse(spark, d):
+    packed = F.concat(F.lit("Src="), F.col("source"), F.lit("|Lang="), F.col("lang"))
+    rows = _documents(spark, d).withColumn("m", conll.key_value_map(packed)).withColumn("other", conll.null_token(F.col("lang"), "en"))
+    return rows.select("doc_id", F.col("m")["Src"].alias("src"), F.col("m")["Lang"].alias("language"), "other")
+
+
+@query("select doc_id, doc_id as first, case when doc_id % 3 = 1 then doc_id + 1 else doc_id end as last from documents")
+def token_id_parse(spark, d):
+    k = F.pmod("doc_id", F.lit(3))
+    name = F.when(k == 1, F.concat_ws("-", "doc_id", F.col("doc_id") + 2)).when(k == 2, F.concat("doc_id", F.lit(".1"))).otherwise(F.col("doc_id").cast("string"))
+    rows = _documents(spark, d).withColumn("t", conll.token_id(name))
+    return rows.select("doc_id", "t.first", "t.last")
+
+
+@query("select doc_id, 'newdoc id' as key, source as value from documents")
+def comment_parse(spark, d):
+    pair = conll.key_value(F.concat(F.lit("#  newdoc id =  "), F.col("source"), F.lit(" ")))
+    return _documents(spark, d).withColumn("p", pair).select("doc_id", "p.key", "p.value")
+
+
+# --- descriptions ------------------------------------------------------------------------------------------------------
+
+_ENTRIES = [
+    {"license": "A", "primary_domain": "news"},
+    {"split": ["*.train"], "primary_domain": "web"},
+    {"split": ["src0"], "license": "B"},
+    {"split": ["src0.train", "src1"], "document_boundaries": "full"},
+]
+
+
+@query(
+    "select distinct source, split, case when source = 'src0' then 'B' else 'A' end as license, case when split = 'train' then 'web' else 'news' end as primary_domain, "
+    "case when source = 'src1' or (source = 'src0' and split = 'train') then 'full' end as document_boundaries from documents, (values ('train'), ('test')) v(split)"
+)
+def metadata_cascade(spark, d):
+    sources = [r.source for r in _documents(spark, d).select("source").distinct().collect()]  # a catalog, one row per subset
+    rows = []
+    for source in sources:
+        for split in ("train", "test"):
+            m = metadata.cascade(_ENTRIES, [source], split)
+            rows.append((source, split, m.get("license"), m.get("primary_domain"), m.get("document_boundaries")))
+    return spark.createDataFrame(rows, "source string, split string, license string, primary_domain string, document_boundaries string")
+
+
+@query(
+    "select distinct lang, source, (source = 'src0' and lang = 'en') as exact, (source = 'src0') as any_lang, false as deeper from documents"
+)
+def selector_match(spark, d):
+    rows = _documents(spark, d).select("lang", "source").distinct()
+    one, wild, deep = (metadata.Selector.parse(s) for s in ("en.src0.train", "*.src0.train", "*.src0.x"))
+    out = [(r.lang, r.source, *(s.matches([r.lang, r.source], "train") for s in (one, wild, deep))) for r in rows.collect()]
+    return spark.createDataFrame(out, "lang string, source string, exact boolean, any_lang boolean, deeper boolean")
