@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import tempfile
 import uuid
+import weakref
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -54,12 +56,36 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_PATHS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
+@contextlib.contextmanager
+def dropping_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of queries that run in this block go as soon as the query is done; nothing reads them again."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
 def keep(df: DataFrame, name: str = "table") -> DataFrame:
     """Write df to the shared folder and read it back. This cuts the lineage: a lost executor costs no recomputation."""
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    with dropping_shuffles(spark):
+        df.write.option("compression", "zstd").parquet(path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    _PATHS[kept] = path
+    return kept
+
+
+def discard(*kept: DataFrame) -> None:
+    """Remove tables that keep() wrote, once all that reads them has been written itself."""
+    for df in kept:
+        remove(df.sparkSession, _PATHS.pop(df))
 
 
 def text_or_empty(column: str) -> Column:
@@ -75,14 +101,14 @@ def crc_remainder(column: str, by: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % by
 
 
-def steps(batches: Iterator[pa.RecordBatch], column: str, limit: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that each holds about limit bytes of text; a longer text stands alone."""
+def steps(batches: Iterator[pa.RecordBatch], column: str, limit: int = STEP_BYTES, rows: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches so that each holds about limit bytes of text, and `rows` rows at most; a longer text stands alone."""
     for batch in batches:
         if not batch.num_rows:
             continue
         size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        part = np.cumsum(size) // limit
-        starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+        part, nth = np.cumsum(size) // limit, np.arange(len(size)) // rows
+        starts = np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (nth[1:] != nth[:-1])])
         for a, b in zip(starts, np.r_[starts[1:], batch.num_rows], strict=True):
             yield batch.slice(int(a), int(b - a))
 
@@ -161,9 +187,10 @@ def membership(df: DataFrame, column: str, bits: int = FILTER_BITS) -> bytes:
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bitmap"))
     )
     out = bytearray((1 << bits) // 8 + _PAGE // 8)
-    for row in pages.toLocalIterator():  # 2**bits / 32768 pages of 4 KB at most
-        at = (row.page - 1) * (_PAGE // 8)
-        out[at : at + len(row.bitmap)] = row.bitmap
+    with dropping_shuffles(df.sparkSession):
+        for row in pages.collect():  # 2**bits / 32768 pages of 4 KB at most
+            at = (row.page - 1) * (_PAGE // 8)
+            out[at : at + len(row.bitmap)] = row.bitmap
     return bytes(out)
 
 

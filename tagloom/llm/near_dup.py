@@ -20,13 +20,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_words, keep, may_contain, membership, mixed, split_words, spread, steps, text_or_empty
+from .common import discard, dropping_shuffles, hash_words, keep, may_contain, membership, mixed, split_words, spread, steps, text_or_empty
 
 SHINGLE, PERCENT = 4, 85
 #: How many members of a bucket the others are compared with at first.
 STARS = 6
 #: n-grams in so many prefixes go to the end of the order, by their number; so many of them are known to all tasks at most.
 HEAVY, HEAVY_KNOWN = 48, 1 << 18
+#: Into so many parts grams are dealt by hash; what two sets have of each part bounds what they share.
+PARTS = 128
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 Sets = tuple[np.ndarray, np.ndarray]
 
@@ -109,12 +111,14 @@ def _signed(batches: Iterator[pa.RecordBatch], heavy, width: int, percent: int)
             mask = np.isin(owner, moved)
             place = np.flatnonzero(mask)
             values[place] = values[place[np.lexsort((values[place], rank[place], owner[place]))]]
+        held = np.bincount(owner * PARTS + (values >> np.uint64(57)).astype(np.int64), minlength=len(n) * PARTS).reshape(-1, PARTS)
+        parts = np.minimum(held, 65535).astype("<u2")
         size = np.where(n > 0, prefix_size(n, percent), 0)
         head = values[_first(bounds, size)]
         p1, p2 = digests(head, np.r_[0, np.cumsum(size)])
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), batch.column("text_key"), *(pa.array(x) for x in (n, s1, s2, p1, p2)), _lists(head, size)],
-            ["id", "text_key", "n", "s1", "s2", "p1", "p2", "prefix"],
+            [batch.column("id"), batch.column("text_key"), *(pa.array(x) for x in (n, s1, s2, p1, p2)), pa.array([x.tobytes() for x in parts], pa.binary()), _lists(head, size)],
+            ["id", "text_key", "n", "s1", "s2", "p1", "p2", "parts", "prefix"],
         )
 
 
@@ -134,6 +138,16 @@ def _live(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]
         )
 
 
+def _bounded(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs that may share enough: of each part, two sets share no more than the smaller number they have of it."""
+    for batch in batches:
+        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, PARTS).astype(np.int64) for c in ("px", "py"))
+        n, m = batch.column("nx").to_numpy(), batch.column("ny").to_numpy()
+        most = np.minimum(a, b).sum(1)
+        full = (a == 65535).any(1) | (b == 65535).any(1)
+        yield batch.filter(pa.array(full | ((100 + percent) * most >= percent * (n + m)))).select(["x", "y"])
+
+
 def _sets_of(batches: Iterator[pa.RecordBatch], wanted, width: int) -> Iterator[pa.RecordBatch]:
     bits = np.frombuffer(wanted.value, np.uint8)
     for batch in batches:
@@ -156,13 +170,15 @@ def components(edges: DataFrame) -> DataFrame:
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         met = labels.join(near, "node").select("node", "label", F.least("label", "near").alias("next"))
         jump = labels.select(F.col("node").alias("next"), F.col("label").alias("far"))
-        after = keep(
-            met.join(jump, "next", "left").select("node", F.least("next", F.coalesce("far", "next")).alias("label"), F.col("label").alias("was")),
-            "labels",
+        after = met.join(jump, "next", "left").select(
+            "node", F.least("next", F.coalesce("far", "next")).alias("label"), F.col("label").alias("was")
         )
-        labels = after.select("node", "label")
+        after = keep(after, "labels")
+        discard(labels)
+        labels = after
         if not after.where("label < was").limit(1).count():
-            return labels
+            discard(both)
+            return after.select("node", "label")
 
 
 class _Join:
@@ -180,29 +196,31 @@ class _Join:
             partial(_early, width=self.width, percent=self.percent), "grams array<long>"
         )
         counted = grams.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
-        top = counted.where(F.col("n") >= HEAVY).orderBy(F.desc("n"), "gram").limit(HEAVY_KNOWN).toPandas()
+        with dropping_shuffles(self.spark):
+            top = counted.where(F.col("n") >= HEAVY).orderBy(F.desc("n"), "gram").limit(HEAVY_KNOWN).toPandas()
         known = top["gram"].to_numpy(np.int64).view(np.uint64)
         order = np.argsort(known)
         return known[order], np.log2(np.maximum(1, top["n"].to_numpy(float))).astype(np.uint8)[order]
 
     def index(self) -> None:
-        """Tables: rows (id, text_key, n, s1, s2), members (node, gid, n, low, s1, s2), postings (gram, at, gid, n)."""
+        """Tables: rows (id, text_key, n, s1, s2), members (node, gid, n, low, s1, s2, parts), postings (gram, at, gid, n)."""
         signed = keep(
             self.docs.withColumn("text_key", F.xxhash64("text")).mapInArrow(
                 partial(_signed, heavy=self.share(self.heavy()), width=self.width, percent=self.percent),
-                "id long, text_key long, n long, s1 long, s2 long, p1 long, p2 long, prefix array<long>",
+                "id long, text_key long, n long, s1 long, s2 long, p1 long, p2 long, parts binary, prefix array<long>",
             ),
             "signed",
         )
-        self.rows = signed.select("id", "text_key", "n", "s1", "s2")
+        self.rows = keep(signed.select("id", "text_key", "n", "s1", "s2"), "rows")
         classes = (
             signed.where("n > 0")
             .groupBy("s1", "s2")
-            .agg(F.min("id").alias("low"), F.min("n").alias("n"), F.min("p1").alias("p1"), F.min("p2").alias("p2"))
+            .agg(F.min("id").alias("low"), F.min("n").alias("n"), F.min("p1").alias("p1"), F.min("p2").alias("p2"), F.any_value("parts").alias("parts"))
         )
         classes = keep(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
         groups = signed.where("n > 0").groupBy("p1", "p2", "n").agg(F.any_value("prefix").alias("prefix"))
         groups = keep(groups.withColumn("gid", F.monotonically_increasing_id()), "groups")
+        discard(signed)
         self.members = keep(classes.join(groups.drop("prefix"), ["p1", "p2", "n"]).drop("p1", "p2"), "members")
         grams = groups.select(F.explode("prefix").alias("gram")).groupBy("gram").agg(F.count("*").alias("c")).where("c > 1")
         several = self.share(membership(grams, "gram"))
@@ -210,6 +228,7 @@ class _Join:
             partial(_live, shared=several), "gid long, n long, grams array<struct<gram: long, at: int>>"
         )
         self.postings = keep(live.select("gid", "n", F.inline("grams")), "postings")
+        discard(classes, groups)
 
     def possible(self, a: str, b: str) -> Column:
         """Whether groups that share an n-gram at the places a.at and b.at can be similar: by length and position.
@@ -246,6 +265,11 @@ class _Join:
     def linked(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose whole sets are similar enough, as edges (a, b); pairs: x, y."""
         pairs = keep(pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "pairs")
+        side = lambda c: self.members.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("parts").alias(f"p{c}"))
+        likely = pairs.join(side("x"), "x").join(side("y"), "y").mapInArrow(partial(_bounded, percent=self.percent), "x long, y long")
+        likely = keep(likely, "likely")
+        discard(pairs)
+        pairs = likely
         involved = pairs.select(F.col("x").alias("node")).union(pairs.select(F.col("y").alias("node"))).distinct()
         classes = self.members.join(involved, "node").select("node", "low", "s1", "s2")
         classes = keep(classes, "involved")
@@ -260,7 +284,10 @@ class _Join:
         shared = F.size(F.array_intersect("g", "h"))
         p = self.percent
         enough = (100 + p) * shared >= p * (F.size("g") + F.size("h"))
-        return keep(pairs.join(x, "x").join(y, "y").where(enough).select(F.col("x").alias("a"), F.col("y").alias("b")), "links")
+        found = pairs.join(x, "x").join(y, "y").where(enough).select(F.col("x").alias("a"), F.col("y").alias("b"))
+        found = keep(found, "links")
+        discard(pairs, classes, sets)
+        return found
 
     def remaining(self, labels: DataFrame) -> DataFrame:
         """Pairs of members that may be similar and aren't in one component yet. labels: node, label."""
