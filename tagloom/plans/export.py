@@ -62,14 +62,14 @@ def export(
                 rows = scan_split(spark, dataset, subset, split).withColumn("sequence_id", uuid_text(F.col("sequence_id")))
                 if tables:
                     rows = map_labels(rows, tables, subset.pre_tokenized)
-                    subset.labels = {t: sorted({tables[t][y] for y in subset.labels.get(t, [])}) for t in subset.tagsets}
-                    tables = {t: dict(v) for t, v in tables.items()}
                 path = f"{name}/{split}"
                 rows.write.mode("overwrite").option("compression", "zstd").parquet(str(target / path))
                 files.append({"split": split, "path": [f"{path}/*.parquet"]})
                 total += facts_.sequence_count
             for extra in (extra_files or {}).get(dataset.name, []):
                 shutil.copyfile(extra, target / name / Path(extra).name)
+            if tables:
+                subset.labels = {t: sorted({tables[t][y] for y in subset.labels.get(t, [])}) for t in subset.tagsets}
             configs.append({"config_name": name, "data_files": files})
         meta[dataset.name] = {"languages": dataset.languages, "labels": {config_name(dataset.name, s.hierarchy): s.labels for s in dataset}}
         languages.update(code.split("-")[0] for code in dataset.languages)

@@ -146,7 +146,7 @@ def with_ids(rows: DataFrame, dataset: str, subset: str, split: str, order: list
 def write_split(rows: DataFrame, folder: str | Path, relative: str, tagsets: list[str], tokenized: bool) -> Split:
     """Write a split with zstd, in the schema's order of columns, and count it."""
     schema = sequence_schema(tagsets, tokenized)
-    out = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name, metadata=f.metadata) for f in schema.fields])
+    out = rows.select(*[F.col(f.name).cast(f.dataType.simpleString()).alias(f.name, metadata=f.metadata) for f in schema.fields])
     path = str(Path(folder, relative))
     out.write.mode("overwrite").option("compression", "zstd").parquet(path)
     written = rows.sparkSession.read.schema(schema).parquet(path).withColumn("_all", F.lit(1))
