@@ -25,9 +25,11 @@ from .common import hash_words, keep, split_words, steps, text_or_empty
 #: Domains by quality and toxic, in this order.
 DOMAINS = ("low", "low_toxic", "high", "high_toxic")
 #: Labelled rows the classifier is fitted on at most, those of the smallest hashes.
-SAMPLE = 6000
+SAMPLE = 4000
 BUCKETS, EXTRA = 2048, 8
-STEPS, TOLERANCE = 40, 1e-4
+STEPS, TOLERANCE = 24, 1e-3
+#: Rows whose features are held at once.
+ROWS = 256
 WEIGHTS = {"low": 0.15, "low_toxic": 0.0, "high": 0.85, "high_toxic": 0.0}
 
 
@@ -101,13 +103,13 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Classifie
     rows = docs.join(F.broadcast(few), "id").select("text", (2 * F.col("quality") + F.col("toxic")).alias("y"))  # `sample` rows at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, "text"):
+        for batch in steps(batches, "text", rows=ROWS):
             x, _ = features(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array([v.astype("<f4").tobytes() for v in x], pa.binary())], ["y", "x"])
 
     got = rows.mapInArrow(run, "y int, x binary").toPandas()
-    x = np.frombuffer(b"".join(got["x"]), "<f4").reshape(-1, BUCKETS + EXTRA)
-    return fit_classifier(x, got["y"].to_numpy(np.int64))
+    y, x = got["y"].to_numpy(np.int64), np.frombuffer(b"".join(got.pop("x")), "<f4").reshape(-1, BUCKETS + EXTRA)
+    return fit_classifier(x, y)
 
 
 def memberships(docs: DataFrame, model: Classifier) -> DataFrame:
@@ -118,7 +120,7 @@ def memberships(docs: DataFrame, model: Classifier) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, "text"):
+        for batch in steps(batches, "text", rows=ROWS):
             x, size = features(batch.column("text"))
             p = posteriors(shared.value, x)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, p.size + 1, p.shape[1], dtype=np.int32)), pa.array(p.reshape(-1)))
@@ -220,7 +222,7 @@ def mixed_documents(
     chance = F.xxhash64(F.col(id_col), F.xxhash64(text_or_empty(text_col))).bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, text_col):
+        for batch in steps(batches, text_col, rows=ROWS):
             x, _ = features(batch.column(text_col))
             copies = np.floor(rates(moves, posteriors(shared.value, x), floor) + batch.column("_chance").to_numpy()).astype(np.int64)
             yield batch.select(names).take(pa.array(np.repeat(np.arange(len(copies)), copies)))
