@@ -201,6 +201,21 @@ def may_contain(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bitmap[(low >> np.uint64(3)).astype(np.int64)] >> (low & np.uint64(7)).astype(np.uint8)) & np.uint8(1) > 0
 
 
+def most_frequent(counted: DataFrame, column: str, at_most: int) -> DataFrame:
+    """The rows of the largest counts, at most so many: those whose count reaches a bound. The bound comes from a histogram of
+    a thousand bins or so, so nothing is sorted and no task gets all rows; a bin that doesn't fit as a whole stays out."""
+    bin_ = F.floor(F.log(F.col(column).cast("double")) * 64)
+    with dropping_shuffles(counted.sparkSession):
+        bins = {r.bin: r.n for r in counted.groupBy(bin_.alias("bin")).agg(F.count("*").alias("n")).collect()}
+    bound, total = None, 0
+    for name in sorted((b for b in bins if b is not None), reverse=True):
+        total += bins[name]
+        if total > at_most:
+            break
+        bound = name
+    return counted.where(bin_ >= bound) if bound is not None else counted.where("false")
+
+
 def spread(column: str) -> Column:
     """A 64-bit key for a filter from a column of any type."""
     return F.xxhash64(F.col(column))

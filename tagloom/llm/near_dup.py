@@ -5,9 +5,10 @@ ones first, two similar sets share an n-gram of their prefixes. Classes with the
 index holds groups, pairs of groups are filtered by length and position, then expanded to their members and verified in full.
 
 The result is the components of links, so pairs within a component needn't all be compared. Each bucket of the index first
-compares its groups with a few of its members drawn by hash (`STARS`), which ties large groups of near copies together in
-linear time. Then every remaining pair of groups that may be similar and isn't yet in one component is compared: no link
-between components is lost, and no copies are expanded into all pairs.
+compares its groups with a few of its members, those with most frequent n-grams or drawn by hash (`STARS`), which ties large
+groups of near copies together in linear time. Then every remaining pair that may be similar and isn't yet in one component is
+compared: no link between components is lost, and no copies are expanded into all pairs. Pairs of a large bucket are weighed
+in blocks of bounded size, by what both sets hold of each part of the n-grams, and only those that may link leave the block.
 """
 
 from __future__ import annotations
@@ -16,17 +17,20 @@ from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, dropping_shuffles, hash_words, keep, may_contain, membership, mixed, split_words, spread, steps, text_or_empty
+from .common import discard, dropping_shuffles, hash_words, keep, may_contain, membership, mixed, most_frequent, split_words, spread, steps, text_or_empty
 
 SHINGLE, PERCENT = 4, 85
 #: How many members of a bucket the others are compared with at first.
 STARS = 6
 #: n-grams in so many prefixes go to the end of the order, by their number; so many of them are known to all tasks at most.
 HEAVY, HEAVY_KNOWN = 48, 1 << 18
+#: A bucket of more members is weighed in blocks of so many.
+SMALL_BUCKET, BLOCK = 24, 1500
 #: Into so many parts grams are dealt by hash; what two sets have of each part bounds what they share.
 PARTS = 128
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -106,6 +110,7 @@ def _signed(batches: Iterator[pa.RecordBatch], heavy, width: int, percent: int)
             hit = known[at] == values
             rank[hit] = weight[at[hit]]
         owner = np.repeat(np.arange(len(n)), n)
+        often = np.bincount(owner, rank > 0, len(n)).astype(np.int64)
         moved = np.unique(owner[rank > 0])  # only these leave the order by hash
         if len(moved):
             mask = np.isin(owner, moved)
@@ -117,8 +122,8 @@ def _signed(batches: Iterator[pa.RecordBatch], heavy, width: int, percent: int)
         head = values[_first(bounds, size)]
         p1, p2 = digests(head, np.r_[0, np.cumsum(size)])
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), batch.column("text_key"), *(pa.array(x) for x in (n, s1, s2, p1, p2)), pa.array([x.tobytes() for x in parts], pa.binary()), _lists(head, size)],
-            ["id", "text_key", "n", "s1", "s2", "p1", "p2", "parts", "prefix"],
+            [batch.column("id"), batch.column("text_key"), *(pa.array(x) for x in (n, s1, s2, p1, p2, often)), pa.array([x.tobytes() for x in parts], pa.binary()), _lists(head, size)],
+            ["id", "text_key", "n", "s1", "s2", "p1", "p2", "often", "parts", "prefix"],
         )
 
 
@@ -134,7 +139,8 @@ def _live(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]
         new = np.r_[0, np.cumsum(live)][bounds].astype(np.int32)
         rows = pa.StructArray.from_arrays([pa.array(values[live]), pa.array(at[live].astype(np.int32))], ["gram", "at"])
         yield pa.RecordBatch.from_arrays(
-            [batch.column("gid"), batch.column("n"), pa.ListArray.from_arrays(pa.array(new), rows)], ["gid", "n", "grams"]
+            [*(batch.column(c) for c in ("gid", "n", "often")), pa.ListArray.from_arrays(pa.array(new), rows)],
+            ["gid", "n", "often", "grams"],
         )
 
 
@@ -196,18 +202,20 @@ class _Join:
             partial(_early, width=self.width, percent=self.percent), "grams array<long>"
         )
         counted = grams.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
+        counted = keep(counted.where(F.col("n") >= HEAVY), "heavy")
         with dropping_shuffles(self.spark):
-            top = counted.where(F.col("n") >= HEAVY).orderBy(F.desc("n"), "gram").limit(HEAVY_KNOWN).toPandas()
+            top = most_frequent(counted, "n", HEAVY_KNOWN).toPandas()
+        discard(counted)
         known = top["gram"].to_numpy(np.int64).view(np.uint64)
         order = np.argsort(known)
         return known[order], np.log2(np.maximum(1, top["n"].to_numpy(float))).astype(np.uint8)[order]
 
     def index(self) -> None:
-        """Tables: rows (id, text_key, n, s1, s2), members (node, gid, n, low, s1, s2, parts), postings (gram, at, gid, n)."""
+        """Tables: rows (id, text_key, n, s1, s2), members (node, gid, n, low, s1, s2, parts), postings (gram, at, gid, n, often)."""
         signed = keep(
             self.docs.withColumn("text_key", F.xxhash64("text")).mapInArrow(
                 partial(_signed, heavy=self.share(self.heavy()), width=self.width, percent=self.percent),
-                "id long, text_key long, n long, s1 long, s2 long, p1 long, p2 long, parts binary, prefix array<long>",
+                "id long, text_key long, n long, s1 long, s2 long, p1 long, p2 long, often long, parts binary, prefix array<long>",
             ),
             "signed",
         )
@@ -218,16 +226,16 @@ class _Join:
             .agg(F.min("id").alias("low"), F.min("n").alias("n"), F.min("p1").alias("p1"), F.min("p2").alias("p2"), F.any_value("parts").alias("parts"))
         )
         classes = keep(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
-        groups = signed.where("n > 0").groupBy("p1", "p2", "n").agg(F.any_value("prefix").alias("prefix"))
+        groups = signed.where("n > 0").groupBy("p1", "p2", "n").agg(F.any_value("prefix").alias("prefix"), F.max("often").alias("often"))
         groups = keep(groups.withColumn("gid", F.monotonically_increasing_id()), "groups")
         discard(signed)
-        self.members = keep(classes.join(groups.drop("prefix"), ["p1", "p2", "n"]).drop("p1", "p2"), "members")
+        self.members = keep(classes.join(groups.drop("prefix", "often"), ["p1", "p2", "n"]).drop("p1", "p2"), "members")
         grams = groups.select(F.explode("prefix").alias("gram")).groupBy("gram").agg(F.count("*").alias("c")).where("c > 1")
         several = self.share(membership(grams, "gram"))
-        live = groups.select("gid", "n", "prefix").mapInArrow(
-            partial(_live, shared=several), "gid long, n long, grams array<struct<gram: long, at: int>>"
+        live = groups.select("gid", "n", "often", "prefix").mapInArrow(
+            partial(_live, shared=several), "gid long, n long, often long, grams array<struct<gram: long, at: int>>"
         )
-        self.postings = keep(live.select("gid", "n", F.inline("grams")), "postings")
+        self.postings = keep(live.select("gid", "n", "often", F.inline("grams")), "postings")
         discard(classes, groups)
 
     def possible(self, a: str, b: str) -> Column:
@@ -243,7 +251,10 @@ class _Join:
     def stars(self) -> DataFrame:
         """Pairs of groups (a, b): each group with its buckets' centres."""
         turn = F.pmod(F.col("gram"), F.lit(STARS))
-        drawn = F.struct(F.xxhash64("gid", turn).alias("h"), "gid", "n", "at")
+        chance = F.xxhash64("gid", turn)
+        # A text with most frequent n-grams is nearest to the others of its kind.
+        first = F.when(turn % 2 == 0, -F.col("often") / F.col("n")).otherwise(chance / F.lit(float(1 << 63)))
+        drawn = F.struct(first.alias("f"), chance.alias("h"), "gid", "n", "at")
         # Numbers of members first: postings let through by the filter alone have no partner.
         centres = self.postings.groupBy("gram").agg(F.min(drawn).alias("c"), F.count("*").alias("k")).where("k > 1")
         centres = centres.select("gram", F.col("c.gid").alias("gid"), F.col("c.n").alias("n"), F.col("c.at").alias("at"))
@@ -297,7 +308,9 @@ class _Join:
         posted = self.postings.join(span, "gid")
         mixed_buckets = posted.groupBy("gram").agg(F.min("lo").alias("l"), F.max("hi").alias("h")).where("l < h").select("gram")
         posted = keep(posted.join(mixed_buckets, "gram"), "remaining")
-        a, b = posted.alias("a"), posted.alias("b")
+        sizes = posted.groupBy("gram").agg(F.count("*").alias("k"))
+        few = posted.join(sizes.where(F.col("k") <= SMALL_BUCKET).select("gram"), "gram")
+        a, b = few.alias("a"), few.alias("b")
         apart = (F.col("a.lo") != F.col("b.hi")) | (F.col("a.hi") != F.col("b.lo"))
         met = a.join(
             b, (F.col("a.gram") == F.col("b.gram")) & (F.col("a.gid") < F.col("b.gid")) & apart & self.possible("a", "b")
@@ -307,7 +320,44 @@ class _Join:
         right = held.select(F.col("gid").alias("b"), F.col("node").alias("y"), F.col("label").alias("ly"))
         cross = groups.join(left, "a").join(right, "b").where("lx <> ly").select("x", "y")
         inner = left.withColumnRenamed("a", "gid").join(right.withColumnRenamed("b", "gid"), "gid")
-        return cross.union(inner.where("lx <> ly and x < y").select("x", "y"))
+        cross = cross.union(inner.where("lx <> ly and x < y").select("x", "y"))
+        return cross.union(self.weighed(posted.join(sizes.where(F.col("k") > SMALL_BUCKET), "gram"), held))
+
+    def weighed(self, posted: DataFrame, held: DataFrame) -> DataFrame:
+        """Pairs (x, y) of large buckets, of different components, that may link. Members are dealt into blocks, and each pair of
+        blocks is one group of 2 * BLOCK rows or so."""
+        rows = posted.select("gram", "at", "gid", "n", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks"))
+        rows = rows.join(held, "gid").join(self.members.select("node", "parts"), "node")
+        own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+        rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        rows = rows.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
+        rows = rows.select("gram", "i", "j", "own", "node", "n", "at", "label", "parts")
+        percent = self.percent
+
+        def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+            first, second = (rows[rows["own"] == k].sort_values("node") for k in key[1:])
+            n, at, label, node = (second[c].to_numpy(np.int64) for c in ("n", "at", "label", "node"))
+            parts = np.frombuffer(b"".join(second["parts"]), "<u2").reshape(-1, PARTS)
+            full = (parts == 65535).any(1)
+            out_x, out_y = [], []
+            for one in first.itertuples(index=False):
+                need = percent * (n + one.n)
+                near = (label != one.label) & ((100 + percent) * np.minimum(n - at, one.n - one.at) >= need)
+                near &= 100 * np.minimum(n, one.n) >= percent * np.maximum(n, one.n)
+                if key[1] == key[2]:
+                    near &= node > one.node
+                place = np.flatnonzero(near)
+                if not len(place):
+                    continue
+                own = np.frombuffer(one.parts, "<u2")
+                most = np.minimum(parts[place], own).sum(1, dtype=np.int64)
+                fits = place[full[place] | (own == 65535).any() | ((100 + percent) * most >= need[place])]
+                out_x.append(np.full(len(fits), one.node))
+                out_y.append(node[fits])
+            none = np.empty(0, np.int64)
+            return pd.DataFrame({"x": np.concatenate([none, *out_x]), "y": np.concatenate([none, *out_y])})
+
+        return rows.groupBy("gram", "i", "j").applyInPandas(run, "x long, y long")
 
     def run(self) -> DataFrame:
         self.index()

@@ -75,6 +75,8 @@ def test_components_against_brute_force(spark, texts, width, percent):
 
 def test_components_with_hot_grams(spark, monkeypatch):
     monkeypatch.setattr(near_dup, "HEAVY", 3)
+    monkeypatch.setattr(near_dup, "SMALL_BUCKET", 2)
+    monkeypatch.setattr(near_dup, "BLOCK", 5)
     texts = family(9, 120)
     got = near_dup.near_components(odd_docs(spark, texts), 4, 85)
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == Counter(brute_components(odd_rows(texts), 4, 85))
@@ -83,6 +85,8 @@ def test_components_with_hot_grams(spark, monkeypatch):
 def test_components_without_star_help(spark, monkeypatch):
     """The second search alone must find what the first leaves."""
     monkeypatch.setattr(near_dup._Join, "stars", lambda self: spark.createDataFrame([], "a long, b long"))
+    monkeypatch.setattr(near_dup, "SMALL_BUCKET", 4)
+    monkeypatch.setattr(near_dup, "BLOCK", 7)
     texts = family(4, 80)
     got = near_dup.near_components(odd_docs(spark, texts), 4, 85)
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == Counter(brute_components(odd_rows(texts), 4, 85))
