@@ -23,6 +23,8 @@ from pyspark.sql import types as T
 from .common import hash_words, keep, may_contain, membership, rolled, spread, split_words, steps, text_or_empty
 
 WINDOW = 50
+#: Bytes of text of one step here; windows take several times the memory of their text.
+STEP = 2 << 20
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 
 
@@ -41,11 +43,16 @@ class _Document:
     def __init__(self, texts: pa.Array, window: int, anchor: int) -> None:
         self.codes, self.offsets, self.vocabulary = split_words(texts)
         self.words = hash_words(self.vocabulary)[self.codes]
+        self.window = window
         n = max(0, len(self.words) - window + 1)
         self.owner = np.repeat(np.arange(len(texts)), np.diff(self.offsets))[:n]
         self.whole = np.arange(n) + window <= self.offsets[1:][self.owner]
         self.names = least(rolled(self.words, anchor, _BASES[1]), window - anchor + 1)[:n] if n else np.empty(0, np.uint64)
 
+    def hashes(self, which: int) -> np.ndarray:
+        """The hash of the window that begins at each word, by one of two bases."""
+        return rolled(self.words, self.window, _BASES[which])
+
     def digests(self) -> list[int]:
         """A hash of each document's words, which tells apart rows that share an id."""
         return [hash_bytes(self.words[a:b]) for a, b in zip(self.offsets[:-1], self.offsets[1:], strict=True)]
@@ -71,24 +78,27 @@ def _anchors(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, names array<long>")
 
 
-_WINDOWS = "id long, text_key long, n_words long, full_sha string, windows array<struct<start: int, h1: long, h2: int>>"
+_WINDOWS = "id long, text_key long, n_words long, full_sha string, windows array<struct<h1: long, h2: int>>"
 
 
 def _windows(docs: DataFrame, shared: bytes, window: int, anchor: int) -> DataFrame:
-    """Per row: a digest, its number of words, the SHA-256 of its words, and the windows whose name several ids have."""
+    """Per row: a digest, its number of words, the SHA-256 of its words, and the distinct hashes of windows whose name several
+    ids have."""
     bitmap = docs.sparkSession.sparkContext.broadcast(shared)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(bitmap.value, np.uint8)
-        for batch in steps(batches, "text"):
+        for batch in steps(batches, "text", STEP):
             d = _Document(batch.column("text"), window, anchor)
             at = np.flatnonzero(d.whole & may_contain(bits, d.names))
-            owner = d.owner[at]
-            start = (at - d.offsets[owner]).astype(np.int32)
-            first = rolled(d.words, window, _BASES[0])[at].view(np.int64)
-            second = (rolled(d.words, window, _BASES[1])[at] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            owner, first = d.owner[at], d.hashes(0)[at].view(np.int64)
+            order = np.lexsort((first, owner))  # a text that repeats itself has many windows of one hash
+            new = np.ones(len(order), bool)
+            new[1:] = (first[order][1:] != first[order][:-1]) | (owner[order][1:] != owner[order][:-1])
+            at, owner, first = (x[order[new]] for x in (at, owner, first))
+            second = (d.hashes(1)[at] >> np.uint64(32)).astype(np.uint32).view(np.int32)
             bounds = np.searchsorted(owner, np.arange(batch.num_rows + 1)).astype(np.int32)
-            rows = pa.StructArray.from_arrays([pa.array(start), pa.array(first), pa.array(second)], ["start", "h1", "h2"])
+            rows = pa.StructArray.from_arrays([pa.array(first), pa.array(second)], ["h1", "h2"])
             words = [" ".join(x) for x in _word_lists(d)]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -111,7 +121,7 @@ def _word_lists(d: _Document) -> Iterator[list[str]]:
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, anchor: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """docs: id, text. Rows with their digests and sizes, and the starts of windows that also start under a smaller id."""
+    """docs: id, text. Rows with their digests and sizes, and the hashes of windows that also start under a smaller id."""
     anchor = anchor or max(1, window // 2)
     names = _anchors(docs, window, anchor).select("id", F.explode("names").alias("name"))
     several = names.groupBy("name").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
@@ -119,7 +129,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, anchor: int | None =
     rows = keep(_windows(docs, shared, window, anchor), "windows")
     flat = rows.select("id", "text_key", F.inline("windows"))
     firsts = flat.groupBy("h1", "h2").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
-    again = flat.join(firsts.drop("high"), ["h1", "h2"]).where("id > low").select("id", "text_key", "start")
+    again = flat.join(firsts.drop("high"), ["h1", "h2"]).where("id > low").select("id", "text_key", "h1")
     return rows, again
 
 
@@ -135,7 +145,7 @@ def remove_repeats(
     top = (1 << 63) - 1
     docs = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(top)).alias("id"), text_or_empty(text_col).alias("text"))
     rows, again = repeated_windows(docs, window, anchor)
-    hit = keep(again.groupBy("id", "text_key").agg(F.sort_array(F.collect_set("start")).alias("starts")), "repeats")
+    hit = keep(again.groupBy("id", "text_key").agg(F.collect_list("h1").alias("hashes")), "repeats")
     met = docs.sparkSession.sparkContext.broadcast(membership(hit.select(spread("id").alias("key")), "key"))
 
     def touched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,15 +163,15 @@ def remove_repeats(
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in frames:
             out = []
-            for text, starts in zip(rows["text"], rows["starts"], strict=True):
-                codes, _, vocabulary = split_words(pa.array([text]))
-                starts = np.asarray(starts, np.int64)
+            for text, hashes in zip(rows["text"], rows["hashes"], strict=True):
+                d = _Document(pa.array([text]), window, window)
+                starts = np.flatnonzero(np.isin(d.hashes(0).view(np.int64), np.asarray(hashes, np.int64)))
                 fresh = np.r_[True, starts[1:] > starts[:-1] + window]
                 begins, ends = starts[fresh], (starts + window)[np.r_[fresh[1:], True]]
-                left = np.ones(len(codes), bool)
+                left = np.ones(len(d.codes), bool)
                 for a, b in zip(begins, ends, strict=True):
                     left[a:b] = False
-                kept = " ".join(np.array(vocabulary.to_pylist(), object)[codes[left]].tolist())
+                kept = " ".join(np.array(d.vocabulary.to_pylist(), object)[d.codes[left]].tolist())
                 spans = [{"start": int(a), "stop": int(b)} for a, b in zip(begins, ends, strict=True)]
                 out.append((int((~left).sum()), hashlib.sha256(kept.encode()).hexdigest(), kept, spans))
             columns = ["n_removed", "kept_sha256", "kept_text", "removed"]
