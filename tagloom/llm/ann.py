@@ -25,7 +25,7 @@ from .common import keep
 #: Vectors the tree is fitted on at most, vectors of that sample in a leaf, and branches of a node.
 SAMPLE, LEAF, BRANCHES = 20_000, 50, 8
 #: Vectors that visits are calibrated on at most, and the share of their neighbours to be met.
-CALIBRATION, RECALL = 200, 0.96
+CALIBRATION, RECALL = 200, 0.98
 #: Groups of leaves, and rows and queries of a block at most, about.
 GROUPS, BLOCK_ROWS, BLOCK_QUERIES = 64, 20_000, 4_000
 
