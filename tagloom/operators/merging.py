@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import DEFAULT_TAGSET
-from .documents import merge_documents, with_chunk_index
+from .documents import merge_documents
 from .selecting import drop_tagsets, rename_tagset
 
 
 def merge_splits(splits: list[tuple[dict, DataFrame]], tagset_of: dict[str, str] | None = None, merge: bool = False) -> DataFrame:
     """Rows of all splits with dataset, subset (joined by /), split and language. tagset_of None drops all labels; a dataset with
-    several tagsets needs a choice. Columns that a split lacks are null. With merge, a row is a whole document, without tokens."""
+    several tagsets needs a choice. Columns that a split lacks are null. With merge, a row is a whole document, without tokens; documents of a
+    split are numbered from 0 without gaps, so their number is the chunk's."""
     out = []
     for entry, rows in splits:
         tagsets = list(entry["tagsets"])
@@ -28,7 +29,7 @@ def merge_splits(splits: list[tuple[dict, DataFrame]], tagset_of: dict[str, str]
         elif tagsets and tagsets[0] != DEFAULT_TAGSET:
             rows = rename_tagset(rows, tagsets[0])
         if merge:
-            rows = with_chunk_index(merge_documents(rows)).drop("document_index")
+            rows = merge_documents(rows).withColumnRenamed("document_index", "chunk_index")
         else:
             for name in ("tokens", *([f"{DEFAULT_TAGSET}_iob"] if tagset_of is not None else [])):
                 if name not in rows.columns:

@@ -178,7 +178,7 @@ def _metadata(spark: Any, state: State, options: dict[str, Any]) -> None:
     out = Path(options["output"], name)
     splits, union = {}, None
     for split in split_order(state.rows):
-        rows = with_ids(state.rows[split], name, subset, split, ["source", "document"])
+        rows = with_ids(state.rows[split], name, subset, split)
         if "sequence_type" not in rows.columns:
             rows = rows.withColumn("sequence_type", F.lit(SEQUENCE_TYPES["sentence"]).cast("smallint"))
         tagsets = sorted(tagsets_of(rows.schema))

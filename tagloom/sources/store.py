@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from dataclasses import asdict, dataclass, field
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ids import sequence_id
@@ -128,17 +128,20 @@ def catalog(spark: SparkSession, folder: str | Path) -> DataFrame:
     return spark.createDataFrame([e for _, _, e in _entries(folder)], schema)
 
 
-def with_ids(rows: DataFrame, dataset: str, subset: str, split: str, order: list[str | Column]) -> DataFrame:
-    """Numbers documents by an order that rows of one document share (order), and gives each row its id.
+def with_ids(rows: DataFrame, dataset: str, subset: str, split: str, source: str = "source", document: str = "document") -> DataFrame:
+    """Numbers documents from 0 by their source and place there, and gives each row its id. rows: document_position too.
 
-    rows: document_position, and the columns of order, which tell documents apart.
+    Documents are numbered within their source, side by side; only one row per source, its number of documents, meets in one
+    task to give each source its first number.
     """
     from pyspark.sql import Window as W
 
-    keys = rows.select(*order).distinct()
-    # One row per document goes to one task here; sources of many files are numbered file by file before they come here.
-    numbered = keys.withColumn("document_index", F.row_number().over(W.orderBy(*order)).cast("long") - 1)
-    rows = rows.join(numbered, [c for c in order if isinstance(c, str)])
+    keys = rows.select(source, document).distinct()
+    inside = keys.withColumn("_n", F.row_number().over(W.partitionBy(source).orderBy(document)).cast("long") - 1)
+    before = F.sum("_many").over(W.orderBy(source).rowsBetween(W.unboundedPreceding, -1))
+    first = keys.groupBy(source).agg(F.count("*").alias("_many")).select(source, F.coalesce(before, F.lit(0)).alias("_first"))
+    numbered = inside.join(first, source).select(source, document, (F.col("_first") + F.col("_n")).alias("document_index"))
+    rows = rows.join(numbered, [source, document])
     id_ = sequence_id(F.lit(dataset), F.lit(subset), F.lit(split), F.col("document_index"), F.col("document_position"))
     return rows.withColumn("sequence_id", id_)
 
