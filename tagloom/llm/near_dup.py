@@ -32,7 +32,9 @@ HEAVY, HEAVY_KNOWN = 48, 1 << 18
 #: A bucket of more members is weighed in blocks of so many.
 SMALL_BUCKET, BLOCK = 24, 1500
 #: Into so many parts grams are dealt by hash; what two sets have of each part bounds what they share.
-PARTS = 128
+PARTS, COARSE = 512, 128
+#: Bytes of text, and rows, of one step.
+STEP, ROWS = 2 << 20, 2048
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 Sets = tuple[np.ndarray, np.ndarray]
 
@@ -90,7 +92,7 @@ def _lists(values: np.ndarray, size: np.ndarray) -> pa.Array:
 
 
 def _early(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
-    for batch in steps(batches, "text"):
+    for batch in steps(batches, "text", STEP, ROWS):
         values, bounds = shingle_sets(batch.column("text"), width)
         n = np.diff(bounds)
         p = prefix_size(n, percent)
@@ -100,7 +102,7 @@ def _early(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Itera
 
 def _signed(batches: Iterator[pa.RecordBatch], heavy, width: int, percent: int) -> Iterator[pa.RecordBatch]:
     known, weight = heavy.value
-    for batch in steps(batches, "text"):
+    for batch in steps(batches, "text", STEP, ROWS):
         values, bounds = shingle_sets(batch.column("text"), width)
         n = np.diff(bounds)
         s1, s2 = digests(values, bounds)
@@ -116,8 +118,8 @@ def _signed(batches: Iterator[pa.RecordBatch], heavy, width: int, percent: int)
             mask = np.isin(owner, moved)
             place = np.flatnonzero(mask)
             values[place] = values[place[np.lexsort((values[place], rank[place], owner[place]))]]
-        held = np.bincount(owner * PARTS + (values >> np.uint64(57)).astype(np.int64), minlength=len(n) * PARTS).reshape(-1, PARTS)
-        parts = np.minimum(held, 65535).astype("<u2")
+        held = np.bincount(owner * PARTS + (values >> np.uint64(55)).astype(np.int64), minlength=len(n) * PARTS).reshape(-1, PARTS)
+        parts = np.minimum(held, 255).astype(np.uint8)
         size = np.where(n > 0, prefix_size(n, percent), 0)
         head = values[_first(bounds, size)]
         p1, p2 = digests(head, np.r_[0, np.cumsum(size)])
@@ -147,10 +149,10 @@ def _live(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]
 def _bounded(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs that may share enough: of each part, two sets share no more than the smaller number they have of it."""
     for batch in batches:
-        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, PARTS).astype(np.int64) for c in ("px", "py"))
+        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, PARTS) for c in ("px", "py"))
         n, m = batch.column("nx").to_numpy(), batch.column("ny").to_numpy()
-        most = np.minimum(a, b).sum(1)
-        full = (a == 65535).any(1) | (b == 65535).any(1)
+        most = np.minimum(a, b).sum(1, dtype=np.int64)
+        full = (a == 255).any(1) | (b == 255).any(1)  # as many or more
         yield batch.filter(pa.array(full | ((100 + percent) * most >= percent * (n + m)))).select(["x", "y"])
 
 
@@ -158,7 +160,7 @@ def _sets_of(batches: Iterator[pa.RecordBatch], wanted, width: int) -> Iterator[
     bits = np.frombuffer(wanted.value, np.uint8)
     for batch in batches:
         batch = batch.filter(pa.array(may_contain(bits, batch.column("key").to_numpy())))
-        for part in steps([batch], "text"):
+        for part in steps([batch], "text", STEP, ROWS):
             values, bounds = shingle_sets(part.column("text"), width)
             s1, s2 = digests(values, bounds)
             yield pa.RecordBatch.from_arrays(
@@ -337,8 +339,9 @@ class _Join:
         def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
             first, second = (rows[rows["own"] == k].sort_values("node") for k in key[1:])
             n, at, label, node = (second[c].to_numpy(np.int64) for c in ("n", "at", "label", "node"))
-            parts = np.frombuffer(b"".join(second["parts"]), "<u2").reshape(-1, PARTS)
-            full = (parts == 65535).any(1)
+            parts = np.frombuffer(b"".join(second["parts"]), np.uint8).reshape(-1, PARTS)
+            rough = parts.reshape(-1, COARSE, PARTS // COARSE).sum(2, dtype=np.uint16)
+            full = (parts == 255).any(1)
             out_x, out_y = [], []
             for one in first.itertuples(index=False):
                 need = percent * (n + one.n)
@@ -349,9 +352,13 @@ class _Join:
                 place = np.flatnonzero(near)
                 if not len(place):
                     continue
-                own = np.frombuffer(one.parts, "<u2")
+                own = np.frombuffer(one.parts, np.uint8)
+                any_full = full[place] | (own == 255).any()
+                most = np.minimum(rough[place], own.reshape(COARSE, -1).sum(1, dtype=np.uint16)).sum(1, dtype=np.int64)
+                good = any_full | ((100 + percent) * most >= need[place])
+                place, any_full = place[good], any_full[good]
                 most = np.minimum(parts[place], own).sum(1, dtype=np.int64)
-                fits = place[full[place] | (own == 65535).any() | ((100 + percent) * most >= need[place])]
+                fits = place[any_full | ((100 + percent) * most >= need[place])]
                 out_x.append(np.full(len(fits), one.node))
                 out_y.append(node[fits])
             none = np.empty(0, np.int64)
