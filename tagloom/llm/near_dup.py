@@ -4,9 +4,9 @@ A document's set holds the hashes of its n-grams. Equal sets become one class at
 ones first, two similar sets share an n-gram of their prefixes. Classes with the same prefix and size form one group; the
 index holds groups, pairs of groups are filtered by length and position, then expanded to their members and verified in full.
 
-The result is the components of links, so pairs within a component needn't all be compared. Each bucket of the index first
-compares its groups with a few of its members, those with most frequent n-grams or drawn by hash (`STARS`), which ties large
-groups of near copies together in linear time. Then every remaining pair that may be similar and isn't yet in one component is
+The result is the components of links, so pairs within a component needn't all be compared. Each group is first
+compared with one member of each of a few of its buckets (`STARS`), that with most frequent n-grams or one drawn by hash, which
+ties large groups of near copies together in linear time. Then every remaining pair that may be similar and isn't yet in one component is
 compared: no link between components is lost, and no copies are expanded into all pairs. Pairs of a large bucket are weighed
 in blocks of bounded size, by what both sets hold of each part of the n-grams, and only those that may link leave the block.
 """
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import discard, dropping_shuffles, hash_words, keep, may_contain, membership, mixed, most_frequent, split_words, spread, steps, text_or_empty
 
 SHINGLE, PERCENT = 4, 85
-#: How many members of a bucket the others are compared with at first.
+#: In how many of its buckets a group is compared with one member at first.
 STARS = 6
 #: n-grams in so many prefixes go to the end of the order, by their number; so many of them are known to all tasks at most.
 HEAVY, HEAVY_KNOWN = 48, 1 << 18
@@ -139,7 +139,10 @@ def _live(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]
         at = np.arange(len(values)) - np.repeat(bounds[:-1], np.diff(bounds))
         live = may_contain(bits, values)
         new = np.r_[0, np.cumsum(live)][bounds].astype(np.int32)
-        rows = pa.StructArray.from_arrays([pa.array(values[live]), pa.array(at[live].astype(np.int32))], ["gram", "at"])
+        nth = np.arange(new[-1], dtype=np.int32) - np.repeat(new[:-1], np.diff(new))
+        rows = pa.StructArray.from_arrays(
+            [pa.array(values[live]), pa.array(at[live].astype(np.int32)), pa.array(nth)], ["gram", "at", "nth"]
+        )
         yield pa.RecordBatch.from_arrays(
             [*(batch.column(c) for c in ("gid", "n", "often")), pa.ListArray.from_arrays(pa.array(new), rows)],
             ["gid", "n", "often", "grams"],
@@ -213,7 +216,7 @@ class _Join:
         return known[order], np.log2(np.maximum(1, top["n"].to_numpy(float))).astype(np.uint8)[order]
 
     def index(self) -> None:
-        """Tables: rows (id, text_key, n, s1, s2), members (node, gid, n, low, s1, s2, parts), postings (gram, at, gid, n, often)."""
+        """Tables: rows (id, text_key, n, s1, s2), members (node, gid, n, low, s1, s2, parts), postings (gram, at, nth, gid, n, often)."""
         signed = keep(
             self.docs.withColumn("text_key", F.xxhash64("text")).mapInArrow(
                 partial(_signed, heavy=self.share(self.heavy()), width=self.width, percent=self.percent),
@@ -235,7 +238,7 @@ class _Join:
         grams = groups.select(F.explode("prefix").alias("gram")).groupBy("gram").agg(F.count("*").alias("c")).where("c > 1")
         several = self.share(membership(grams, "gram"))
         live = groups.select("gid", "n", "often", "prefix").mapInArrow(
-            partial(_live, shared=several), "gid long, n long, often long, grams array<struct<gram: long, at: int>>"
+            partial(_live, shared=several), "gid long, n long, often long, grams array<struct<gram: long, at: int, nth: int>>"
         )
         self.postings = keep(live.select("gid", "n", "often", F.inline("grams")), "postings")
         discard(classes, groups)
@@ -251,16 +254,17 @@ class _Join:
         return (100 * F.least(n, m) >= p * F.greatest(n, m)) & ((100 + p) * most >= p * (n + m))
 
     def stars(self) -> DataFrame:
-        """Pairs of groups (a, b): each group with its buckets' centres."""
+        """Pairs of groups (a, b): each group with the centres of its first STARS buckets."""
+        postings = self.postings.where(F.col("nth") < STARS)
         turn = F.pmod(F.col("gram"), F.lit(STARS))
         chance = F.xxhash64("gid", turn)
         # A text with most frequent n-grams is nearest to the others of its kind.
         first = F.when(turn % 2 == 0, -F.col("often") / F.col("n")).otherwise(chance / F.lit(float(1 << 63)))
         drawn = F.struct(first.alias("f"), chance.alias("h"), "gid", "n", "at")
         # Numbers of members first: postings let through by the filter alone have no partner.
-        centres = self.postings.groupBy("gram").agg(F.min(drawn).alias("c"), F.count("*").alias("k")).where("k > 1")
+        centres = postings.groupBy("gram").agg(F.min(drawn).alias("c"), F.count("*").alias("k")).where("k > 1")
         centres = centres.select("gram", F.col("c.gid").alias("gid"), F.col("c.n").alias("n"), F.col("c.at").alias("at"))
-        a, b = centres.alias("a"), self.postings.alias("b")
+        a, b = centres.alias("a"), postings.alias("b")
         met = a.join(b, (F.col("a.gram") == F.col("b.gram")) & (F.col("a.gid") != F.col("b.gid")) & self.possible("a", "b"))
         return met.select(F.col("a.gid").alias("a"), F.col("b.gid").alias("b")).distinct()
 
