@@ -331,13 +331,15 @@ class _Join:
 
     def weighed(self, posted: DataFrame, held: DataFrame) -> DataFrame:
         """Pairs (x, y) of large buckets, of different components, that may link. Members are dealt into blocks, and each pair of
-        blocks is one group of 2 * BLOCK rows or so."""
+        blocks is one group of 2 * BLOCK rows or so. A pair leaves only the first of the large buckets that it shares."""
+        order = F.sort_array(F.collect_list(F.struct("at", "gram")))
+        lists = posted.groupBy("gid").agg(F.transform(order, lambda x: x["gram"]).alias("grams"))
         rows = posted.select("gram", "at", "gid", "n", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks"))
-        rows = rows.join(held, "gid").join(self.members.select("node", "parts"), "node")
+        rows = rows.join(lists, "gid").join(held, "gid").join(self.members.select("node", "parts"), "node")
         own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
         rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         rows = rows.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
-        rows = rows.select("gram", "i", "j", "own", "node", "n", "at", "label", "parts")
+        rows = rows.select("gram", "i", "j", "own", "node", "n", "at", "label", "parts", "grams")
         percent = self.percent
 
         def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -346,6 +348,7 @@ class _Join:
             parts = np.frombuffer(b"".join(second["parts"]), np.uint8).reshape(-1, PARTS)
             rough = parts.reshape(-1, COARSE, PARTS // COARSE).sum(2, dtype=np.uint16)
             full = (parts == 255).any(1)
+            held = [frozenset(g.tolist()) for g in second["grams"]]
             out_x, out_y = [], []
             for one in first.itertuples(index=False):
                 need = percent * (n + one.n)
@@ -363,6 +366,9 @@ class _Join:
                 place, any_full = place[good], any_full[good]
                 most = np.minimum(parts[place], own).sum(1, dtype=np.int64)
                 fits = place[any_full | ((100 + percent) * most >= need[place])]
+                grams = one.grams.tolist()
+                first_shared = (next(g for g in grams if g in held[i]) == key[0] for i in fits.tolist())
+                fits = fits[np.fromiter(first_shared, bool, len(fits))]
                 out_x.append(np.full(len(fits), one.node))
                 out_y.append(node[fits])
             none = np.empty(0, np.int64)
