@@ -199,6 +199,23 @@ def test_state_is_carried_through_whole_texts(monkeypatch):
         assert recurrent_lm.log_likelihoods(m.weights, np.concatenate(codes), bounds) == pytest.approx(want, rel=1e-4)
 
 
+def test_training_uses_every_word_of_every_document(spark, monkeypatch):
+    m = tiny_model()
+    texts = [" ".join("ab"[i % 2] for i in range(n)) for n in (1, 40, 700, 5)]
+    docs = spark.createDataFrame([*enumerate(texts), (9, "")], "id long, text string")
+    got = sorted(len(r.codes) for r in recurrent_lm.sequences(docs, m).collect())
+    assert got == sorted([len(t.split()) + 2 for t in texts] + [2])  # the start, the words, the end
+    r, seen = np.random.default_rng(4), []
+    plain = recurrent_lm.gradients
+    monkeypatch.setattr(recurrent_lm, "gradients", lambda w, x, y, fresh, h: seen.append((x, y)) or plain(w, x, y, fresh, h))
+    codes = [np.r_[17, r.integers(0, 17, size)] for size in (5, 3000, 1, 700)]
+    recurrent_lm.train_shard(m.weights, codes, 1, 0.01, 0)
+    pairs = lambda x, y: Counter(zip(x.tolist(), y.tolist(), strict=True))
+    want = sum((pairs(c[:-1], c[1:]) for c in codes), Counter())
+    had = sum((pairs(x.reshape(-1), y.reshape(-1)) for x, y in seen), Counter())
+    assert had >= want and len(seen) == math.ceil(3706 / (recurrent_lm.BACK * recurrent_lm.STREAMS))
+
+
 def test_gradients_against_differences():
     m = tiny_model()
     w = {k: v.astype(np.float64) for k, v in m.weights.items()}
