@@ -2,11 +2,12 @@
 
 A classifier learnt from the labelled table gives each document a posterior over domains (quality x toxic). Document rates r,
 no smaller than a floor, are fitted so that the expected tokens of each domain, the sum of posterior * tokens * rate, come
-near their targets: projected gradient on the sum of squared differences, each divided by the domain's tokens at rate 1. In
-that scale, and with tokens as the metric of rates, the largest curvature is 1, so a step of 1 is safe.
+near their targets: the least sum of squared differences, each divided by the domain's tokens at rate 1, and of PULL times
+the tokens-weighted squares of rate - 1, which chooses among rates that meet the targets alike.
 
-A step needs one vector over domains from all documents. A document's rate follows from the vectors of all steps so far and
-its own posterior, so a step is one aggregation over a small table: rates are never stored, shuffled or collected.
+Projected gradient rests where rate = max(floor, 1 - posterior . pull) for one vector over domains; Newton's steps on that
+vector find it. A step is one aggregation over a small table: rates are never stored, shuffled or collected, and all
+documents count in each step. Steps go on until the vector agrees with the tokens it gives.
 """
 
 from __future__ import annotations
@@ -27,7 +28,8 @@ DOMAINS = ("low", "low_toxic", "high", "high_toxic")
 #: Labelled rows the classifier is fitted on at most, those of the smallest hashes.
 SAMPLE = 4000
 BUCKETS, EXTRA = 2048, 8
-STEPS, TOLERANCE = 24, 1e-3
+#: Steps at most; the share of all tokens by which totals may be off where steps end; the weight of keeping rates at 1.
+STEPS, TOLERANCE, PULL = 100, 1e-5, 1e-4
 #: Rows whose features are held at once.
 ROWS = 256
 WEIGHTS = {"low": 0.15, "low_toxic": 0.0, "high": 0.85, "high_toxic": 0.0}
@@ -129,42 +131,76 @@ def memberships(docs: DataFrame, model: Classifier) -> DataFrame:
     return docs.select("id", "text", "text_key").mapInArrow(run, schema)
 
 
-def rate_column(moves: list[np.ndarray], floor: float) -> Column:
-    """The rate after all steps: max(floor, rate - posterior . move), from rate 1."""
-    rate = F.greatest(F.lit(1.0), F.lit(float(floor)))
-    for move in moves:
-        down = sum((F.col("p")[k] * F.lit(float(m)) for k, m in enumerate(move)), F.lit(0.0))
-        rate = F.greatest(F.lit(float(floor)), rate - down)
-    return rate
+def rate_column(pull: np.ndarray, floor: float) -> Column:
+    """max(floor, 1 - posterior . pull)."""
+    down = sum((F.col("p")[k] * F.lit(float(m)) for k, m in enumerate(pull)), F.lit(0.0))
+    return F.greatest(F.lit(float(floor)), F.lit(1.0) - down)
 
 
-def rates(moves: list[np.ndarray], p: np.ndarray, floor: float) -> np.ndarray:
-    rate = np.full(len(p), max(1.0, float(floor)))
-    for move in moves:
-        rate = np.maximum(float(floor), rate - p @ move)
-    return rate
+def rates(pull: np.ndarray, p: np.ndarray, floor: float) -> np.ndarray:
+    return np.maximum(float(floor), 1.0 - p @ pull)
 
 
-def fit_moves(members: DataFrame, weights: dict[str, float], growth: float, floor: float, steps_: int = STEPS) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """The vectors of all steps, the targets, and the expected tokens reached. One aggregation a step; one row comes back."""
-    k = len(DOMAINS)
-    sums = lambda rate: [F.sum(F.col("p")[i] * F.col("n_tokens") * rate).alias(f"s{i}") for i in range(k)]
-    got = members.agg(*sums(F.lit(1.0))).first()
-    plain = np.array([v or 0.0 for v in got])
+def totals(members: DataFrame, pull: np.ndarray, floor: float) -> tuple[np.ndarray, np.ndarray, float]:
+    """Expected tokens by domain at the rates of a vector, minus their derivative by it, and the sum they are the slope of."""
+    k, free = len(DOMAINS), F.col("rate") > floor
+    of = [F.col("p")[i] * F.col("n_tokens") for i in range(k)]
+    height = F.col("n_tokens") * F.when(free, F.col("rate") ** 2 / 2).otherwise(F.lit(floor) * F.col("plain") - F.lit(floor * floor / 2))
+    rows = members.select("p", "n_tokens", rate_column(pull, floor).alias("rate"), rate_column(pull, -1e300).alias("plain"))
+    got = rows.agg(
+        *(F.sum(v * F.col("rate")) for v in of),
+        *(F.sum(F.when(free, v * F.col("p")[j]).otherwise(0.0)) for v in of for j in range(k)),
+        F.sum(height),
+    ).first()
+    sums = np.array([v or 0.0 for v in got])
+    return sums[:k], sums[k:-1].reshape(k, k), float(sums[-1])
+
+
+def solve(members: DataFrame, target: np.ndarray, plain: np.ndarray, floor: float, pull: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The vector at rest for these targets, from a first guess, by Newton's steps, halved where they lead up; the tokens reached."""
+    hold = PULL * np.maximum(plain, 1e-9 * max(1.0, plain.sum()))
+    height = lambda v, found: found[2] + target @ v + hold @ (v * v) / 2
+    found = totals(members, pull, floor)
+    for _ in range(STEPS):
+        slope = target - found[0] + hold * pull
+        if np.abs(slope).max() <= TOLERANCE * max(1.0, plain.sum()):
+            break
+        way, size = -np.linalg.solve(found[1] + np.diag(hold), slope), 1.0
+        while True:
+            next_ = totals(members, pull + size * way, floor)
+            if height(pull + size * way, next_) <= height(pull, found) + 1e-4 * size * (slope @ way) or size < 1e-6:
+                break
+            size /= 2
+        pull, found = pull + size * way, next_
+    return pull, found[0]
+
+
+def fit_rates(members: DataFrame, weights: dict[str, float], growth: float | None, floor: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The vector that gives the rates, the targets, and the expected tokens reached. One row comes back a step.
+
+    Without a growth it is the least at which no domain with a target has more tokens than its share of the mix; where
+    repeated documents bring tokens of such a domain along, it rises until the shares are met or come no closer.
+    Domains without a share then have the tokens that the least rate leaves them as their target, as no rates reach fewer.
+    """
+    floor = float(floor)
+    plain, _, _ = totals(members, np.zeros(len(DOMAINS)), 0.0)
     share = np.array([weights[d] for d in DOMAINS], float)
-    target = share / share.sum() * plain.sum() * growth
-    moves: list[np.ndarray] = []
-    reached = np.array([v or 0.0 for v in members.agg(*sums(rate_column([], floor))).first()])
-    scale = np.maximum(plain, 1e-9)
-    last = np.inf
-    for _ in range(steps_):
-        loss = float(((reached - target) ** 2 / scale).sum())
-        if loss >= last * (1 - TOLERANCE):
+    share /= share.sum()
+    wanted = share > 0
+    if not plain.sum():
+        return np.zeros(len(share)), plain, plain
+    apart = np.where(wanted, 0.0, plain * floor)
+    least = lambda tokens: share * float((tokens[wanted] / share[wanted]).max()) + apart
+    off = lambda tokens: float(np.abs(tokens[wanted] / tokens[wanted].sum() - share[wanted]).max())
+    target = least(plain * max(1.0, floor)) if growth is None else share * plain.sum() * growth
+    pull, reached = solve(members, target, plain, floor, np.zeros(len(share)))
+    while growth is None and off(reached) > 100 * TOLERANCE:
+        higher = least(reached)
+        more, found = solve(members, higher, plain, floor, pull)
+        if off(found) > 0.9 * off(reached):
             break
-        last = loss
-        moves.append((reached - target) / scale)
-        reached = np.array([v or 0.0 for v in members.agg(*sums(rate_column(moves, floor))).first()])
-    return moves, target, reached
+        pull, target, reached = more, higher, found
+    return pull, target, reached
 
 
 def _draw(rate: Column) -> Column:
@@ -177,14 +213,15 @@ def mix(
     docs: DataFrame,
     labels: DataFrame,
     weights: dict[str, float] | None = None,
-    growth: float = 1.0,
+    growth: float | None = 1.0,
     floor: float = 0.0,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """One row per input row: id, n_tokens, the posterior of each domain, rate, copies.
 
-    weights: share of each domain in the mix; growth: tokens of the mix for each token of the input; floor: the least rate.
+    weights: share of each domain in the mix; growth: tokens of the mix for each token of the input, or None for
+    as many as the shares need (see fit_rates); floor: the least rate.
     Null and empty texts have no tokens; their posteriors come from that. Rows that share an id have rates of their own. A
     null id is kept as it is. Without labels all posteriors are alike. Other columns aren't read. An empty table gives an
     empty result.
@@ -192,8 +229,8 @@ def mix(
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     model = learn(rows, labels.withColumnRenamed(id_col, "id").select("id", "quality", "toxic"))
     members = keep(memberships(rows.withColumn("text_key", F.xxhash64("text")), model), "memberships")
-    moves, _, _ = fit_moves(members, weights or WEIGHTS, growth, floor)
-    found = members.withColumn("rate", rate_column(moves, floor))
+    pull, _, _ = fit_rates(members, weights or WEIGHTS, growth, floor)
+    found = members.withColumn("rate", rate_column(pull, floor))
     return found.select(
         F.col("id").alias(id_col),
         "n_tokens",
@@ -207,7 +244,7 @@ def mixed_documents(
     docs: DataFrame,
     labels: DataFrame,
     weights: dict[str, float] | None = None,
-    growth: float = 1.0,
+    growth: float | None = 1.0,
     floor: float = 0.0,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -217,15 +254,17 @@ def mixed_documents(
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     model = learn(rows, labels.withColumnRenamed(id_col, "id").select("id", "quality", "toxic"))
     members = keep(memberships(rows.withColumn("text_key", F.xxhash64("text")), model), "memberships")
-    moves, _, _ = fit_moves(members, weights or WEIGHTS, growth, floor)
+    pull, _, _ = fit_rates(members, weights or WEIGHTS, growth, floor)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     chance = F.xxhash64(F.col(id_col), F.xxhash64(text_or_empty(text_col))).bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, text_col, rows=ROWS):
             x, _ = features(batch.column(text_col))
-            copies = np.floor(rates(moves, posteriors(shared.value, x), floor) + batch.column("_chance").to_numpy()).astype(np.int64)
-            yield batch.select(names).take(pa.array(np.repeat(np.arange(len(copies)), copies)))
+            copies = np.floor(rates(pull, posteriors(shared.value, x), floor) + batch.column("_chance").to_numpy()).astype(np.int64)
+            rows = np.repeat(np.arange(len(copies)), copies)
+            for at in range(0, len(rows), ROWS):
+                yield batch.select(names).take(pa.array(rows[at : at + ROWS]))
 
     return docs.select(*names, chance.alias("_chance")).mapInArrow(run, schema)
 

@@ -282,6 +282,31 @@ def test_rates_against_plain_projected_gradient(spark):
     assert loss(got["rate"].to_numpy()) <= loss(rate) + 0.02 * (loss(np.ones(len(n))) - loss(rate))
 
 
+@pytest.mark.parametrize("floor", [0.0, 1.0])
+def test_steps_end_at_the_optimum(spark, floor):
+    rows, labels = mixing_rows(200, 9)
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = mixing.mix(spark.createDataFrame(rows, SCHEMA), table, floor=floor).toPandas()
+    p, n, r = got[[f"p_{d}" for d in mixing.DOMAINS]].to_numpy(), got["n_tokens"].to_numpy(float), got["rate"].to_numpy()
+    scale, target = n @ p, np.array([mixing.WEIGHTS[d] for d in mixing.DOMAINS]) * n.sum()
+    moved = np.maximum(floor, r - p @ (((n * r) @ p - target) / scale)) - r
+    assert np.sqrt(n @ moved**2 / n.sum()) < 1e-3
+
+
+def test_growth_that_the_shares_need(spark):
+    r = np.random.default_rng(2)
+    p, n = r.dirichlet([0.1, 0.01, 0.6, 0.01], 1000), r.integers(1, 500, 1000)
+    members = spark.createDataFrame([(v.tolist(), int(k)) for v, k in zip(p, n, strict=True)], "p array<double>, n_tokens long")
+    weights = dict(zip(mixing.DOMAINS, [0.3, 0.0, 0.7, 0.0], strict=True))
+    pull, _, reached = mixing.fit_rates(members, weights, None, 1.0)
+    _, _, fixed = mixing.fit_rates(members, weights, 1.0, 1.0)
+    of = lambda v: v[[0, 2]] / v[[0, 2]].sum()
+    assert of(n @ p)[0] < 0.2 and of(fixed)[0] < 0.29
+    assert of(reached) == pytest.approx([0.3, 0.7], abs=0.002)
+    rate = mixing.rates(pull, p, 1.0)
+    assert rate.min() >= 1 and (n * rate) @ p == pytest.approx(reached)
+
+
 def test_mixed_documents_repeat_as_copies_say(spark):
     rows, labels = mixing_rows(200)
     table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
