@@ -12,9 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tagloom.llm import exact_dedup, mixing, near_dup, packing, toxicity
 from tagloom.llm.common import keep
 
-#: Shares of the mix, and its tokens for each token that reaches it.
+#: Shares of the mix. Its size follows from them: no document is left out, so it grows until each domain has its share.
 MIX = {"low": 0.3, "low_toxic": 0.0, "high": 0.7, "high_toxic": 0.0}
-GROWTH = 1.0
 #: Words of a shingle, and the similarity in percent, of near-duplicates.
 SHINGLE, PERCENT = 5, 80
 
@@ -36,7 +35,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are repeated by their fitted rates."""
-    return mixing.mixed_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), MIX, GROWTH, floor=1.0)
+    return mixing.mixed_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), MIX, growth=None, floor=1.0)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from tagloom.llm.common import keep
 
 from .fixtures import SCHEMA, SEP, empty_docs, odd_rows
 from .test_duplicates import brute_components, family
-from .test_models import toxic_rows
+from .test_models import mixing_rows, toxic_rows
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -95,3 +95,17 @@ def test_queries_against_sql(spark, name):
     plain = lambda f: sorted(map(repr, f[sorted(f.columns)].astype(object).where(f[sorted(f.columns)].notna(), None).map(lambda v: float(v) if isinstance(v, int | float) else v).itertuples(index=False, name=None)))
     assert plain(got) == plain(want)
     assert exact_dedup.SALTS > 1
+
+
+def test_mix_reaches_its_shares(spark, tmp_path):
+    rows, labels = mixing_rows(400, 5)
+    docs = spark.createDataFrame([r for r, (_, _, t) in zip(rows, labels, strict=True) if not t and (labels[r[0]][1] or r[0] % 4 == 0)], SCHEMA)
+    spark.createDataFrame(labels, LABELS).write.parquet(f"{tmp_path}/labels.parquet")
+    tokens = Counter()
+    for r in corpus_pipeline.mix(spark, docs, str(tmp_path)).collect():
+        tokens["high" if labels[r.doc_id][1] else "low"] += len(r.text.split())
+    before = Counter()
+    for r in docs.collect():
+        before["high" if labels[r.doc_id][1] else "low"] += len(r.text.split())
+    assert before["low"] / before.total() < 0.2
+    assert tokens["low"] / tokens.total() == pytest.approx(corpus_pipeline.MIX["low"], abs=0.03)
