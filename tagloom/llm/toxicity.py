@@ -7,7 +7,8 @@ text, and over its segments, so that an insult in a very long text isn't lost in
 that the counts haven't seen turns the differences into a score.
 
 Labelled texts are a sample with a bound for each class (`per_class`), those of the smallest hashes; the models thus have a
-bounded size. Every text is scored, and whole.
+bounded size. In the logistic fit a row stands for as many labels of its class as were drawn from, so that the score doesn't
+move with the bound. Every text is scored, and whole.
 """
 
 from __future__ import annotations
@@ -164,8 +165,9 @@ def features(model: Model, texts: pa.Array) -> np.ndarray:
     return out
 
 
-def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> np.ndarray:
-    """Weights and the constant, by Newton's steps; without examples of both classes the constant alone."""
+def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, stands_for: np.ndarray | None = None) -> np.ndarray:
+    """Weights and the constant, by Newton's steps; without examples of both classes the constant alone. stands_for: how
+    many labels each example stands for; only the proportions count."""
     x = np.c_[x, np.ones(len(x))]
     w = np.zeros(x.shape[1])
     if not len(y):
@@ -175,20 +177,25 @@ def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> np.ndarray:
         return w
     ridge = penalty * np.eye(len(w))
     ridge[-1, -1] = 1e-6
+    of = np.ones(len(y)) if stands_for is None else stands_for * (len(y) / stands_for.sum())
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + ridge, x.T @ (y - p) - ridge @ w)
+        step = np.linalg.solve(x.T @ (x * (of * p * (1 - p))[:, None]) + ridge, x.T @ (of * (y - p)) - ridge @ w)
         w = w + step
         if np.abs(step).max() < 1e-8:
             break
     return w
 
 
+def _usable(labels: DataFrame) -> DataFrame:
+    return labels.where("y in (0, 1) and id is not null").groupBy("id").agg(F.max("y").cast("int").alias("y"))
+
+
 def _labelled(docs: DataFrame, labels: DataFrame, per_class: int, salt: int) -> DataFrame:
     """text, y, fit of a bounded sample of labelled rows; docs and labels: id, as text or label."""
     from pyspark.sql import Window as W
 
-    rows = labels.where("y in (0, 1) and id is not null").groupBy("id").agg(F.max("y").cast("int").alias("y"))
+    rows = _usable(labels)
     nth = F.row_number().over(W.partitionBy("y").orderBy("h", "id"))
     # The window is over rows that the limits below have already cut to a few thousand.
     top = [rows.where(F.col("y") == c).withColumn("h", F.xxhash64("id", F.lit(salt))).orderBy("h", "id").limit(per_class) for c in (0, 1)]
@@ -260,7 +267,10 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, salt:
     schema = "y int, " + ", ".join(f"x{k} double" for k in range(FEATURES))
     rest = seen.where("not fit").select("text", "y").mapInArrow(examples, schema).toPandas()
     seen.unpersist()
-    weights = logistic(rest.drop(columns="y").to_numpy(float).reshape(-1, FEATURES), rest["y"].to_numpy(float))
+    many = {r.y: r.n for r in _usable(labels).groupBy("y").agg(F.count("*").alias("n")).collect()}
+    stands_for = np.array([many.get(y, 0) / max(1, min(many.get(y, 0), per_class)) for y in (0, 1)])
+    y = rest["y"].to_numpy(np.int64)
+    weights = logistic(rest.drop(columns="y").to_numpy(float).reshape(-1, FEATURES), y.astype(float), stands_for=stands_for[y])
     return model._replace(weights=weights)
 
 

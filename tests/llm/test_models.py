@@ -113,6 +113,22 @@ def test_toxicity_on_held_out_rows(spark):
     assert Counter(r.doc_id for r in left.collect()) == Counter(i for i, r in got.items() if not r.predicted)
 
 
+def test_bounded_sample_keeps_the_class_rates(spark, monkeypatch):
+    r = random.Random(6)
+    rows = [(i, " ".join(f"w{r.randrange(40)}" for _ in range(30)), int(i % 10 == 0)) for i in range(2000)]
+    docs = spark.createDataFrame([x[:2] for x in rows], "id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "id long, y int")
+    plain, asked = toxicity.logistic, []
+    monkeypatch.setattr(toxicity, "logistic", lambda x, y, *a, **k: asked.append((x, y, k)) or plain(x, y, *a, **k))
+    w = toxicity.train(docs, labels, 100).weights  # texts tell nothing, a tenth of the labels is toxic
+    x, y, _ = asked[0]
+    assert 0.4 < y.mean() < 0.6
+    p = 1 / (1 + np.exp(-(x @ w[:-1] + w[-1])))
+    assert p[y == 0].mean() < 0.2
+    even = plain(x, y)
+    assert (1 / (1 + np.exp(-(x @ even[:-1] + even[-1])))).mean() > 0.4
+
+
 def test_toxicity_without_labels_or_rows(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {r.score for r in toxicity.score(odd_docs(spark), none).collect()} == {0.5}
