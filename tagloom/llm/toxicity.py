@@ -23,11 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import crc_remainder, split_words, steps, text_or_empty
+from .common import crc_remainder, hash_words, keep, split_words, steps, text_or_empty
 
 PER_CLASS = 4000
-#: Words, bigrams and beginnings of words of a model at most, most frequent first; letters of a beginning.
-VOCABULARY, BIGRAMS, BEGINNINGS = 60_000, 200_000, 30_000
+#: Beginnings of words of a model at most, most frequent first; their letters. Words and bigrams of the sample are all kept.
+BEGINNINGS = 30_000
+#: Parts in which bigrams come to the driver.
+SLICES = 16
 LETTERS = 4
 SEGMENT = 16
 DISCOUNT = 0.75
@@ -49,11 +51,11 @@ def cleaned(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
 
 
 class Model(NamedTuple):
-    """place: number of each known word, from 1; begin: number of each beginning, which stands for all other words of it; 0
-    stands for the rest. word: log probability of each number by class; bigram: sorted keys, and log probability by class;
-    back: log of what a context leaves to its words, by class."""
+    """words: sorted hashes of the known words, whose numbers are 1 and on; begin: number of each beginning, which stands for
+    all other words of it; 0 stands for the rest. word: log probability of each number by class; keys: sorted, of bigrams, and
+    bigram: their log probability by class; back: log of what a context leaves to its words, by class."""
 
-    place: dict[str, int]
+    words: np.ndarray
     begin: dict[str, int]
     word: np.ndarray
     keys: np.ndarray
@@ -62,6 +64,18 @@ class Model(NamedTuple):
     weights: np.ndarray
 
 
+def hashed(words: list[str]) -> np.ndarray:
+    return hash_words(pa.array(words, pa.string())).view(np.int64)
+
+
+def numbers(known: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """The number of each known word, and 0 for others."""
+    if not len(known):
+        return np.zeros(len(hashes), np.int64)
+    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+    return np.where(known[at] == hashes, at + 1, 0)
+
+
 def _discounted(counts: np.ndarray, shared: np.ndarray) -> np.ndarray:
     """Kneser-Ney in one step: each class's counts less the discount, which goes to the shared distribution."""
     sums = np.maximum(counts.sum(1, keepdims=True), 1)
@@ -78,48 +92,53 @@ def fit_counts(
 ) -> Model:
     """words: count by class and word; bigrams: (class, first, second, count); before: number of different words before a word;
     begins: count by class and beginning, over all words."""
-    total, heads = {}, {}
-    for source, out in ((words, total), (begins, heads)):
-        for (_, w), n in source.items():
-            out[w] = out.get(w, 0) + n
-    known = sorted(total, key=lambda w: (-total[w], w))[:VOCABULARY]
-    place = {w: i + 1 for i, w in enumerate(known)}
-    begin = {h: len(known) + 1 + i for i, h in enumerate(sorted(heads, key=lambda h: (-heads[h], h))[:BEGINNINGS])}
-    size = 1 + len(known) + len(begin)
+    of = sorted({w for _, w in words} | set(before))
+    place = {w: i for i, w in enumerate(of)}
+    n, pairs = np.zeros((2, len(of)), np.int64), {}
+    for (c, w), k in words.items():
+        n[c, place[w]] += k
+    for c, v, w, k in bigrams:
+        pairs.setdefault((v, w), [0, 0])[c] += k
+    first, second = (hashed([p[i] for p in pairs]) for i in (0, 1))
+    ahead = np.array([before.get(w, 0) for w in of])
+    starts = {h: [begins.get((c, h), 0) for c in (0, 1)] for _, h in begins}
+    return fit_arrays(hashed(of), [w[:LETTERS] for w in of], n, ahead, first, second, np.array(list(pairs.values()), np.int64).reshape(-1, 2).T, starts)
+
+
+def fit_arrays(
+    hashes: np.ndarray, heads: list[str], n: np.ndarray, before: np.ndarray, first: np.ndarray, second: np.ndarray, pair: np.ndarray, starts: dict[str, list[int]]
+) -> Model:
+    """By word: hash, beginning, counts by class, number of different words before it. By bigram: hashes, counts by class.
+    starts: counts by class of beginnings."""
+    order = np.argsort(hashes)
+    hashes, n, before = hashes[order], n[:, order], before[order]
+    begin = {h: len(hashes) + 1 + i for i, h in enumerate(sorted(starts, key=lambda h: (-sum(starts[h]), h))[:BEGINNINGS])}
+    size = 1 + len(hashes) + len(begin)
     head = np.zeros(size, np.int64)  # of each number; 0 for the rest
-    for h, i in begin.items():
-        head[i] = i
-    for w, i in place.items():
-        head[i] = begin.get(w[:LETTERS], 0)
+    head[1 : len(hashes) + 1] = np.fromiter((begin.get(h, 0) for h in heads), np.int64, len(heads))[order]
+    head[len(hashes) + 1 :] = np.arange(len(hashes) + 1, size)
     counts, started, shared = np.zeros((2, size)), np.zeros((2, size)), np.ones(size)
-    for (c, w), n in words.items():
-        counts[c, place.get(w, begin.get(w[:LETTERS], 0))] += n
-    for (c, h), n in begins.items():
-        started[c, begin.get(h, 0)] += n
-    for w, n in before.items():
-        shared[place.get(w, begin.get(w[:LETTERS], 0))] += n
+    counts[:, 1 : len(hashes) + 1] = n
+    for h, ns in starts.items():
+        started[:, begin.get(h, 0)] += ns
+    shared[1 : len(hashes) + 1] += before
     mass = np.bincount(head, shared, size)
     of_head = _discounted(started, mass / mass.sum())  # 0 where no word has that number as its beginning
     word = _discounted(counts, of_head[:, head] * (shared / mass[head]))
-    of_pair: dict[int, list[int]] = {}
-    follow, held = np.zeros((2, size)), np.zeros((2, size))
-    for c, v, w, n in bigrams:
-        a, b = place.get(v), place.get(w)
-        if a and b:
-            of_pair.setdefault(a * size + b, [0, 0])[c] += n
-    for key, ns in of_pair.items():
-        for c, n in enumerate(ns):
-            follow[c, key // size] += n
-            held[c, key // size] += min(n, DISCOUNT)
-    # What isn't among the bigrams kept is left to the words: discounts are taken from the context's whole count.
-    whole = np.maximum(counts, np.maximum(follow, 1))
-    back = (whole - follow + held) / whole
-    keys = np.array(sorted(of_pair), np.int64)
-    pair = np.array([of_pair[k] for k in keys.tolist()], float).reshape(-1, 2).T
-    first, second = keys // size, keys % size
-    bigram = np.maximum(pair - DISCOUNT, 0) / whole[:, first] + back[:, first] * word[:, second]
-    log = np.log
-    return Model(place, begin, log(word), keys, log(bigram), log(np.maximum(back, 1e-12)), np.zeros(FEATURES + 1))
+    a, b = numbers(hashes, first), numbers(hashes, second)
+    keys = a * size + b
+    order = np.argsort(keys)
+    keys, a, b, pair = keys[order], a[order], b[order], pair[:, order]
+    whole, back = np.empty((2, size)), np.empty((2, size))
+    bigram = np.empty(pair.shape)
+    for c in (0, 1):
+        follow, held = np.bincount(a, pair[c], size), np.bincount(a, np.minimum(pair[c], DISCOUNT), size)
+        # Where a text ends nothing follows: discounts are taken from the context's whole count.
+        whole[c] = np.maximum(counts[c], np.maximum(follow, 1))
+        back[c] = (whole[c] - follow + held) / whole[c]
+        p = np.maximum(pair[c] - DISCOUNT, 0) / whole[c][a] + back[c][a] * word[c][b]
+        bigram[c] = np.log(p)
+    return Model(hashes, begin, np.log(word), keys, bigram, np.log(np.maximum(back, 1e-12)), np.zeros(FEATURES + 1))
 
 
 def features(model: Model, texts: pa.Array) -> np.ndarray:
@@ -129,9 +148,10 @@ def features(model: Model, texts: pa.Array) -> np.ndarray:
     n, out = len(offsets) - 1, np.zeros((len(offsets) - 1, FEATURES))
     if not len(codes):
         return out
-    place, begin = model.place, model.begin
-    number = (place[w] if w in place else begin.get(w[:LETTERS], 0) for w in vocabulary)
-    known = np.fromiter(number, np.int64, len(vocabulary))[codes]
+    number = numbers(model.words, hashed(vocabulary))
+    other = np.flatnonzero(number == 0)
+    number[other] = [model.begin.get(vocabulary[i][:LETTERS], 0) for i in other]
+    known = number[codes]
     size = model.word.shape[1]
     alone = model.word[1, known] - model.word[0, known]
     gain = alone.copy()
@@ -213,49 +233,54 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, salt:
             codes, offsets, vocabulary = cleaned(batch.column("text"))
             y = np.repeat(batch.column("y").to_numpy(), np.diff(offsets)).astype(np.int64)
             key, n = np.unique(y * len(vocabulary) + codes, return_counts=True) if len(codes) else (np.empty(0, np.int64),) * 2
-            named = pa.array(vocabulary, pa.string()).take(pa.array(key % max(1, len(vocabulary))))
+            word = key % max(1, len(vocabulary))
+            heads = pa.array([w[:LETTERS] for w in vocabulary], pa.string()).take(pa.array(word))
             yield pa.RecordBatch.from_arrays(
-                [pa.array((key // max(1, len(vocabulary))).astype(np.int32)), named, pa.array(n.astype(np.int64))], ["y", "word", "n"]
+                [pa.array((key // max(1, len(vocabulary))).astype(np.int32)), pa.array(hashed(vocabulary)[word]), heads, pa.array(n.astype(np.int64))],
+                ["y", "h", "head", "n"],
             )
 
+    by_class = [F.sum(F.when(F.col("y") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in (0, 1)]
     used = seen.where("fit").select("text", "y")
-    counted = used.mapInArrow(count_words, "y int, word string, n long").groupBy("y", "word").agg(F.sum("n").alias("n"))
-    often = counted.groupBy("word").agg(F.sum("n").alias("all")).where("all > 1").orderBy(F.desc("all"), "word").limit(VOCABULARY)
-    top = often.join(counted, "word").select("y", "word", "n").toPandas()
-    words = {(int(y), w): int(n) for y, w, n in top.itertuples(index=False)}
-    starts = counted.groupBy("y", F.substring("word", 1, LETTERS).alias("head")).agg(F.sum("n").alias("n"))
-    starts = starts.orderBy(F.desc("n"), "head", "y").limit(2 * BEGINNINGS).toPandas()
-    begins = {(int(y), h): int(n) for y, h, n in starts.itertuples(index=False)}
-    held = spark.sparkContext.broadcast(frozenset(top["word"]))
+    counted = used.mapInArrow(count_words, "y int, h long, head string, n long").groupBy("h", "head").agg(*by_class)
+    top = counted.toPandas()
+    starts = top.groupby("head", sort=False)[["n0", "n1"]].sum()
+    starts = dict(zip(starts.index, starts.to_numpy().tolist(), strict=True))
 
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "text"):
             codes, offsets, vocabulary = cleaned(batch.column("text"))
-            keep = np.fromiter((w in held.value for w in vocabulary), bool, len(vocabulary))
             y = np.repeat(batch.column("y").to_numpy(), np.diff(offsets)).astype(np.int64)
             inner = np.ones(len(codes), bool)
             inner[offsets[:-1][offsets[:-1] < len(codes)]] = False
             at = np.flatnonzero(inner)
-            at = at[keep[codes[at - 1]] & keep[codes[at]]]
             size = max(1, len(vocabulary))
             key, n = np.unique((y[at] * size + codes[at - 1]) * size + codes[at], return_counts=True)
-            names = pa.array(vocabulary, pa.string())
+            names = hashed(vocabulary)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array((key // size // size).astype(np.int32)),
-                    names.take(pa.array(key // size % size)),
-                    names.take(pa.array(key % size)),
+                    pa.array(names[key // size % size]),
+                    pa.array(names[key % size]),
                     pa.array(n.astype(np.int64)),
                 ],
                 ["y", "first", "second", "n"],
             )
 
-    pairs = used.mapInArrow(count_pairs, "y int, first string, second string, n long")
-    pairs = pairs.groupBy("y", "first", "second").agg(F.sum("n").alias("n"))
-    before = pairs.groupBy("second").agg(F.count_distinct("first").alias("n"))  # at most VOCABULARY rows
-    before = {r.second: r.n for r in before.toLocalIterator()}
-    often = pairs.where("n > 2").orderBy(F.desc("n"), "y", "first", "second").limit(BIGRAMS).toPandas()
-    model = fit_counts(words, [tuple(r) for r in often.itertuples(index=False)], before, begins)
+    pairs = used.mapInArrow(count_pairs, "y int, first long, second long, n long")
+    pairs = keep(pairs.groupBy("first", "second").agg(*(c.cast("int").alias(f"n{i}") for i, c in enumerate(by_class))), "bigrams")
+    # In slices, so that the driver never holds all rows in more than arrays.
+    slices = (pairs.where(F.pmod("first", F.lit(SLICES)) == i).toPandas() for i in range(SLICES))
+    arrays = [[part[c].to_numpy() for c in part.columns] for part in slices]
+    first, second, *pair = (np.concatenate([part[i] for part in arrays]) for i in range(4))
+    del arrays
+    hashes, heads, n = top["h"].to_numpy(np.int64), top["head"].tolist(), top[["n0", "n1"]].to_numpy(np.int64).T
+    later, times = np.unique(second, return_counts=True)
+    before = np.r_[0, times][numbers(later, hashes)]
+    del top
+    model = fit_arrays(hashes, heads, n, before, first, second, np.stack(pair), starts)
+    model = model._replace(bigram=model.bigram.astype(np.float32))
+    del first, second, pair, heads
     shared = spark.sparkContext.broadcast(model)
 
     def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -151,6 +151,17 @@ def test_bigram_models_sum_to_one():
             assert p.sum() == pytest.approx(1, abs=1e-9)
 
 
+def test_every_word_and_bigram_of_the_sample_is_kept(spark):
+    rows = [(i, f"a{i} b{i} c{i % 3} both sides" + " once more" * (i % 2), i % 2) for i in range(60)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "id long, y int")
+    m = toxicity.train(docs, labels)
+    seen = {r.id for r in toxicity._labelled(docs, labels, toxicity.PER_CLASS, 5).where("fit").collect()}
+    texts = [t.split() for i, t, _ in rows if i in seen]
+    assert set(m.words.tolist()) == set(toxicity.hashed(sorted({w for t in texts for w in t})).tolist())
+    assert len(m.keys) == len({p for t in texts for p in zip(t, t[1:])})  # noqa: B905
+
+
 # --- language model -------------------------------------------------------------------------------------------------
 
 
