@@ -6,8 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..schema import ANNOTATIONS, SPAN
-from . import tags as tag
-from .text import SPACE, UNSPACED, find, piece, primary_language, strip
+from . import kernels
+from .text import SPACE, UNSPACED, piece, primary_language, strip
 
 _SPANS = f"array<{SPAN.simpleString()}>"
 _ANNOTATIONS = ANNOTATIONS.simpleString()
@@ -30,122 +30,38 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _indices(n: Column) -> Column:
-    return F.when(n > 0, F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))).otherwise(F.array().cast("array<int>"))
-
-
-def running(lengths: Column, block: int = 64) -> Column:
-    """The sums of all elements before each one. Sums over blocks come first, so that an array of n takes n * block steps."""
-
-    def total(array: Column, first: Column, many: Column) -> Column:
-        return F.aggregate(F.slice(array, first + 1, many), F.lit(0).cast("long"), lambda a, x: a + x)
-
-    def with_blocks(v: Column) -> Column:
-        of_block = F.transform(_indices(F.ceil(F.size(v) / block).cast("int")), lambda b: total(v, b * block, F.lit(block)))
-        zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("out"))
-        before = F.aggregate(
-            of_block,
-            zero,
-            lambda a, x: F.struct((a["at"] + x).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")),
-            lambda a: a["out"],
-        )
-        each = lambda i, w: F.get(w, F.floor(i / block).cast("int")) + total(v, i - i % block, i % block)
-        return let(before, lambda w: F.transform(_indices(F.size(v)), lambda i: each(i, w)))
-
-    return let(F.transform(lengths, lambda x: x.cast("long")), with_blocks)
-
-
 def bio_to_spans(tags: Column, spans: Column) -> Column:
-    """Annotations from tags of positions B, I and O, and the spans of their tokens; the longer array is cut.
+    """Annotations from tags and the spans of their tokens, in one Arrow pass; the longer array is cut.
 
-    An I without a B before it, or after another type, begins an entity; a B or I without a type stops the job. Linear in
-    the number of tokens: boundaries are found first, then each entity runs to the next boundary.
+    An I without a B before it, or after another type, begins an entity; a B or I without a type stops the job. Tags of other
+    positions than B, I and O neither begin nor widen an entity, and end one of another type.
     """
-
-    def bounds(v: Column) -> Column:
-        def begins(i: Column) -> Column:
-            p = tag.position(F.get(v["t"], i))
-            fresh = ~F.get(v["y"], i - 1).eqNullSafe(F.get(v["y"], i)) | (i == 0)
-            return (p == "B") | ((p == "I") & fresh)
-
-        n = F.least(F.size(v["t"]), F.size(v["s"]))
-        return F.filter(_indices(n), lambda i: (F.get(v["t"], i) == "O") | begins(i))
-
-    def entities(v: Column, b: Column) -> Column:
-        n = F.least(F.size(v["t"]), F.size(v["s"]))
-        runs = F.transform(b, lambda x, k: F.struct(x.alias("a"), (F.coalesce(F.get(b, k + 1), n) - 1).alias("z")))
-
-        def made(r: Column) -> Column:
-            label = F.coalesce(F.get(v["y"], r["a"]), F.raise_error(F.lit("a BIO tag has no type")))
-            return annotation(label, F.array(span(F.get(v["s"], r["a"])["start"], F.get(v["s"], r["z"])["stop"])))
-
-        return F.transform(F.filter(runs, lambda r: F.get(v["t"], r["a"]) != "O"), made)
-
-    typed = let(tags, lambda t: F.struct(t.alias("t"), F.transform(t, tag.entity_type).alias("y")))
-    both = let(typed, lambda v: F.struct(v["t"].alias("t"), v["y"].alias("y"), spans.alias("s")))
-    return let(both, lambda v: let(bounds(v), lambda b: entities(v, b))).cast(_ANNOTATIONS)
+    return F.arrow_udf(kernels.entities, _ANNOTATIONS)(tags, spans)
 
 
 def any_tags_to_spans(tags: Column, spans: Column) -> Column:
-    """As bio_to_spans, for tags with other positions too: these neither begin nor widen an entity, and end one of another type."""
-    zero = F.struct(
-        none().alias("done"),
-        F.lit(None).cast("string").alias("label"),
-        F.lit(None).cast("long").alias("start"),
-        F.lit(None).cast("long").alias("stop"),
-        F.lit(None).cast("string").alias("last"),
-    )
+    """The same under the name that sources with tags of other positions use."""
+    return bio_to_spans(tags, spans)
 
-    def step(acc: Column, x: Column) -> Column:
-        p, t = tag.position(x["t"]), tag.entity_type(x["t"])
-        ends = acc["start"].isNotNull() & (p.isin("O", "B") | ~t.eqNullSafe(acc["last"]))
-        done = F.when(ends, F.concat(acc["done"], F.array(annotation(acc["label"], F.array(span(acc["start"], acc["stop"])))))).otherwise(acc["done"])
-        open_ = acc["start"].isNotNull() & ~ends
-        inside = p.isin("B", "I")
-        label = F.when(open_, acc["label"]).when(inside, F.coalesce(t, F.raise_error(F.lit("a BIO tag has no type"))))
-        start = F.when(open_, acc["start"]).when(inside, x["s"]["start"])
-        stop = F.when(open_ & ~inside, acc["stop"]).when(inside, x["s"]["stop"])
-        return F.struct(done.cast(_ANNOTATIONS).alias("done"), label.alias("label"), start.alias("start"), stop.alias("stop"), t.alias("last"))
 
-    n = F.least(F.size(tags), F.size(spans))
-    zipped = F.transform(_indices(n), lambda i: F.struct(F.get(tags, i).alias("t"), F.get(spans, i).alias("s")))
-    last = lambda a: F.when(a["start"].isNotNull(), F.concat(a["done"], F.array(annotation(a["label"], F.array(span(a["start"], a["stop"])))))).otherwise(a["done"])
-    return F.aggregate(zipped, zero, step, last).cast(_ANNOTATIONS)
+def _aligned(refuse: bool):
+    return F.arrow_udf(lambda tokens, texts: kernels.placed(tokens, texts, kernels.in_order, refuse), _SPANS)
 
 
 def align_tokens(tokens: Column, text: Column) -> Column:
     """The spans of tokens that make up the text in order, with white space between them; null where they don't."""
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(_SPANS).alias("spans"), F.lit(True).alias("good"))
-
-    def step(acc: Column, token: Column) -> Column:
-        rest = F.substring(text, acc["at"].cast("int") + 1, 1 << 30)
-        start = acc["at"] + F.length(F.regexp_extract(rest, f"^{SPACE}*", 0))
-        stop = start + F.length(token)
-        good = acc["good"] & (start < F.length(text)) & (piece(text, start, stop) == token)
-        return F.struct(
-            F.when(good, stop).otherwise(acc["at"]).alias("at"),
-            F.when(good, F.concat(acc["spans"], F.array(span(start, stop)))).otherwise(acc["spans"]).cast(_SPANS).alias("spans"),
-            good.alias("good"),
-        )
-
-    return F.aggregate(tokens, zero, step, lambda a: F.when(a["good"], a["spans"]))
+    return _aligned(False)(tokens, text)
 
 
 def align_tokens_strictly(tokens: Column, text: Column) -> Column:
-    return F.coalesce(align_tokens(tokens, text), F.raise_error(F.concat(F.lit("tokens don't make up the text "), text)))
+    """The same; tokens that don't make up the text stop the job."""
+    return _aligned(True)(tokens, text)
 
 
 def find_tokens(tokens: Column, text: Column) -> Column:
     """The spans of tokens, each found at its first place after the one before; one that isn't found stops the job."""
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(_SPANS).alias("spans"))
-
-    def step(acc: Column, token: Column) -> Column:
-        start = find(text, token, acc["at"])
-        start = F.when(start >= 0, start).otherwise(F.raise_error(F.concat(F.lit("token not in the text: "), token)))
-        stop = start + F.length(token)
-        return F.struct(stop.cast("long").alias("at"), F.concat(acc["spans"], F.array(span(start, stop))).cast(_SPANS).alias("spans"))
-
-    return F.aggregate(tokens, zero, step, lambda a: a["spans"])
+    run = F.arrow_udf(lambda tokens, texts: kernels.placed(tokens, texts, kernels.one_after_another, True), _SPANS)
+    return run(tokens, text)
 
 
 def separator(language: Column, concatenate: bool = False) -> Column:
@@ -161,28 +77,12 @@ def hash_as_blank(tokens: Column, language: Column) -> Column:
 
 def joined_spans(tokens: Column, between: Column) -> Column:
     """The spans of tokens once they are joined by a separator."""
-
-    def of(t: Column) -> Column:
-        starts = running(F.transform(t, lambda x: F.length(x) + F.length(between)))
-        return let(starts, lambda a: F.transform(t, lambda x, i: span(F.get(a, i), F.get(a, i) + F.length(x))))
-
-    return let(tokens, of).cast(_SPANS)
+    return F.arrow_udf(kernels.joined, _SPANS)(tokens, between)
 
 
 def ordered(annotations: Column) -> Column:
     """By the start of the first span, then by the stop of the last; ties keep their order."""
-    keyed = F.transform(
-        annotations,
-        lambda a, i: F.struct(a["spans"][0]["start"].alias("start"), F.element_at(a["spans"], -1)["stop"].alias("stop"), i.alias("i"), a.alias("a")),
-    )
-    return F.transform(F.array_sort(keyed, _by_key), lambda x: x["a"])
-
-
-def _by_key(x: Column, y: Column) -> Column:
-    out = F.lit(0)
-    for name in ("i", "stop", "start"):
-        out = F.when(x[name] < y[name], -1).when(x[name] > y[name], 1).otherwise(out)
-    return out
+    return F.arrow_udf(kernels.ordered, _ANNOTATIONS)(annotations)
 
 
 def continuous(annotations: Column) -> Column:
@@ -219,41 +119,32 @@ def find_near(text: Column, start: Column, stop: Column, expected: Column, most:
 
 
 def repaired(text: Column, start: Column, stop: Column, expected: Column, most: int = 5) -> Column:
-    """The span as it is if right; the nearest that holds what is expected if of the same length; else white space is taken
-    off, or the expected text found within. What can't be mended stops the job."""
+    """The span as it is if right. One as long as what is expected moves to the nearest place that holds it. Else white space
+    is taken off its ends, or the expected text found within, or near its start. A span of another length that can't be mended
+    keeps what is left without white space at its ends; one of the same length stops the job."""
     found = piece(text, start, stop)
     trimmed = strip(found)
     lead = F.length(F.regexp_extract(found, f"^{SPACE}*", 0))
     inner = F.instr(found, expected) - 1
-    longer = F.when(trimmed == expected, span(start + lead, start + lead + F.length(trimmed))).when(
-        inner >= 0, span(start + inner, start + inner + F.length(expected))
-    )
-    mended = F.when(found == expected, span(start, stop)).when(
-        F.length(found) == F.length(expected), find_near(text, start, stop, expected, most)
-    ).otherwise(longer)
-    return F.coalesce(mended, F.raise_error(F.concat(F.lit("no such text near the offsets: "), expected)))
+    bare = span(start + lead, start + lead + F.length(trimmed))
+    near = find_near(text, start, start + F.length(expected), expected, most)
+    mended = F.when(found == expected, span(start, stop)).when(stop - start == F.length(expected), near)
+    longer = F.when(trimmed == expected, bare).when(inner >= 0, span(start + inner, start + inner + F.length(expected)))
+    refused = F.raise_error(F.concat(F.lit("no such text near the offsets: "), expected))
+    return F.coalesce(mended, longer, near, F.when(F.length(found) != F.length(expected), bare), refused)
 
 
 def merged_bounds(bounds: Column, tagsets: list[Column]) -> Column:
-    """Sentences, of which two become one where an annotation of any tagset crosses the end between them.
+    """Sentences in order, of which two become one where an annotation of any tagset crosses the end between them.
 
     An annotation that begins where a sentence ends belongs to the next. One that reaches beyond the last stops the job.
     """
-    edges = F.flatten(F.array(*[F.transform(t, lambda a: span(a["spans"][0]["start"], F.element_at(a["spans"], -1)["stop"])) for t in tagsets]))
-
-    def of(v: Column) -> Column:
-        last = F.element_at(v["b"], -1)["stop"]
-        crossed = lambda x: F.exists(v["e"], lambda e: (e["start"] < x["stop"]) & (e["stop"] > x["stop"]))
-        ends = F.filter(_indices(F.size(v["b"])), lambda i: ~crossed(F.get(v["b"], i)))
-        beyond = F.exists(v["e"], lambda e: e["stop"] > last)
-        safe = F.when(beyond, F.raise_error(F.lit("an annotation ends after the last sentence"))).otherwise(ends)
-        start = lambda k, n: F.get(v["b"], F.when(k == 0, 0).otherwise(F.get(n, k - 1) + 1))["start"]
-        return let(safe, lambda n: F.transform(n, lambda i, k: span(start(k, n), F.get(v["b"], i)["stop"])))
-
-    return let(F.struct(bounds.alias("b"), edges.alias("e")), of)
+    return F.arrow_udf(kernels.merged, _SPANS)(bounds, *tagsets)
 
 
-def within(annotations: Column, bound: Column, is_last: Column) -> Column:
-    """The annotations that begin in a sentence, with offsets counted from its start."""
-    own = F.filter(annotations, lambda a: (a["spans"][0]["start"] >= bound["start"]) & ((a["spans"][0]["start"] < bound["stop"]) | is_last))
-    return shifted(own, -bound["start"])
+def sentences(text: Column, after: Column, bounds: Column, tagsets: dict[str, Column]) -> Column:
+    """An array of the sentences of a row, merged as above: struct(text, space_after, and each tagset with offsets counted
+    from the sentence's start). The blanks between sentences become space_after; after the last one stands `after`."""
+    kind = "".join(f", `{name}`: {_ANNOTATIONS}" for name in tagsets)
+    run = F.arrow_udf(kernels.sentences(tuple(tagsets)), f"array<struct<text: string, space_after: string{kind}>>")
+    return run(text, after, bounds, *tagsets.values())

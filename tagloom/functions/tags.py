@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import kernels
+
 
 def _refuse(message: str, value: Column) -> Column:
     return F.raise_error(F.concat(F.lit(message), F.coalesce(value, F.lit("null"))))
@@ -57,3 +62,62 @@ def strict(value: Column, table: dict[str, str]) -> Column:
 def tag_table(labels: dict[str, str]) -> dict[str, str]:
     """The table of labels for whole tags."""
     return {f"{p}-{a}": f"{p}-{b}" for a, b in labels.items() for p in "BI"} | {"O": "O"}
+
+
+# --- whole arrays of tags: each different tag of a batch goes through its rule once -----------------------------------
+
+
+def of_each(values: Column, rule: Callable[[str | None], str | None]) -> Column:
+    """An array of strings, each put through a rule; the rule may stop the job."""
+
+    def run(lists: pa.Array) -> pa.Array:
+        return kernels.by_value(lists, rule)
+
+    return F.arrow_udf(run, "array<string>")(values)
+
+
+def _checked(tag: str | None) -> str | None:
+    head, _, tail = (tag or "").partition("-")
+    if tag is None or tag == "O" or (head and tail):
+        return tag
+    raise ValueError(f"not a BIO tag: {tag}")
+
+
+def _from_bioes(tag: str | None) -> str | None:
+    if tag is None:
+        return None
+    head, hyphen, tail = tag.partition("-")
+    if head not in ("B", "I", "O", "E", "S"):
+        raise ValueError(f"unknown position: {tag}")
+    return {"E": "I", "S": "B"}.get(head, head) + hyphen + tail
+
+
+def each_checked(tags: Column) -> Column:
+    """checked() for an array of tags."""
+    return of_each(tags, _checked)
+
+
+def each_bioes_to_bio(tags: Column) -> Column:
+    """bioes_to_bio() for an array of tags."""
+    return of_each(tags, _from_bioes)
+
+
+def each_type_only(values: Column) -> Column:
+    """type_only() for an array of values."""
+    return of_each(values, lambda v: v if v in (None, "O") else f"I-{v}")
+
+
+def each_inverted(tags: Column) -> Column:
+    """inverted() for an array of tags."""
+    return of_each(tags, lambda t: t and ("O" if t == "0" else "-".join(reversed(t.split("-")))))
+
+
+def each_strict(values: Column, table: dict[str, str]) -> Column:
+    """strict() for an array of values."""
+
+    def rule(value: str | None) -> str | None:
+        if value not in table:
+            raise ValueError(f"not in the label map: {value}")
+        return table[value]
+
+    return of_each(values, rule)

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions import kernels
 from ..functions import spans as sp
-from ..functions.text import piece
 from ..schema import ANNOTATIONS, DEFAULT_TAGSET
 
 _ANNOTATIONS = ANNOTATIONS.simpleString()
@@ -72,32 +72,22 @@ def split_sentences(
     The blanks between sentences of a row become space_after; after the last one it is empty, or with keep_type the row's own.
     document_position is counted anew over the sentences of a document.
     """
-    merged = rows.withColumn("_b", sp.merged_bounds(F.col(bounds), [F.col(t) for t in tagsets]))
-    each = merged.select("*", F.posexplode("_b").alias("_k", "_s")).withColumn("_last", F.col("_k") == F.size("_b") - 1)
-    after = F.when(
-        F.col("_last"), F.col("space_after") if keep_type else F.lit("")
-    ).otherwise(piece(F.col("text"), F.col("_s")["stop"], F.get("_b", F.col("_k") + 1)["start"]))
-    out = each.withColumns(
-        {t: sp.within(F.col(t), F.col("_s"), F.col("_last")) for t in tagsets}
-        | {"_text": piece(F.col("text"), F.col("_s")["start"], F.col("_s")["stop"]), "space_after": after}
-    )
+    after = F.col("space_after") if keep_type else F.lit("")
+    cut = sp.sentences(F.col("text"), after, F.col(bounds), {t: F.col(t) for t in tagsets})
+    left = [c for c in rows.columns if c not in {"text", "space_after", "document_position", bounds, *tagsets}]
+    # Sentences are cut before they become rows, so that no row carries the whole text.
+    each = rows.select(*left, "document_position", F.posexplode(cut).alias("_k", "_s"))
     nth = F.row_number().over(W.partitionBy(*keys).orderBy("document_position", "_k")) - 1
-    out = out.withColumn("_n", nth.cast("long")).withColumn("text", F.col("_text")).withColumn("document_position", F.col("_n"))
+    new = {"text": F.col("_s.text"), "space_after": F.col("_s.space_after"), "document_position": nth.cast("long")}
+    new |= {t: F.col("_s")[t] for t in tagsets}
     if "sequence_type" in rows.columns and not keep_type:
-        out = out.withColumn("sequence_type", F.lit(0).cast("smallint"))
-    return out.drop("_b", "_k", "_s", "_last", "_text", "_n", bounds)
+        new["sequence_type"] = F.lit(0).cast("smallint")
+    return each.select(*[new.get(c, F.col(c)).alias(c) for c in rows.columns if c != bounds])
 
 
 def assign_tokens(tokens: Column, text: Column, bounds: Column) -> Column:
     """For each sentence, the array of the numbers of its tokens; a token across an end stops the job."""
-    found = sp.find_tokens(tokens, text)
-
-    def of(b: Column) -> Column:
-        held = F.filter(F.transform(found, lambda s, i: F.struct(s.alias("s"), i.alias("i"))), lambda x: (x["s"]["start"] >= b["start"]) & (x["s"]["start"] < b["stop"]))
-        crossing = F.exists(held, lambda x: x["s"]["stop"] > b["stop"])
-        return F.when(crossing, F.raise_error(F.lit("a token reaches beyond its sentence"))).otherwise(F.transform(held, lambda x: x["i"]))
-
-    return F.transform(bounds, of)
+    return F.arrow_udf(kernels.assigned, "array<array<int>>")(sp.find_tokens(tokens, text), bounds)
 
 
 def rule_sentences(text: Column) -> Column:

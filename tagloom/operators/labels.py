@@ -53,8 +53,7 @@ def mapped(annotations: Column, table: dict[str, str]) -> Column:
 
 def mapped_tags(tags: Column, table: dict[str, str]) -> Column:
     """Whole tags by the table of their labels."""
-    whole = tag.tag_table(table)
-    return F.transform(tags, lambda t: tag.strict(t, whole))
+    return tag.each_strict(tags, tag.tag_table(table))
 
 
 def map_labels(rows: DataFrame, tables: dict[str, dict[str, str]], tokenized: bool = False) -> DataFrame:

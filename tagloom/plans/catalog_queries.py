@@ -7,14 +7,19 @@ language (lang) and a subset (source); conversations are documents of several ro
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions import ids, tags, text
+from ..functions import ids, kernels, tags, text
 from ..functions import spans as sp
 from ..operators import documents as docs_ops
 from ..operators import labels as label_ops
 from ..operators import merging, sampling, selecting, stats
+from ..schema import SPAN
 from ..sources import conll
 from . import metadata
 
@@ -37,22 +42,27 @@ def query(sql: str):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A shared table, dealt out where its files make fewer tasks than there are cores; that only happens to small inputs."""
+    rows, cores = spark.read.parquet(f"{sf_dir}/{name}.parquet"), spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
 # --- annotations by rule -------------------------------------------------------------------------------------------
 
 
-def _tags(tokens: Column) -> Column:
-    def label(t: Column) -> Column:
-        n = F.length(t) % 3
-        return F.when(t.rlike("^[A-Z]"), F.when(n == 0, "PER").when(n == 1, "LOC").otherwise("ORG"))
+#: The tags of the rule; a label's number is 0 for none, and its tag stands at that number, or at 3 more inside an entity.
+_RULE_TAGS = ["O", *(f"B-{y}" for y in LABELS), *(f"I-{y}" for y in LABELS)]
 
-    def tagged(y: Column) -> Column:
-        inside = lambda x, i: (i > 0) & F.get(y, i - 1).eqNullSafe(x)
-        return F.transform(y, lambda x, i: F.when(x.isNull(), "O").when(inside(x, i), F.concat(F.lit("I-"), x)).otherwise(F.concat(F.lit("B-"), x)))
 
-    return sp.let(F.transform(tokens, label), tagged)
+@F.arrow_udf(returnType=T.ArrayType(T.StringType()))
+def _tags(tokens: pa.Array) -> pa.Array:
+    size, flat = kernels.sizes(tokens), tokens.flatten()
+    named = pc.match_substring_regex(flat, "^[A-Z]").to_numpy(zero_copy_only=False)
+    label = np.where(named, kernels.numbers(pc.utf8_length(flat)) % 3 + 1, 0)
+    inside = np.zeros(len(label), bool)
+    inside[1:] = (label[1:] > 0) & (label[1:] == label[:-1])
+    inside[kernels.ends(size)[:-1][size > 0]] = False
+    return kernels.lists(pa.array(_RULE_TAGS).take(pa.array(label + 3 * inside)), size, tokens)
 
 
 def tagged(rows: DataFrame) -> DataFrame:
@@ -141,42 +151,28 @@ def bio_to_spans(spark, d):
 
 @query(f"with {TAGS} select doc_id, ent_idx, label, start, stop from ent")
 def any_tags_to_spans(spark, d):
-    """By the sequential rule, tag by tag."""
+    """By the rule for tags of any position, over tags of which the last of an entity is an E or, alone, an I."""
     rows = tagged(_documents(spark, d)).withColumn("spans", sp.joined_spans(F.col("tokens"), F.lit(" ")))
-    each = rows.select("doc_id", F.posexplode(F.arrays_zip("tags", "spans")).alias("pos", "x"))
-    return flat(_folded(each), "doc_id")
+    return flat(rows.withColumn("ner", sp.any_tags_to_spans(F.col("tags"), F.col("spans"))), "doc_id")
 
 
-def _folded(each: DataFrame) -> DataFrame:
-    """Runs of tokens of one entity by a window over positions; ner per document."""
-    from pyspark.sql import Window as W
-
-    w = W.partitionBy("doc_id").orderBy("pos")
-    t, last = F.col("x.tags"), F.lag("x.tags").over(w)
-    begins = (tags.position(t) == "B") | ((tags.position(t) == "I") & ~tags.entity_type(t).eqNullSafe(tags.entity_type(last)))
-    marked = each.withColumn("_b", begins.cast("int"))
-    marked = marked.withColumn("e", F.sum("_b").over(w)).where(t != "O")
-    runs = marked.groupBy("doc_id", "e").agg(
-        F.min(tags.entity_type(t)).alias("label"), F.min("x.spans.start").alias("start"), F.max("x.spans.stop").alias("stop")
-    )
-    item = F.struct("e", sp.annotation(F.col("label"), F.array(sp.span(F.col("start"), F.col("stop")))).alias("a"))
-    return runs.groupBy("doc_id").agg(F.transform(F.sort_array(F.collect_list(item)), lambda v: v["a"]).alias("ner"))
+@F.arrow_udf(returnType=T.ArrayType(T.StringType()))
+def _closed(tags: pa.Array) -> pa.Array:
+    """Tags as BIOES: what ends an entity is an E, or an S where it also begins one."""
+    size, flat = kernels.sizes(tags), tags.flatten()
+    goes_on = np.zeros(len(flat), bool)
+    goes_on[:-1] = pc.starts_with(flat, "I-").to_numpy(zero_copy_only=False)[1:]
+    goes_on[kernels.ends(size)[1:][size > 0] - 1] = False
+    last = pc.replace_substring_regex(pc.replace_substring_regex(flat, "^I-", "E-"), "^B-", "S-")
+    return kernels.lists(pc.if_else(pa.array(goes_on), flat, last), size, tags)
 
 
 @query(f"with {TAGS} select doc_id, pos, tag from tg")
 def bioes_to_bio(spark, d):
     """Tags as BIOES, by what follows, and back."""
 
-    def bioes(t: Column) -> Column:
-        return F.transform(
-            t,
-            lambda x, i: F.when((x == "O") | F.coalesce(F.get(t, i + 1), F.lit("O")).startswith("I-"), x).otherwise(
-                F.concat(F.when(x.startswith("B"), "S").otherwise("E"), F.substring(x, 2, 1 << 20))
-            ),
-        )
-
-    rows = tagged(_documents(spark, d)).withColumn("tags", sp.let(F.col("tags"), bioes))
-    each = rows.select("doc_id", F.posexplode(F.transform("tags", tags.bioes_to_bio)).alias("pos", "tag"))
+    rows = tagged(_documents(spark, d)).withColumn("tags", _closed(F.col("tags")))
+    each = rows.select("doc_id", F.posexplode(tags.each_bioes_to_bio(F.col("tags"))).alias("pos", "tag"))
     return each.withColumn("pos", F.col("pos").cast("long"))
 
 
@@ -190,17 +186,16 @@ def bio_prefix_split(spark, d):
 def iob_type_only(spark, d):
     """Tags reduced to types, and read as such."""
     rows = annotated(_documents(spark, d))
-    bare = F.transform("tags", lambda t: F.coalesce(tags.entity_type(t), F.lit("O")))
-    rows = rows.withColumn("bare", bare)
-    return flat(rows.withColumn("ner", sp.bio_to_spans(F.transform("bare", tags.type_only), F.col("spans"))), "doc_id")
+    rows = rows.withColumn("bare", tags.of_each(F.col("tags"), lambda t: "O" if t == "O" else t[2:]))
+    return flat(rows.withColumn("ner", sp.bio_to_spans(tags.each_type_only(F.col("bare")), F.col("spans"))), "doc_id")
 
 
 @query(f"with {TAGS} select doc_id, pos, case when tag = 'O' then '0' else tag end as tag from tg")
 def inverted_tags(spark, d):
     """Tags turned round, as some sources have them, and back; O is written 0."""
-    turned = F.transform("tags", lambda t: F.when(t == "O", "0").otherwise(F.concat_ws("-", tags.entity_type(t), tags.position(t))))
+    turned = tags.of_each(F.col("tags"), lambda t: "0" if t == "O" else f"{t[2:]}-{t[0]}")
     rows = tagged(_documents(spark, d)).withColumn("turned", turned)
-    each = rows.select("doc_id", F.posexplode(F.transform("turned", tags.inverted)).alias("pos", "t"))
+    each = rows.select("doc_id", F.posexplode(tags.each_inverted(F.col("turned"))).alias("pos", "t"))
     return each.select("doc_id", F.col("pos").cast("long").alias("pos"), F.when(F.col("t") == "O", "0").otherwise(F.col("t")).alias("tag"))
 
 
@@ -353,13 +348,19 @@ def drop_empty_documents(spark, d):
 def _dotted(rows: DataFrame) -> DataFrame:
     """Sentences that end with a token that ends with a full stop, as offsets into the joined tokens."""
 
-    def of(v: Column) -> Column:
-        n = F.size(v["t"])
-        ends = F.filter(F.sequence(F.lit(0), n - 1), lambda i: F.get(v["t"], i).endswith(".") | (i == n - 1))
-        return sp.let(ends, lambda e: F.transform(e, lambda i, k: sp.span(F.get(v["s"], F.when(k == 0, 0).otherwise(F.get(e, k - 1) + 1))["start"], F.get(v["s"], i)["stop"])))
-
     rows = rows.where(F.size("tokens") > 0)
-    return rows.withColumn("sentence_offsets", sp.let(F.struct(F.col("tokens").alias("t"), F.col("spans").alias("s")), of))
+    return rows.withColumn("sentence_offsets", _dotted_bounds("tokens", "spans"))
+
+
+@F.arrow_udf(returnType=T.ArrayType(SPAN))
+def _dotted_bounds(tokens: pa.Array, spans: pa.Array) -> pa.Array:
+    size, flat = kernels.sizes(tokens), spans.flatten()
+    last = pc.ends_with(tokens.flatten(), ".").to_numpy(zero_copy_only=False).copy()
+    last[kernels.ends(size)[1:] - 1] = True
+    first = np.ones(len(last), bool)
+    first[1:] = last[:-1]
+    start, stop = (kernels.numbers(flat.field(c)) for c in ("start", "stop"))
+    return kernels.lists(kernels.spans(start[first], stop[last]), np.bincount(kernels.owners(size)[last], minlength=len(size)), tokens)
 
 
 _SENT = """, nx as (select *, lead(tag) over (partition by doc_id order by pos) as next_tag from sp),

@@ -80,6 +80,31 @@ def test_a_tag_without_type_is_refused(spark, function):
         bio(spark, ["B", "O"], [(0, 1), (1, 2)], function)
 
 
+def test_rules_of_whole_arrays(spark):
+    tag_list = ["O", "B-a", "I-a", "E-a-b", "S-b", "I-a"]
+    for each, rule in ((tags.each_bioes_to_bio, tags.bioes_to_bio), (tags.each_inverted, tags.inverted), (tags.each_type_only, tags.type_only), (tags.each_checked, tags.checked)):
+        for values in (tag_list, [], ["0", "O"]):
+            if values == ["0", "O"] and rule not in (tags.inverted, tags.type_only):
+                continue
+            df = spark.createDataFrame([(values,), (None,), (values[:2],)], "t array<string>")
+            got = df.select(each(F.col("t")).alias("x"), F.transform("t", rule).alias("y")).collect()
+            assert [r.x for r in got] == [r.y for r in got]
+    with pytest.raises(Exception, match="not a BIO tag"):
+        one(spark, tags.each_checked(F.col("t")), t=(["O", "B-"], "array<string>"))
+    with pytest.raises(Exception, match="unknown position"):
+        one(spark, tags.each_bioes_to_bio(F.col("t")), t=(["Q-a"], "array<string>"))
+
+
+def test_null_rows_stay_null(spark):
+    df = spark.createDataFrame([(None, "a b"), (["a"], None), (["a", "b"], "a b"), ([], "")], "t array<string>, x string")
+    got = df.select(
+        spans.joined_spans(F.col("t"), F.lit(" ")).alias("j"), spans.align_tokens(F.col("t"), F.col("x")).alias("a"), spans.find_tokens(F.col("t"), F.col("x")).alias("f")
+    ).collect()
+    assert [r.j and [tuple(s) for s in r.j] for r in got] == [None, [(0, 1)], [(0, 1), (2, 3)], []]
+    for name in "af":
+        assert [r[name] and [tuple(s) for s in r[name]] for r in got] == [None, None, [(0, 1), (2, 3)], []]
+
+
 def test_tags(spark):
     assert one(spark, F.transform("t", tags.bioes_to_bio), t=(["O", "B-a", "I-a", "E-a", "S-b-c"], "array<string>")) == ["O", "B-a", "I-a", "I-a", "B-b-c"]
     assert one(spark, F.transform("t", tags.inverted), t=(["PERS-B", "0"], "array<string>")) == ["B-PERS", "O"]
@@ -145,6 +170,11 @@ def test_repairs(spark):
     assert fix(0, 3, "xyz", spans.find_near) is None
     with pytest.raises(Exception, match="no such text"):
         fix(0, 3, "xyz")
+    assert fix(10, 15, "three") == fix(7, 12, "three") == (8, 13)  # moved past the end
+    assert fix(9, 14, "three") == (8, 13)
+    assert fix(1, 4, "one") == fix(0, 3, "one") == (0, 3)
+    assert fix(10, 13, "three") == (8, 13)
+    assert fix(7, 14, "thirteen") == (8, 13)  # of another length, and nowhere near
     assert fix(0, 3, "xyz", spans.check_span) == (0, 3)
     with pytest.raises(Exception, match="no such text"):
         fix(0, 3, "four", spans.check_span)
