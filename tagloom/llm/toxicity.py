@@ -1,39 +1,47 @@
-"""Toxicity by two Kneser-Ney bigram models, one of toxic and one of ordinary texts.
+"""Toxicity by two interpolated Kneser-Ney bigram models, one of toxic and one of ordinary texts.
 
-Each class discounts its own bigram counts and falls back to its own discounted word counts; these fall back to the class's
-counts of beginnings of words, and from there to counts of both classes together, by the number of different words before. A rare expression thus gets the same small
-probability in both, and only what a class has shown moves the score. Log-likelihoods are compared per word: over the whole
-text, and over its segments, so that an insult in a very long text isn't lost in the mean. A logistic fit on labelled texts
-that the counts haven't seen turns the differences into a score.
+Of each class c, with n(v, w) the count of a bigram (a text's first word follows a start mark), and D the discount:
 
-Labelled texts are a sample with a bound for each class (`per_class`), those of the smallest hashes; the models thus have a
-bounded size. In the logistic fit a row stands for as many labels of its class as were drawn from, so that the score doesn't
-move with the bound. Every text is scored, and whole.
+    P(w | v) = max(n(v, w) - D, 0) / n(v, any) + D * kinds(v, any) / n(v, any) * P(w)
+    P(w)     = max(kinds(any, w) - D, 0) / kinds(any, any) + D * words / kinds(any, any) * S(w)
+    S(w)     = (kinds of both classes together (any, w) + 1/2) / (kinds of both (any, any) + (V + 1) / 2)
+
+where kinds counts different bigrams and words the different second words. S is shared by the classes and holds one unknown
+word, so a rare expression gets the same small probability from both and only what a class has shown moves the score.
+
+What is compared are log-likelihoods per word: of the whole text by P(w | v), and by the continuation probabilities P(w) of the
+whole text and of its segments, since an insult in a long text is lost in the mean, and stands after words that the sample hasn't
+seen. The largest difference of a segment counts, for each length in SEGMENTS. A logistic fit turns the differences into a
+score. It learns from texts that the counts haven't seen: the sample is dealt into folds, and each is weighed by counts of the
+others. Scores then come from the counts that leave the last fold out, which have seen as much as those of the fit.
+
+Labelled texts are a sample with a bound for each class (`per_class`), those of the smallest hashes, all of whose words and
+bigrams are kept. In the fit a row stands for as many labels of its class as were drawn from, so that the score doesn't move
+with the bound. Counting and weighing run in one task a fold; the driver passes the model on as bytes. Every text is scored,
+and whole.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import crc_remainder, hash_words, keep, split_words, steps, text_or_empty
 
-PER_CLASS = 4000
-#: Beginnings of words of a model at most, most frequent first; their letters. Words and bigrams of the sample are all kept.
-BEGINNINGS = 30_000
-#: Parts in which bigrams come to the driver.
-SLICES = 16
-LETTERS = 4
-SEGMENT = 16
-DISCOUNT = 0.75
-FEATURES = 5
+PER_CLASS, FOLDS = 4000, 4
+DISCOUNT, PENALTY = 0.75, 0.3
+SEGMENTS = (1, 8)
+FEATURES = 2 + len(SEGMENTS)
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 
 
@@ -51,17 +59,15 @@ def cleaned(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
 
 
 class Model(NamedTuple):
-    """words: sorted hashes of the known words, whose numbers are 1 and on; begin: number of each beginning, which stands for
-    all other words of it; 0 stands for the rest. word: log probability of each number by class; keys: sorted, of bigrams, and
-    bigram: their log probability by class; back: log of what a context leaves to its words, by class."""
+    """words: sorted hashes of known words, whose numbers are their places; the next number, V, is the unknown word, and as a
+    context the start of a text. All others are log ratios, toxic over ordinary: alone of P(w), back of the weight that a
+    context leaves to P(w), bigram of P(w | v) for those of `keys`, v * V + w in order."""
 
     words: np.ndarray
-    begin: dict[str, int]
-    word: np.ndarray
+    alone: np.ndarray
+    back: np.ndarray
     keys: np.ndarray
     bigram: np.ndarray
-    back: np.ndarray
-    weights: np.ndarray
 
 
 def hashed(words: list[str]) -> np.ndarray:
@@ -69,123 +75,110 @@ def hashed(words: list[str]) -> np.ndarray:
 
 
 def numbers(known: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """The number of each known word, and 0 for others."""
+    """The number of each known word, and that after the last for others."""
     if not len(known):
         return np.zeros(len(hashes), np.int64)
     at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-    return np.where(known[at] == hashes, at + 1, 0)
-
-
-def _discounted(counts: np.ndarray, shared: np.ndarray) -> np.ndarray:
-    """Kneser-Ney in one step: each class's counts less the discount, which goes to the shared distribution."""
-    sums = np.maximum(counts.sum(1, keepdims=True), 1)
-    left = np.minimum(counts, DISCOUNT).sum(1, keepdims=True) / sums
-    left[counts.sum(1) == 0] = 1
-    return np.maximum(counts - DISCOUNT, 0) / sums + left * shared
-
-
-def fit_counts(
-    words: dict[tuple[int, str], int],
-    bigrams: list[tuple[int, str, str, int]],
-    before: dict[str, int],
-    begins: dict[tuple[int, str], int],
-) -> Model:
-    """words: count by class and word; bigrams: (class, first, second, count); before: number of different words before a word;
-    begins: count by class and beginning, over all words."""
-    of = sorted({w for _, w in words} | set(before))
-    place = {w: i for i, w in enumerate(of)}
-    n, pairs = np.zeros((2, len(of)), np.int64), {}
-    for (c, w), k in words.items():
-        n[c, place[w]] += k
-    for c, v, w, k in bigrams:
-        pairs.setdefault((v, w), [0, 0])[c] += k
-    first, second = (hashed([p[i] for p in pairs]) for i in (0, 1))
-    ahead = np.array([before.get(w, 0) for w in of])
-    starts = {h: [begins.get((c, h), 0) for c in (0, 1)] for _, h in begins}
-    return fit_arrays(hashed(of), [w[:LETTERS] for w in of], n, ahead, first, second, np.array(list(pairs.values()), np.int64).reshape(-1, 2).T, starts)
-
-
-def fit_arrays(
-    hashes: np.ndarray, heads: list[str], n: np.ndarray, before: np.ndarray, first: np.ndarray, second: np.ndarray, pair: np.ndarray, starts: dict[str, list[int]]
-) -> Model:
-    """By word: hash, beginning, counts by class, number of different words before it. By bigram: hashes, counts by class.
-    starts: counts by class of beginnings."""
-    order = np.argsort(hashes)
-    hashes, n, before = hashes[order], n[:, order], before[order]
-    begin = {h: len(hashes) + 1 + i for i, h in enumerate(sorted(starts, key=lambda h: (-sum(starts[h]), h))[:BEGINNINGS])}
-    size = 1 + len(hashes) + len(begin)
-    head = np.zeros(size, np.int64)  # of each number; 0 for the rest
-    head[1 : len(hashes) + 1] = np.fromiter((begin.get(h, 0) for h in heads), np.int64, len(heads))[order]
-    head[len(hashes) + 1 :] = np.arange(len(hashes) + 1, size)
-    counts, started, shared = np.zeros((2, size)), np.zeros((2, size)), np.ones(size)
-    counts[:, 1 : len(hashes) + 1] = n
-    for h, ns in starts.items():
-        started[:, begin.get(h, 0)] += ns
-    shared[1 : len(hashes) + 1] += before
-    mass = np.bincount(head, shared, size)
-    of_head = _discounted(started, mass / mass.sum())  # 0 where no word has that number as its beginning
-    word = _discounted(counts, of_head[:, head] * (shared / mass[head]))
-    a, b = numbers(hashes, first), numbers(hashes, second)
-    keys = a * size + b
-    order = np.argsort(keys)
-    keys, a, b, pair = keys[order], a[order], b[order], pair[:, order]
-    whole, back = np.empty((2, size)), np.empty((2, size))
-    bigram = np.empty(pair.shape)
+    return np.where(known[at] == hashes, at, len(known))
+
+
+def continuation(seen: np.ndarray, shared: np.ndarray, discount: float = DISCOUNT) -> np.ndarray:
+    """P(w) of a class from its numbers of different bigrams that end in each word; they sum to 1."""
+    total = seen.sum()
+    if not total:
+        return shared
+    return np.maximum(seen - discount, 0) / total + np.minimum(seen, discount).sum() / total * shared
+
+
+def before(offsets: np.ndarray, words: np.ndarray, start: int) -> np.ndarray:
+    """The word before each word; `start` before a text's first."""
+    out = np.concatenate([[start], words[:-1]])[: len(words)]
+    out[offsets[:-1][offsets[:-1] < len(words)]] = start
+    return out
+
+
+def count(texts: pa.Array, toxic: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bigrams as hashes of both words (`start` before a text's first), their marks and counts."""
+    codes, offsets, vocabulary = cleaned(texts)
+    names = np.append(hashed(vocabulary), start)
+    mark = np.repeat(toxic.astype(np.int64), np.diff(offsets))
+    key, n = np.unique((before(offsets, codes, len(vocabulary)) * len(names) + codes) * 2 + mark, return_counts=True)
+    pair = key // 2
+    return names[pair // len(names)], names[pair % len(names)], (key % 2).astype(np.int8), n.astype(np.int32)
+
+
+def fit(texts: pa.Array, toxic: np.ndarray, discount: float = DISCOUNT) -> Model:
+    """The model of texts and their marks, 0 or 1. Texts are counted a few megabytes at a time."""
+    start = int(hash_words(pa.array([""])).view(np.int64)[0])  # no word is empty
+    marked = pa.record_batch({"text": texts.cast(pa.string()), "y": pa.array(toxic.astype(np.int64))})
+    counted = [count(b.column("text"), b.column("y").to_numpy(), start) for b in steps([marked], "text")]
+    first, second, mark, n = (np.concatenate(x) for x in zip(*counted, strict=True)) if counted else [np.empty(0, np.int64)] * 4
+    del counted
+    known = np.unique(np.concatenate([first[first != start], second]))
+    size = len(known)
+    pair = numbers(known, first) * max(size, 1) + numbers(known, second)
+    del first, second
+    keys = np.unique(pair)
+    nth = np.searchsorted(keys, pair)
+    del pair
+    v, w = keys // max(size, 1), keys % max(size, 1)
+    left = np.bincount(w, minlength=size + 1)
+    shared = (left + 0.5) / (left.sum() + 0.5 * (size + 1))
+    ratio = []
     for c in (0, 1):
-        follow, held = np.bincount(a, pair[c], size), np.bincount(a, np.minimum(pair[c], DISCOUNT), size)
-        # Where a text ends nothing follows: discounts are taken from the context's whole count.
-        whole[c] = np.maximum(counts[c], np.maximum(follow, 1))
-        back[c] = (whole[c] - follow + held) / whole[c]
-        p = np.maximum(pair[c] - DISCOUNT, 0) / whole[c][a] + back[c][a] * word[c][b]
-        bigram[c] = np.log(p)
-    return Model(hashes, begin, np.log(word), keys, bigram, np.log(np.maximum(back, 1e-12)), np.zeros(FEATURES + 1))
+        held = np.bincount(nth[mark == c], n[mark == c], len(keys))
+        follow, kinds = np.bincount(v, held, size + 1), np.bincount(v, np.minimum(held, discount), size + 1)
+        weight = np.where(follow > 0, kinds / np.maximum(follow, 1), 1.0)
+        alone = continuation(np.bincount(w, held > 0, size + 1), shared, discount)
+        bigram = np.maximum(held - discount, 0) / np.maximum(follow[v], 1) + weight[v] * alone[w]
+        ratio = [np.log(x) - (ratio[i] if c else 0) for i, x in enumerate((alone, weight, bigram))]
+    alone, back, bigram = (x.astype(np.float32) for x in ratio)
+    return Model(known, alone, back, keys, bigram)
+
+
+def ratios(model: Model, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each word the log ratio by its bigram and alone, and where each text begins (with the end). A context that isn't
+    known leaves all its weight to P(w) in both classes."""
+    codes, offsets, vocabulary = cleaned(texts)
+    size = len(model.words)
+    words = numbers(model.words, hashed(vocabulary))[codes]
+    alone = model.alone[words].astype(np.float64)
+    context = before(offsets, words, size)
+    first = np.zeros(len(words), bool)
+    first[offsets[:-1][offsets[:-1] < len(words)]] = True
+    strange = (context == size) & ~first
+    pairs = np.where(strange, 0, model.back[context]) + alone
+    if len(model.keys):
+        key = context * size + words
+        at = np.minimum(np.searchsorted(model.keys, key), len(model.keys) - 1)
+        hit = (model.keys[at] == key) & ~strange & (words < size)
+        pairs[hit] = model.bigram[at[hit]]
+    return pairs, alone, offsets
 
 
 def features(model: Model, texts: pa.Array) -> np.ndarray:
-    """Per text: the difference of the classes' log-likelihoods per word; the largest of a segment's, per word and in sum; and
-    the largest and second largest of a single word's, whatever stands before it."""
-    codes, offsets, vocabulary = cleaned(texts)
-    n, out = len(offsets) - 1, np.zeros((len(offsets) - 1, FEATURES))
-    if not len(codes):
+    """Per text: the mean log ratio by bigrams, the mean by words alone, and the largest mean of a segment of each length. A
+    shorter segment, at the end of a text, is filled up with words that say nothing."""
+    pairs, alone, offsets = ratios(model, texts)
+    size = np.diff(offsets)
+    out = np.zeros((len(size), FEATURES))
+    full = np.flatnonzero(size > 0)
+    if not len(full):
         return out
-    number = numbers(model.words, hashed(vocabulary))
-    other = np.flatnonzero(number == 0)
-    number[other] = [model.begin.get(vocabulary[i][:LETTERS], 0) for i in other]
-    known = number[codes]
-    size = model.word.shape[1]
-    alone = model.word[1, known] - model.word[0, known]
-    gain = alone.copy()
-    inner = np.ones(len(known), bool)
-    inner[offsets[:-1][offsets[:-1] < len(known)]] = False
-    at = np.flatnonzero(inner)
-    first, second = known[at - 1], known[at]
-    gain[at] += model.back[1, first] - model.back[0, first]
-    key = first * size + second
-    if len(model.keys):
-        found = np.minimum(np.searchsorted(model.keys, key), len(model.keys) - 1)
-        hit = model.keys[found] == key
-        gain[at[hit]] = model.bigram[1, found[hit]] - model.bigram[0, found[hit]]
-    gain = np.clip(gain, -6, 6)
-    lengths = np.diff(offsets)
-    full = np.flatnonzero(lengths > 0)
-    out[full, 0] = np.add.reduceat(gain, offsets[full]) / lengths[full]
-    owner = np.repeat(np.arange(n), lengths)
-    segment = (np.arange(len(known)) - offsets[owner]) // SEGMENT
-    new = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (segment[1:] != segment[:-1])])
-    sums = np.add.reduceat(gain, new)
-    held = np.diff(np.r_[new, len(known)])
-    begins = np.searchsorted(owner[new], full)
-    out[full, 1] = np.maximum.reduceat(sums / (held + 4), begins)  # a short rest of a text counts for less
-    out[full, 2] = np.maximum.reduceat(sums, begins) / SEGMENT
-    out[full, 3] = np.maximum.reduceat(alone, offsets[full])
-    first = (np.repeat(out[full, 3], lengths[full]) == alone).astype(np.int64)
-    once = (np.add.reduceat(first, offsets[full]) < 2).repeat(lengths[full])
-    left = np.where((first > 0) & once, 0, alone)
-    out[full, 4] = np.maximum.reduceat(left, offsets[full])
+    out[full, 0] = np.add.reduceat(pairs, offsets[full]) / size[full]
+    out[full, 1] = np.add.reduceat(alone, offsets[full]) / size[full]
+    sums = np.concatenate([[0], np.cumsum(alone)])
+    for k, length in enumerate(SEGMENTS):
+        step = max(1, length // 2)
+        many = -(-size[full] // step)
+        first = np.concatenate([[0], np.cumsum(many)])
+        begin = np.repeat(offsets[full] - first[:-1] * step, many) + np.arange(first[-1]) * step
+        end = np.minimum(begin + length, np.repeat(offsets[1:][full], many))
+        out[full, 2 + k] = np.maximum.reduceat((sums[end] - sums[begin]) / length, first[:-1])
     return out
 
 
-def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, stands_for: np.ndarray | None = None) -> np.ndarray:
+def logistic(x: np.ndarray, y: np.ndarray, penalty: float = PENALTY, stands_for: np.ndarray | None = None) -> np.ndarray:
     """Weights and the constant, by Newton's steps; without examples of both classes the constant alone. stands_for: how
     many labels each example stands for; only the proportions count."""
     x = np.c_[x, np.ones(len(x))]
@@ -212,91 +205,65 @@ def _usable(labels: DataFrame) -> DataFrame:
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, per_class: int, salt: int) -> DataFrame:
-    """text, y, fit of a bounded sample of labelled rows; docs and labels: id, as text or label."""
-    from pyspark.sql import Window as W
-
+    """text, y, fold of a bounded sample of labelled rows, one for each id; docs and labels: id, and text or y."""
     rows = _usable(labels)
+    # The window is over rows that the limits have already cut to a few thousand.
     nth = F.row_number().over(W.partitionBy("y").orderBy("h", "id"))
-    # The window is over rows that the limits below have already cut to a few thousand.
     top = [rows.where(F.col("y") == c).withColumn("h", F.xxhash64("id", F.lit(salt))).orderBy("h", "id").limit(per_class) for c in (0, 1)]
-    sample = top[0].unionByName(top[1]).withColumn("fit", nth % 4 != 0).drop("h")
-    return docs.join(F.broadcast(sample), "id")  # 2 * per_class rows at most
+    sample = top[0].unionByName(top[1]).withColumn("fold", F.pmod(nth, F.lit(FOLDS)).cast("int")).drop("h")
+    met = docs.join(F.broadcast(sample), "id")  # 2 * per_class rows at most
+    return met.groupBy("id").agg(F.min("text").alias("text"), F.first("y").alias("y"), F.first("fold").alias("fold"))
+
+
+def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, salt: int = 5) -> tuple[bytes, np.ndarray]:
+    """The pickled model, and the weights of the logistic fit. docs: id, text; labels: id, y."""
+    seen = keep(_labelled(docs, labels, per_class, salt).select("id", "text", "y", "fold"), "labelled")
+    each = seen.withColumn("out", F.explode(F.array(*map(F.lit, range(FOLDS)))))
+
+    def weigh(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("id")
+        rest, held = rows[rows["fold"] != key[0]], rows[rows["fold"] == key[0]]
+        model = fit(pa.array(rest["text"], pa.string()), rest["y"].to_numpy())
+        parts = [features(model, part.column("text")) for part in steps([pa.record_batch({"text": pa.array(held["text"], pa.string())})], "text")]
+        x = np.concatenate([np.zeros((0, FEATURES)), *parts])
+        out = pd.DataFrame({"y": held["y"].astype("int32"), "x": list(x), "model": None})
+        if key[0] == FOLDS - 1:
+            out = pd.concat([out, pd.DataFrame({"y": [-1], "x": [np.zeros(0)], "model": [pickle.dumps(model)]})], ignore_index=True)
+        pa.default_memory_pool().release_unused()
+        return out
 
+    found = each.groupBy("out").applyInPandas(weigh, "y int, x array<double>, model binary")
+    found = keep(found, "weighed")
+    packed = found.where("y = -1").select("model").first()
+    packed = bytes(packed[0]) if packed else pickle.dumps(fit(pa.array([], pa.string()), np.zeros(0)))
+    rows = found.where("y >= 0").select("y", "x").toPandas()
+    many = {r.y: r.n for r in _usable(labels).groupBy("y").agg(F.count("*").alias("n")).collect()}
+    stands_for = np.array([many.get(y, 0) / max(1, min(many.get(y, 0), per_class)) for y in (0, 1)])
+    y = rows["y"].to_numpy(np.int64)
+    x = np.array(rows["x"].tolist(), float).reshape(-1, FEATURES)
+    return packed, logistic(x, y.astype(float), stands_for=stands_for[y])
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, salt: int = 5) -> Model:
-    """docs: id, text; labels: id, y. Counts run on the executors; what comes back is bounded by the sample."""
-    seen = _labelled(docs, labels, per_class, salt).select("text", "y", "fit").persist()
-    spark = docs.sparkSession
 
-    def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, "text"):
-            codes, offsets, vocabulary = cleaned(batch.column("text"))
-            y = np.repeat(batch.column("y").to_numpy(), np.diff(offsets)).astype(np.int64)
-            key, n = np.unique(y * len(vocabulary) + codes, return_counts=True) if len(codes) else (np.empty(0, np.int64),) * 2
-            word = key % max(1, len(vocabulary))
-            heads = pa.array([w[:LETTERS] for w in vocabulary], pa.string()).take(pa.array(word))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((key // max(1, len(vocabulary))).astype(np.int32)), pa.array(hashed(vocabulary)[word]), heads, pa.array(n.astype(np.int64))],
-                ["y", "h", "head", "n"],
-            )
-
-    by_class = [F.sum(F.when(F.col("y") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in (0, 1)]
-    used = seen.where("fit").select("text", "y")
-    counted = used.mapInArrow(count_words, "y int, h long, head string, n long").groupBy("h", "head").agg(*by_class)
-    top = counted.toPandas()
-    starts = top.groupby("head", sort=False)[["n0", "n1"]].sum()
-    starts = dict(zip(starts.index, starts.to_numpy().tolist(), strict=True))
-
-    def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, "text"):
-            codes, offsets, vocabulary = cleaned(batch.column("text"))
-            y = np.repeat(batch.column("y").to_numpy(), np.diff(offsets)).astype(np.int64)
-            inner = np.ones(len(codes), bool)
-            inner[offsets[:-1][offsets[:-1] < len(codes)]] = False
-            at = np.flatnonzero(inner)
-            size = max(1, len(vocabulary))
-            key, n = np.unique((y[at] * size + codes[at - 1]) * size + codes[at], return_counts=True)
-            names = hashed(vocabulary)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array((key // size // size).astype(np.int32)),
-                    pa.array(names[key // size % size]),
-                    pa.array(names[key % size]),
-                    pa.array(n.astype(np.int64)),
-                ],
-                ["y", "first", "second", "n"],
-            )
-
-    pairs = used.mapInArrow(count_pairs, "y int, first long, second long, n long")
-    pairs = keep(pairs.groupBy("first", "second").agg(*(c.cast("int").alias(f"n{i}") for i, c in enumerate(by_class))), "bigrams")
-    # In slices, so that the driver never holds all rows in more than arrays.
-    slices = (pairs.where(F.pmod("first", F.lit(SLICES)) == i).toPandas() for i in range(SLICES))
-    arrays = [[part[c].to_numpy() for c in part.columns] for part in slices]
-    first, second, *pair = (np.concatenate([part[i] for part in arrays]) for i in range(4))
-    del arrays
-    hashes, heads, n = top["h"].to_numpy(np.int64), top["head"].tolist(), top[["n0", "n1"]].to_numpy(np.int64).T
-    later, times = np.unique(second, return_counts=True)
-    before = np.r_[0, times][numbers(later, hashes)]
-    del top
-    model = fit_arrays(hashes, heads, n, before, first, second, np.stack(pair), starts)
-    model = model._replace(bigram=model.bigram.astype(np.float32))
-    del first, second, pair, heads
-    shared = spark.sparkContext.broadcast(model)
-
-    def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, "text"):
-            x = features(shared.value, batch.column("text"))
-            columns = [pa.array(x[:, k]) for k in range(FEATURES)]
-            yield pa.RecordBatch.from_arrays([batch.column("y"), *columns], ["y", *(f"x{k}" for k in range(FEATURES))])
+class _Scorer:
+    """Log odds of texts. The model is unpacked once in each worker."""
 
-    schema = "y int, " + ", ".join(f"x{k} double" for k in range(FEATURES))
-    rest = seen.where("not fit").select("text", "y").mapInArrow(examples, schema).toPandas()
-    seen.unpersist()
-    many = {r.y: r.n for r in _usable(labels).groupBy("y").agg(F.count("*").alias("n")).collect()}
-    stands_for = np.array([many.get(y, 0) / max(1, min(many.get(y, 0), per_class)) for y in (0, 1)])
-    y = rest["y"].to_numpy(np.int64)
-    weights = logistic(rest.drop(columns="y").to_numpy(float).reshape(-1, FEATURES), y.astype(float), stands_for=stands_for[y])
-    return model._replace(weights=weights)
+    def __init__(self, spark, packed: bytes, weights: np.ndarray) -> None:
+        self.shared, self.weights = spark.sparkContext.broadcast(packed), weights
+        self.model = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"model": None}
+
+    def __call__(self, texts: pa.Array) -> np.ndarray:
+        if self.model is None:
+            self.model = pickle.loads(self.shared.value)
+        return features(self.model, texts) @ self.weights[:-1] + self.weights[-1]
+
+
+def _scorer(docs: DataFrame, labels: DataFrame, per_class: int, id_col: str, text_col: str, label_col: str, folds: int) -> _Scorer:
+    rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+    marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).where(crc_remainder("id", folds) != 0)
+    return _Scorer(docs.sparkSession, *train(rows, marks, per_class))
 
 
 def score(
@@ -312,18 +279,15 @@ def score(
 
     Null and empty texts get the score of a text without evidence. Labels other than 0 and 1, or without an id, aren't used;
     an id labelled both ways counts as toxic. Without labels every score is a half. Rows that share an id are scored each on
-    its own. Other columns aren't read.
+    its own, and one of them, the least text, is learnt from. Other columns aren't read.
     """
+    log_odds = _scorer(docs, labels, per_class, id_col, text_col, label_col, folds)
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).where(crc_remainder("id", folds) != 0)
-    shared = docs.sparkSession.sparkContext.broadcast(train(rows, marks, per_class))
     schema = T.StructType([rows.schema["id"], T.StructField("held_out", T.BooleanType()), T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in steps(batches, "text"):
-            x = features(model, batch.column("text"))
-            p = 1 / (1 + np.exp(-np.clip(x @ model.weights[:-1] + model.weights[-1], -30, 30)))
+            p = 1 / (1 + np.exp(-np.clip(log_odds(batch.column("text")), -30, 30)))
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("held_out"), pa.array(p)], schema.fieldNames())
 
     scored = rows.select("id", (crc_remainder("id", folds) == 0).alias("held_out"), "text").mapInArrow(run, schema)
@@ -332,21 +296,32 @@ def score(
     )
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs whose score is below a half, with all their columns; the text goes through Python once, in place."""
-    rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    marks = labels.select(F.col(id_col).alias("id"), F.col("toxic").alias("y")).where(crc_remainder("id", 5) != 0)
-    shared = docs.sparkSession.sparkContext.broadcast(train(rows, marks, per_class))
-    names = docs.columns
+def drop_toxic(
+    docs: DataFrame,
+    labels: DataFrame,
+    per_class: int = PER_CLASS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "toxic",
+    folds: int = 5,
+) -> DataFrame:
+    """The rows of docs whose score is below a half, with all their columns, whatever their names; the text goes through
+    Python once, in place.
+
+    Rows go by their own text alone: equal texts go or stay together, and a null id keeps a row from nothing. Null and empty
+    texts go only if a text without evidence would. Without labels every score is a half, which isn't below it, and all rows
+    would go; so without a usable label, or with labels of one kind alone, all rows stay. An empty table stays empty.
+    """
+    marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).where(crc_remainder("id", folds) != 0)
+    if marks.where("y in (0, 1) and id is not null").select("y").distinct().count() < 2:
+        return docs
+    log_odds = _scorer(docs, labels, per_class, id_col, text_col, label_col, folds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in steps(batches, text_col):
-            x = features(model, batch.column(text_col))
-            batch = batch.filter(pa.array(x @ model.weights[:-1] + model.weights[-1] < 0))
-            yield batch
+            yield batch.filter(pa.array(log_odds(batch.column(text_col)) < 0))
 
-    return docs.select(*names).mapInArrow(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op10_toxicity(spark, sf_dir: str) -> DataFrame:

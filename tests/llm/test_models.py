@@ -1,4 +1,5 @@
 import math
+import pickle
 import random
 import zlib
 from collections import Counter
@@ -120,7 +121,7 @@ def test_bounded_sample_keeps_the_class_rates(spark, monkeypatch):
     labels = spark.createDataFrame([(i, y) for i, _, y in rows], "id long, y int")
     plain, asked = toxicity.logistic, []
     monkeypatch.setattr(toxicity, "logistic", lambda x, y, *a, **k: asked.append((x, y, k)) or plain(x, y, *a, **k))
-    w = toxicity.train(docs, labels, 100).weights  # texts tell nothing, a tenth of the labels is toxic
+    _, w = toxicity.train(docs, labels, 100)  # texts tell nothing, a tenth of the labels is toxic
     x, y, _ = asked[0]
     assert 0.4 < y.mean() < 0.6
     p = 1 / (1 + np.exp(-(x @ w[:-1] + w[-1])))
@@ -136,30 +137,103 @@ def test_toxicity_without_labels_or_rows(spark):
     assert toxicity.drop_toxic(empty_docs(spark), none).count() == 0
 
 
-def test_bigram_models_sum_to_one():
-    counts = {(0, "a"): 5, (0, "b"): 3, (1, "a"): 1, (1, "c"): 4}
-    pairs = [(0, "a", "b", 3), (1, "c", "c", 2), (1, "a", "c", 1)]
-    m = toxicity.fit_counts(counts, pairs, {"a": 2, "b": 1, "c": 2}, {(0, "a"): 5, (0, "b"): 3, (1, "a"): 1, (1, "c"): 5, (1, "d"): 2})
-    assert np.exp(m.word).sum(1) == pytest.approx([1, 1])
-    size = m.word.shape[1]
+class PlainKneserNey:
+    """The formulas of the module, by dictionaries; None is the start as a context, and the unknown word as a word."""
+
+    def __init__(self, texts, marks, d=toxicity.DISCOUNT):
+        self.d, self.n = d, (Counter(), Counter())
+        for t, y in zip(texts, marks, strict=True):
+            ws = [toxicity.clean(w) for w in words(t)]
+            self.n[y].update(zip([None, *ws], ws, strict=False))
+        both = set(self.n[0]) | set(self.n[1])
+        self.vocabulary = {w for _, w in both}
+        left = Counter(w for _, w in both)
+        whole = left.total() + 0.5 * (len(self.vocabulary) + 1)
+        self.shared = {w: (left[w] + 0.5) / whole for w in [*self.vocabulary, None]}
+
+    def alone(self, c, w):
+        kinds = Counter(x for _, x in self.n[c])
+        if not kinds:
+            return self.shared[w]
+        return (max(kinds[w] - self.d, 0) + self.d * len(kinds) * self.shared[w]) / kinds.total()
+
+    def after(self, c, v, w):
+        follow = {x: k for (y, x), k in self.n[c].items() if y == v}
+        if not follow:
+            return self.alone(c, w)
+        return (max(follow.get(w, 0) - self.d, 0) + self.d * len(follow) * self.alone(c, w)) / sum(follow.values())
+
+
+def test_kneser_ney_against_plain_formulas():
+    r = random.Random(11)
+    pool = [f"v{k}" for k in range(12)]
+    texts = [" ".join(r.choice(pool[: 8 + 4 * (i % 2)]) for _ in range(r.randint(0, 12))) for i in range(30)] + [None, "", "Same, same SAME!"]
+    marks = [i % 2 for i in range(len(texts))]
+    model, plain = toxicity.fit(pa.array(texts, pa.string()), np.array(marks)), PlainKneserNey(texts, marks)
     for c in (0, 1):
-        for v in range(1, size):
-            p = np.exp(m.back[c, v] + m.word[c])
-            for k, key in enumerate(m.keys):
-                if key // size == v:
-                    p[key % size] = np.exp(m.bigram[c, k])
-            assert p.sum() == pytest.approx(1, abs=1e-9)
+        for v in [None, *plain.vocabulary]:
+            assert sum(plain.after(c, v, w) for w in [*plain.vocabulary, None]) == pytest.approx(1)
+        assert sum(plain.alone(c, w) for w in [*plain.vocabulary, None]) == pytest.approx(1)
+    asked = [" ".join(r.choice([*pool, "new", "other"]) for _ in range(20)) for _ in range(20)] + [None, "", "new", "v1"]
+    pairs, alone, offsets = toxicity.ratios(model, pa.array(asked, pa.string()))
+    x = toxicity.features(model, pa.array(asked, pa.string()))
+    for i, t in enumerate(asked):
+        ws = [w if w in plain.vocabulary else None for w in map(toxicity.clean, words(t))]
+        unseen = object()
+        before = [None, *[unseen if w is None else w for w in ws]][: len(ws)]
+        by_word = [math.log(plain.alone(1, w) / plain.alone(0, w)) for w in ws]
+        by_pair = [math.log(plain.after(1, v, w) / plain.after(0, v, w)) for v, w in zip(before, ws, strict=True)]
+        assert alone[offsets[i] : offsets[i + 1]] == pytest.approx(by_word, abs=1e-5)
+        assert pairs[offsets[i] : offsets[i + 1]] == pytest.approx(by_pair, abs=1e-5)
+        if not ws:
+            assert (x[i] == 0).all()
+            continue
+        best = [max(sum(by_word[a : a + k]) / k for a in range(0, len(ws), max(1, k // 2))) for k in toxicity.SEGMENTS]
+        assert x[i] == pytest.approx([np.mean(by_pair), np.mean(by_word), *best], abs=1e-5)
+
+
+def test_scores_are_the_fit_over_plain_formulas(spark):
+    """The whole operator against brute force: folds, counts, features, fit and score."""
+    rows, labels = toxic_rows(120, 4)
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.score(docs, table).collect()}
+    text = {r[0]: r[1] for r in rows}
+    marks = spark.createDataFrame([(i, y) for i, _, y in labels if zlib.crc32(str(i).encode()) % 5], "id long, y int")
+    sample = toxicity._labelled(docs.withColumnRenamed("doc_id", "id"), marks, toxicity.PER_CLASS, 5).orderBy("id").collect()
+    x, y, seen = [], [], None
+    for k in range(toxicity.FOLDS):
+        seen = toxicity.fit(pa.array([s.text for s in sample if s.fold != k]), np.array([s.y for s in sample if s.fold != k]))
+        held = [s for s in sample if s.fold == k]
+        x += [toxicity.features(seen, pa.array([s.text]))[0] for s in held]
+        y += [s.y for s in held]
+    stands = Counter(s.y for s in sample)
+    w = toxicity.logistic(np.array(x), np.array(y, float), stands_for=np.array([1.0 if stands[v] else 0.0 for v in y]))
+    for i, t in text.items():
+        odds = float(toxicity.features(seen, pa.array([t], pa.string()))[0] @ w[:-1] + w[-1])
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-odds)), abs=1e-6)
 
 
 def test_every_word_and_bigram_of_the_sample_is_kept(spark):
     rows = [(i, f"a{i} b{i} c{i % 3} both sides" + " once more" * (i % 2), i % 2) for i in range(60)]
     docs = spark.createDataFrame([r[:2] for r in rows], "id long, text string")
     labels = spark.createDataFrame([(i, y) for i, _, y in rows], "id long, y int")
-    m = toxicity.train(docs, labels)
-    seen = {r.id for r in toxicity._labelled(docs, labels, toxicity.PER_CLASS, 5).where("fit").collect()}
+    m = pickle.loads(toxicity.train(docs, labels)[0])
+    seen = {r.id for r in toxicity._labelled(docs, labels, toxicity.PER_CLASS, 5).where(f"fold <> {toxicity.FOLDS - 1}").collect()}
     texts = [t.split() for i, t, _ in rows if i in seen]
     assert set(m.words.tolist()) == set(toxicity.hashed(sorted({w for t in texts for w in t})).tolist())
-    assert len(m.keys) == len({p for t in texts for p in zip(t, t[1:])})  # noqa: B905
+    assert len(m.keys) == len({p for t in texts for p in zip([None, *t], t)})  # noqa: B905
+
+
+def test_toxic_rows_go_with_any_columns(spark):
+    rows, labels = toxic_rows(150)
+    table = spark.createDataFrame([(i, y, 9) for i, _, y in labels], "doc_id long, toxic int, id long")
+    docs = spark.createDataFrame([(r[0], r[1], 1, "q", 0.5) for r in rows], "doc_id long, text string, y int, fold string, score double")
+    left = toxicity.drop_toxic(docs, table)
+    assert left.columns == docs.columns
+    kept = {r.doc_id for r in left.collect()}
+    assert kept == {r.doc_id for r in toxicity.score(docs, table).where("predicted = 0").collect()}
+    assert toxicity.drop_toxic(docs, table.where("toxic = 1")).count() == toxicity.drop_toxic(docs, table.limit(0)).count() == docs.count()
 
 
 # --- language model -------------------------------------------------------------------------------------------------
