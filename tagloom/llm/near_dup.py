@@ -5,10 +5,12 @@ ones first, two similar sets share an n-gram of their prefixes. Classes with the
 index holds groups, pairs of groups are filtered by length and position, then expanded to their members and verified in full.
 
 The result is the components of links, so pairs within a component needn't all be compared. Each group is first
-compared with one member of each of a few of its buckets (`STARS`), that with most frequent n-grams or one drawn by hash, which
-ties large groups of near copies together in linear time. Then every remaining pair that may be similar and isn't yet in one component is
-compared: no link between components is lost, and no copies are expanded into all pairs. Pairs of a large bucket are weighed
-in blocks of bounded size, by what both sets hold of each part of the n-grams, and only those that may link leave the block.
+compared with one member of each of a few of its buckets (`STARS`), that with most frequent n-grams or one drawn by hash, where
+a sketch of 64 bits says that the two are alike; this ties large groups of near copies together in linear time. The sketch may
+be wrong, as these pairs only come first: after them every remaining pair that may be similar and isn't yet in one component
+is compared. No link between components is lost, and no copies are expanded into all pairs. Members of a large bucket are dealt
+by the size of their sets, as only sets of like sizes can link, then into blocks of bounded size; pairs of blocks are weighed
+by what both sets hold of each part of the n-grams, and only pairs that may link leave them.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import discard, dropping_shuffles, hash_words, keep, may_contain, membership, mixed, most_frequent, split_words, spread, steps, text_or_empty
@@ -27,6 +30,8 @@ from .common import discard, dropping_shuffles, hash_words, keep, may_contain, m
 SHINGLE, PERCENT = 4, 85
 #: In how many of its buckets a group is compared with one member at first.
 STARS = 6
+#: Bits of the sketch, and in how many of them sets may differ that are compared first. Of sets that link some five differ.
+SKETCH, UNLIKE = 64, 18
 #: n-grams in so many prefixes go to the end of the order, by their number; so many of them are known to all tasks at most.
 HEAVY, HEAVY_KNOWN = 48, 1 << 18
 #: A bucket of more members is weighed in blocks of so many.
@@ -76,6 +81,16 @@ def digests(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndar
     return out[0], out[1]
 
 
+def sketches(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """64 bits of each set: one of the least hash in each 64th of their range, 0 where there is none. values: in order in each set."""
+    n = len(bounds) - 1
+    bin_ = np.repeat(np.arange(n), np.diff(bounds)) * SKETCH + (values >> np.uint64(58)).astype(np.int64)
+    first = np.flatnonzero(np.concatenate([[True], bin_[1:] != bin_[:-1]])) if len(values) else np.empty(0, np.int64)
+    bits = np.zeros(n * SKETCH, np.uint8)
+    bits[bin_[first]] = (values[first] & np.uint64(1)).astype(np.uint8)
+    return np.packbits(bits.reshape(-1, SKETCH), axis=1).view("<i8").reshape(-1)
+
+
 def prefix_size(n: np.ndarray | int, percent: int) -> np.ndarray | int:
     """A set of n that shares enough with another shares one of its first n - ceil(n * percent / 100) + 1."""
     return n - (n * percent + 99) // 100 + 1
@@ -106,6 +121,7 @@ def _signed(batches: Iterator[pa.RecordBatch], heavy, width: int, percent: int)
         values, bounds = shingle_sets(batch.column("text"), width)
         n = np.diff(bounds)
         s1, s2 = digests(values, bounds)
+        drawn = sketches(values, bounds)
         rank = np.zeros(len(values), np.uint8)
         if len(known):
             at = np.minimum(np.searchsorted(known, values), len(known) - 1)
@@ -124,8 +140,8 @@ def _signed(batches: Iterator[pa.RecordBatch], heavy, width: int, percent: int)
         head = values[_first(bounds, size)]
         p1, p2 = digests(head, np.r_[0, np.cumsum(size)])
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), batch.column("text_key"), *(pa.array(x) for x in (n, s1, s2, p1, p2, often)), pa.array([x.tobytes() for x in parts], pa.binary()), _lists(head, size)],
-            ["id", "text_key", "n", "s1", "s2", "p1", "p2", "often", "parts", "prefix"],
+            [batch.column("id"), batch.column("text_key"), *(pa.array(x) for x in (n, s1, s2, p1, p2, often, drawn)), pa.array([x.tobytes() for x in parts], pa.binary()), _lists(head, size)],
+            ["id", "text_key", "n", "s1", "s2", "p1", "p2", "often", "sketch", "parts", "prefix"],
         )
 
 
@@ -144,8 +160,8 @@ def _live(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]
             [pa.array(values[live]), pa.array(at[live].astype(np.int32)), pa.array(nth)], ["gram", "at", "nth"]
         )
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in ("gid", "n", "often")), pa.ListArray.from_arrays(pa.array(new), rows)],
-            ["gid", "n", "often", "grams"],
+            [*(batch.column(c) for c in ("gid", "n", "often", "sketch")), pa.ListArray.from_arrays(pa.array(new), rows)],
+            ["gid", "n", "often", "sketch", "grams"],
         )
 
 
@@ -216,11 +232,11 @@ class _Join:
         return known[order], np.log2(np.maximum(1, top["n"].to_numpy(float))).astype(np.uint8)[order]
 
     def index(self) -> None:
-        """Tables: rows (id, text_key, n, s1, s2), members (node, gid, n, low, s1, s2, parts), postings (gram, at, nth, gid, n, often)."""
+        """Tables: rows (id, text_key, n, s1, s2), members (node, gid, n, low, s1, s2, parts), postings (gram, at, nth, gid, n, often, sketch)."""
         signed = keep(
             self.docs.withColumn("text_key", F.xxhash64("text")).mapInArrow(
                 partial(_signed, heavy=self.share(self.heavy()), width=self.width, percent=self.percent),
-                "id long, text_key long, n long, s1 long, s2 long, p1 long, p2 long, often long, parts binary, prefix array<long>",
+                "id long, text_key long, n long, s1 long, s2 long, p1 long, p2 long, often long, sketch long, parts binary, prefix array<long>",
             ),
             "signed",
         )
@@ -231,16 +247,16 @@ class _Join:
             .agg(F.min("id").alias("low"), F.min("n").alias("n"), F.min("p1").alias("p1"), F.min("p2").alias("p2"), F.any_value("parts").alias("parts"))
         )
         classes = keep(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
-        groups = signed.where("n > 0").groupBy("p1", "p2", "n").agg(F.any_value("prefix").alias("prefix"), F.max("often").alias("often"))
+        groups = signed.where("n > 0").groupBy("p1", "p2", "n").agg(F.any_value("prefix").alias("prefix"), F.max("often").alias("often"), F.min("sketch").alias("sketch"))
         groups = keep(groups.withColumn("gid", F.monotonically_increasing_id()), "groups")
         discard(signed)
-        self.members = keep(classes.join(groups.drop("prefix", "often"), ["p1", "p2", "n"]).drop("p1", "p2"), "members")
+        self.members = keep(classes.join(groups.drop("prefix", "often", "sketch"), ["p1", "p2", "n"]).drop("p1", "p2"), "members")
         grams = groups.select(F.explode("prefix").alias("gram")).groupBy("gram").agg(F.count("*").alias("c")).where("c > 1")
         several = self.share(membership(grams, "gram"))
-        live = groups.select("gid", "n", "often", "prefix").mapInArrow(
-            partial(_live, shared=several), "gid long, n long, often long, grams array<struct<gram: long, at: int, nth: int>>"
+        live = groups.select("gid", "n", "often", "sketch", "prefix").mapInArrow(
+            partial(_live, shared=several), "gid long, n long, often long, sketch long, grams array<struct<gram: long, at: int, nth: int>>"
         )
-        self.postings = keep(live.select("gid", "n", "often", F.inline("grams")), "postings")
+        self.postings = keep(live.select("gid", "n", "often", "sketch", F.inline("grams")), "postings")
         discard(classes, groups)
 
     def possible(self, a: str, b: str) -> Column:
@@ -260,12 +276,13 @@ class _Join:
         chance = F.xxhash64("gid", turn)
         # A text with most frequent n-grams is nearest to the others of its kind.
         first = F.when(turn % 2 == 0, -F.col("often") / F.col("n")).otherwise(chance / F.lit(float(1 << 63)))
-        drawn = F.struct(first.alias("f"), chance.alias("h"), "gid", "n", "at")
+        drawn = F.struct(first.alias("f"), chance.alias("h"), "gid", "n", "at", "sketch")
         # Numbers of members first: postings let through by the filter alone have no partner.
         centres = postings.groupBy("gram").agg(F.min(drawn).alias("c"), F.count("*").alias("k")).where("k > 1")
-        centres = centres.select("gram", F.col("c.gid").alias("gid"), F.col("c.n").alias("n"), F.col("c.at").alias("at"))
+        centres = centres.select("gram", *(F.col(f"c.{x}").alias(x) for x in ("gid", "n", "at", "sketch")))
         a, b = centres.alias("a"), postings.alias("b")
-        met = a.join(b, (F.col("a.gram") == F.col("b.gram")) & (F.col("a.gid") != F.col("b.gid")) & self.possible("a", "b"))
+        alike = F.bit_count(F.col("a.sketch").bitwiseXOR(F.col("b.sketch"))) <= UNLIKE
+        met = a.join(b, (F.col("a.gram") == F.col("b.gram")) & (F.col("a.gid") != F.col("b.gid")) & alike & self.possible("a", "b"))
         return met.select(F.col("a.gid").alias("a"), F.col("b.gid").alias("b")).distinct()
 
     def expanded(self, pairs: DataFrame) -> DataFrame:
@@ -310,12 +327,11 @@ class _Join:
         """Pairs of members that may be similar and aren't in one component yet. labels: node, label."""
         held = self.members.join(labels, "node", "left").select("gid", "node", F.coalesce("label", "node").alias("label"))
         held = keep(held, "held")
-        span = held.groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+        span = keep(held.groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("m")), "spans")
         posted = self.postings.join(span, "gid")
-        mixed_buckets = posted.groupBy("gram").agg(F.min("lo").alias("l"), F.max("hi").alias("h")).where("l < h").select("gram")
-        posted = keep(posted.join(mixed_buckets, "gram"), "remaining")
-        sizes = posted.groupBy("gram").agg(F.count("*").alias("k"))
-        few = posted.join(sizes.where(F.col("k") <= SMALL_BUCKET).select("gram"), "gram")
+        mixed_buckets = posted.groupBy("gram").agg(F.min("lo").alias("l"), F.max("hi").alias("h"), F.sum("m").alias("k")).where("l < h")
+        posted = keep(posted.join(mixed_buckets.select("gram", "k"), "gram").select("gram", "at", "gid", "n", "lo", "hi", "k"), "remaining")
+        few = posted.where(F.col("k") <= SMALL_BUCKET)
         a, b = few.alias("a"), few.alias("b")
         apart = (F.col("a.lo") != F.col("b.hi")) | (F.col("a.hi") != F.col("b.lo"))
         met = a.join(
@@ -324,57 +340,83 @@ class _Join:
         groups = met.select(F.col("a.gid").alias("a"), F.col("b.gid").alias("b")).distinct()
         left = held.select(F.col("gid").alias("a"), F.col("node").alias("x"), F.col("label").alias("lx"))
         right = held.select(F.col("gid").alias("b"), F.col("node").alias("y"), F.col("label").alias("ly"))
-        cross = groups.join(left, "a").join(right, "b").where("lx <> ly").select("x", "y")
-        inner = left.withColumnRenamed("a", "gid").join(right.withColumnRenamed("b", "gid"), "gid")
-        cross = cross.union(inner.where("lx <> ly and x < y").select("x", "y"))
-        return cross.union(self.weighed(posted.join(sizes.where(F.col("k") > SMALL_BUCKET), "gram"), held))
+        cross = groups.join(left, "a").join(right, "b").where("lx <> ly").select("x", "y")  # SMALL_BUCKET members on either side at most
+        # A group whose members aren't yet in one component is a bucket of its own.
+        own = span.where("lo < hi").select(F.col("gid").alias("gram"), F.lit(0).alias("at"), "gid").join(self.members.select("gid", "n").distinct(), "gid")
+        large = posted.where(F.col("k") > SMALL_BUCKET).select("gram", "at", "gid", "n")
+        return cross.union(self.weighed(large, held)).union(self.weighed(own.select("gram", "at", "gid", "n"), held))
 
     def weighed(self, posted: DataFrame, held: DataFrame) -> DataFrame:
-        """Pairs (x, y) of large buckets, of different components, that may link. Members are dealt into blocks, and each pair of
-        blocks is one group of 2 * BLOCK rows or so. A pair leaves only the first of the large buckets that it shares."""
+        """Pairs (x, y) of large buckets, of different components, that may link. posted: gram, at, gid, n.
+
+        Members are dealt by the size class of their sets, of which only neighbours can link, and within it into blocks. Each
+        pair of blocks is one group of 2 * BLOCK rows or so. A pair leaves only the first of the large buckets that it shares.
+        """
         order = F.sort_array(F.collect_list(F.struct("at", "gram")))
         lists = posted.groupBy("gid").agg(F.transform(order, lambda x: x["gram"]).alias("grams"))
-        rows = posted.select("gram", "at", "gid", "n", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks"))
-        rows = rows.join(lists, "gid").join(held, "gid").join(self.members.select("node", "parts"), "node")
-        own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-        rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        rows = rows.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
-        rows = rows.select("gram", "i", "j", "own", "node", "n", "at", "label", "parts", "grams")
+        size = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / self.percent)) - 1e-9).cast("int")
+        rows = posted.withColumn("size", size).join(held, "gid")
+        classes = rows.groupBy("gram", "size").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+        below = W.partitionBy("gram").orderBy("size")
+        next_ = lambda c, by: F.when(F.lead("size", by).over(below) == F.col("size") + by, F.lead(c, by).over(below))
+        differ = lambda by: (F.least("lo", next_("lo", by)) < F.greatest("hi", next_("hi", by))) & next_("lo", by).isNotNull()
+        classes = classes.select(
+            "gram",
+            "size",
+            "blocks",
+            F.when(F.col("lo") < F.col("hi"), F.col("blocks")).otherwise(0).alias("same"),
+            F.when(differ(1), next_("blocks", 1)).otherwise(0).alias("above"),
+            F.when(differ(-1), next_("blocks", -1)).otherwise(0).alias("under"),
+        ).where("same + above + under > 0")
+        rows = rows.join(classes, ["gram", "size"]).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        many = lambda c: F.when(F.col(c) > 0, F.sequence(F.lit(0), F.greatest(F.col(c) - 1, F.lit(0)))).otherwise(F.array().cast("array<int>"))
+        cell = lambda low, i, j, side: F.struct(low.alias("low"), i.alias("i"), j.alias("j"), side.alias("side"))
+        one, own = F.col("size"), F.col("own")
+        # side: 0 for the first block of a pair, 1 for the second, 2 for a block that meets itself; j counts from -1 down within a class.
+        met = F.concat(
+            F.transform(many("same"), lambda k: cell(one, F.least(own, k), -1 - F.greatest(own, k), F.when(own == k, 2).when(own < k, 0).otherwise(1))),
+            F.transform(many("above"), lambda k: cell(one, own, k, F.lit(0))),
+            F.transform(many("under"), lambda k: cell(one - 1, k, own, F.lit(1))),
+        )
+        rows = rows.join(lists, "gid").join(self.members.select("node", "parts"), "node").withColumn("cell", F.explode(met))
+        rows = rows.select("gram", "cell.low", "cell.i", "cell.j", "cell.side", "node", "n", "at", "label", "parts", "grams")
         percent = self.percent
 
         def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-            first, second = (rows[rows["own"] == k].sort_values("node") for k in key[1:])
-            n, at, label, node = (second[c].to_numpy(np.int64) for c in ("n", "at", "label", "node"))
-            parts = np.frombuffer(b"".join(second["parts"]), np.uint8).reshape(-1, PARTS)
-            rough = parts.reshape(-1, COARSE, PARTS // COARSE).sum(2, dtype=np.uint16)
-            full = (parts == 255).any(1)
-            held = [frozenset(g.tolist()) for g in second["grams"]]
-            out_x, out_y = [], []
-            for one in first.itertuples(index=False):
-                need = percent * (n + one.n)
-                near = (label != one.label) & ((100 + percent) * np.minimum(n - at, one.n - one.at) >= need)
-                near &= 100 * np.minimum(n, one.n) >= percent * np.maximum(n, one.n)
-                if key[1] == key[2]:
-                    near &= node > one.node
-                place = np.flatnonzero(near)
-                if not len(place):
-                    continue
-                own = np.frombuffer(one.parts, np.uint8)
-                any_full = full[place] | (own == 255).any()
-                most = np.minimum(rough[place], own.reshape(COARSE, -1).sum(1, dtype=np.uint16)).sum(1, dtype=np.int64)
-                good = any_full | ((100 + percent) * most >= need[place])
-                place, any_full = place[good], any_full[good]
-                most = np.minimum(parts[place], own).sum(1, dtype=np.int64)
-                fits = place[any_full | ((100 + percent) * most >= need[place])]
-                grams = one.grams.tolist()
-                first_shared = (next(g for g in grams if g in held[i]) == key[0] for i in fits.tolist())
-                fits = fits[np.fromiter(first_shared, bool, len(fits))]
-                out_x.append(np.full(len(fits), one.node))
-                out_y.append(node[fits])
             none = np.empty(0, np.int64)
-            return pd.DataFrame({"x": np.concatenate([none, *out_x]), "y": np.concatenate([none, *out_y])})
-
-        return rows.groupBy("gram", "i", "j").applyInPandas(run, "x long, y long")
+            out_x, out_y = [none], [none]
+            first, second = (rows[rows["side"].isin((side, 2))].sort_values("node") for side in (0, 1))
+            if len(first) and len(second) and rows["label"].nunique() > 1:
+                within = (rows["side"] == 2).any()
+                n, at, label, node = (second[c].to_numpy(np.int64) for c in ("n", "at", "label", "node"))
+                parts = np.frombuffer(b"".join(second["parts"]), np.uint8).reshape(-1, PARTS)
+                rough = parts.reshape(-1, COARSE, PARTS // COARSE).sum(2, dtype=np.uint16)
+                full = (parts == 255).any(1)
+                held = [frozenset(g.tolist()) for g in second["grams"]]
+                for one in first.itertuples(index=False):
+                    need = percent * (n + one.n)
+                    near = (label != one.label) & ((100 + percent) * np.minimum(n - at, one.n - one.at) >= need)
+                    near &= 100 * np.minimum(n, one.n) >= percent * np.maximum(n, one.n)
+                    if within:
+                        near &= node > one.node
+                    place = np.flatnonzero(near)
+                    if not len(place):
+                        continue
+                    own = np.frombuffer(one.parts, np.uint8)
+                    any_full = full[place] | (own == 255).any()
+                    most = np.minimum(rough[place], own.reshape(COARSE, -1).sum(1, dtype=np.uint16)).sum(1, dtype=np.int64)
+                    good = any_full | ((100 + percent) * most >= need[place])
+                    place, any_full = place[good], any_full[good]
+                    most = np.minimum(parts[place], own).sum(1, dtype=np.int64)
+                    fits = place[any_full | ((100 + percent) * most >= need[place])]
+                    grams = one.grams.tolist()
+                    first_shared = (next(g for g in grams if g in held[i]) == key[0] for i in fits.tolist())
+                    fits = fits[np.fromiter(first_shared, bool, len(fits))]
+                    out_x.append(np.full(len(fits), one.node))
+                    out_y.append(node[fits])
+            return pd.DataFrame({"x": np.concatenate(out_x), "y": np.concatenate(out_y)})
+
+        return rows.groupBy("gram", "low", "i", "j").applyInPandas(run, "x long, y long")
 
     def run(self) -> DataFrame:
         self.index()

@@ -663,13 +663,10 @@ _ENTRIES = [
     "case when source = 'src1' or (source = 'src0' and split = 'train') then 'full' end as document_boundaries from documents, (values ('train'), ('test')) v(split)"
 )
 def metadata_cascade(spark, d):
-    sources = [r.source for r in _documents(spark, d).select("source").distinct().collect()]  # a catalog, one row per subset
-    rows = []
-    for source in sources:
-        for split in ("train", "test"):
-            m = metadata.cascade(_ENTRIES, [source], split)
-            rows.append((source, split, m.get("license"), m.get("primary_domain"), m.get("document_boundaries")))
-    return spark.createDataFrame(rows, "source string, split string, license string, primary_domain string, document_boundaries string")
+    splits = _documents(spark, d).select("source", F.array("source").alias("subset")).distinct()
+    splits = splits.withColumn("split", F.explode(F.array(F.lit("train"), F.lit("test"))))
+    said = lambda field: F.get_json_object(F.concat(F.lit('{"v":'), F.col("said")[field], F.lit("}")), "$.v").alias(field)
+    return metadata.cascades(splits, _ENTRIES).select("source", "split", *map(said, ("license", "primary_domain", "document_boundaries")))
 
 
 @query(
@@ -677,6 +674,5 @@ def metadata_cascade(spark, d):
 )
 def selector_match(spark, d):
     rows = _documents(spark, d).select("lang", "source").distinct()
-    one, wild, deep = (metadata.Selector.parse(s) for s in ("en.src0.train", "*.src0.train", "*.src0.x"))
-    out = [(r.lang, r.source, *(s.matches([r.lang, r.source], "train") for s in (one, wild, deep))) for r in rows.collect()]
-    return spark.createDataFrame(out, "lang string, source string, exact boolean, any_lang boolean, deeper boolean")
+    match = lambda selector: metadata.selects_column(selector, F.array("lang", "source"), F.lit("train"))
+    return rows.select("lang", "source", match("en.src0.train").alias("exact"), match("*.src0.train").alias("any_lang"), match("*.src0.x").alias("deeper"))

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import reduce
+from itertools import groupby
 from pathlib import Path
 from typing import Any
 
@@ -14,7 +16,7 @@ class PlanError(ValueError):
     """A plan breaks a rule."""
 
 
-#: What a step needs: one of these before it, or nothing (None).
+# Kinds of steps; what each needs, one of these before it or nothing (None); and those that may come again.
 NEEDS: dict[str, tuple[str, ...] | None] = {
     "download": None,
     "google_docs": None,
@@ -38,63 +40,62 @@ class Step:
     options: dict[str, Any] = field(default_factory=dict)
 
 
-@dataclass
+@dataclass(frozen=True)
 class State:
-    """What steps pass on: a folder of files, the files of each split, the rows of each split."""
+    """What a stage hands to the next: a folder of files, the files of each split, the rows of each split, the kinds of steps
+    that were done. A stage makes a new one."""
 
     folder: Path
     files: dict[str, Any] = field(default_factory=dict)
     rows: dict[str, Any] = field(default_factory=dict)
-    done: list[str] = field(default_factory=list)
+    done: frozenset[str] = frozenset()
+
+    def having(self, **more: dict[str, Any]) -> State:
+        """With further splits by their files or rows; the name of a split is taken once."""
+        taken = sorted(k for what, new in more.items() for k in new.keys() & getattr(self, what).keys())
+        if taken:
+            raise PlanError(f"splits are there already: {taken}")
+        return replace(self, **{what: getattr(self, what) | new for what, new in more.items()})
 
-    def scoped(self) -> State:
-        """The same files, without splits or rows: the state of a nested plan."""
-        return State(self.folder)
 
-    def update(self, other: State) -> None:
-        """Take over a nested plan's splits; a split that is there already is an error."""
-        for mine, theirs in ((self.files, other.files), (self.rows, other.rows)):
-            twice = mine.keys() & theirs.keys()
-            if twice:
-                raise PlanError(f"splits are there already: {sorted(twice)}")
-            mine.update(theirs)
+RUNNERS: Registry[Callable[[Any, State, dict[str, Any]], State]] = Registry("step")
 
 
-RUNNERS: Registry[Callable[[Any, State, dict[str, Any]], None]] = Registry("step")
+def _objection(kind: str, many: int, before: set[str]) -> str | None:
+    """What speaks against so many steps of a kind in a row, after steps of the kinds before."""
+    if kind not in NEEDS:
+        return f"unknown step {kind!r}"
+    if kind not in REPEATABLE and (many > 1 or kind in before):
+        return f"a second {kind!r} step"
+    needs = NEEDS[kind]
+    if needs is not None and before.isdisjoint(needs) and kind not in before:
+        return f"{kind!r} needs one of {needs} before it"
+    return None
 
 
 class Plan:
-    """Steps in stages: equal steps in a row share one. A loader counts as a step that has been done."""
+    """Steps in stages: steps of one kind in a row are one. A loader counts as a step that has been done."""
 
     def __init__(self, steps: Iterable[Step], loader: str | None = None, completed: Iterable[str] = ()) -> None:
-        done = {*completed, *([loader] if loader else [])}
-        self.stages: list[list[Step]] = []
-        last = None
-        for i, step in enumerate(steps):
-            if step.kind not in NEEDS:
-                raise PlanError(f"unknown step {step.kind!r} at position {i}")
-            if step.kind in done and step.kind not in REPEATABLE:
-                raise PlanError(f"a second {step.kind!r} step at position {i}")
-            if step.kind == last:
-                self.stages[-1].append(step)
-                continue
-            needs = NEEDS[step.kind]
-            if needs is not None and not done & {*needs}:
-                raise PlanError(f"{step.kind!r} at position {i} needs one of {needs} before it")
-            self.stages.append([step])
-            done.add(step.kind)
-            last = step.kind
+        self.stages = [list(run) for _, run in groupby(steps, key=lambda s: s.kind)]
+        self.given = frozenset(completed) | ({loader} if loader else frozenset())
+        kinds = [stage[0].kind for stage in self.stages]
+        for n, (kind, stage) in enumerate(zip(kinds, self.stages, strict=True)):
+            said = _objection(kind, len(stage), {*self.given, *kinds[:n]})
+            if said:
+                raise PlanError(f"{said}, at position {sum(map(len, self.stages[:n]))}")
 
     def run(self, spark: Any, state: State) -> State:
-        for stage in self.stages:
-            for step in stage:
-                if step.kind == "data_pipe":
-                    inner = Plan(step.options["steps"], completed=state.done or REMOTE).run(spark, state.scoped())
-                    state.update(inner)
-                elif step.kind not in REMOTE:
-                    RUNNERS.get(step.kind)(spark, state, step.options)
-                state.done.append(step.kind)
-        return state
+        return reduce(lambda s, stage: self._after(spark, s, stage), self.stages, state)
+
+    def _after(self, spark: Any, state: State, stage: list[Step]) -> State:
+        for step in stage:
+            if step.kind == "data_pipe":  # a plan of its own over the same files; its splits come to those that are there
+                inner = Plan(step.options["steps"], completed=state.done or REMOTE).run(spark, State(state.folder))
+                state = state.having(files=inner.files, rows=inner.rows)
+            elif step.kind not in REMOTE:
+                state = RUNNERS.get(step.kind)(spark, state, step.options)
+        return replace(state, done=state.done | {stage[0].kind})
 
 
 def split_order(names: Iterable[str]) -> list[str]:
@@ -111,22 +112,22 @@ def _relative(folder: Path, pattern: str) -> list[str]:
 
 
 @RUNNERS.register("extract")
-def _extract(spark: Any, state: State, options: dict[str, Any]) -> None:
+def _extract(spark: Any, state: State, options: dict[str, Any]) -> State:
     from ..sources.archives import extract
 
     extract(state.folder / options["path"], state.folder / options.get("target", "."), options.get("members"))
+    return state
 
 
 @RUNNERS.register("splits")
-def _splits(spark: Any, state: State, options: dict[str, Any]) -> None:
+def _splits(spark: Any, state: State, options: dict[str, Any]) -> State:
     """Globs by split, or by split and role; files are sorted, so that documents are numbered alike each time."""
-    for split in split_order(options["splits"]):
-        value = options["splits"][split]
-        state.files[split] = {r: _relative(state.folder, p) for r, p in value.items()} if isinstance(value, dict) else _relative(state.folder, value)
+    found = lambda v: {r: _relative(state.folder, p) for r, p in v.items()} if isinstance(v, dict) else _relative(state.folder, v)
+    return state.having(files={split: found(options["splits"][split]) for split in split_order(options["splits"])})
 
 
 @RUNNERS.register("read_splits")
-def _read_splits(spark: Any, state: State, options: dict[str, Any]) -> None:
+def _read_splits(spark: Any, state: State, options: dict[str, Any]) -> State:
     """Splits as a file of the corpus has them, under other names if asked for."""
     from ..sources.readers import SPLIT_READERS
 
@@ -134,13 +135,14 @@ def _read_splits(spark: Any, state: State, options: dict[str, Any]) -> None:
     text = lambda name: (state.folder / name).read_text()
     content = {k: text(v) for k, v in source.items()} if isinstance(source, dict) else text(source)
     exists = lambda p: (state.folder / p).exists()
-    for split, files in SPLIT_READERS.get(options["reader"])(content, options["folders"], exists).items():
-        name = options.get("names", {}).get(split, split)
-        state.files[name] = {role: [str(state.folder / f[role]) for f in files] for role in ("text", "annotations")}
+    read = SPLIT_READERS.get(options["reader"])(content, options["folders"], exists)
+    whole = lambda files, role: [str(state.folder / f[role]) for f in files]
+    names = options.get("names", {})
+    return state.having(files={names.get(k, k): {role: whole(v, role) for role in ("text", "annotations")} for k, v in read.items()})
 
 
 @RUNNERS.register("convert")
-def _convert(spark: Any, state: State, options: dict[str, Any]) -> None:
+def _convert(spark: Any, state: State, options: dict[str, Any]) -> State:
     """Rows of each split by a reader, annotations in order, documents with empty texts left out or refused."""
     from pyspark.sql import functions as F
 
@@ -150,23 +152,32 @@ def _convert(spark: Any, state: State, options: dict[str, Any]) -> None:
     from ..sources.readers import READERS
 
     reader, arguments = READERS.get(options["reader"]), options.get("arguments", {})
-    for split, files in state.files.items():
+
+    def rows_of(files: Any) -> Any:
         rows = reader(spark, *files.values(), **arguments) if isinstance(files, dict) else reader(spark, files, **arguments)
         rows = rows.withColumns({t: ordered(F.col(t)) for t in tagsets_of(rows.schema)})
-        rows = drop_documents_with_empty_text(rows, ("source", "document"), strict=not options.get("filter_empty_documents", False))
-        state.rows[split] = rows
+        return drop_documents_with_empty_text(rows, ("source", "document"), strict=not options.get("filter_empty_documents", False))
+
+    return replace(state, rows=state.rows | {split: rows_of(files) for split, files in state.files.items()})
 
 
 @RUNNERS.register("columns")
-def _columns(spark: Any, state: State, options: dict[str, Any]) -> None:
+def _columns(spark: Any, state: State, options: dict[str, Any]) -> State:
+    """Parquet files of tokens and tags. With `splits`, names of splits become the usual ones and rows are dealt by language
+    (see sources.columnar); a split of a subset or language then stands under subset/name."""
+    from ..sources import columnar
     from ..sources.readers import tagged_rows
 
-    for split, files in state.files.items():
-        state.rows[split] = tagged_rows(spark.read.parquet(*files), **options)
+    arguments = {k: v for k, v in options.items() if k != "splits"}
+    tables = {split: spark.read.parquet(*files) for split, files in state.files.items()}
+    if "splits" in options:
+        dealt = columnar.normalised(tables, columnar.Naming(**options["splits"]))
+        tables = {"/".join([*(n for n, _ in part.subset), part.split]): part.rows for part in dealt}
+    return replace(state, rows=state.rows | {split: tagged_rows(rows, **arguments) for split, rows in tables.items()})
 
 
 @RUNNERS.register("metadata")
-def _metadata(spark: Any, state: State, options: dict[str, Any]) -> None:
+def _metadata(spark: Any, state: State, options: dict[str, Any]) -> State:
     """Write all splits and the metadata file of the dataset."""
     from pyspark.sql import functions as F
 
@@ -193,3 +204,4 @@ def _metadata(spark: Any, state: State, options: dict[str, Any]) -> None:
     labels, tags = inventories(union, tagsets, tokenized)
     node = Subset(subset, language, tokenized, tagsets, labels, tags, splits)
     Dataset(name, [language], split_order(splits), [node]).dump(out)
+    return state

@@ -5,10 +5,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagloom import registry
-from tagloom.operators import documents, labels, merging, sampling, selecting, stats
+from tagloom.functions import ids
+from tagloom.operators import boundaries, documents, labels, merging, sampling, selecting, stats
 from tagloom.plans import export, metadata, steps
 from tagloom.schema import ANNOTATIONS, sequence_schema, tagsets_of
-from tagloom.sources import archives, conll, readers, store
+from tagloom.sources import archives, columnar, conll, readers, store
 
 ANN = ANNOTATIONS.simpleString()
 
@@ -355,6 +356,61 @@ def test_plan_rules():
     assert steps.split_order(["x", "test", "train"]) == ["train", "test", "x"]
 
 
+def test_nested_plans(spark, tmp_path):
+    write(tmp_path / "a.txt", "Anna\tB-PER\n")
+    one = lambda split: steps.Step("data_pipe", {"steps": [steps.Step("splits", {"splits": {split: "a.txt"}}), steps.Step("convert", {"reader": "conll"})]})
+    before = steps.State(tmp_path)
+    after = steps.Plan([one("train"), one("test")]).run(spark, before)
+    assert sorted(after.rows) == ["test", "train"] and after.done == {"data_pipe"} and not before.rows
+    with pytest.raises(steps.PlanError, match="there already"):
+        steps.Plan([one("train"), one("train")]).run(spark, before)
+    with pytest.raises(steps.PlanError, match="a second 'convert' step, at position 1"):
+        steps.Plan(kinds("git", "convert", "convert", "metadata")[:3])
+
+
+def test_normalised_splits(spark, tmp_path):
+    def parts(splits, **naming):
+        found = list(columnar.normalised({k: spark.createDataFrame(v, "x int, lang string") for k, v in splits.items()}, columnar.Naming(**naming)))
+        return [(p.split, p.language, p.subset, sorted(r.x for r in p.rows.collect())) for p in found]
+
+    one = {"tr": [(1, "a"), (2, "a")], "dev": [(3, "b"), (4, "c"), (5, "b")]}
+    assert parts(one, train="tr", validation="dev", language="eng") == [("train", "eng", (), [1, 2]), ("validation", "eng", (), [3, 4, 5])]
+    got = parts(one, train="tr", validation="dev", language_column="lang", subset="s", only_subset=False)
+    s = ("s", None)
+    assert got == [("train", "a", (s,), [1, 2]), ("validation", "b", (s, ("b", "language")), [3, 5]), ("validation", "c", (s, ("c", "language")), [4])]
+    named = {"train_2019_deu": [(1, "a")], "dev_2020": [(2, "b")]}
+    pattern = r"(?P<split>[a-z]+)_(?P<year>\d+)(_(?P<language>[a-z]+))?"
+    got = parts(named, validation="dev", train=None, pattern=pattern, language="eng")
+    assert got == [("train", "deu", (("deu", "language"), ("2019", "year")), [1]), ("validation", "eng", (("2020", "year"),), [2])]
+    got = parts({"train": [(1, "a")]}, subset="en-x", subset_pattern="(?P<language>[a-z]+)-x")
+    assert got == [("train", "en", (("en-x", "language"),), [1])]
+    for bad in ({"language": None}, {"pattern": "(?P<split>x)", "language": "e"}, {"pattern": "(?P<split>.*)"}, {"pattern": "(?P<split>.*?)(?P<town>.*)", "language": "e"}, {"subset_pattern": "(?P<language>z)"}):
+        with pytest.raises(ValueError):
+            parts({"train": [(1, "a")]}, **bad)
+    spark.createDataFrame([(["a"], ["B-x"], "p"), (["b"], ["O"], "q")], "tokens array<string>, tags array<string>, lang string").write.parquet(f"{tmp_path}/t")
+    plan = [steps.Step("columns", {"splits": {"train": "tr", "language_column": "lang"}})]
+    after = steps.Plan(plan, "huggingface").run(spark, steps.State(tmp_path, files={"tr": [f"{tmp_path}/t"]}))
+    assert {k: v.count() for k, v in after.rows.items()} == {"p/train": 1, "q/train": 1}
+
+
+def test_boundary_tables(spark, rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(boundaries, "RANGE", 2)
+    more = rows.withColumn("sentence_offsets", F.array(F.struct(F.lit(0).cast("long").alias("start"), F.length("text").cast("long").alias("stop"))))
+    want = [(r.document_index, r.document_position, i) for i, r in enumerate(rows.orderBy("document_index", "document_position").collect())]
+    got = boundaries.numbered(rows).select("document_index", "document_position", "sequence_index").orderBy("sequence_index").collect()
+    assert [tuple(r) for r in got] == want
+    boundaries.write_boundaries(more, str(tmp_path / "b"), "demo.parquet")
+    table = boundaries.read_boundaries(spark, str(tmp_path / "b"))
+    ids_ = {r.sequence_index: bytes(r.sequence_id) for r in table.collect()}
+    assert ids_[3] == bytes(spark.range(1).select(ids.segment_id(F.lit("demo.parquet"), F.lit(3)).alias("x")).first().x)
+    found = boundaries.with_boundaries(rows, table).collect()
+    assert len(found) == 5 and all(tuple(r.sentence_offsets[0]) == (0, len(r.text)) for r in found)
+    split = documents.split_sentences(boundaries.with_boundaries(rows.fillna("").withColumn("ner", F.coalesce("ner", F.array().cast(ANN))), table))
+    assert split.count() == 5
+    with pytest.raises(Exception, match="no sentence boundaries"):
+        boundaries.with_boundaries(rows, table.where("sequence_index <> 2")).collect()
+
+
 def test_build_export_and_list(spark, tmp_path, capsys):
     source = tmp_path / "src"
     write(source / "train.txt", "Anna\tB-PER\nsat\tO\n\nRome\tB-LOC\n")
@@ -392,25 +448,60 @@ def test_build_export_and_list(spark, tmp_path, capsys):
     assert merged.count() == 3
 
 
-def test_cascade_and_selectors():
-    s = metadata.Selector.parse
-    assert s("a.*.train").matches(["a", "x"], "train") and not s("a.*.train").matches(["a"], "train")
-    assert s("train").split is None and s("a.test").specificity() == (1, 1) and s("*.a").specificity() == (0, 1)
+def test_selectors():
+    fits = metadata.selects
+    assert fits("a.*.train", ["a", "x"], "train") and not fits("a.*.train", ["a"], "train") and not fits("a.*.train", ["a", "x"], "test")
+    assert fits("train", ["train"], "test") and fits("a", ["a"], "dev") and not fits("a", ["ab"], "dev") and not fits("a", ["a", "b"], "dev")
+    assert fits("x.dev", ["x", "dev"], "test") and fits("a+b.test", ["a+b"], "test") and not fits("a+b", ["aab"], "test")
+    assert metadata.compiled("a.test")[1:] == (1, 1) and metadata.compiled("*.a")[1:] == (0, 1) and metadata.compiled("train")[1:] == (0, 1)
+
+
+def folded(entries, path, split):
+    """From the least to the most specific entry, each laid over what was there."""
+    found = []
+    for entry in entries:
+        ranks = [metadata.compiled(s)[1:] for s in entry.get("split") or [] if metadata.selects(s, path, split)]
+        if not entry.get("split") or ranks:
+            found.append((max(ranks, default=(0, 0)), entry))
+    out = {}
+    for _, entry in sorted(found, key=lambda x: x[0]):
+        for k, v in entry.items():
+            if k == "annotation":
+                out[k] = out.get(k, {}) | {a: b for a, b in v.items() if b is not None}
+            elif k != "split" and v is not None:
+                out[k] = v
+    return out
+
+
+def test_cascade(spark):
     entries = [
         {"split": ["*"], "annotation": {"type": "gold", "annotator_count": 2}},
-        {"license": "A", "annotation": {"type": "silver", "agreement": 0.5}},
+        {"license": "A", "annotation": {"type": "silver", "agreement": 0.5}, "primary_domain": "news"},
         {"split": ["x.train", "x"], "license": "B"},
+        {"split": ["*.test"], "primary_domain": "web", "data_sources": ["p", "q"]},
+        {"split": ["x"], "license": {"text": "T", "annotations": "U"}},
     ]
-    assert metadata.cascade(entries, ["x"], "train") == {"license": "B", "annotation": {"type": "silver", "annotator_count": 2, "features": None, "agreement": 0.5}} or True
-    assert metadata.cascade(entries, ["y"], "train")["license"] == "A"
-    assert metadata.cascade(entries, ["x"], "test")["license"] == "B"
+    places = [([p], s) for p in ("x", "y.z", "y") for s in ("train", "test")] + [([], "train"), (["x", "y"], "test")]
+    for path, split in places:
+        assert metadata.cascade(entries, path, split) == folded(entries, path, split)
+    df = spark.createDataFrame(places, "subset array<string>, split string")
+    for r in metadata.cascades(df, entries).collect():
+        said = {k: json.loads(v) for k, v in (r.said or {}).items()}
+        assert metadata._nested(said) == folded(entries, r.subset, r.split)
+    assert metadata.cascades(df.limit(0), entries).count() == 0
     with pytest.raises(ValueError):
         metadata.cascade([{"nothing": 1}], ["x"], "train")
+
+
+def test_licenses_profiles_and_references():
     assert metadata.licenses({"license": {"annotations": "B", "text": {"a": "A", "b": "B"}}}) == ["A", "B"]
     assert metadata.licenses({}) == []
     assert metadata.resolve(["p", "c"], {"a", "b", "c"}, {"p": ["a"]}) == {"a", "c"}
     with pytest.raises(ValueError, match="unknown"):
         metadata.resolve(["z"], {"a"})
+    assert {k: len(v) for k, v in metadata.PROFILES.items()} == {"open": 43, "non-proprietary-eval": 58, "non-proprietary": 59, "full": 60}
+    assert metadata.resolve(["open", "WikiANN"], set(metadata.PROFILES["full"])) == {*metadata.PROFILES["open"], "WikiANN"}
+    assert metadata.resolve(None, {"a"}) == {"a"}
     entries = {"own": "O", "k": "K", "always": "W"}
     assert metadata.references({"d": ["k"]}, entries, "own") == ["O", "K", "W"]
     assert metadata.references({"d": ["k"]}, entries, "own", [], "always") == ["O", "W"]
