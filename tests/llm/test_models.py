@@ -272,63 +272,152 @@ def test_language_model_learns_context(spark):
     assert recurrent_lm.score(empty_docs(spark)).count() == 0
 
 
-def tiny_model():
-    known = {recurrent_lm.END: 0, "a": 1, "b": 2}
-    table = (np.array([2, 0, 1]), np.zeros(3), np.zeros(3), np.array([1, 1, 1]))
-    first = 3
-    prior = np.full(first + recurrent_lm.TAIL, 1 / (first + recurrent_lm.TAIL))
-    w = recurrent_lm.initial(prior, 5)
-    return recurrent_lm.Model(known, table, np.zeros(recurrent_lm.TAIL), first, 3, 3, w)
+def small_weights(dtype=np.float32):
+    """Three classes of four slots, of which one doesn't exist, and two classes of one: targets 0 to 13, and 14 starts a text."""
+    slots = np.arange(1, 13.0).reshape(3, 4)
+    slots[1, 2] = 0
+    return {k: v.astype(dtype) for k, v in recurrent_lm.initial(np.arange(1, 6.0), slots, 5).items()}
+
+
+def plain_probabilities(w, h):
+    """P(slot | state) of all slots, in plain steps."""
+    soft = lambda v: np.exp(v - v.max()) / np.exp(v - v.max()).sum()
+    classes = soft(h @ w["leave"] + w["bias"])
+    full = len(w["inner"])
+    return np.concatenate([*(classes[c] * soft(h @ w["inner"][c] + w["tilt"][c]) for c in range(full)), classes[full:]])
+
+
+def plain_step(w, x, h):
+    k = len(h)
+    a, u = w["embed"][x] @ w["enter"] + w["shift"], h @ w["turn"]
+    z, r = (1 / (1 + np.exp(-(a + u)[i * k : (i + 1) * k])) for i in (0, 1))
+    n = np.tanh(a[2 * k :] + r * u[2 * k :])
+    return z * h + (1 - z) * n
 
 
 def test_state_is_carried_through_whole_texts(monkeypatch):
-    m = tiny_model()
+    w = small_weights()
     r = np.random.default_rng(0)
-    codes = [r.integers(0, 17, k) for k in (1, 7, 200, 3, 200)]
+    real = np.delete(np.arange(14), 6)
+    codes = [r.choice(real, k) for k in (1, 7, 200, 3, 200)]
     bounds = np.r_[0, np.cumsum([len(c) for c in codes])]
     want = []
     for c in codes:
-        h, x, total = np.zeros((1, 5), np.float32), np.array([17]), 0.0
+        h, x, total = np.zeros(5), 14, 0.0
         for y in c:
-            h = recurrent_lm.step(m.weights, x, h)
-            logits = (h @ m.weights["leave"] + m.weights["bias"])[0]
-            total += logits[y] - np.log(np.exp(logits).sum())
-            x = np.array([y])
+            h = plain_step(w, x, h)
+            p = plain_probabilities(w, h)
+            assert p.sum() == pytest.approx(1) and p[6] == 0
+            total += np.log(p[y])
+            x = y
         want.append(total)
     for rows in (1, 50, 10**6):
         monkeypatch.setattr(recurrent_lm, "OUTPUT_ROWS", rows)
-        assert recurrent_lm.log_likelihoods(m.weights, np.concatenate(codes), bounds) == pytest.approx(want, rel=1e-4)
+        assert recurrent_lm.log_likelihoods(w, np.concatenate(codes), bounds) == pytest.approx(want, rel=1e-4)
+
+
+def test_large_logits_stay_finite():
+    w = small_weights()
+    w["leave"], w["inner"] = w["leave"] * 1e5, w["inner"] * 1e5
+    r = np.random.default_rng(0)
+    codes = r.choice(np.delete(np.arange(14), 6), 50)
+    assert np.isfinite(recurrent_lm.log_likelihoods(w, codes, np.array([0, 50]))).all()
+
+
+def odd_model(spark):
+    docs = odd_docs(spark).selectExpr("doc_id as id", "coalesce(text, '') as text", "false as held_out")
+    counts = recurrent_lm.count_words(docs.select("text"), recurrent_lm.fit_kinds(np.random.default_rng(1).random((50, 90)), recurrent_lm.KINDS))
+    return docs, counts, recurrent_lm.build(counts, 40)
+
+
+def test_probabilities_of_all_words_sum_to_one(spark):
+    _, counts, m = odd_model(spark)
+    rows = counts.collect()
+    w = {k: v + np.random.default_rng(2).normal(0, 0.1, v.shape).astype(np.float32) for k, v in m.weights.items()}
+    for h in np.random.default_rng(3).uniform(-1, 1, (3, recurrent_lm.HIDDEN)):
+        p = plain_probabilities(w, h)
+        total = sum(p[s] * 10**i for s, i in zip(*m.of_code[:2], strict=True))
+        rare = [(r.word, r.n) for r in rows if r.word not in m.known]
+        assert rare and len(m.known) <= 40
+        for shape, (_, n) in zip(recurrent_lm.shapes([x for x, _ in rare]), rare, strict=True):
+            total += p[recurrent_lm.FIRST_TAIL + shape] * (n + 1) / 10 ** m.tail[shape]
+        for shape in range(recurrent_lm.TAIL):  # the unknown word of each shape
+            total += p[recurrent_lm.FIRST_TAIL + shape] / 10 ** m.tail[shape]
+        assert total == pytest.approx(1, abs=1e-5)
+
+
+def test_score_against_plain_steps(spark):
+    """Texts of known, rare and unknown words: log10 of the three factors, step by step."""
+    _, counts, m = odd_model(spark)
+    n = {r.word: r.n for r in counts.collect()}
+    texts = [None, "", "w1 w2 Émile", "never Seen w3 日本語 zzz", odd_rows()[8][1]]
+    docs = spark.createDataFrame([(i, t or "", False) for i, t in enumerate(texts)], "id long, text string, held_out boolean")
+    for r in recurrent_lm.coded_documents(docs, m).collect():
+        h, x, total, inside = np.zeros(recurrent_lm.HIDDEN), recurrent_lm.START, 0.0, 0.0
+        words_ = [*lower(texts[r.id]), recurrent_lm.END]
+        for word in words_:
+            h = plain_step(m.weights, x, h)
+            if word in m.known:
+                x = m.of_code[0][m.known[word]]
+                inside += m.of_code[1][m.known[word]]
+            else:
+                shape = recurrent_lm.shapes([word])[0]
+                x = recurrent_lm.FIRST_TAIL + shape
+                inside += np.log10(n.get(word, 0) + 1) - m.tail[shape]
+            total += np.log10(plain_probabilities(m.weights, h)[x])
+        found = recurrent_lm.log_likelihoods(m.weights, recurrent_lm.unpacked(r.codes), np.array([0, len(r.codes) // 2]))[0] / np.log(10)
+        hashed = {int(x): w for w, x in zip(words_, recurrent_lm.hash_words(pa.array(words_)).view(np.int64), strict=True)}
+        rest = sum(t.k * np.log10(n.get(hashed[t.h], 0) + 1) for t in r.tail)
+        assert found == pytest.approx(total, rel=1e-4)
+        assert r.inside + rest == pytest.approx(inside)
 
 
 def test_training_uses_every_word_of_every_document(spark, monkeypatch):
-    m = tiny_model()
-    texts = [" ".join("ab"[i % 2] for i in range(n)) for n in (1, 40, 700, 5)]
-    docs = spark.createDataFrame([*enumerate(texts), (9, "")], "id long, text string")
-    got = sorted(len(r.codes) for r in recurrent_lm.sequences(docs, m).collect())
-    assert got == sorted([len(t.split()) + 2 for t in texts] + [2])  # the start, the words, the end
+    _, _, m = odd_model(spark)
+    texts = [" ".join(f"w{i % 7}" for i in range(n)) for n in (1, 40, 700, 5)]
+    docs = spark.createDataFrame([(i, t, False) for i, t in enumerate([*texts, ""])], "id long, text string, held_out boolean")
+    got = sorted(len(r.codes) // 2 for r in recurrent_lm.coded_documents(docs, m).collect())
+    assert got == sorted([len(t.split()) + 1 for t in texts] + [1])  # the words and the end
     r, seen = np.random.default_rng(4), []
     plain = recurrent_lm.gradients
+    monkeypatch.setattr(recurrent_lm, "STREAMS", 8)
     monkeypatch.setattr(recurrent_lm, "gradients", lambda w, x, y, fresh, h: seen.append((x, y)) or plain(w, x, y, fresh, h))
-    codes = [np.r_[17, r.integers(0, 17, size)] for size in (5, 3000, 1, 700)]
-    recurrent_lm.train_shard(m.weights, codes, 1, 0.01, 0)
+    codes = [np.r_[14, r.choice(np.delete(np.arange(14), 6), size)] for size in (5, 3000, 1, 700)]
+    recurrent_lm.train_shard(small_weights(), codes, 1)
     pairs = lambda x, y: Counter(zip(x.tolist(), y.tolist(), strict=True))
     want = sum((pairs(c[:-1], c[1:]) for c in codes), Counter())
     had = sum((pairs(x.reshape(-1), y.reshape(-1)) for x, y in seen), Counter())
-    assert had >= want and len(seen) == math.ceil(3706 / (recurrent_lm.BACK * recurrent_lm.STREAMS))
+    assert had >= want and len(seen) == math.ceil(3706 / (recurrent_lm.BACK * 8))
+
+
+def test_several_shards_train(spark, monkeypatch):
+    docs, _, m = odd_model(spark)
+    coded = recurrent_lm.keep(recurrent_lm.coded_documents(docs, m), "coded")
+    monkeypatch.setattr(recurrent_lm, "SHARD_WORDS", 4000)
+    monkeypatch.setattr(recurrent_lm, "LEAST", 1)
+    out = recurrent_lm.fit(coded.select("id", "codes"), m)
+    assert all(np.isfinite(v[v > -1e29]).all() for v in out.weights.values())
+    assert any((out.weights[k] != m.weights[k]).any() for k in m.weights)
 
 
 def test_gradients_against_differences():
-    m = tiny_model()
-    w = {k: v.astype(np.float64) for k, v in m.weights.items()}
+    w = small_weights(np.float64)
     r = np.random.default_rng(1)
-    x, y = r.integers(0, 18, (6, 3)), r.integers(0, 17, (6, 3))
+    real = np.delete(np.arange(14), 6)
+    x, y = r.choice(np.append(real, 14), (6, 3)), r.choice(real, (6, 3))
     fresh = np.zeros((6, 3), bool)
     fresh[0] = fresh[3, 1] = True
     h = np.zeros((3, 5))
     grad, _, _ = recurrent_lm.gradients(w, x, y, fresh, h)
+    rows, values = grad["embed"]
+    grad["embed"] = np.zeros_like(w["embed"])
+    grad["embed"][rows] = values
     for name in w:
-        for at in list(np.ndindex(w[name].shape))[:: max(1, w[name].size // 7)]:
+        for at in list(np.ndindex(w[name].shape))[:: max(1, w[name].size // 23)]:
             kept = w[name][at]
+            if kept < -1e29:
+                assert grad[name][at] == 0
+                continue
             w[name][at] = kept + 1e-5
             up = recurrent_lm.gradients(w, x, y, fresh, h)[2]
             w[name][at] = kept - 1e-5
