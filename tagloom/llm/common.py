@@ -13,7 +13,6 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -135,10 +134,74 @@ def split_words(texts: pa.Array, lower: bool = False) -> Words:
     return Words(coded.indices.to_numpy(zero_copy_only=False), bounds, coded.dictionary)
 
 
-def hash_words(vocabulary: pa.Array) -> np.ndarray:
-    """A 64-bit hash of each word."""
-    digest = xxhash.xxh3_64_intdigest
-    return np.fromiter((digest(w) for w in vocabulary.to_pylist()), np.uint64, len(vocabulary))
+_ROW = 64
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[[32, *range(9, 14)]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+#: A random number for each byte at each place of a row, and a factor for each row of a word.
+_PLACES = np.random.default_rng(20_000).integers(0, 1 << 64, (_ROW, 256), dtype=np.uint64).reshape(-1)
+with np.errstate(over="ignore"):
+    _FACTORS = np.cumprod(np.concatenate([[np.uint64(1)], np.full(1 << 14, np.uint64(0x9E3779B97F4A7C15))]), dtype=np.uint64)
+
+
+class Spread(NamedTuple):
+    """Bytes of all texts in a row (in lower case if asked for); the places of those in words; where in these each word begins
+    (with the end); how many words stand before each text (with the end); and a 64-bit hash of each word."""
+
+    raw: np.ndarray
+    place: np.ndarray
+    begins: np.ndarray
+    offsets: np.ndarray
+    hashes: np.ndarray
+
+    def joined(self) -> tuple[np.ndarray, np.ndarray]:
+        """All words as bytes, each with a blank after it, and where each begins (with the end)."""
+        starts = self.begins + np.arange(len(self.begins))
+        out = np.full(starts[-1], 32, np.uint8)
+        mask = np.ones(len(out), bool)
+        mask[starts[1:] - 1] = False
+        out[mask] = self.raw[self.place]
+        return out, starts
+
+
+def hashed_words(texts: pa.Array, lower: bool = False) -> Spread:
+    """The words of split_words by their hashes alone, from the bytes of the texts: no string is made."""
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    raw = np.frombuffer(texts.buffers()[2], np.uint8)[ends[0] : ends[-1]] if len(texts) and texts.buffers()[2] else np.empty(0, np.uint8)
+    ends = ends - ends[0]
+    if lower:
+        raw = _LOWER[raw]
+    inside = ~_IS_SPACE[raw]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    texts_begin = ends[:-1][ends[:-1] < len(raw)]
+    begins[texts_begin] = inside[texts_begin]
+    narrow = np.int32 if len(raw) < 1 << 24 else np.int64
+    place = np.flatnonzero(inside).astype(narrow)
+    first = np.flatnonzero(begins[place])
+    size = np.diff(np.append(first, len(place)))
+    at = np.arange(len(place), dtype=narrow) - np.repeat(first.astype(narrow), size)
+    values = _PLACES[((at & (_ROW - 1)) << 8) + raw[place]]
+    with np.errstate(over="ignore"):
+        if len(size) and size.max() > _ROW:
+            far = np.flatnonzero(at >= _ROW)
+            values[far] *= _FACTORS[np.minimum(at[far] // _ROW, len(_FACTORS) - 1)]
+        sums = np.add.reduceat(values, first) if len(first) else np.empty(0, np.uint64)
+        hashes = mixed(sums + size.astype(np.uint64))
+    return Spread(raw, place, np.append(first, len(place)), np.searchsorted(place[first], ends), hashes)
+
+
+def hash_words(words: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each word of an array, the same as in hashed_words. An empty word has one of its own."""
+    found = hashed_words(words)
+    size = np.diff(found.offsets)
+    if (size > 1).any():
+        raise ValueError("these aren't words")
+    out = np.full(len(size), np.uint64(0x2545F4914F6CDD1D))
+    out[size > 0] = found.hashes
+    return out
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -216,6 +279,34 @@ def most_frequent(counted: DataFrame, column: str, at_most: int) -> DataFrame:
     return counted.where(bin_ >= bound) if bound is not None else counted.where("false")
 
 
+# --- joins on keys of which a few hold much of the rows --------------------------------------------------------------
+
+#: Rows of one key that make it hot, and how many hot keys every task knows at most, those of most rows.
+HOT_ROWS, HOT_KEYS = 10_000, 100_000
+
+
+def hot_keys(df: DataFrame, key: str) -> DataFrame | None:
+    """The keys of many rows: a table of HOT_KEYS rows at most, or None where there is none."""
+    counted = keep(df.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > HOT_ROWS), "hot")
+    return most_frequent(counted, "n", HOT_KEYS).select(key) if counted.limit(1).count() else None
+
+
+def join_skewed(big: DataFrame, small: DataFrame, key: str, hot: DataFrame | None, how: str = "inner") -> DataFrame:
+    """big joined with small, which has one row for each key. Rows of hot keys stay where they are: what they meet is sent to
+    all tasks, a row for each of HOT_KEYS keys at most. how: inner or left."""
+    if hot is None:
+        return big.join(small, key, how)
+    hot = F.broadcast(hot)
+    near = big.join(hot, key, "left_semi").join(F.broadcast(small.join(hot, key, "left_semi")), key, how)
+    return near.unionByName(big.join(hot, key, "left_anti").join(small, key, how))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table, dealt out where its files make fewer tasks than there are cores; that only happens to small inputs."""
+    rows, cores = spark.read.parquet(f"{sf_dir}/{name}.parquet"), spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def spread(column: str) -> Column:
     """A 64-bit key for a filter from a column of any type."""
     return F.xxhash64(F.col(column))

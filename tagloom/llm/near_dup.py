@@ -25,11 +25,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import discard, dropping_shuffles, hash_words, keep, may_contain, membership, mixed, most_frequent, split_words, spread, steps, text_or_empty
+from .common import HOT_KEYS, HOT_ROWS, discard, dropping_shuffles, hashed_words, hot_keys, join_skewed, keep, may_contain, membership, mixed, most_frequent, spread, steps, table, text_or_empty
 
 SHINGLE, PERCENT = 4, 85
-#: In how many of its buckets a group is compared with one member at first.
-STARS = 6
+#: In how many of its buckets a group may meet one member at first, and with how many of these it is compared.
+STARS, CENTRES = 6, 2
 #: Bits of the sketch, and in how many of them sets may differ that are compared first. Of sets that link some five differ.
 SKETCH, UNLIKE = 64, 18
 #: n-grams in so many prefixes go to the end of the order, by their number; so many of them are known to all tasks at most.
@@ -49,8 +49,7 @@ def shingle_sets(texts: pa.Array, width: int = SHINGLE) -> Sets:
 
     A text of fewer words than `width` has its whole sequence as its one n-gram, and one without words has none.
     """
-    codes, offsets, vocabulary = split_words(texts, lower=True)
-    words = hash_words(vocabulary)[codes]
+    _, _, _, offsets, words = hashed_words(texts, lower=True)
     with np.errstate(over="ignore"):
         grams = np.full(max(0, len(words) - width + 1), np.uint64(width))
         for k in range(width):
@@ -188,24 +187,47 @@ def _sets_of(batches: Iterator[pa.RecordBatch], wanted, width: int) -> Iterator[
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, label: the smallest node reachable. edges: a, b. Labels spread along edges and then along themselves, so their
-    number of rounds grows with the logarithm of a component's width; each round is a table in the shared folder."""
-    both = edges.select("a", "b").union(edges.select("b", "a")).distinct()
-    both = keep(both, "edges")
-    labels = keep(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels")
-    while True:
-        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        met = labels.join(near, "node").select("node", "label", F.least("label", "near").alias("next"))
-        jump = labels.select(F.col("node").alias("next"), F.col("label").alias("far"))
-        after = met.join(jump, "next", "left").select(
-            "node", F.least("next", F.coalesce("far", "next")).alias("label"), F.col("label").alias("was")
-        )
-        after = keep(after, "labels")
-        discard(labels)
-        labels = after
-        if not after.where("label < was").limit(1).count():
-            discard(both)
-            return after.select("node", "label")
+    """node, label: the smallest node reachable. edges: a, b.
+
+    In each round every node points to its least neighbour, if that is less, and pointers are followed to their roots; edges
+    then run between roots, and those within one go. At least half of the nodes go each round, mostly all but a few. Each
+    round's tables are written to the shared folder; nodes of very many edges are told to all tasks, so that their edges stay
+    where they are.
+    """
+    left = keep(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+    labels: DataFrame | None = None
+    while left.limit(1).count():
+        both = left.select(F.col("a").alias("node"), F.col("b").alias("near")).union(left.select("b", "a"))
+        kept = keep(both.groupBy("node").agg(F.least("node", F.min("near")).alias("root"), F.count("*").alias("n")), "roots")
+        first, hot = kept, most_frequent(kept.where(F.col("n") > HOT_ROWS), "n", HOT_KEYS).select("node")
+        hot = hot if hot.limit(1).count() else None
+        hot_as = lambda name: hot and hot.withColumnRenamed("node", name)  # noqa: B023, E731
+        while True:
+            up = kept.select(F.col("node").alias("root"), F.col("root").alias("up"))
+            after = join_skewed(kept.select("node", "root"), up, "root", hot_as("root")).select("node", F.col("up").alias("root"), F.col("root").alias("was"))
+            after = keep(after, "roots")
+            if kept is not first:  # which hot nodes are read from
+                discard(kept)
+            kept = after
+            if not kept.where("root <> was").limit(1).count():
+                break
+        roots = kept.select("node", "root")
+        if labels is None:
+            labels = keep(roots.withColumnRenamed("root", "label"), "labels")
+        else:  # what pointed to a root of the rounds before points to that one's root now
+            up = roots.withColumnsRenamed({"node": "label", "root": "far"})
+            after = join_skewed(labels, up, "label", hot_keys(labels, "label"), "left").select("node", F.coalesce("far", "label").alias("label"))
+            after = keep(after, "labels")
+            discard(labels)
+            labels = after
+        moved = left
+        for side in ("a", "b"):
+            moved = join_skewed(moved, roots.withColumnsRenamed({"node": side, "root": f"{side}_root"}), side, hot_as(side))
+        ends = [F.col("a_root"), F.col("b_root")]
+        after = keep(moved.where("a_root <> b_root").select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).distinct(), "edges")
+        discard(left, kept, first)
+        left = after
+    return labels if labels is not None else left.select(F.col("a").alias("node"), F.col("b").alias("label"))
 
 
 class _Join:
@@ -270,7 +292,7 @@ class _Join:
         return (100 * F.least(n, m) >= p * F.greatest(n, m)) & ((100 + p) * most >= p * (n + m))
 
     def stars(self) -> DataFrame:
-        """Pairs of groups (a, b): each group with the centres of its first STARS buckets."""
+        """Pairs of groups (a, b): each group with the most alike of the centres of its first STARS buckets."""
         postings = self.postings.where(F.col("nth") < STARS)
         turn = F.pmod(F.col("gram"), F.lit(STARS))
         chance = F.xxhash64("gid", turn)
@@ -281,9 +303,10 @@ class _Join:
         centres = postings.groupBy("gram").agg(F.min(drawn).alias("c"), F.count("*").alias("k")).where("k > 1")
         centres = centres.select("gram", *(F.col(f"c.{x}").alias(x) for x in ("gid", "n", "at", "sketch")))
         a, b = centres.alias("a"), postings.alias("b")
-        alike = F.bit_count(F.col("a.sketch").bitwiseXOR(F.col("b.sketch"))) <= UNLIKE
-        met = a.join(b, (F.col("a.gram") == F.col("b.gram")) & (F.col("a.gid") != F.col("b.gid")) & alike & self.possible("a", "b"))
-        return met.select(F.col("a.gid").alias("a"), F.col("b.gid").alias("b")).distinct()
+        differ = F.bit_count(F.col("a.sketch").bitwiseXOR(F.col("b.sketch")))
+        met = a.join(b, (F.col("a.gram") == F.col("b.gram")) & (F.col("a.gid") != F.col("b.gid")) & (differ <= UNLIKE) & self.possible("a", "b"))
+        nearest = met.groupBy(F.col("b.gid").alias("b")).agg(F.array_sort(F.collect_set(F.struct(differ.alias("d"), F.col("a.gid").alias("a")))).alias("x"))
+        return nearest.select("b", F.explode(F.slice("x", 1, CENTRES)).alias("x")).select("x.a", "b")
 
     def expanded(self, pairs: DataFrame) -> DataFrame:
         """Pairs of members of pairs of groups: the first member of a with every member of b."""
@@ -342,20 +365,21 @@ class _Join:
         right = held.select(F.col("gid").alias("b"), F.col("node").alias("y"), F.col("label").alias("ly"))
         cross = groups.join(left, "a").join(right, "b").where("lx <> ly").select("x", "y")  # SMALL_BUCKET members on either side at most
         # A group whose members aren't yet in one component is a bucket of its own.
-        own = span.where("lo < hi").select(F.col("gid").alias("gram"), F.lit(0).alias("at"), "gid").join(self.members.select("gid", "n").distinct(), "gid")
-        large = posted.where(F.col("k") > SMALL_BUCKET).select("gram", "at", "gid", "n")
-        return cross.union(self.weighed(large, held)).union(self.weighed(own.select("gram", "at", "gid", "n"), held))
+        own = span.where("lo < hi").select(F.col("gid").alias("gram"), F.lit(0).alias("at"), "gid", F.col("m").alias("k")).join(self.members.select("gid", "n").distinct(), "gid")
+        large = posted.where(F.col("k") > SMALL_BUCKET).select("gram", "at", "gid", "n", "k")
+        return cross.union(self.weighed(large, held)).union(self.weighed(own.select("gram", "at", "gid", "n", "k"), held))
 
     def weighed(self, posted: DataFrame, held: DataFrame) -> DataFrame:
-        """Pairs (x, y) of large buckets, of different components, that may link. posted: gram, at, gid, n.
+        """Pairs (x, y) of large buckets, of different components, that may link. posted: gram, at, gid, n, k (members of the bucket).
 
-        Members are dealt by the size class of their sets, of which only neighbours can link, and within it into blocks. Each
-        pair of blocks is one group of 2 * BLOCK rows or so. A pair leaves only the first of the large buckets that it shares.
+        A bucket of up to BLOCK members is one group. Members of a larger one are dealt by the size class of their sets, of which
+        only neighbours can link, and within it into blocks; each pair of blocks is one group of 2 * BLOCK rows or so. A pair
+        leaves only the first of the large buckets that it shares.
         """
         order = F.sort_array(F.collect_list(F.struct("at", "gram")))
         lists = posted.groupBy("gid").agg(F.transform(order, lambda x: x["gram"]).alias("grams"))
         size = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / self.percent)) - 1e-9).cast("int")
-        rows = posted.withColumn("size", size).join(held, "gid")
+        rows = posted.withColumn("size", F.when(F.col("k") > BLOCK, size).otherwise(0)).drop("k").join(held, "gid")
         classes = rows.groupBy("gram", "size").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
         below = W.partitionBy("gram").orderBy("size")
         next_ = lambda c, by: F.when(F.lead("size", by).over(below) == F.col("size") + by, F.lead(c, by).over(below))
@@ -385,35 +409,45 @@ class _Join:
         def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
             none = np.empty(0, np.int64)
             out_x, out_y = [none], [none]
-            first, second = (rows[rows["side"].isin((side, 2))].sort_values("node") for side in (0, 1))
-            if len(first) and len(second) and rows["label"].nunique() > 1:
-                within = (rows["side"] == 2).any()
-                n, at, label, node = (second[c].to_numpy(np.int64) for c in ("n", "at", "label", "node"))
-                parts = np.frombuffer(b"".join(second["parts"]), np.uint8).reshape(-1, PARTS)
-                rough = parts.reshape(-1, COARSE, PARTS // COARSE).sum(2, dtype=np.uint16)
-                full = (parts == 255).any(1)
-                held = [frozenset(g.tolist()) for g in second["grams"]]
-                for one in first.itertuples(index=False):
-                    need = percent * (n + one.n)
-                    near = (label != one.label) & ((100 + percent) * np.minimum(n - at, one.n - one.at) >= need)
-                    near &= 100 * np.minimum(n, one.n) >= percent * np.maximum(n, one.n)
+            side = rows["side"].to_numpy()
+            if (side != 1).any() and (side != 0).any() and rows["label"].nunique() > 1:
+                rows = rows.sort_values("n", kind="stable")
+                side = rows["side"].to_numpy()
+                within = (side == 2).any()
+                firsts, seconds = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+                all_n, all_at, all_label, all_node = (rows[c].to_numpy(np.int64) for c in ("n", "at", "label", "node"))
+                all_parts = np.frombuffer(b"".join(rows["parts"]), np.uint8).reshape(-1, PARTS)
+                all_rough = all_parts.reshape(-1, COARSE, PARTS // COARSE).sum(2, dtype=np.uint16)
+                all_full = (all_parts == 255).any(1)
+                grams = rows["grams"].tolist()
+                held: dict[int, frozenset] = {}
+                n = all_n[seconds]
+                low = np.searchsorted(n, -(-percent * all_n[firsts] // 100), "left")
+                high = np.searchsorted(n, 100 * all_n[firsts] // percent, "right")
+                for i, a, b in zip(firsts.tolist(), low.tolist(), high.tolist(), strict=True):
+                    place = seconds[a:b]  # of sizes that can link
+                    need = percent * (n[a:b] + all_n[i])
+                    near = (all_label[place] != all_label[i]) & ((100 + percent) * np.minimum(n[a:b] - all_at[place], all_n[i] - all_at[i]) >= need)
                     if within:
-                        near &= node > one.node
-                    place = np.flatnonzero(near)
+                        near &= all_node[place] > all_node[i]
+                    place, need = place[near], need[near]
                     if not len(place):
                         continue
-                    own = np.frombuffer(one.parts, np.uint8)
-                    any_full = full[place] | (own == 255).any()
-                    most = np.minimum(rough[place], own.reshape(COARSE, -1).sum(1, dtype=np.uint16)).sum(1, dtype=np.int64)
-                    good = any_full | ((100 + percent) * most >= need[place])
-                    place, any_full = place[good], any_full[good]
-                    most = np.minimum(parts[place], own).sum(1, dtype=np.int64)
-                    fits = place[any_full | ((100 + percent) * most >= need[place])]
-                    grams = one.grams.tolist()
-                    first_shared = (next(g for g in grams if g in held[i]) == key[0] for i in fits.tolist())
-                    fits = fits[np.fromiter(first_shared, bool, len(fits))]
-                    out_x.append(np.full(len(fits), one.node))
-                    out_y.append(node[fits])
+                    any_full = all_full[place] | all_full[i]
+                    most = np.minimum(all_rough[place], all_rough[i]).sum(1, dtype=np.int64)
+                    good = any_full | ((100 + percent) * most >= need)
+                    place, need, any_full = place[good], need[good], any_full[good]
+                    most = np.minimum(all_parts[place], all_parts[i]).sum(1, dtype=np.int64)
+                    fits = place[any_full | ((100 + percent) * most >= need)].tolist()
+                    if not fits:
+                        continue
+                    mine = grams[i].tolist()
+                    for j in fits:
+                        if j not in held:
+                            held[j] = frozenset(grams[j].tolist())
+                    fits = [j for j in fits if next(g for g in mine if g in held[j]) == key[0]]
+                    out_x.append(np.full(len(fits), all_node[i]))
+                    out_y.append(all_node[fits])
             return pd.DataFrame({"x": np.concatenate(out_x), "y": np.concatenate(out_y)})
 
         return rows.groupBy("gram", "low", "i", "j").applyInPandas(run, "x long, y long")
@@ -468,6 +502,25 @@ def drop_near_copies(
     return docs.join(stay, same, "left_semi").select(*docs.columns)
 
 
+SQL = r"""
+with recursive w as (
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws from documents
+),
+t as (select doc_id, unnest(ws) as word, unnest(range(len(ws))) as i from w),
+g as (select doc_id, string_agg(word, ' ') over k as gram, count(*) over k as size, count(*) over (partition by doc_id) as n
+      from t window k as (partition by doc_id order by i rows between current row and 3 following)),
+s as (select distinct doc_id, gram from g where size = 4 or (n < 4 and size = n)),
+c as (select doc_id, count(*) as n from s group by doc_id),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as k from s a join s b on a.gram = b.gram and a.doc_id < b.doc_id group by a.doc_id, b.doc_id),
+e as (select a, b from p join c x on x.doc_id = a join c y on y.doc_id = b where 100 * k >= 85 * (x.n + y.n - k)),
+both_ways as (select a, b from e union all select b, a from e),
+reach as (select doc_id as a, doc_id as b from documents union select r.a, f.b from reach r join both_ways f on f.a = r.b)
+select d.doc_id, coalesce(c.n, 0) as n_shingles, m.component_id
+from documents d left join c using (doc_id) join (select a as doc_id, min(b) as component_id from reach group by a) m using (doc_id)
+"""
+
+
 def op7_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
-    found = near_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    found = near_components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")

@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tagloom.llm import near_dup, substring_dedup
+from tagloom.llm import common, near_dup, substring_dedup
 from tagloom.llm.common import may_contain, membership, rolled
 
 from .fixtures import empty_docs, odd_docs, odd_rows, words
@@ -99,6 +99,41 @@ def test_long_chain_of_labels(spark):
     assert len(labels) == 301
 
 
+@pytest.mark.parametrize("rows", [10_000, 3])
+def test_components_of_random_edges(spark, monkeypatch, rows):
+    """rows: edges of a node that is told to all tasks."""
+    monkeypatch.setattr(near_dup, "HOT_ROWS", rows)
+    monkeypatch.setattr(common, "HOT_ROWS", rows)
+    r = random.Random(rows)
+    edges = [(r.randrange(150), r.randrange(150)) for _ in range(90)] + [(200, i) for i in range(200, 240)] + [(300 + i, 299 + i) for i in range(60)]
+    root = list(range(400))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in edges:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    got = {x.node: x.label for x in near_dup.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {i: find(i) for e in edges for i in e if e[0] != e[1]} | {i: find(i) for i in got}
+    assert near_dup.components(spark.createDataFrame([(1, 1)], "a long, b long")).count() == 0
+
+
+def test_hashed_words_are_the_words(spark):
+    texts = odd_rows()
+    texts = [r[1] for r in texts] + ["x" * 5000, "y" * 64 + "z" * 64, "z" * 64 + "y" * 64, "A", "a", "\x0b\x0c a\x1fb ", "é\u3000é É"]
+    for lower in (False, True):
+        for a, b in ((0, len(texts)), (3, 20)):
+            array = pa.array(texts, pa.string()).slice(a, b - a)
+            codes, offsets, vocabulary = common.split_words(array, lower)
+            found = common.hashed_words(array, lower)
+            assert found.offsets.tolist() == offsets.tolist()
+            pairs = set(zip(codes.tolist(), found.hashes.tolist(), strict=True))
+            assert len(pairs) == len(vocabulary) == len({h for _, h in pairs})
+
+
 def test_drop_near_copies(spark):
     texts = family(3)
     left = near_dup.drop_near_copies(odd_docs(spark, texts))
