@@ -10,21 +10,36 @@ SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
 PUNCTUATION, NUMBER = r"^\p{P}+$", r"^\p{P}*\p{N}[\p{N}\p{P}]*$"
 #: Separators of the plain word splitter.
 WORD_BREAK = r"[ \t\n\r\f]+"
-#: Two-letter codes and their three-letter forms.
+# Two-letter codes of languages and their three-letter forms.
 LANGUAGE_CODES = {
-    "ar": "ara", "bg": "bul", "bn": "ben", "ca": "cat", "cs": "ces", "da": "dan", "de": "deu", "el": "ell", "en": "eng",
-    "es": "spa", "et": "est", "eu": "eus", "fa": "fas", "fi": "fin", "fr": "fra", "he": "heb", "hi": "hin", "hr": "hrv",
-    "hu": "hun", "hy": "hye", "id": "ind", "is": "isl", "it": "ita", "ja": "jpn", "ko": "kor", "la": "lat", "lt": "lit",
-    "lv": "lav", "nb": "nob", "nl": "nld", "nn": "nno", "no": "nor", "pl": "pol", "pt": "por", "ro": "ron", "ru": "rus",
-    "sk": "slk", "sl": "slv", "sr": "srp", "sv": "swe", "sw": "swa", "ta": "tam", "te": "tel", "th": "tha", "tr": "tur",
-    "uk": "ukr", "ur": "urd", "vi": "vie", "yo": "yor", "zh": "zho",
+    "aa": "aar", "ab": "abk", "ae": "ave", "af": "afr", "ak": "aka", "am": "amh", "an": "arg", "ar": "ara", "as": "asm", "av": "ava", "ay": "aym", "az": "aze",
+    "ba": "bak", "be": "bel", "bg": "bul", "bi": "bis", "bm": "bam", "bn": "ben", "bo": "bod", "br": "bre", "bs": "bos", "ca": "cat", "ce": "che", "ch": "cha",
+    "co": "cos", "cr": "cre", "cs": "ces", "cu": "chu", "cv": "chv", "cy": "cym", "da": "dan", "de": "deu", "dv": "div", "dz": "dzo", "ee": "ewe", "el": "ell",
+    "en": "eng", "eo": "epo", "es": "spa", "et": "est", "eu": "eus", "fa": "fas", "ff": "ful", "fi": "fin", "fj": "fij", "fo": "fao", "fr": "fra", "fy": "fry",
+    "ga": "gle", "gd": "gla", "gl": "glg", "gn": "grn", "gu": "guj", "gv": "glv", "ha": "hau", "he": "heb", "hi": "hin", "ho": "hmo", "hr": "hrv", "ht": "hat",
+    "hu": "hun", "hy": "hye", "hz": "her", "ia": "ina", "id": "ind", "ie": "ile", "ig": "ibo", "ii": "iii", "ik": "ipk", "io": "ido", "is": "isl", "it": "ita",
+    "iu": "iku", "ja": "jpn", "jv": "jav", "ka": "kat", "kg": "kon", "ki": "kik", "kj": "kua", "kk": "kaz", "kl": "kal", "km": "khm", "kn": "kan", "ko": "kor",
+    "kr": "kau", "ks": "kas", "ku": "kur", "kv": "kom", "kw": "cor", "ky": "kir", "la": "lat", "lb": "ltz", "lg": "lug", "li": "lim", "ln": "lin", "lo": "lao",
+    "lt": "lit", "lu": "lub", "lv": "lav", "mg": "mlg", "mh": "mah", "mi": "mri", "mk": "mkd", "ml": "mal", "mn": "mon", "mr": "mar", "ms": "msa", "mt": "mlt",
+    "my": "mya", "na": "nau", "nb": "nob", "nd": "nde", "ne": "nep", "ng": "ndo", "nl": "nld", "nn": "nno", "no": "nor", "nr": "nbl", "nv": "nav", "ny": "nya",
+    "oc": "oci", "oj": "oji", "om": "orm", "or": "ori", "os": "oss", "pa": "pan", "pi": "pli", "pl": "pol", "ps": "pus", "pt": "por", "qu": "que", "rm": "roh",
+    "rn": "run", "ro": "ron", "ru": "rus", "rw": "kin", "sa": "san", "sc": "srd", "sd": "snd", "se": "sme", "sg": "sag", "si": "sin", "sk": "slk", "sl": "slv",
+    "sm": "smo", "sn": "sna", "so": "som", "sq": "sqi", "sr": "srp", "ss": "ssw", "st": "sot", "su": "sun", "sv": "swe", "sw": "swa", "ta": "tam", "te": "tel",
+    "tg": "tgk", "th": "tha", "ti": "tir", "tk": "tuk", "tl": "tgl", "tn": "tsn", "to": "ton", "tr": "tur", "ts": "tso", "tt": "tat", "tw": "twi", "ty": "tah",
+    "ug": "uig", "uk": "ukr", "ur": "urd", "uz": "uzb", "ve": "ven", "vi": "vie", "vo": "vol", "wa": "wln", "wo": "wol", "xh": "xho", "yi": "yid", "yo": "yor",
+    "za": "zha", "zh": "zho", "zu": "zul",
 }
-#: Usual scripts by three-letter code, for names of tokenizers.
-SCRIPTS = {
-    "ara": "Arab", "ben": "Beng", "bul": "Cyrl", "cmn": "Hani", "ell": "Grek", "fas": "Arab", "heb": "Hebr", "hin": "Deva",
-    "hye": "Armn", "jpn": "Jpan", "kor": "Hang", "rus": "Cyrl", "srp": "Cyrl", "tam": "Taml", "tel": "Telu", "tha": "Thai",
-    "ukr": "Cyrl", "urd": "Arab",
+# Usual scripts other than Latin, and the three-letter codes of languages written in them.
+_WRITTEN_IN = {
+    "Arab": "ara arb ary arz ckb fas kas pbt pes pnb prs pus skr snd uig urd", "Armn": "hye hyw", "Beng": "asm ben", "Cans": "cre iku oji",
+    "Cyrl": "abk ava bak bel bul che chu chv kaz kir kom mhr mkd mon myv oss rue rus sah srp tat tgk tyv udm ukr", "Deva": "awa bho hin mai mar nep new pli san",
+    "Ethi": "amh tir", "Geor": "kat xmf", "Grek": "ell grc pnt", "Gujr": "guj", "Guru": "pan", "Hang": "kor", "Hans": "gan wuu", "Hani": "cmn", "Hant": "yue",
+    "Hebr": "heb yid", "Jpan": "jpn", "Khmr": "khm", "Knda": "kan", "Laoo": "lao", "Mlym": "mal", "Mymr": "mya", "Orya": "ori", "Sinh": "sin", "Syrc": "arc syc",
+    "Taml": "tam", "Telu": "tel", "Thaa": "div", "Thai": "tha", "Tibt": "bod dzo", "Yiii": "iii",
 }
+#: Script by three-letter code. A language with a two-letter code, and some others, that isn't listed above is written in Latin.
+SCRIPTS = {code: script for script, codes in _WRITTEN_IN.items() for code in codes.split()}
+LATIN = frozenset(LANGUAGE_CODES.values()) - SCRIPTS.keys() | {"als", "ast", "bar", "ceb", "fil", "hsb", "ilo", "lij", "lmo", "luo", "nds", "pcm", "scn", "vec", "war"}
 #: Languages whose tokenizer is that of another, and languages written without blanks.
 TOKENIZER_OF = {"zho": "cmn", "nan": "cmn"}
 UNSPACED = ("cmn", "jpn", "zho", "yue", "zh-classical")
@@ -79,9 +94,10 @@ def iso_language(code: Column) -> Column:
 
 
 def tokenizer_language(code: Column) -> Column:
-    """The three-letter code with its usual script, as names of word tokenizers have it."""
+    """The three-letter code with its usual script, as names of word tokenizers have it; a code of an unknown language stays."""
     base = F.coalesce(_mapped(code, TOKENIZER_OF), code)
-    return F.concat(base, F.lit("_"), F.coalesce(_mapped(base, SCRIPTS), F.lit("Latn")))
+    script = F.coalesce(_mapped(base, SCRIPTS), F.when(base.isin(*LATIN), "Latn"))
+    return F.concat_ws("_", base, script)
 
 
 def primary_language(code: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import shutil
 import tarfile
 import zipfile
 from fnmatch import fnmatch
@@ -48,7 +49,8 @@ def extract(archive: str | Path, folder: str | Path, patterns: list[str] | None
                 if not info.is_dir() and _wanted(info.filename, patterns):
                     target = _inside(folder, info.filename)
                     target.parent.mkdir(parents=True, exist_ok=True)
-                    target.write_bytes(z.read(info))
+                    with z.open(info) as member, target.open("wb") as file:
+                        shutil.copyfileobj(member, file)
                     out.append(target)
     elif archive.name.endswith((".tar", ".tar.gz", ".tgz")):
         with tarfile.open(archive) as t:
@@ -56,7 +58,8 @@ def extract(archive: str | Path, folder: str | Path, patterns: list[str] | None
                 if member.isfile() and _wanted(member.name, patterns):
                     target = _inside(folder, member.name)
                     target.parent.mkdir(parents=True, exist_ok=True)
-                    target.write_bytes(t.extractfile(member).read())
+                    with t.extractfile(member) as packed, target.open("wb") as file:
+                        shutil.copyfileobj(packed, file)
                     out.append(target)
     else:
         raise ValueError(f"unknown kind of archive: {archive.name}")

@@ -40,6 +40,7 @@ def _strip_position(form: Column) -> Column:
     return F.when(one, F.substring(form, 1, 1)).when(lost != "", lost).otherwise(refuse)
 
 
+# Keys of dialects, their columns and marks.
 DIALECTS: Registry[Dialect] = Registry("dialect")
 _TWO, _START = ("form", "ner"), "-DOCSTART-"
 for _name, _dialect in {
@@ -235,12 +236,17 @@ def parse(
 
 
 def parse_columns(rows: DataFrame, order: str = "row") -> DataFrame:
-    """The same from columns form, ner, doc_idx, sent_idx: a sentence is a run of rows of equal (doc_idx, sent_idx)."""
-    return rows.select(
+    """The same from columns form, ner, doc_idx, sent_idx: a sentence is a run of rows of one sent_idx within a document, so a
+    number that comes again later begins another."""
+    inside = W.partitionBy("doc_idx").orderBy(order)
+    fresh = F.lag("sent_idx").over(inside)
+    marked = rows.withColumn("_fresh", (fresh.isNull() | (fresh != F.col("sent_idx"))).cast("long"))
+    marked = marked.withColumn("_run", F.sum("_fresh").over(inside.rowsBetween(W.unboundedPreceding, W.currentRow)) - 1)
+    return marked.select(
         F.lit("").alias("source"),
         F.col("doc_idx").cast("long").alias("document"),
-        F.col("sent_idx").cast("long").alias("sentence"),
-        (F.row_number().over(W.partitionBy("doc_idx", "sent_idx").orderBy(order)) - 1).cast("long").alias("position"),
+        F.col("_run").alias("sentence"),
+        (F.row_number().over(W.partitionBy("doc_idx", "_run").orderBy(order)) - 1).cast("long").alias("position"),
         F.lit(None).cast("string").alias("sentence_text"),
         "form",
         "ner",

@@ -448,6 +448,56 @@ def test_build_export_and_list(spark, tmp_path, capsys):
     assert merged.count() == 3
 
 
+def test_command_line(spark, tmp_path, capsys):
+    from tagloom import cli
+
+    for name, words_ in (("AnatEM", "Anna\tB-PER\nsat\tO\n"), ("other", "Rome\tB-LOC\n\na\tO\nb\tO\n")):
+        write(tmp_path / name / "train.txt", words_)
+        options = {"dataset": name, "language": "eng", "output": str(tmp_path / "corpus")}
+        plan = {"steps": [{"step": "splits", "splits": {"train": "train.txt"}}, {"step": "convert", "reader": "conll"}, {"step": "metadata", **options}], "completed": ["git"]}
+        assert cli.main(["build", json.dumps(plan), str(tmp_path / name)]) == 0
+    corpus, out = str(tmp_path / "corpus"), str(tmp_path / "counts")
+    total = lambda: {r.dataset_name: (r.n, r.t) for r in spark.read.parquet(out).groupBy("dataset_name").agg(F.count("*").alias("n"), F.sum("total_token_count").alias("t")).collect()}
+    assert cli.main(["count-words", corpus, out, "-d", "open"]) == 0 and total() == {"AnatEM": (1, 2)}
+    assert cli.main(["count-words", corpus, out, "--append", "-w", "2"]) == 0 and total() == {"AnatEM": (1, 2), "other": (2, 3)}
+    assert cli.main(["count-words", corpus, out, "--append"]) == 0 and total() == {"AnatEM": (1, 2), "other": (2, 3)}
+    assert cli.main(["count-words", corpus, out, "--tokenizers", '{"eng": "builtins:list"}']) == 0 and total() == {"AnatEM": (1, 8), "other": (2, 7)}
+    assert cli.main(["sample", corpus, "eng", str(tmp_path / "s"), "-n", "5", "-m", "--target-tokens", "4", "--tokenizer", "builtins:list", "--without-entities"]) == 0
+    assert spark.read.parquet(str(tmp_path / "s")).count() >= 3
+    extra = write(tmp_path / "note.txt", "x")
+    assert cli.main(["export", corpus, str(tmp_path / "hub"), "-d", "other", "--extra-files", json.dumps({"other": [extra]})]) == 0
+    assert sorted(p.name for p in (tmp_path / "hub").iterdir()) == ["README.md", "other"] and (tmp_path / "hub/other/note.txt").exists()
+    bib = write(tmp_path / "b.bib", "".join(f"@misc{{{k},\n title={{{k}}}\n}}\n" for k in ("own", "AnatEM", "z")))
+    capsys.readouterr()
+    assert cli.main(["cite", bib, "--own", "own", "-d", "AnatEM"]) == 0 and capsys.readouterr().out.split("{")[1].startswith("AnatEM")
+    assert cli.main(["cite", bib, "--own", "own", "--always", "z", "-d"]) == 0 and capsys.readouterr().out.count("@misc") == 2
+    with pytest.raises(ValueError, match="unknown"):
+        cli.main(["count-words", corpus, out, "-d", "nothing"])
+
+
+def test_languages(spark):
+    from tagloom.functions import text
+
+    df = spark.createDataFrame([("kat",), ("mya",), ("khm",), ("amh",), ("deu",), ("zho",), ("kor",), ("srp",), ("qqq",)], "c string")
+    got = [r[0] for r in df.select(text.tokenizer_language(F.col("c"))).collect()]
+    assert got == ["kat_Geor", "mya_Mymr", "khm_Khmr", "amh_Ethi", "deu_Latn", "cmn_Hani", "kor_Hang", "srp_Cyrl", "qqq"]
+    assert len(text.LANGUAGE_CODES) == 183 and len(set(text.LANGUAGE_CODES.values())) == 183
+
+
+def test_numbers_of_rows_of_files(spark, tmp_path):
+    """Rows of a file have its name and their place there, whatever tasks read them."""
+    spark.range(100).selectExpr("array(string(id)) as tokens", "array('O') as tags").coalesce(1).write.parquet(f"{tmp_path}/t")
+    got = readers.read("columns", spark.read.parquet(f"{tmp_path}/t")).select("source", "document", "text").collect()
+    assert {(int(r.text), r.document) for r in got} == {(i, i) for i in range(100)} and all(".parquet" in r.source for r in got)
+
+
+def test_spans_of_several_places(spark, tmp_path):
+    said = lambda text, at: f'<annotation><infon key="type">X</infon>{"".join(f"""<location offset="{a}" length="{n}"/>""" for a, n in at)}<text>{text}</text></annotation>'
+    body = said("left lung", [(0, 4), (15, 4)]) + said("left lung", [(1, 4), (14, 4)])
+    path = write(tmp_path / "b.xml", f"<collection><document><id>1</id><passage><offset>0</offset><text>left and right lung</text>{body}</passage></document></collection>")
+    assert plain(readers.read("bioc_xml", spark, path).first().ner) == [("X", [(0, 4), (15, 19)])] * 2
+
+
 def test_selectors():
     fits = metadata.selects
     assert fits("a.*.train", ["a", "x"], "train") and not fits("a.*.train", ["a"], "train") and not fits("a.*.train", ["a", "x"], "test")

@@ -5,6 +5,7 @@ import os
 import duckdb
 import pytest
 
+from tagloom.plans import source_queries  # noqa: F401
 from tagloom.plans.catalog_queries import ORACLE, QUERIES
 
 DATA = ("/root/testdata/sf0.001", "/root/testdata/sf0.01")
