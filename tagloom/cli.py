@@ -91,8 +91,9 @@ def main(argv: list[str] | None = None) -> int:
         return 0
 
     from pyspark.sql import SparkSession
+    from pyspark.sql import functions as F
 
-    from .operators import merging, sampling, selecting
+    from .operators import merging, sampling, selecting, stats
     from .sources import store
 
     builder = SparkSession.builder.appName("tagloom")
@@ -101,7 +102,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = builder.getOrCreate()
     write = lambda df: df.write.mode("overwrite").option("compression", "zstd").parquet(a.output)
     if a.command == "sample":
-        count = counted_tokens(a.tokenizer) if a.tokenizer else None
+        count = stats.number_of_tokens(F.col("text"), a.tokenizer) if a.tokenizer else None
         rows = sampling.monolingual_sample(
             store.all_splits(spark, a.folder), a.language, a.samples, a.split, a.tagsets, a.merge_documents, a.without_entities, True, a.target_tokens, count
         )
@@ -142,17 +143,6 @@ def _resolved(folder: str, names: list[str] | None) -> list[str]:
     return sorted(resolve(names or None, there, here))
 
 
-def counted_tokens(tokenizer: Callable):
-    """The number of tokens of the column text by a tokenizer, in Arrow batches."""
-    import pyarrow as pa
-    from pyspark.sql import functions as F
-
-    def run(texts: pa.Array) -> pa.Array:
-        return pa.array([len(tokenizer(t or "")) for t in texts.to_pylist()], pa.int64())
-
-    return F.arrow_udf(run, "bigint")(F.col("text"))
-
-
 def read_counts(spark, path: str):
     """Former counts, or None where there are none yet."""
     from pyspark.errors import AnalysisException

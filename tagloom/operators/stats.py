@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,6 +63,15 @@ def tokenized(rows: DataFrame, tokenizers: dict[str, Callable[[str], list[str]]]
     return rows.mapInPandas(run, schema)
 
 
+def number_of_tokens(text: Column, tokenizer: Callable[[str], list[str]]) -> Column:
+    """How many tokens a tokenizer gives, in Arrow batches; a null text has none."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([len(tokenizer(t or "")) for t in texts.to_pylist()], pa.int64())
+
+    return F.arrow_udf(run, "bigint")(text)
+
+
 def append_stats(done: DataFrame | None, fresh: DataFrame) -> DataFrame:
     """Former rows, and the rows of datasets that they don't have."""
     if done is None:
