@@ -21,4 +21,9 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": exact_dedup.SQL, "op6_license_scan": license_scan.oracle()}
+    return {
+        "op2_exact_dedup": exact_dedup.SQL,
+        "op6_license_scan": license_scan.oracle(),
+        "op7_ngram_jaccard_join": near_dup.SQL,
+        "op8_substring_dedup": substring_dedup.SQL,
+    }

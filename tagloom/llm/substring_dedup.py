@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import hash_words, keep, may_contain, membership, rolled, spread, split_words, steps, text_or_empty
+from .common import hashed_words, keep, may_contain, membership, rolled, spread, steps, table, text_or_empty, tidy
 
 WINDOW = 50
 #: Bytes of text of one step here; windows take several times the memory of their text.
@@ -41,8 +41,8 @@ class _Document:
     """The hashes of one batch of documents, along all their words in a row."""
 
     def __init__(self, texts: pa.Array, window: int, anchor: int) -> None:
-        self.codes, self.offsets, self.vocabulary = split_words(texts)
-        self.words = hash_words(self.vocabulary)[self.codes]
+        self.spread = hashed_words(texts)
+        self.offsets, self.words = self.spread.offsets, self.spread.hashes
         self.window = window
         n = max(0, len(self.words) - window + 1)
         self.owner = np.repeat(np.arange(len(texts)), np.diff(self.offsets))[:n]
@@ -64,7 +64,7 @@ def hash_bytes(values: np.ndarray) -> int:
 
 def _anchors(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, "text"):
+        for batch in steps(batches, "text", STEP):
             d = _Document(batch.column("text"), window, anchor)
             names, owner = d.names[d.whole], d.owner[d.whole]
             new = np.ones(len(names), bool)
@@ -75,10 +75,10 @@ def _anchors(docs: DataFrame, window: int, anchor: int) -> DataFrame:
                 [batch.column("id"), pa.ListArray.from_arrays(pa.array(bounds), pa.array(names.view(np.int64)))], ["id", "names"]
             )
 
-    return docs.mapInArrow(run, "id long, names array<long>")
+    return docs.mapInArrow(tidy(run), "id long, names array<long>")
 
 
-_WINDOWS = "id long, text_key long, n_words long, full_sha string, windows array<struct<h1: long, h2: int>>"
+_WINDOWS = "id long, bare boolean, text_key long, n_words long, full_sha string, windows array<struct<h1: long, h2: int>>"
 
 
 def _windows(docs: DataFrame, shared: bytes, window: int, anchor: int) -> DataFrame:
@@ -99,29 +99,26 @@ def _windows(docs: DataFrame, shared: bytes, window: int, anchor: int) -> DataFr
             second = (d.hashes(1)[at] >> np.uint64(32)).astype(np.uint32).view(np.int32)
             bounds = np.searchsorted(owner, np.arange(batch.num_rows + 1)).astype(np.int32)
             rows = pa.StructArray.from_arrays([pa.array(first), pa.array(second)], ["h1", "h2"])
-            words = [" ".join(x) for x in _word_lists(d)]
+            whole, starts = d.spread.joined()
+            ends = starts[d.offsets].tolist()
+            digests = [hashlib.sha256(whole[a : max(a, b - 1)]).hexdigest() for a, b in zip(ends[:-1], ends[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
+                    batch.column("bare"),
                     pa.array(d.digests(), pa.int64()),
                     pa.array(np.diff(d.offsets)),
-                    pa.array([hashlib.sha256(w.encode()).hexdigest() for w in words]),
+                    pa.array(digests, pa.string()),
                     pa.ListArray.from_arrays(pa.array(bounds), rows),
                 ],
-                ["id", "text_key", "n_words", "full_sha", "windows"],
+                ["id", "bare", "text_key", "n_words", "full_sha", "windows"],
             )
 
-    return docs.mapInArrow(run, _WINDOWS)
-
-
-def _word_lists(d: _Document) -> Iterator[list[str]]:
-    known = np.array(d.vocabulary.to_pylist(), object)
-    for a, b in zip(d.offsets[:-1], d.offsets[1:], strict=True):
-        yield known[d.codes[a:b]].tolist() if b > a else []
+    return docs.mapInArrow(tidy(run), _WINDOWS)
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, anchor: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """docs: id, text. Rows with their digests and sizes, and the hashes of windows that also start under a smaller id."""
+    """docs: id, bare (whether the row has no id), text. Rows with their digests and sizes, and the hashes of windows that also start under a smaller id."""
     anchor = anchor or max(1, window // 2)
     names = _anchors(docs, window, anchor).select("id", F.explode("names").alias("name"))
     several = names.groupBy("name").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
@@ -143,7 +140,9 @@ def remove_repeats(
     equal rows. Other columns are not read. An empty table gives an empty result.
     """
     top = (1 << 63) - 1
-    docs = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(top)).alias("id"), text_or_empty(text_col).alias("text"))
+    docs = docs.select(
+        F.coalesce(F.col(id_col).cast("long"), F.lit(top)).alias("id"), F.col(id_col).isNull().alias("bare"), text_or_empty(text_col).alias("text")
+    )
     rows, again = repeated_windows(docs, window, anchor)
     hit = keep(again.groupBy("id", "text_key").agg(F.collect_list("h1").alias("hashes")), "repeats")
     met = docs.sparkSession.sparkContext.broadcast(membership(hit.select(spread("id").alias("key")), "key"))
@@ -152,13 +151,13 @@ def remove_repeats(
         bits = np.frombuffer(met.value, np.uint8)
         for batch in batches:
             batch = batch.filter(pa.array(may_contain(bits, batch.column("key").to_numpy())))
-            for part in steps([batch], "text"):
+            for part in steps([batch], "text", STEP):
                 d = _Document(part.column("text"), window, window)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), pa.array(d.digests(), pa.int64()), part.column("text")], ["id", "text_key", "text"]
                 )
 
-    texts = docs.select("id", "text", spread("id").alias("key")).mapInArrow(touched, "id long, text_key long, text string")
+    texts = docs.select("id", "text", spread("id").alias("key")).mapInArrow(tidy(touched), "id long, text_key long, text string")
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in frames:
@@ -168,20 +167,21 @@ def remove_repeats(
                 starts = np.flatnonzero(np.isin(d.hashes(0).view(np.int64), np.asarray(hashes, np.int64)))
                 fresh = np.r_[True, starts[1:] > starts[:-1] + window]
                 begins, ends = starts[fresh], (starts + window)[np.r_[fresh[1:], True]]
-                left = np.ones(len(d.codes), bool)
+                left = np.ones(len(d.words), bool)
                 for a, b in zip(begins, ends, strict=True):
                     left[a:b] = False
-                kept = " ".join(np.array(d.vocabulary.to_pylist(), object)[d.codes[left]].tolist())
+                whole, places = d.spread.joined()
+                kept = whole[np.repeat(left, np.diff(places))][:-1].tobytes()
                 spans = [{"start": int(a), "stop": int(b)} for a, b in zip(begins, ends, strict=True)]
-                out.append((int((~left).sum()), hashlib.sha256(kept.encode()).hexdigest(), kept, spans))
+                out.append((int((~left).sum()), hashlib.sha256(kept).hexdigest(), kept.decode(), spans))
             columns = ["n_removed", "kept_sha256", "kept_text", "removed"]
             yield pd.concat([rows[["id", "text_key"]].reset_index(drop=True), pd.DataFrame(out, columns=columns)], axis=1)
 
     schema = "id long, text_key long, n_removed long, kept_sha256 string, kept_text string, removed array<struct<start: int, stop: int>>"
-    done = texts.join(hit, ["id", "text_key"]).mapInPandas(cut, schema).dropDuplicates(["id", "text_key"])
-    whole = rows.select("id", "text_key", "n_words", "full_sha").join(done, ["id", "text_key"], "left")
+    done = texts.join(hit, ["id", "text_key"]).mapInPandas(tidy(cut), schema).dropDuplicates(["id", "text_key"])
+    whole = rows.select("id", "bare", "text_key", "n_words", "full_sha").join(done, ["id", "text_key"], "left")
     return whole.select(
-        F.when(F.col("id") != top, F.col("id")).alias(id_col),
+        F.when(~F.col("bare"), F.col("id")).alias(id_col),
         "n_words",
         F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
         F.coalesce("kept_sha256", "full_sha").alias("kept_sha256"),
@@ -190,6 +190,22 @@ def remove_repeats(
     )
 
 
+SQL = r"""
+with w as (
+  select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws from documents
+),
+t as (select doc_id, unnest(ws) as word, unnest(range(len(ws))) as i from w),
+k as (select doc_id, i, word, string_agg(word, ' ') over f as span, count(*) over f as size
+      from t window f as (partition by doc_id order by i rows between current row and 49 following)),
+low as (select span, min(doc_id) as low from k where size = 50 group by span),
+r as (select k.doc_id, k.i, k.word, coalesce(low.low < k.doc_id, false) as again from k left join low on k.span = low.span and k.size = 50),
+g as (select doc_id, i, word, bool_or(again) over (partition by doc_id order by i rows between 49 preceding and current row) as gone from r)
+select d.doc_id, count(g.i) as n_words, count(*) filter (g.gone) as n_removed,
+       sha256(coalesce(string_agg(g.word, ' ' order by g.i) filter (not g.gone), '')) as kept_sha256
+from documents d left join g using (doc_id) group by d.doc_id
+"""
+
+
 def op8_substring_dedup(spark, sf_dir: str) -> DataFrame:
-    found = remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    found = remove_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
