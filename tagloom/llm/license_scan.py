@@ -1,8 +1,9 @@
 """License scan: an exact set-similarity join of text blocks with license templates, and the places of license phrases.
 
-Only built-in expressions run. Blocks are lines. A template is found in a block when the block has at least `threshold` of
-the template's distinct words. Prefix, length and positional filters rule pairs out before they are compared; none of them
-loses a pair.
+Only built-in expressions run. Blocks are lines, and runs of up to LINES neighbouring lines, none of them blank, which have at
+most WIDE words for each of the template's: so a notice that is wrapped over lines is found as well, and words scattered over
+a long passage aren't. A template is found in a block when the block has at least `threshold` of the template's distinct words.
+Prefix, length and positional filters rule pairs out before they are compared; none of them loses a pair.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, keep, text_or_empty
+from .common import LOWER, UPPER, keep, table, text_or_empty
 
 #: ASCII characters that stand between words: all but letters and digits.
 BETWEEN = "".join(c for c in map(chr, range(128)) if not c.isalnum())
@@ -45,6 +46,8 @@ TEMPLATES = {
     "mpl": ("this source code form is subject to the terms of the mozilla public license v 2 0",),
 }
 THRESHOLD = 0.85
+#: Lines of a block at most, and words of a block of several lines for each distinct word of a template at most.
+LINES, WIDE = 6, 2
 
 
 def _spaced(text: Column) -> Column:
@@ -73,8 +76,10 @@ def template_matches(
     threshold: float = THRESHOLD,
     id_col: str = "doc_id",
     text_col: str = "text",
+    lines: int = LINES,
 ) -> DataFrame:
-    """Every (id, line, template) whose containment reaches the threshold: id, key, block, label, template, containment.
+    """Every (id, block, template) whose containment reaches the threshold: id, key, block (number of its first line), lines (how many
+    it has), label, template, containment.
 
     key is a hash of the text, so that rows that share an id stay apart. Words are ordered by their number in all texts,
     rarest first. A block holding ceil(threshold * size) words of a template has one of the first
@@ -102,20 +107,31 @@ def template_matches(
         F.xxhash64(text_or_empty(text_col)).alias("key"),
         text_or_empty(text_col).alias("text"),
     ).where(_has_any(_words(_spaced(F.col("text"))), sorted(rare)))
-    lines = near.select("id", "key", F.posexplode(F.split("text", "\n")).alias("block", "line"))
     known = F.array(*[F.lit(w) for w in sorted(vocabulary, key=place.get)])
-    blocks = lines.withColumn("words", _words(_spaced(F.col("line")))).where(_has_any(F.col("words"), sorted(rare)))
-    blocks = blocks.withColumn("words", F.array_intersect(known, "words"))  # in the global order
+    told = lambda words: F.struct(F.array_intersect(known, words).alias("words"), F.size(words).alias("n"))
+    each = near.select("id", "key", F.transform(F.transform(F.split("text", "\n"), lambda x: _words(_spaced(x))), told).alias("each"))
+
+    def block(first: Column, many: Column) -> Column:
+        part = F.slice("each", first + 1, many)
+        words = F.array_intersect(known, F.flatten(F.transform(part, lambda x: x["words"])))  # in the global order
+        whole = F.aggregate(part, F.lit(0), lambda n, x: n + x["n"])
+        plain = (many == 1) | ~F.exists(part, lambda x: x["n"] == 0)
+        return F.struct(first.alias("block"), many.alias("lines"), words.alias("words"), whole.alias("n"), plain.alias("plain"))
+
+    last = F.size("each")
+    runs = F.transform(F.sequence(F.lit(0), last - 1), lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(lines), last - i)), lambda k: block(i, k)))
+    blocks = each.select("id", "key", F.inline(F.flatten(runs))).where(F.col("plain") & _has_any(F.col("words"), sorted(rare)))
     entry = blocks.select(
-        "id", "key", "block", F.col("words").alias("have"), F.posexplode("words").alias("block_at", "word")
+        "id", "key", "block", "lines", "n", F.col("words").alias("have"), F.posexplode("words").alias("block_at", "word")
     )
     met = entry.join(F.broadcast(prefixes), "word").where(  # the templates are a fixed parameter of a few hundred rows
         (F.size("have") >= F.col("need"))
+        & ((F.col("lines") == 1) | (F.col("n") <= WIDE * F.col("size")))
         & (1 + F.least(F.col("size") - F.col("at") - 1, F.size("have") - F.col("block_at") - 1) >= F.col("need"))
     )
     shared = F.size(F.array_intersect("have", "words"))
     found = met.withColumn("containment", shared / F.col("size")).where(shared >= F.col("need"))
-    return found.groupBy("id", "key", "block", "label", "template").agg(F.max("containment").alias("containment"))
+    return found.groupBy("id", "key", "block", "lines", "label", "template").agg(F.max("containment").alias("containment"))
 
 
 def scan(
@@ -204,10 +220,18 @@ d as (select doc_id, {low} as low, regexp_extract_all({low}, '{between}') as w f
 h as (select doc_id, len(w) as n_words, {hits} as hits from d),
 p as (select *, flatten(list_transform(hits, lambda h: h.at)) as places,
              list_sort(list_transform(list_filter(hits, lambda h: len(h.at) > 0), lambda h: h.y)) as base from h),
-b as (select doc_id, list_distinct(regexp_extract_all(unnest(string_split(low, chr(10))), '{between}')) as have from d
-      where low like '%license%' or low like '%permi%' or low like '%redistrib%' or low like '%commons%' or low like '%terms%'),
-m as (select doc_id, label, max(len(list_intersect(have, words)) / len(words)) as share from b, t
-      group by doc_id, label having share >= {THRESHOLD}),
+l as (select doc_id, list_transform(string_split(low, chr(10)), lambda x: regexp_extract_all(x, '{between}')) as ls from d),
+i as (select doc_id, ls, unnest(range(len(ls))) as pos from l),
+k as (select doc_id, ls, pos, unnest(range(1, least({LINES}, len(ls) - pos) + 1)) as lines from i),
+r as (select doc_id, lines, ls[pos + 1 : pos + lines] as part from k),
+f as (select doc_id, lines, flatten(part) as ws from r where lines = 1 or len(list_filter(part, lambda x: len(x) = 0)) = 0),
+b as (select row_number() over () as b, doc_id, lines, len(ws) as n, list_distinct(ws) as have from f),
+u as (select b, doc_id, lines, n, unnest(have) as word from b),
+v as (select row_number() over () as t, label, words from t),
+x as (select t, label, len(words) as size, unnest(words) as word from v),
+m as (select doc_id, label, max(share) as share from (
+        select doc_id, label, count(*) / any_value(size) as share from u join x using (word)
+        where lines = 1 or n <= {WIDE} * size group by b, doc_id, t, label) where share >= {THRESHOLD} group by doc_id, label),
 g as (select doc_id, list(label) as more, max(share) as best from m group by doc_id)
 select p.doc_id, n_words, len(places)::bigint as n_base, list_min(places)::bigint as first_word, list_max(places)::bigint as last_word,
        array_to_string(base, ',') as base_labels,
@@ -218,4 +242,4 @@ from p left join g using (doc_id)
 
 
 def op6_license_scan(spark, sf_dir: str) -> DataFrame:
-    return scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return scan(table(spark, sf_dir, "documents"))
