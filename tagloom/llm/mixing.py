@@ -16,17 +16,18 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import hash_words, keep, split_words, steps, text_or_empty
+from .common import discard, hash_words, keep, split_words, steps, table, text_or_empty, tidy
 
 #: Domains by quality and toxic, in this order.
 DOMAINS = ("low", "low_toxic", "high", "high_toxic")
 #: Labelled rows the classifier is fitted on at most, those of the smallest hashes.
-SAMPLE = 4000
+SAMPLE = 6000
 BUCKETS, EXTRA = 2048, 8
 #: Steps at most; the share of all tokens by which totals may be off where steps end; the weight of keeping rates at 1.
 STEPS, TOLERANCE, PULL = 100, 1e-5, 1e-4
@@ -97,28 +98,38 @@ def posteriors(model: Classifier, x: np.ndarray) -> np.ndarray:
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Classifier:
-    """docs: id, text; labels: id, quality, toxic. Rows with other marks than 0 and 1 aren't used; of an id's rows the largest marks count."""
+    """docs: id, text; labels: id, quality, toxic. Rows with other marks than 0 and 1 aren't used; of an id's rows the largest
+    marks count, and of its texts the least. One task fits the model; its weights alone reach the driver."""
     marks = labels.where("id is not null and quality in (0, 1) and toxic in (0, 1)").groupBy("id").agg(
         F.max("quality").cast("int").alias("quality"), F.max("toxic").cast("int").alias("toxic")
     )
     few = marks.withColumn("h", F.xxhash64("id", F.lit(4))).orderBy("h", "id").limit(sample)
-    rows = docs.join(F.broadcast(few), "id").select("text", (2 * F.col("quality") + F.col("toxic")).alias("y"))  # `sample` rows at most
+    met = docs.join(F.broadcast(few), "id").select("id", "text", (2 * F.col("quality") + F.col("toxic")).alias("y"))  # `sample` rows at most
+    rows = met.groupBy("id").agg(F.min("text").alias("text"), F.first("y").alias("y")).select("text", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "text", rows=ROWS):
             x, _ = features(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array([v.astype("<f4").tobytes() for v in x], pa.binary())], ["y", "x"])
 
-    got = rows.mapInArrow(run, "y int, x binary").toPandas()
-    y, x = got["y"].to_numpy(np.int64), np.frombuffer(b"".join(got.pop("x")), "<f4").reshape(-1, BUCKETS + EXTRA)
-    return fit_classifier(x, y)
+    def fitted(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["y", "x"])
+        x = np.frombuffer(b"".join(rows["x"]), "<f4").reshape(-1, BUCKETS + EXTRA)
+        found = fit_classifier(x, rows["y"].to_numpy(np.int64))
+        return pd.DataFrame({k: [v.astype("<f4").tobytes()] for k, v in found._asdict().items()})
+
+    got = rows.mapInArrow(tidy(run), "y int, x binary").groupBy().applyInPandas(fitted, "weights binary, centre binary, scale binary").first()
+    if got is None:
+        return fit_classifier(np.zeros((0, BUCKETS + EXTRA), np.float32), np.zeros(0, np.int64))
+    weights, centre, scale = (np.frombuffer(got[c], "<f4") for c in Classifier._fields)
+    return Classifier(weights.reshape(-1, len(DOMAINS)), centre, scale)
 
 
 def memberships(docs: DataFrame, model: Classifier) -> DataFrame:
-    """docs: id, text, text_key. Adds n_tokens (words) and p, the posterior; drops the text."""
+    """docs: id, text, chance. Adds n_tokens (words) and p, the posterior; drops the text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType(
-        [docs.schema["id"], *(T.StructField(c, T.LongType()) for c in ("text_key", "n_tokens")), T.StructField("p", T.ArrayType(T.DoubleType()))]
+        [docs.schema["id"], T.StructField("chance", T.DoubleType()), T.StructField("n_tokens", T.LongType()), T.StructField("p", T.ArrayType(T.DoubleType()))]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,9 +137,9 @@ def memberships(docs: DataFrame, model: Classifier) -> DataFrame:
             x, size = features(batch.column("text"))
             p = posteriors(shared.value, x)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, p.size + 1, p.shape[1], dtype=np.int32)), pa.array(p.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("text_key"), pa.array(size), lists], schema.fieldNames())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("chance"), pa.array(size), lists], schema.fieldNames())
 
-    return docs.select("id", "text", "text_key").mapInArrow(run, schema)
+    return docs.select("id", "text", "chance").mapInArrow(tidy(run), schema)
 
 
 def rate_column(pull: np.ndarray, floor: float) -> Column:
@@ -175,20 +186,21 @@ def solve(members: DataFrame, target: np.ndarray, plain: np.ndarray, floor: floa
     return pull, found[0]
 
 
-def fit_rates(members: DataFrame, weights: dict[str, float], growth: float | None, floor: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The vector that gives the rates, the targets, and the expected tokens reached. One row comes back a step.
+def fit_rates(
+    members: DataFrame, plain: np.ndarray, weights: dict[str, float], growth: float | None, floor: float
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The vector that gives the rates, and by domain the tokens at rate 1 (`plain`), wanted and reached. One row comes back a step.
 
     Without a growth it is the least at which no domain with a target has more tokens than its share of the mix; where
     repeated documents bring tokens of such a domain along, it rises until the shares are met or come no closer.
     Domains without a share then have the tokens that the least rate leaves them as their target, as no rates reach fewer.
     """
     floor = float(floor)
-    plain, _, _ = totals(members, np.zeros(len(DOMAINS)), 0.0)
     share = np.array([weights[d] for d in DOMAINS], float)
     share /= share.sum()
     wanted = share > 0
     if not plain.sum():
-        return np.zeros(len(share)), plain, plain
+        return np.zeros(len(share)), plain, plain, plain
     apart = np.where(wanted, 0.0, plain * floor)
     least = lambda tokens: share * float((tokens[wanted] / share[wanted]).max()) + apart
     off = lambda tokens: float(np.abs(tokens[wanted] / tokens[wanted].sum() - share[wanted]).max())
@@ -200,13 +212,46 @@ def fit_rates(members: DataFrame, weights: dict[str, float], growth: float | Non
         if off(found) > 0.9 * off(reached):
             break
         pull, target, reached = more, higher, found
-    return pull, target, reached
+    return pull, plain, target, reached
+
+
+def _chance(id_: Column, text: Column) -> Column:
+    """A number in [0, 1) from a row's id and text."""
+    return F.xxhash64(id_, F.xxhash64(text)).bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))
+
+
+class Mixture(NamedTuple):
+    """What was fitted: the classifier, every row's posterior (id, chance, n_tokens, p), the vector that gives the rates, and by
+    domain the tokens at rate 1, wanted, and reached."""
 
+    model: Classifier
+    members: DataFrame
+    pull: np.ndarray
+    plain: np.ndarray
+    target: np.ndarray
+    reached: np.ndarray
 
-def _draw(rate: Column) -> Column:
-    """Copies of a document: its rate, rounded up or down by a number in [0, 1) from its id and text."""
-    chance = F.xxhash64("id", "text_key").bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))
-    return F.floor(rate + chance)
+    def report(self) -> DataFrame:
+        """domain, plain_tokens, target_tokens, reached_tokens: one row for each domain."""
+        rows = [(d, *map(float, x)) for d, *x in zip(DOMAINS, self.plain, self.target, self.reached, strict=True)]
+        return self.members.sparkSession.createDataFrame(rows, "domain string, plain_tokens double, target_tokens double, reached_tokens double")
+
+
+def fit_mixture(
+    docs: DataFrame,
+    labels: DataFrame,
+    weights: dict[str, float] | None = None,
+    growth: float | None = 1.0,
+    floor: float = 0.0,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> Mixture:
+    """The arguments are those of mix."""
+    rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+    model = learn(rows, labels.select(F.col(id_col).alias("id"), "quality", "toxic"))
+    members = keep(memberships(rows.withColumn("chance", _chance(F.col("id"), F.col("text"))), model), "memberships")
+    plain, _, _ = totals(members, np.zeros(len(DOMAINS)), 0.0)
+    return Mixture(model, members, *fit_rates(members, plain, weights or WEIGHTS, growth, floor))
 
 
 def mix(
@@ -218,25 +263,27 @@ def mix(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """One row per input row: id, n_tokens, the posterior of each domain, rate, copies.
+    """One row per input row: id, n_tokens, the posterior of each domain, rate, copies, and the shares that the mix was to have and
+    has of each domain's tokens, the same in all rows.
 
     weights: share of each domain in the mix; growth: tokens of the mix for each token of the input, or None for
-    as many as the shares need (see fit_rates); floor: the least rate.
+    as many as the shares need (see fit_rates); floor: the least rate. copies is the rate, rounded up or down by a number in
+    [0, 1) from id and text, so that rows equal in both have as many.
     Null and empty texts have no tokens; their posteriors come from that. Rows that share an id have rates of their own. A
-    null id is kept as it is. Without labels all posteriors are alike. Other columns aren't read. An empty table gives an
-    empty result.
+    null id is kept as it is. Without labels all posteriors are alike. Other columns aren't read, in docs or in labels. An
+    empty table gives an empty result.
     """
-    rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    model = learn(rows, labels.withColumnRenamed(id_col, "id").select("id", "quality", "toxic"))
-    members = keep(memberships(rows.withColumn("text_key", F.xxhash64("text")), model), "memberships")
-    pull, _, _ = fit_rates(members, weights or WEIGHTS, growth, floor)
-    found = members.withColumn("rate", rate_column(pull, floor))
-    return found.select(
+    found = fit_mixture(docs, labels, weights, growth, floor, id_col, text_col)
+    share = lambda v: v / max(v.sum(), 1e-300)
+    rows = found.members.withColumn("rate", rate_column(found.pull, floor))
+    return rows.select(
         F.col("id").alias(id_col),
         "n_tokens",
         *(F.col("p")[i].alias(f"p_{d}") for i, d in enumerate(DOMAINS)),
         "rate",
-        _draw(F.col("rate")).alias("copies"),
+        F.floor(F.col("rate") + F.col("chance")).alias("copies"),
+        *(F.lit(float(v)).alias(f"target_{d}") for d, v in zip(DOMAINS, share(found.target), strict=True)),
+        *(F.lit(float(v)).alias(f"reached_{d}") for d, v in zip(DOMAINS, share(found.reached), strict=True)),
     )
 
 
@@ -249,25 +296,29 @@ def mixed_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """The rows of docs, each as often as its copies say, with all their columns. Texts aren't shuffled: posteriors are worked out again."""
+    """The rows of docs, each as often as mix says, with all their columns, whatever their names.
+
+    Texts aren't shuffled: posteriors are worked out again. Null and empty texts have no tokens, and the rate that follows from
+    their posterior. Rows equal in id and text come equally often, as do rows without ids that are equal in text. Without
+    labels all rows have one rate. An empty table stays empty.
+    """
     names, schema = docs.columns, docs.schema
-    rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    model = learn(rows, labels.withColumnRenamed(id_col, "id").select("id", "quality", "toxic"))
-    members = keep(memberships(rows.withColumn("text_key", F.xxhash64("text")), model), "memberships")
-    pull, _, _ = fit_rates(members, weights or WEIGHTS, growth, floor)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    chance = F.xxhash64(F.col(id_col), F.xxhash64(text_or_empty(text_col))).bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))
+    found = fit_mixture(docs, labels, weights, growth, floor, id_col, text_col)
+    shared, pull = docs.sparkSession.sparkContext.broadcast(found.model), found.pull
+    discard(found.members)
+    text = text_or_empty(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, text_col, rows=ROWS):
-            x, _ = features(batch.column(text_col))
-            copies = np.floor(rates(pull, posteriors(shared.value, x), floor) + batch.column("_chance").to_numpy()).astype(np.int64)
+        for batch in steps(batches, "text", rows=ROWS):
+            x, _ = features(batch.column("text"))
+            copies = np.floor(rates(pull, posteriors(shared.value, x), floor) + batch.column("chance").to_numpy()).astype(np.int64)
             rows = np.repeat(np.arange(len(copies)), copies)
+            whole = pa.RecordBatch.from_arrays(batch.column("row").flatten(), names)
             for at in range(0, len(rows), ROWS):
-                yield batch.select(names).take(pa.array(rows[at : at + ROWS]))
+                yield whole.take(pa.array(rows[at : at + ROWS]))
 
-    return docs.select(*names, chance.alias("_chance")).mapInArrow(run, schema)
+    return docs.select(F.struct(*names).alias("row"), text.alias("text"), _chance(F.col(id_col), text).alias("chance")).mapInArrow(tidy(run), schema)
 
 
 def op4_mixing(spark, sf_dir: str) -> DataFrame:
-    return mix(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return mix(table(spark, sf_dir, "documents"), spark.read.parquet(f"{sf_dir}/labels.parquet"))

@@ -1,5 +1,4 @@
 import math
-import pickle
 import random
 import zlib
 from collections import Counter
@@ -218,7 +217,7 @@ def test_every_word_and_bigram_of_the_sample_is_kept(spark):
     rows = [(i, f"a{i} b{i} c{i % 3} both sides" + " once more" * (i % 2), i % 2) for i in range(60)]
     docs = spark.createDataFrame([r[:2] for r in rows], "id long, text string")
     labels = spark.createDataFrame([(i, y) for i, _, y in rows], "id long, y int")
-    m = pickle.loads(toxicity.train(docs, labels)[0])
+    m = toxicity.unpacked(toxicity.train(docs, labels)[0])
     seen = {r.id for r in toxicity._labelled(docs, labels, toxicity.PER_CLASS, 5).where(f"fold <> {toxicity.FOLDS - 1}").collect()}
     texts = [t.split() for i, t, _ in rows if i in seen]
     assert set(m.words.tolist()) == set(toxicity.hashed(sorted({w for t in texts for w in t})).tolist())
@@ -488,8 +487,8 @@ def test_growth_that_the_shares_need(spark):
     p, n = r.dirichlet([0.1, 0.01, 0.6, 0.01], 1000), r.integers(1, 500, 1000)
     members = spark.createDataFrame([(v.tolist(), int(k)) for v, k in zip(p, n, strict=True)], "p array<double>, n_tokens long")
     weights = dict(zip(mixing.DOMAINS, [0.3, 0.0, 0.7, 0.0], strict=True))
-    pull, _, reached = mixing.fit_rates(members, weights, None, 1.0)
-    _, _, fixed = mixing.fit_rates(members, weights, 1.0, 1.0)
+    pull, _, _, reached = mixing.fit_rates(members, n @ p, weights, None, 1.0)
+    _, _, _, fixed = mixing.fit_rates(members, n @ p, weights, 1.0, 1.0)
     of = lambda v: v[[0, 2]] / v[[0, 2]].sum()
     assert of(n @ p)[0] < 0.2 and of(fixed)[0] < 0.29
     assert of(reached) == pytest.approx([0.3, 0.7], abs=0.002)
@@ -512,6 +511,24 @@ def test_mixed_documents_repeat_as_copies_say(spark):
     assert mixing.mix(odd_docs(spark), none).count() == len(odd_rows())
 
 
+def test_mixing_with_any_columns(spark):
+    rows, labels = mixing_rows(120)
+    table = spark.createDataFrame([(i, q, t, 3, "x") for i, q, t in labels], "doc_id long, quality int, toxic int, id long, text string")
+    docs = spark.createDataFrame([(r[0], r[1], 0.5, 1, "q", 2.0) for r in rows], "doc_id long, text string, _chance double, id long, row string, p double")
+    weights = {"low": 0.3, "low_toxic": 0.0, "high": 0.7, "high_toxic": 0.0}
+    got = mixing.mix(docs, table, weights, None, 1.0).collect()
+    out = mixing.mixed_documents(docs, table, weights, None, 1.0)
+    assert out.schema == docs.schema
+    assert Counter(r.doc_id for r in out.collect()) == Counter({r.doc_id: r.copies for r in got})
+    found = mixing.fit_mixture(docs, table, weights, None, 1.0)
+    report = {r.domain: r for r in found.report().collect()}
+    assert {d: r.target_tokens for d, r in report.items()} == pytest.approx(dict(zip(mixing.DOMAINS, found.target, strict=True)))
+    for i, d in enumerate(mixing.DOMAINS):
+        tokens = sum(r[f"p_{d}"] * r.n_tokens * r.rate for r in got)
+        assert report[d].reached_tokens == pytest.approx(tokens, rel=1e-6)
+        assert got[0][f"reached_{d}"] == pytest.approx(report[d].reached_tokens / found.reached.sum())
+
+
 def test_features_don_t_depend_on_neighbours():
     texts = [r[1] for r in odd_rows()]
     whole, size = mixing.features(pa.array(texts, pa.string()))
