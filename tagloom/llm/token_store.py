@@ -25,7 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import mixed, new_folder, rolled, steps, text_or_empty
+from .common import hot_keys, join_skewed, mixed, new_folder, rolled, steps, table, text_or_empty, tidy
 from .token_ids import Encoder, default_tokenizer, with_end
 
 END = 2
@@ -133,7 +133,7 @@ def write_store(
                 schema.fieldNames(),
             )
 
-    found = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")).mapInArrow(run, schema)
+    found = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")).mapInArrow(tidy(run), schema)
     # Recipes of equal texts share a root; their salt keeps them from meeting in one task.
     salt = F.when(F.col("kind") == "recipe", F.pmod(F.xxhash64("doc_id", "nth"), F.lit(1 << 20))).otherwise(F.lit(-1))
     near = W.partitionBy("key", "salt").orderBy("kind")
@@ -156,7 +156,8 @@ def write_store(
     started.select(*columns).repartitionByRange(parts, "part", "start").sortWithinPartitions("part", "start").write.option(
         "compression", "zstd"
     ).parquet(f"{path}/recipes")
-    _part_roots(_recipes(spark, path, kind)).withColumn("wide", F.lit(wide)).coalesce(1).write.parquet(f"{path}/manifest")
+    # One row for each part; digests are gathered part by part before.
+    _part_roots(_recipes(spark, path, kind)).withColumn("wide", F.lit(wide)).repartition(1).write.parquet(f"{path}/manifest")
 
 
 def _recipes(spark: SparkSession, path: str, kind: T.DataType) -> DataFrame:
@@ -251,7 +252,7 @@ def _chunk_facts(blocks: DataFrame, wide: bool) -> DataFrame:
                 [batch.column("key"), pa.array(crcs, pa.int64()), pa.array(sizes, pa.int64())], ["key", "crc", "n"]
             )
 
-    return blocks.where("kind = 'chunk'").select("key", "data").mapInArrow(run, "key binary, crc long, n long")
+    return blocks.where("kind = 'chunk'").select("key", "data").mapInArrow(tidy(run), "key binary, crc long, n long")
 
 
 def _checked(spark: SparkSession, path: str, kind: T.DataType) -> tuple[DataFrame, DataFrame, bool]:
@@ -279,7 +280,8 @@ def read_digests(spark: SparkSession, path: str, kind: T.DataType | None = None)
     """
     recipes, blocks, wide = _checked(spark, path, kind or T.LongType())
     facts = _chunk_facts(blocks, wide)
-    met = _references(recipes).join(facts, "key", "left")
+    references = _references(recipes)
+    met = join_skewed(references, facts, "key", hot_keys(references.select("key"), "key"), "left")
     whole = F.when(F.col("n").isNull(), F.raise_error(F.lit("a chunk is missing"))).otherwise(F.col("n"))
     by_doc = met.groupBy("start", "doc_id", "n_tokens").agg(
         F.sort_array(F.collect_list(F.struct("at", "crc", whole.alias("n")))).alias("parts")
@@ -298,16 +300,16 @@ def read_digests(spark: SparkSession, path: str, kind: T.DataType | None = None)
             kept = [batch.column(c) for c in ("start", "doc_id", "n_tokens")]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(crcs, pa.int64())], schema.fieldNames())
 
-    return by_doc.mapInArrow(run, schema).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return by_doc.mapInArrow(tidy(run), schema).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def read_ids(spark: SparkSession, path: str, kind: T.DataType | None = None) -> DataFrame:
     """doc_id, start, ids (array of long) of each document, rebuilt from recipes and chunks."""
     recipes, blocks, wide = _checked(spark, path, kind or T.LongType())
     chunks = blocks.where("kind = 'chunk'").select("key", "data")
+    references = _references(recipes)
     by_doc = (
-        _references(recipes)
-        .join(chunks, "key")
+        join_skewed(references, chunks, "key", hot_keys(references.select("key"), "key"))
         .groupBy("start", "doc_id")
         .agg(F.sort_array(F.collect_list(F.struct("at", "data"))).alias("parts"))
     )
@@ -319,11 +321,11 @@ def read_ids(spark: SparkSession, path: str, kind: T.DataType | None = None) ->
             yield rows.drop(columns="parts").assign(ids=ids)
 
     schema = T.StructType([*by_doc.drop("parts").schema.fields, T.StructField("ids", T.ArrayType(T.LongType()))])
-    return by_doc.mapInPandas(run, schema).select("doc_id", "start", "ids")
+    return by_doc.mapInPandas(tidy(run), schema).select("doc_id", "start", "ids")
 
 
 def op5_token_store(spark, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     path = new_folder(spark, "token-store")
     write_store(docs, path)
     return read_digests(spark, path, docs.schema["doc_id"].dataType)
