@@ -1,6 +1,7 @@
 """Approximate nearest neighbours by cosine: a hierarchical k-means tree, searched best bin first.
 
-The tree is fitted on a bounded sample and goes to all tasks; every row is indexed under one leaf. A query walks the tree with
+The tree is fitted on a bounded sample and goes to all tasks; every row is indexed under one leaf. The more rows, the larger the
+sample and the smaller a leaf's part of it, so that leaves grow with the root of the number of rows until the sample's bound. A query walks the tree with
 a priority queue, nearest centre first, and visits leaves in that order. How many it visits is calibrated: for some vectors
 the true neighbours among all rows are found, and visits are widened until the leaves met hold the share asked for. Rows and
 queries then meet in blocks of bounded size.
@@ -20,10 +21,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import keep
+from .common import keep, table, tidy
 
-#: Vectors the tree is fitted on at most, vectors of that sample in a leaf, and branches of a node.
-SAMPLE, LEAF, BRANCHES = 20_000, 50, 8
+#: Vectors the tree is fitted on: so many at least, so many for each root of a row, and so many numbers at most.
+SAMPLE, SAMPLE_BY_ROOT, SAMPLE_NUMBERS = 20_000, 20, 8_000_000
+#: Vectors of the sample in a leaf at least and at most, and branches of a node.
+LEAST_LEAF, LEAF, BRANCHES = 5, 50, 8
 #: Vectors that visits are calibrated on at most, and the share of their neighbours to be met.
 CALIBRATION, RECALL = 200, 0.98
 #: Groups of leaves, and rows and queries of a block at most, about.
@@ -163,7 +166,7 @@ def _nearest_in_all(rows: DataFrame, queries: np.ndarray, query_ids: np.ndarray,
                 ["query", "id", "score"],
             )
 
-    near = rows.mapInArrow(run, "query long, id long, score double")
+    near = rows.mapInArrow(tidy(run), "query long, id long, score double")
     nth = F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), "id"))
     return near.withColumn("nth", nth).where(F.col("nth") <= k).toPandas()  # k rows for each of the few queries
 
@@ -174,8 +177,8 @@ def calibrated(tree: Tree, rows: DataFrame, sample: np.ndarray, sample_ids: np.n
     if not len(true):
         return tree.n_leaves
     vectors = rows.join(F.broadcast(rows.sparkSession.createDataFrame(true[["id"]].drop_duplicates())), "id").select("id", "vec")
-    known = vectors.dropDuplicates(["id"]).toPandas()
-    leaf = dict(zip(known["id"], assign(tree, _unit(np.array(known["vec"].tolist(), np.float64))), strict=True))
+    known = _packed(vectors.dropDuplicates(["id"]))
+    leaf = dict(zip(known["id"], assign(tree, _unit(_rows_of(known["vec"], width))), strict=True))
     ranks = []
     for n, group in true.groupby("query"):
         order = visits(tree, _unit(sample[n : n + 1])[0], tree.n_leaves)
@@ -184,6 +187,21 @@ def calibrated(tree: Tree, rows: DataFrame, sample: np.ndarray, sample_ids: np.n
     return int(np.sort(ranks)[ceil(recall * len(ranks)) - 1])
 
 
+def _packed(rows: DataFrame) -> pd.DataFrame:
+    """id, vec as bytes of numbers: arrays of a sample never become lists in the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vectors = [np.asarray(v.values, np.float64).tobytes() for v in batch.column("vec")]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(vectors, pa.binary())], ["id", "vec"])
+
+    return rows.select("id", "vec").mapInArrow(tidy(run), "id long, vec binary").toPandas()
+
+
+def _rows_of(packed: pd.Series, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(packed), np.float64).reshape(-1, width)
+
+
 def search(
     rows: DataFrame,
     queries: DataFrame,
@@ -195,7 +213,7 @@ def search(
 ) -> DataFrame:
     """query_id, rank (from 1), id, score: the nearest rows found for each query, but for those with the query's id.
 
-    Vectors that are null, zero, hold null or non-finite components, or have another length than most of the sample, take no
+    Vectors that are null, zero, hold null or non-finite components, or have another length than most rows, take no
     part; nor do rows or queries with null ids. Equal scores go to smaller ids. Rows that share an id are rows of their own.
     Queries with fewer than k candidates get them all; empty tables give an empty result. Other columns aren't read.
     """
@@ -205,15 +223,18 @@ def search(
         found = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vec"))
         return found.where(F.col("id").isNotNull() & _usable("vec", width))
 
-    drawn = plain(rows).withColumn("h", F.xxhash64("id", F.lit(11))).orderBy("h", "id").limit(sample).toPandas()
+    known = plain(rows)
     schema = "query_id long, rank int, vec_id long, score double"
-    if not len(drawn):
+    widths = known.groupBy(F.size("vec").alias("width")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "width").first()
+    if widths is None:
         return spark.createDataFrame([], schema)
-    width = int(drawn["vec"].map(len).mode()[0])
-    drawn = drawn[drawn["vec"].map(len) == width]
-    x = np.array(drawn["vec"].tolist(), np.float64)
-    tree = fit(_unit(x))
+    width, many = widths
     rows, queries = plain(rows, width), plain(queries, width)
+    wanted = min(max(sample, int(SAMPLE_BY_ROOT * many**0.5)), max(1, SAMPLE_NUMBERS // width))
+    drawn = _packed(rows.withColumn("h", F.xxhash64("id", F.lit(11))).orderBy("h", "id").limit(wanted))
+    x = _rows_of(drawn.pop("vec"), width)
+    # A leaf holds about half as many rows as the root of their number, where the sample is large enough to say so.
+    tree = fit(_unit(x), int(min(LEAF, max(LEAST_LEAF, len(x) / (2 * many**0.5)))))
     checks = min(CALIBRATION, len(x))
     least = calibrated(tree, rows, x[:checks], drawn["id"].to_numpy()[:checks], k, recall, width)
 
@@ -228,7 +249,7 @@ def search(
                 ["id", "vec", "leaf", "grp"],
             )
 
-    indexed = keep(rows.mapInArrow(index, "id long, vec array<double>, leaf int, grp int"), "index")
+    indexed = keep(rows.mapInArrow(tidy(index), "id long, vec array<double>, leaf int, grp int"), "index")
     held = np.zeros(tree.n_leaves, np.int64)
     for r in indexed.groupBy("leaf").count().toLocalIterator():  # as many rows as leaves
         held[r.leaf] = r["count"]
@@ -250,14 +271,13 @@ def search(
                 ["id", "vec", "grp", "leaves"],
             )
 
-    walks = keep(queries.mapInArrow(walk, "id long, vec array<double>, grp int, leaves array<int>"), "walks")
+    walks = keep(queries.mapInArrow(tidy(walk), "id long, vec array<double>, grp int, leaves array<int>"), "walks")
     blocks = {
         r.grp: (ceil(r.n / BLOCK_ROWS), ceil((r.m or 0) / BLOCK_QUERIES))
         for r in indexed.groupBy("grp").agg(F.count("*").alias("n"))
         .join(walks.groupBy("grp").agg(F.count("*").alias("m")), "grp", "left").collect()  # as many rows as groups
     }
-    cells = [(g, r, q) for g, (rs, qs) in blocks.items() for r in range(rs) for q in range(qs)]
-    if not cells:
+    if not any(queries_ for _, queries_ in blocks.values()):
         return spark.createDataFrame([], schema)
 
     def dealt(df: DataFrame, own: int) -> DataFrame:
@@ -294,5 +314,5 @@ def search(
 
 
 def op1_nearest_neighbours(spark, sf_dir: str) -> DataFrame:
-    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    rows = table(spark, sf_dir, "embeddings")
     return search(rows, rows.where("vec_id % 50 = 0"))
