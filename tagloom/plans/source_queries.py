@@ -208,7 +208,9 @@ def conll_dialects(spark, d):
     """Each dialect's columns; a document of one sentence, led by the dialect's start of a document if it has one."""
     rows = tagged(_documents(spark, d)).select("doc_id", F.transform("tokens", lambda t: F.replace(t, F.lit("#"), F.lit("+"))).alias("tokens"), "tags")
     each = rows.select("doc_id", F.posexplode(F.arrays_zip("tokens", "tags")).alias("pos", "x")).select("doc_id", "pos", "x.tokens", "x.tags")
-    out = None
+    path = shared_folder(spark, "tagged")  # read by each dialect
+    each.write.parquet(path)
+    each, out = spark.read.parquet(path), None
     for name, layout in _LAYOUTS.items():
         turned = F.when(F.col("tags") == "O", "0").otherwise(F.concat_ws("-", tags.entity_type(F.col("tags")), tags.position(F.col("tags"))))
         cells = {"f": F.col("tokens"), "t": F.col("tags"), "b": turned, "w": F.concat(F.substring("tokens", 1, 1), F.lit("0")), "n": (F.col("pos") + 1).cast("string")}

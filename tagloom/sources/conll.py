@@ -181,58 +181,68 @@ def parse(
 
     rows: source, line_no, line. Extra columns of a line are left out; missing ones are null. With whole_source all sentences
     of a source make one document.
+
+    Everything comes from one order of a source's lines, so lines are shuffled and sorted once; a line knows what stands before
+    it, such as the last line that began a segment or a document.
     """
     d = DIALECTS.get(dialect)
-    seg = segments(rows, strict_blank)
-    w = W.partitionBy("source", "segment").orderBy("line_no")
-    whole = W.partitionBy("source", "segment")
-    seg = seg.withColumn("_i", F.row_number().over(w) - 1)
-    text = F.lit(None).cast("string")
-    opens = F.lit(False)
-    if d.comments:
-        # Comments are the lines of # before the first other line; a segment of nothing else has no rows.
-        body = F.min(F.when(~F.col("line").startswith("#"), F.col("_i"))).over(whole)
-        seg = seg.withColumn("_body", body).withColumn("_comment", F.col("_i") < F.coalesce("_body", F.lit(1 << 30)))
-        pair = key_value(F.col("line"))
-        text = F.max(F.when(F.col("_comment") & (pair["key"] == "text"), pair["value"])).over(whole)
-        if d.document_comment:
-            opens = F.max(F.col("_comment") & F.col("line").rlike(d.document_comment)).over(whole)
-        seg = seg.withColumns({"sentence_text": text, "_opens": opens}).where(~F.col("_comment"))
-    else:
-        first = F.first("line").over(w)
-        starts = first.startswith(d.docstart) if d.docstart else F.lit(False)
-        seg = seg.withColumns({"sentence_text": text, "_opens": starts})
-        if d.docstart:
-            # An ignored start takes its whole segment with it, and a document's start is its first line.
-            seg = seg.where(~F.col("_opens")) if d.ignore_docstart else seg.withColumn("_head", F.col("_opens") & (F.col("_i") == 0))
-    order = W.partitionBy("source").orderBy("segment")
+    order = W.partitionBy("source").orderBy("line_no")
+    so_far = order.rowsBetween(W.unboundedPreceding, W.currentRow)
+    last = lambda condition, value: F.last(F.when(condition, value), ignorenulls=True).over(so_far)
+    line, number = F.col("line"), F.col("line_no")
+    each = rows.withColumn("_blank", (line == "") if strict_blank else line.rlike(f"^{SPACE}*$"))
+    each = each.withColumn("_new", ~F.col("_blank") & F.lag("_blank", 1, True).over(order))
+    start = line.startswith(d.docstart) if d.docstart and not d.comments else F.lit(False)
+    each = each.withColumns(
+        {
+            "segment": F.sum(F.col("_new").cast("long")).over(so_far),
+            "_begin": last(F.col("_new"), number),
+            "_opened": last(F.col("_new"), start),
+            "_body": last(~F.col("_blank") & ~line.startswith("#"), number),
+        }
+    )
+    # Comments are the lines of # before a segment's first other line.
+    comment = F.coalesce(F.col("_body") < F.col("_begin"), F.lit(True)) if d.comments else F.lit(False)
+    each = each.withColumn("_comment", ~F.col("_blank") & comment)
+    pair = key_value(line)
+    told = last(F.col("_comment") & (pair["key"] == "text"), F.struct("segment", pair["value"].alias("text"))) if d.comments else None
     if whole_source:
         document = F.lit(0).cast("long")
-    elif (d.comments and d.document_comment and comment_boundaries) or (d.docstart and not d.ignore_docstart):
-        heads = seg.groupBy("source", "segment").agg(F.max("_opens").cast("int").alias("_o"))
-        numbered = heads.withColumn("_d", F.sum("_o").over(order))
-        seg = seg.join(numbered.drop("_o"), ["source", "segment"])
-        document = F.col("_d").cast("long")
+    elif d.comments and d.document_comment and comment_boundaries:
+        document = F.coalesce(last(F.col("_comment") & line.rlike(d.document_comment), F.col("segment")), F.lit(-1))
+    elif not d.comments and d.docstart and not d.ignore_docstart:
+        document = F.coalesce(last(F.col("_new") & start, F.col("segment")), F.lit(-1))
     else:
         document = F.col("segment")
-    seg = seg.withColumn("document", document)
-    if "_head" in seg.columns:
-        seg = seg.where(~F.col("_head"))
+    text = F.when(told["segment"] == F.col("segment"), told["text"]) if d.comments else F.lit(None).cast("string")
+    each = each.withColumns({"_document": document, "sentence_text": text})
+    # An ignored start takes its whole segment with it; else it is a line of its own.
+    gone = F.col("_opened") if d.ignore_docstart else (F.col("_new") & start)
+    each = each.where(~F.col("_blank") & ~F.col("_comment") & ~gone)
+    changes = lambda c: ~F.col(c).eqNullSafe(F.lag(c).over(order))
+    each = each.withColumns({"_next": changes("_document"), "_sentence": changes("segment")})
+    each = each.withColumns(
+        {
+            "document": F.sum(F.col("_next").cast("long")).over(so_far) - 1,
+            "_s": F.sum((F.col("_next") | F.col("_sentence")).cast("long")).over(so_far),
+            "_p": F.row_number().over(order).cast("long"),
+        }
+    )
+    first = {"_s0": last(F.col("_next"), F.col("_s")), "_p0": last(F.col("_next") | F.col("_sentence"), F.col("_p"))}
+    each = each.withColumns(first)
     cells = F.split("line", f"\\Q{delimiter}\\E")
     columns = {name: F.get(cells, F.lit(i)) for i, name in enumerate(d.fields)}
     if "ner" in columns:
         columns["ner"] = d.tag(columns["ner"])
     columns["form"] = d.form(columns["form"])
-    dense = W.partitionBy("source").orderBy("document")
-    out = seg.select(
+    return each.select(
         "source",
-        (F.dense_rank().over(dense) - 1).cast("long").alias("document"),
-        (F.dense_rank().over(W.partitionBy("source", "document").orderBy("segment")) - 1).cast("long").alias("sentence"),
-        (F.row_number().over(w) - 1).cast("long").alias("position"),
+        "document",
+        (F.col("_s") - F.col("_s0")).alias("sentence"),
+        (F.col("_p") - F.col("_p0")).alias("position"),
         "sentence_text",
         *[c.alias(n) for n, c in columns.items()],
     )
-    return out
 
 
 def parse_columns(rows: DataFrame, order: str = "row") -> DataFrame:
