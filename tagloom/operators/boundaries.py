@@ -14,7 +14,7 @@ _OFFSETS = SENTENCE_OFFSETS["sentence_offsets"].dataType.simpleString()
 RANGE = 100_000
 
 
-def numbered(rows: DataFrame, keys: tuple[str, ...] = ("document_index",), position: str = "document_position", name: str = "sequence_index") -> DataFrame:
+def numbered(rows: DataFrame, keys: tuple[str, ...] = ("document_index",), position: tuple[str, ...] = ("document_position",), name: str = "sequence_index") -> DataFrame:
     """Adds the running number of each row of a split, from 0, by document and place in it.
 
     Documents are counted range by range: no task sees more than RANGE documents and the sums of all ranges. keys: the last
@@ -25,7 +25,7 @@ def numbered(rows: DataFrame, keys: tuple[str, ...] = ("document_index",), posit
     before = F.sum("_many").over((W.partitionBy(*above) if above else W.partitionBy(F.lit(0))).orderBy("_range").rowsBetween(W.unboundedPreceding, -1))
     sums = ranged.groupBy(*above, "_range").agg(F.count("*").alias("_many"))
     first = sums.select(*above, "_range", F.coalesce(before, F.lit(0)).alias("_first"))
-    nth = F.row_number().over(W.partitionBy(*above, "_range").orderBy(document, position)) - 1
+    nth = F.row_number().over(W.partitionBy(*above, "_range").orderBy(document, *position)) - 1
     out = ranged.withColumn("_nth", nth).join(F.broadcast(first), [*above, "_range"])  # one row for each range of documents
     return out.withColumn(name, (F.col("_first") + F.col("_nth")).cast("long")).drop("_range", "_nth", "_first")
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import kernels
 from ..functions import spans as sp
 from ..schema import ANNOTATIONS, DEFAULT_TAGSET
+from .boundaries import numbered
 
 _ANNOTATIONS = ANNOTATIONS.simpleString()
 
@@ -47,9 +48,9 @@ def merge_documents(
 
 
 def with_chunk_index(merged: DataFrame, order: tuple[str, ...] = ("document_index",), partition: tuple[str, ...] = ()) -> DataFrame:
-    """Numbers merged documents from 0 in an explicit order, within each partition (such as dataset, subset, split)."""
-    window = W.partitionBy(*partition).orderBy(*order) if partition else W.orderBy(*order)
-    return merged.withColumn("chunk_index", F.row_number().over(window).cast("long") - 1)
+    """Numbers merged documents from 0 in an explicit order, which begins with the document's number, within each partition (such
+    as dataset, subset, split)."""
+    return numbered(merged, (*partition, order[0]), order[1:], "chunk_index")
 
 
 def drop_documents_with_empty_text(rows: DataFrame, keys: tuple[str, ...] = ("document_index",), strict: bool = False) -> DataFrame:

@@ -436,20 +436,25 @@ def distributed_limit_sample(spark, d):
     return sampling.quota_sample(_documents(spark, d), "lang", "source", _LIMIT, ("doc_id",)).select("lang", "source", "doc_id")
 
 
+def _names(rows: DataFrame, column: str) -> list[str]:
+    """The values of a column that tells apart splits: a few."""
+    return sorted(r[0] for r in rows.select(F.coalesce(column, F.lit("none"))).distinct().collect())
+
+
 def _splits(spark: SparkSession, d: str) -> list[tuple[dict, DataFrame]]:
     """Three datasets of one row schema: documents by language, conversations, benchmark items. Only the first has tokens."""
     names = ("sequence_id", "document_index", "document_position", "text", "space_after", "ner")
     out = []
     docs = annotated(_documents(spark, d)).withColumnRenamed("doc_id", "document_index")
     docs = docs.withColumns({"document_position": F.lit(0).cast("long"), "space_after": F.lit("")})
-    docs = docs.withColumn("sequence_id", ids.sequence_id(F.lit("documents"), F.col("lang"), F.lit("train"), F.col("document_index"), F.col("document_position")))
-    for lang in ("en", "de", "fr", "es"):
-        rows = docs.where(F.col("lang") == lang).select(*names, "tokens", F.col("tags").alias("ner_iob"))
+    docs = docs.withColumn("sequence_id", ids.sequence_id(F.lit("documents"), F.coalesce("lang", F.lit("none")), F.lit("train"), F.col("document_index"), F.col("document_position")))
+    for lang in _names(docs, "lang"):
+        rows = docs.where(F.coalesce("lang", F.lit("none")) == lang).select(*names, "tokens", F.col("tags").alias("ner_iob"))
         out.append(({"dataset": "documents", "subset": [lang], "split": "train", "language": lang, "tagsets": ["ner"]}, rows))
     talks = annotated(_sequences(spark, d))
-    for role in ("user", "assistant"):
+    for role in _names(talks, "role"):
         entry = {"dataset": "conversations", "subset": ["role", role], "split": "train", "language": "en", "tagsets": ["ner"]}
-        out.append((entry, talks.where(F.col("role") == role).select(*names)))
+        out.append((entry, talks.where(F.coalesce("role", F.lit("none")) == role).select(*names)))
     items = table(spark, d, "benchmark").select(F.col("item_id").alias("document_index"), "text")
     items = annotated(items).withColumns({"document_position": F.lit(0).cast("long"), "space_after": F.lit("")})
     items = items.withColumn("sequence_id", ids.sequence_id(F.lit("benchmark"), F.lit("all"), F.lit("test"), F.col("document_index"), F.col("document_position")))
@@ -458,9 +463,9 @@ def _splits(spark: SparkSession, d: str) -> list[tuple[dict, DataFrame]]:
 
 
 _ALL = """, a as (
- select 'documents' as dataset, lang as subset, 'train' as split, lang as language, doc_id as document_index, 0::bigint as document_position, text, true as tokenized
-   from documents where lang in ('en', 'de', 'fr', 'es')
- union all select 'conversations', 'role/' || role, 'train', 'en', conv_id, turn, text, false from conversations where role in ('user', 'assistant')
+ select 'documents' as dataset, coalesce(lang, 'none') as subset, 'train' as split, coalesce(lang, 'none') as language, doc_id as document_index,
+   0::bigint as document_position, text, true as tokenized from documents
+ union all select 'conversations', 'role/' || coalesce(role, 'none'), 'train', 'en', conv_id, turn, text, false from conversations
  union all select 'benchmark', '', 'test', 'en', item_id, 0, text, false from benchmark),
  b as (select *, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\r\\f]+'), lambda x: x <> '') as ts from a)"""
 _SAMPLE = 150
