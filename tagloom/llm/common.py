@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
 import tempfile
 import uuid
 import weakref
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -112,6 +113,25 @@ def steps(batches: Iterator[pa.RecordBatch], column: str, limit: int = STEP_BYTE
             yield batch.slice(int(a), int(b - a))
 
 
+def give_back() -> None:
+    """Return memory that this process has freed to the system, where the system's library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function of batches that gives memory back at the end of its partition. Workers outlive tasks, and several wait on each
+    executor; what they have freed but hold would add up."""
+
+    def whole(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        give_back()
+
+    return whole
+
+
 class Words(NamedTuple):
     """codes: of all words of all texts in a row, into vocabulary; offsets: where each text begins, and the end."""
 
@@ -236,8 +256,9 @@ def rolled(values: np.ndarray, width: int, base: np.uint64) -> np.ndarray:
 
 # --- membership filters of a fixed size --------------------------------------------------------------------------
 
-#: Bits of a filter. Its size never grows: beyond some ten million keys it only lets more rows pass, none is lost.
-FILTER_BITS = 26
+#: Bits of a filter, whose size never grows, and the share of them that may be set. Beyond that, some nine million keys, it lets
+#: too many rows pass to be of use, and keys are joined instead.
+FILTER_BITS, FILTER_FULL = 26, 0.125
 _PAGE = 32768
 
 
@@ -257,6 +278,12 @@ def membership(df: DataFrame, column: str, bits: int = FILTER_BITS) -> bytes:
     return bytes(out)
 
 
+def crowded(bitmap: bytes) -> bool:
+    """Whether a bitmap is too full to be of use."""
+    bits = np.frombuffer(bitmap, np.uint8)
+    return int(np.bitwise_count(bits).sum(dtype=np.int64)) > FILTER_FULL * 8 * len(bits)
+
+
 def may_contain(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Which keys may have been in the table; never false for one that was. The bitmap as numpy bytes."""
     bits = (len(bitmap) - _PAGE // 8) * 8

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import HOT_KEYS, HOT_ROWS, discard, dropping_shuffles, hashed_words, hot_keys, join_skewed, keep, may_contain, membership, mixed, most_frequent, spread, steps, table, text_or_empty
+from .common import HOT_KEYS, HOT_ROWS, crowded, discard, dropping_shuffles, hashed_words, hot_keys, join_skewed, keep, may_contain, membership, mixed, most_frequent, spread, steps, table, text_or_empty, tidy
 
 SHINGLE, PERCENT = 4, 85
 #: In how many of its buckets a group may meet one member at first, and with how many of these it is compared.
@@ -242,7 +242,7 @@ class _Join:
         """The n-grams that come last, sorted, and the power of two of their number. HEAVY_KNOWN at most; any choice gives
         the same result, as the order need only be the same for all documents."""
         grams = self.docs.select("text").mapInArrow(
-            partial(_early, width=self.width, percent=self.percent), "grams array<long>"
+            tidy(partial(_early, width=self.width, percent=self.percent)), "grams array<long>"
         )
         counted = grams.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
         counted = keep(counted.where(F.col("n") >= HEAVY), "heavy")
@@ -257,7 +257,7 @@ class _Join:
         """Tables: rows (id, text_key, n, s1, s2), members (node, gid, n, low, s1, s2, parts), postings (gram, at, nth, gid, n, often, sketch)."""
         signed = keep(
             self.docs.withColumn("text_key", F.xxhash64("text")).mapInArrow(
-                partial(_signed, heavy=self.share(self.heavy()), width=self.width, percent=self.percent),
+                tidy(partial(_signed, heavy=self.share(self.heavy()), width=self.width, percent=self.percent)),
                 "id long, text_key long, n long, s1 long, s2 long, p1 long, p2 long, often long, sketch long, parts binary, prefix array<long>",
             ),
             "signed",
@@ -274,11 +274,18 @@ class _Join:
         discard(signed)
         self.members = keep(classes.join(groups.drop("prefix", "often", "sketch"), ["p1", "p2", "n"]).drop("p1", "p2"), "members")
         grams = groups.select(F.explode("prefix").alias("gram")).groupBy("gram").agg(F.count("*").alias("c")).where("c > 1")
-        several = self.share(membership(grams, "gram"))
-        live = groups.select("gid", "n", "often", "sketch", "prefix").mapInArrow(
-            partial(_live, shared=several), "gid long, n long, often long, sketch long, grams array<struct<gram: long, at: int, nth: int>>"
-        )
-        self.postings = keep(live.select("gid", "n", "often", "sketch", F.inline("grams")), "postings")
+        names = ("gid", "n", "often", "sketch")
+        several = membership(grams, "gram")
+        if crowded(several):
+            each = groups.select(*names, F.posexplode("prefix").alias("at", "gram")).join(grams.select("gram"), "gram", "left_semi")
+            nth = F.row_number().over(W.partitionBy("gid").orderBy("at")) - 1
+            live = each.select(*names, "gram", F.col("at").cast("int").alias("at"), nth.cast("int").alias("nth"))
+        else:
+            found = groups.select(*names, "prefix").mapInArrow(
+                tidy(partial(_live, shared=self.share(several))), "gid long, n long, often long, sketch long, grams array<struct<gram: long, at: int, nth: int>>"
+            )
+            live = found.select(*names, F.inline("grams"))
+        self.postings = keep(live, "postings")
         discard(classes, groups)
 
     def possible(self, a: str, b: str) -> Column:
@@ -323,16 +330,19 @@ class _Join:
         """The pairs whose whole sets are similar enough, as edges (a, b); pairs: x, y."""
         pairs = keep(pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "pairs")
         side = lambda c: self.members.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("parts").alias(f"p{c}"))
-        likely = pairs.join(side("x"), "x").join(side("y"), "y").mapInArrow(partial(_bounded, percent=self.percent), "x long, y long")
+        likely = pairs.join(side("x"), "x").join(side("y"), "y").mapInArrow(tidy(partial(_bounded, percent=self.percent)), "x long, y long")
         likely = keep(likely, "likely")
         discard(pairs)
         pairs = likely
         involved = pairs.select(F.col("x").alias("node")).union(pairs.select(F.col("y").alias("node"))).distinct()
         classes = self.members.join(involved, "node").select("node", "low", "s1", "s2")
         classes = keep(classes, "involved")
-        wanted = self.share(membership(classes.select(spread("low").alias("key")), "key"))
-        sets = self.docs.select("id", "text", spread("id").alias("key")).mapInArrow(
-            partial(_sets_of, wanted=wanted, width=self.width), "id long, s1 long, s2 long, grams array<long>"
+        wanted, docs = membership(classes.select(spread("low").alias("key")), "key"), self.docs
+        if crowded(wanted):
+            lows = classes.select("low").distinct()
+            docs = docs.join(lows, docs["id"].eqNullSafe(lows["low"]), "left_semi")
+        sets = docs.select("id", "text", spread("id").alias("key")).mapInArrow(
+            tidy(partial(_sets_of, wanted=self.share(wanted), width=self.width)), "id long, s1 long, s2 long, grams array<long>"
         )
         same = sets["id"].eqNullSafe(classes["low"]) & (sets["s1"] == classes["s1"]) & (sets["s2"] == classes["s2"])
         sets = keep(sets.join(classes, same).select("node", "grams").dropDuplicates(["node"]), "sets")

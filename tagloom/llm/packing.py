@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import keep, steps, text_or_empty
+from .common import keep, steps, table, text_or_empty, tidy
 from .token_ids import Encoder, default_tokenizer, with_end
 
 CAPACITY = 2048
@@ -61,7 +61,7 @@ def cut(
                 [batch.column("id").take(pa.array(row, pa.int64())), nth, *numbers], schema.fieldNames()
             )
 
-    return docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")).mapInArrow(tidy(run), schema)
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -128,4 +128,4 @@ def pack(
 
 
 def op9_best_fit_packing(spark, sf_dir: str) -> DataFrame:
-    return pack(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return pack(table(spark, sf_dir, "documents"))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import hashed_words, keep, may_contain, membership, rolled, spread, steps, table, text_or_empty, tidy
+from .common import crowded, hashed_words, hot_keys, join_skewed, keep, may_contain, membership, rolled, spread, steps, table, text_or_empty, tidy
 
 WINDOW = 50
 #: Bytes of text of one step here; windows take several times the memory of their text.
@@ -81,16 +81,26 @@ def _anchors(docs: DataFrame, window: int, anchor: int) -> DataFrame:
 _WINDOWS = "id long, bare boolean, text_key long, n_words long, full_sha string, windows array<struct<h1: long, h2: int>>"
 
 
-def _windows(docs: DataFrame, shared: bytes, window: int, anchor: int) -> DataFrame:
+def _windows(docs: DataFrame, shared: bytes | None, window: int, anchor: int) -> DataFrame:
     """Per row: a digest, its number of words, the SHA-256 of its words, and the distinct hashes of windows whose name several
-    ids have."""
-    bitmap = docs.sparkSession.sparkContext.broadcast(shared)
+    ids have. Such names are known by a filter, or else stand in each row (docs: names, null for none)."""
+    bitmap = docs.sparkSession.sparkContext.broadcast(shared) if shared is not None else None
+
+    def likely(d: _Document, batch: pa.RecordBatch) -> np.ndarray:
+        if bitmap is not None:
+            return may_contain(np.frombuffer(bitmap.value, np.uint8), d.names)
+        out = np.zeros(len(d.names), bool)
+        bounds = np.searchsorted(d.owner, np.arange(batch.num_rows + 1))
+        for i, own in enumerate(batch.column("names").to_pylist()):
+            if own:
+                part = slice(bounds[i], bounds[i + 1])
+                out[part] = np.isin(d.names[part].view(np.int64), np.array(own, np.int64))
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(bitmap.value, np.uint8)
         for batch in steps(batches, "text", STEP):
             d = _Document(batch.column("text"), window, anchor)
-            at = np.flatnonzero(d.whole & may_contain(bits, d.names))
+            at = np.flatnonzero(d.whole & likely(d, batch))
             owner, first = d.owner[at], d.hashes(0)[at].view(np.int64)
             order = np.lexsort((first, owner))  # a text that repeats itself has many windows of one hash
             new = np.ones(len(order), bool)
@@ -122,7 +132,11 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, anchor: int | None =
     anchor = anchor or max(1, window // 2)
     names = _anchors(docs, window, anchor).select("id", F.explode("names").alias("name"))
     several = names.groupBy("name").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
-    shared = membership(several, "name")
+    shared: bytes | None = membership(several, "name")
+    if crowded(shared):
+        # Rows carry their own names: as many as a thirteenth of their words, of which only those that repeat.
+        held = join_skewed(names, several.select("name"), "name", hot_keys(names, "name")).groupBy("id").agg(F.collect_set("name").alias("names"))
+        docs, shared = docs.join(held, "id", "left"), None
     rows = keep(_windows(docs, shared, window, anchor), "windows")
     flat = rows.select("id", "text_key", F.inline("windows"))
     firsts = flat.groupBy("h1", "h2").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
@@ -145,7 +159,10 @@ def remove_repeats(
     )
     rows, again = repeated_windows(docs, window, anchor)
     hit = keep(again.groupBy("id", "text_key").agg(F.collect_list("h1").alias("hashes")), "repeats")
-    met = docs.sparkSession.sparkContext.broadcast(membership(hit.select(spread("id").alias("key")), "key"))
+    wanted, some = membership(hit.select(spread("id").alias("key")), "key"), docs
+    if crowded(wanted):
+        some = docs.join(hit.select("id").distinct(), "id", "left_semi")
+    met = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def touched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(met.value, np.uint8)
@@ -157,7 +174,7 @@ def remove_repeats(
                     [part.column("id"), pa.array(d.digests(), pa.int64()), part.column("text")], ["id", "text_key", "text"]
                 )
 
-    texts = docs.select("id", "text", spread("id").alias("key")).mapInArrow(tidy(touched), "id long, text_key long, text string")
+    texts = some.select("id", "text", spread("id").alias("key")).mapInArrow(tidy(touched), "id long, text_key long, text string")
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in frames:

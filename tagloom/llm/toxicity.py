@@ -23,7 +23,6 @@ and whole.
 
 from __future__ import annotations
 
-import pickle
 import re
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -36,9 +35,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import crc_remainder, hash_words, keep, split_words, steps, text_or_empty
+from .common import crc_remainder, give_back, hash_words, keep, split_words, steps, table, text_or_empty, tidy
 
 PER_CLASS, FOLDS = 4000, 4
+#: Bytes of text of one step; log ratios take several times the memory of their text.
+STEP = 2 << 20
 DISCOUNT, PENALTY = 0.75, 0.3
 SEGMENTS = (1, 8)
 FEATURES = 2 + len(SEGMENTS)
@@ -70,6 +71,21 @@ class Model(NamedTuple):
     bigram: np.ndarray
 
 
+def packed(model: Model) -> bytes:
+    size = np.array([len(model.words), len(model.keys)], np.int64)
+    return b"".join(x.tobytes() for x in (size, model.words, model.keys, model.alone, model.back, model.bigram))
+
+
+def unpacked(raw: bytes) -> Model:
+    """The model that packed() made, as views of its bytes."""
+    words, keys = np.frombuffer(raw, np.int64, 2).tolist()
+    at, out = 16, []
+    for kind, many in ((np.int64, words), (np.int64, keys), (np.float32, words + 1), (np.float32, words + 1), (np.float32, keys)):
+        out.append(np.frombuffer(raw, kind, many, at))
+        at += out[-1].nbytes
+    return Model(out[0], out[2], out[3], out[1], out[4])
+
+
 def hashed(words: list[str]) -> np.ndarray:
     return hash_words(pa.array(words, pa.string())).view(np.int64)
 
@@ -111,7 +127,7 @@ def fit(texts: pa.Array, toxic: np.ndarray, discount: float = DISCOUNT) -> Model
     """The model of texts and their marks, 0 or 1. Texts are counted a few megabytes at a time."""
     start = int(hash_words(pa.array([""])).view(np.int64)[0])  # no word is empty
     marked = pa.record_batch({"text": texts.cast(pa.string()), "y": pa.array(toxic.astype(np.int64))})
-    counted = [count(b.column("text"), b.column("y").to_numpy(), start) for b in steps([marked], "text")]
+    counted = [count(b.column("text"), b.column("y").to_numpy(), start) for b in steps([marked], "text", STEP)]
     first, second, mark, n = (np.concatenate(x) for x in zip(*counted, strict=True)) if counted else [np.empty(0, np.int64)] * 4
     del counted
     known = np.unique(np.concatenate([first[first != start], second]))
@@ -216,7 +232,7 @@ def _labelled(docs: DataFrame, labels: DataFrame, per_class: int, salt: int) ->
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, salt: int = 5) -> tuple[bytes, np.ndarray]:
-    """The pickled model, and the weights of the logistic fit. docs: id, text; labels: id, y."""
+    """The packed model, and the weights of the logistic fit. docs: id, text; labels: id, y."""
     seen = keep(_labelled(docs, labels, per_class, salt).select("id", "text", "y", "fold"), "labelled")
     each = seen.withColumn("out", F.explode(F.array(*map(F.lit, range(FOLDS)))))
 
@@ -228,36 +244,31 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, salt:
         x = np.concatenate([np.zeros((0, FEATURES)), *parts])
         out = pd.DataFrame({"y": held["y"].astype("int32"), "x": list(x), "model": None})
         if key[0] == FOLDS - 1:
-            out = pd.concat([out, pd.DataFrame({"y": [-1], "x": [np.zeros(0)], "model": [pickle.dumps(model)]})], ignore_index=True)
-        pa.default_memory_pool().release_unused()
+            out = pd.concat([out, pd.DataFrame({"y": [-1], "x": [np.zeros(0)], "model": [packed(model)]})], ignore_index=True)
+        del model, rest, held, parts, rows
+        give_back()
         return out
 
     found = each.groupBy("out").applyInPandas(weigh, "y int, x array<double>, model binary")
     found = keep(found, "weighed")
-    packed = found.where("y = -1").select("model").first()
-    packed = bytes(packed[0]) if packed else pickle.dumps(fit(pa.array([], pa.string()), np.zeros(0)))
+    told = found.where("y = -1").select("model").first()
+    raw = bytes(told[0]) if told else packed(fit(pa.array([], pa.string()), np.zeros(0)))
     rows = found.where("y >= 0").select("y", "x").toPandas()
     many = {r.y: r.n for r in _usable(labels).groupBy("y").agg(F.count("*").alias("n")).collect()}
     stands_for = np.array([many.get(y, 0) / max(1, min(many.get(y, 0), per_class)) for y in (0, 1)])
     y = rows["y"].to_numpy(np.int64)
     x = np.array(rows["x"].tolist(), float).reshape(-1, FEATURES)
-    return packed, logistic(x, y.astype(float), stands_for=stands_for[y])
+    return raw, logistic(x, y.astype(float), stands_for=stands_for[y])
 
 
 class _Scorer:
-    """Log odds of texts. The model is unpacked once in each worker."""
-
-    def __init__(self, spark, packed: bytes, weights: np.ndarray) -> None:
-        self.shared, self.weights = spark.sparkContext.broadcast(packed), weights
-        self.model = None
+    """Log odds of texts. The driver and each worker hold the model once, as bytes."""
 
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"model": None}
+    def __init__(self, spark, raw: bytes, weights: np.ndarray) -> None:
+        self.shared, self.weights = spark.sparkContext.broadcast(raw), weights
 
     def __call__(self, texts: pa.Array) -> np.ndarray:
-        if self.model is None:
-            self.model = pickle.loads(self.shared.value)
-        return features(self.model, texts) @ self.weights[:-1] + self.weights[-1]
+        return features(unpacked(self.shared.value), texts) @ self.weights[:-1] + self.weights[-1]
 
 
 def _scorer(docs: DataFrame, labels: DataFrame, per_class: int, id_col: str, text_col: str, label_col: str, folds: int) -> _Scorer:
@@ -286,11 +297,11 @@ def score(
     schema = T.StructType([rows.schema["id"], T.StructField("held_out", T.BooleanType()), T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, "text"):
+        for batch in steps(batches, "text", STEP):
             p = 1 / (1 + np.exp(-np.clip(log_odds(batch.column("text")), -30, 30)))
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("held_out"), pa.array(p)], schema.fieldNames())
 
-    scored = rows.select("id", (crc_remainder("id", folds) == 0).alias("held_out"), "text").mapInArrow(run, schema)
+    scored = rows.select("id", (crc_remainder("id", folds) == 0).alias("held_out"), "text").mapInArrow(tidy(run), schema)
     return scored.select(
         F.col("id").alias(id_col), "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
@@ -318,11 +329,11 @@ def drop_toxic(
     log_odds = _scorer(docs, labels, per_class, id_col, text_col, label_col, folds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, text_col):
+        for batch in steps(batches, text_col, STEP):
             yield batch.filter(pa.array(log_odds(batch.column(text_col)) < 0))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def op10_toxicity(spark, sf_dir: str) -> DataFrame:
-    return score(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return score(table(spark, sf_dir, "documents"), spark.read.parquet(f"{sf_dir}/labels.parquet"))

@@ -82,6 +82,17 @@ def test_components_with_hot_grams(spark, monkeypatch):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == Counter(brute_components(odd_rows(texts), 4, 85))
 
 
+@pytest.mark.parametrize("hot", [10_000, 2])
+def test_full_filters_are_replaced_by_joins(spark, monkeypatch, hot):
+    monkeypatch.setattr(common, "FILTER_FULL", -1.0)
+    monkeypatch.setattr(common, "HOT_ROWS", hot)
+    texts = family(8, 70)
+    got = near_dup.near_components(odd_docs(spark, texts), 4, 85)
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == Counter(brute_components(odd_rows(texts), 4, 85))
+    found = substring_dedup.remove_repeats(odd_docs(spark, texts), 20).collect()
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in found) == Counter(brute_removal(odd_rows(texts), 20))
+
+
 def test_components_without_star_help(spark, monkeypatch):
     """The second search alone must find what the first leaves."""
     monkeypatch.setattr(near_dup._Join, "stars", lambda self: spark.createDataFrame([], "a long, b long"))

@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -133,3 +134,22 @@ def test_sum_of_squares_rule_against_plain_form():
         if at == len(gaps):
             gaps.append(capacity)
         gaps[at] -= size
+
+
+def test_encoder_on_random_unicode(tokenizer):
+    """Texts of characters of all planes, marks, digits, white space and special strings, against the tokenizer itself."""
+    r = random.Random(17)
+    planes = [(0x20, 0x7F), (0xA0, 0x250), (0x300, 0x370), (0x370, 0x600), (0x900, 0xA00), (0x1100, 0x1200), (0x1E00, 0x2100), (0x2100, 0x2C00), (0x3000, 0x3200), (0x4E00, 0x4F00), (0xAC00, 0xAD00), (0xFB00, 0xFF70), (0x1D400, 0x1D500), (0x1F300, 0x1F700)]
+    special = ["<|endoftext|>", "<|", "|>", "'s", "don't", "I'LL", "x's!", "...", "!?", "a.b", "3.14", "İ", "ẞ", "ﬁ", "Σς", "\u200d", "\ufeff", "\x85", "\u2028", "\xa0"]
+    blanks = [" ", "  ", "\t", "\n", "\r\n", "\x0b", "\x0c", "\u3000", "\x1f"]
+
+    def word():
+        if r.random() < 0.15:
+            return r.choice(special)
+        lo, hi = r.choice(planes if r.random() < 0.5 else planes[:2])
+        return "".join(c for c in (chr(r.randrange(lo, hi)) for _ in range(r.randint(1, 9))) if not 0xD800 <= ord(c) < 0xE000)
+
+    texts = ["".join(word() + r.choice(blanks if r.random() < 0.9 else [""]) for _ in range(r.randint(0, 25))) for _ in range(800)]
+    ids, bounds = Encoder(default_tokenizer()).encode(pa.array(texts, pa.string()))
+    for i, text in enumerate(texts):
+        assert ids[bounds[i] : bounds[i + 1]].tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
