@@ -153,6 +153,90 @@ def one_after_another(tokens: list[str], text: str) -> list[int]:
     return out
 
 
+# --- offsets held against what should stand there: (text, start, stop, expected) to (start, stop) ---------------------
+
+Place = tuple[int, int]
+
+
+def _refuse(where: str, expected: str) -> ValueError:
+    return ValueError(f"no such text {where} the offsets: {expected}")
+
+
+def as_long(text: str, start: int, stop: int, expected: str) -> Place:
+    """The span, if the text has what is expected there or something as long."""
+    if len(text[start:stop]) != len(expected):
+        raise _refuse("at", expected)
+    return start, stop
+
+
+def exact(text: str, start: int, stop: int, expected: str) -> Place:
+    """The span, if the text has exactly what is expected there."""
+    if text[start:stop] != expected:
+        raise _refuse("at", expected)
+    return start, stop
+
+
+def nearest(text: str, start: int, expected: str, most: int = 5) -> Place | None:
+    """The nearest span that holds what is expected, but for that at start itself; the earlier one of two as near."""
+    starts = (start + s * k for k in range(1, most + 1) for s in (-1, 1))
+    return next(((a, a + len(expected)) for a in starts if a >= 0 and text.startswith(expected, a)), None)
+
+
+def mended(text: str, start: int, stop: int, expected: str, most: int = 5) -> Place:
+    """See spans.repaired."""
+    found = text[start:stop]
+    if found == expected:
+        return start, stop
+    near, bare = nearest(text, start, expected, most), found.strip()
+    if near and stop - start == len(expected):
+        return near
+    first = start + len(found) - len(found.lstrip())
+    inner = found.find(expected)
+    if bare != expected and inner >= 0:
+        return start + inner, start + inner + len(expected)
+    if bare != expected and near:
+        return near
+    if bare == expected or len(found) != len(expected):
+        return first, first + len(bare)
+    raise _refuse("near", expected)
+
+
+def settled(rule: Callable[[str, int, int, str], Place]) -> Callable[[pa.Array, pa.Array], pa.Array]:
+    """A kernel for lists of (start, stop, expected) of a text. What is expected to be null stays as it is."""
+
+    def run(texts: pa.Array, items: pa.Array) -> pa.Array:
+        size, flat = sizes(items), items.flatten()
+        start, stop = numbers(flat.field("start")).tolist(), numbers(flat.field("stop")).tolist()
+        wanted, of = flat.field("expected").to_pylist(), texts.to_pylist()
+        at = [
+            (a, z) if e is None else rule(of[i], a, z, e) for i, a, z, e in zip(owners(size).tolist(), start, stop, wanted, strict=True)
+        ]
+        first, last = (np.fromiter((x[k] for x in at), np.int64, len(at)) for k in (0, 1))
+        return lists(spans(first, last), size, items, texts)
+
+    return run
+
+
+def pieces(texts: pa.Array, items: pa.Array) -> pa.Array:
+    size, flat, of = sizes(items), items.flatten(), texts.to_pylist()
+    at = zip(owners(size).tolist(), numbers(flat.field("start")).tolist(), numbers(flat.field("stop")).tolist(), strict=True)
+    return lists(pa.array([of[i][a:z] for i, a, z in at], pa.string()), size, items, texts)
+
+
+def of_bytes(texts: pa.Array, items: pa.Array) -> pa.Array:
+    """Spans in bytes of UTF-8 as spans in code points."""
+    size, flat = sizes(items), items.flatten()
+    at, out = ends(size), []
+    start, stop = numbers(flat.field("start")), numbers(flat.field("stop"))
+    for i, text in enumerate(texts.to_pylist()):
+        raw = np.frombuffer((text or "").encode(), np.uint8)
+        before = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
+        part = slice(at[i], at[i + 1])
+        out.append((before[np.minimum(start[part], len(raw))], before[np.minimum(stop[part], len(raw))]))
+    first, last = (np.concatenate([np.empty(0, np.int64), *(x[k] for x in out)]) for k in (0, 1))
+    return lists(spans(first, last), size, items, texts)
+
+
 def edges(items: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The start of the first span and the stop of the last of annotations in a row."""
     held = items.field("spans")

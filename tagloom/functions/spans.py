@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..schema import ANNOTATIONS, SPAN
 from . import kernels
-from .text import SPACE, UNSPACED, piece, primary_language, strip
+from .text import UNSPACED, piece, primary_language
 
 _SPANS = f"array<{SPAN.simpleString()}>"
 _ANNOTATIONS = ANNOTATIONS.simpleString()
@@ -99,16 +99,50 @@ def shifted(annotations: Column, by: Column) -> Column:
     )
 
 
+def pieces(text: Column, spans: Column) -> Column:
+    """What the text has at each of an array of spans."""
+    return F.arrow_udf(kernels.pieces, "array<string>")(text, spans)
+
+
+def expecting(start: Column, stop: Column, expected: Column) -> Column:
+    """An item of the lists below; where expected is null the span is taken as it is."""
+    return F.struct(start.cast("long").alias("start"), stop.cast("long").alias("stop"), expected.alias("expected"))
+
+
+def _settled(rule, text: Column, items: Column) -> Column:
+    return F.arrow_udf(kernels.settled(rule), _SPANS)(text, items)
+
+
+def check_spans(text: Column, items: Column) -> Column:
+    """The spans of items, where the text has what is expected or something as long; another length stops the job."""
+    return _settled(kernels.as_long, text, items)
+
+
+def check_exactly(text: Column, items: Column) -> Column:
+    """The spans of items, where the text has exactly what is expected; anything else stops the job."""
+    return _settled(kernels.exact, text, items)
+
+
+def repair_spans(text: Column, items: Column) -> Column:
+    """The spans of items as they are if right. One as long as what is expected moves to the nearest place that holds it. Else white
+    space is taken off its ends, or the expected text found within, or near its start. A span of another length that can't be
+    mended keeps what is left without white space at its ends; one of the same length stops the job."""
+    return _settled(kernels.mended, text, items)
+
+
 def check_span(text: Column, start: Column, stop: Column, expected: Column) -> Column:
-    """The span, if the text has what is expected there or something as long; another length stops the job."""
-    good = F.length(piece(text, start, stop)) == F.length(expected)
-    return F.when(good, span(start, stop)).otherwise(F.raise_error(F.concat(F.lit("no such text at the offsets: "), expected)))
+    """check_spans() for one span."""
+    return F.get(check_spans(text, F.array(expecting(start, stop, expected))), F.lit(0))
 
 
 def check_exact(text: Column, start: Column, stop: Column, expected: Column) -> Column:
-    """The span, if the text has exactly what is expected there; anything else stops the job."""
-    good = piece(text, start, stop) == expected
-    return F.when(good, span(start, stop)).otherwise(F.raise_error(F.concat(F.lit("no such text at the offsets: "), expected)))
+    """check_exactly() for one span."""
+    return F.get(check_exactly(text, F.array(expecting(start, stop, expected))), F.lit(0))
+
+
+def repaired(text: Column, start: Column, stop: Column, expected: Column) -> Column:
+    """repair_spans() for one span."""
+    return F.get(repair_spans(text, F.array(expecting(start, stop, expected))), F.lit(0))
 
 
 def find_near(text: Column, start: Column, stop: Column, expected: Column, most: int = 5) -> Column:
@@ -118,20 +152,9 @@ def find_near(text: Column, start: Column, stop: Column, expected: Column, most:
     return F.when(F.size(fits) > 0, span(start + fits[0], stop + fits[0]))
 
 
-def repaired(text: Column, start: Column, stop: Column, expected: Column, most: int = 5) -> Column:
-    """The span as it is if right. One as long as what is expected moves to the nearest place that holds it. Else white space
-    is taken off its ends, or the expected text found within, or near its start. A span of another length that can't be mended
-    keeps what is left without white space at its ends; one of the same length stops the job."""
-    found = piece(text, start, stop)
-    trimmed = strip(found)
-    lead = F.length(F.regexp_extract(found, f"^{SPACE}*", 0))
-    inner = F.instr(found, expected) - 1
-    bare = span(start + lead, start + lead + F.length(trimmed))
-    near = find_near(text, start, start + F.length(expected), expected, most)
-    mended = F.when(found == expected, span(start, stop)).when(stop - start == F.length(expected), near)
-    longer = F.when(trimmed == expected, bare).when(inner >= 0, span(start + inner, start + inner + F.length(expected)))
-    refused = F.raise_error(F.concat(F.lit("no such text near the offsets: "), expected))
-    return F.coalesce(mended, longer, near, F.when(F.length(found) != F.length(expected), bare), refused)
+def spans_of_bytes(text: Column, items: Column) -> Column:
+    """Spans counted in bytes of UTF-8, as spans in code points."""
+    return F.arrow_udf(kernels.of_bytes, _SPANS)(text, items)
 
 
 def merged_bounds(bounds: Column, tagsets: list[Column]) -> Column:

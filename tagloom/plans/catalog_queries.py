@@ -406,12 +406,22 @@ def sort_annotations(spark, d):
 @query(f"with {TAGS} select doc_id, ent_idx, start, stop from ent where stop - start > 12")
 def fix_offset(spark, d):
     """Spans of long entities moved by up to two characters, and mended by their text."""
-    rows = annotated(_documents(spark, d)).select("doc_id", "text", F.posexplode("ner").alias("ent_idx", "a"))
-    rows = rows.select("doc_id", F.col("ent_idx").cast("long").alias("ent_idx"), "text", F.col("a.spans")[0].alias("s")).where("s.stop - s.start > 12")
-    by = F.when(F.col("s.start") > 2, F.pmod(F.col("doc_id"), F.lit(3)) - 1).otherwise(F.lit(0))
-    expected = text.piece(F.col("text"), F.col("s.start"), F.col("s.stop"))
-    fixed = sp.repaired(F.col("text"), F.col("s.start") + by, F.col("s.stop") + by, expected)
-    return rows.withColumn("f", fixed).select("doc_id", "ent_idx", F.col("f.start").alias("start"), F.col("f.stop").alias("stop"))
+    long = lambda s: s["stop"] - s["start"] > 12
+    by = lambda s: F.when(s["start"] > 2, F.pmod(F.col("doc_id"), F.lit(3)) - 1).otherwise(F.lit(0))
+    return moved_and_mended(annotated(_documents(spark, d)), lambda s, i: F.when(long(s), by(s)))
+
+
+def moved_and_mended(rows: DataFrame, by) -> DataFrame:
+    """doc_id, ent_idx, start, stop of entities whose spans were moved by a column of (span, number), and mended by their text;
+    those that it moves by null are left out."""
+    pieces = sp.pieces(F.col("text"), F.transform("ner", lambda a: a["spans"][0]))
+    rows = rows.select("doc_id", "text", "ner", pieces.alias("pieces"))
+    moved = F.transform("ner", lambda a, i: F.struct(i.alias("i"), a["spans"][0].alias("s"), by(a["spans"][0], i).cast("long").alias("by")))
+    rows = rows.withColumn("moved", F.filter(moved, lambda m: m["by"].isNotNull()))
+    items = F.transform("moved", lambda m: sp.expecting(m["s"]["start"] + m["by"], m["s"]["stop"] + m["by"], F.get("pieces", m["i"])))
+    rows = rows.withColumn("f", sp.repair_spans(F.col("text"), items))
+    each = rows.select("doc_id", F.explode(F.arrays_zip(F.transform("moved", lambda m: m["i"]).alias("i"), "f")).alias("x"))
+    return each.select("doc_id", F.col("x.i").cast("long").alias("ent_idx"), F.col("x.f.start").alias("start"), F.col("x.f.stop").alias("stop"))
 
 
 @query("select doc_id, strlen(left(text, n)) as byte, n as char from (select doc_id, text, (length(text) // 2)::bigint as n from documents where text is not null)")

@@ -15,7 +15,7 @@ from ..functions import spans as sp
 from ..operators import boundaries, documents, sampling, stats
 from ..sources import columnar, conll, readers, store
 from ..sources.shared import shared_folder
-from .catalog_queries import CONV, LABELS, TAGS, _documents, _dotted, _sequences, _token_lines, annotated, flat, query, table, tagged
+from .catalog_queries import CONV, LABELS, TAGS, _documents, _dotted, _sequences, _token_lines, annotated, flat, moved_and_mended, query, table, tagged
 
 _SHA = "sha256(array_to_string(ts, ' '))"
 _ENTITIES = f"with {TAGS} select {_SHA} as text_sha, label, start, stop from ent join w using (doc_id)"
@@ -50,13 +50,23 @@ def _items(column: str, make) -> Column:
     return F.transform(column, lambda a: make(a["label"], a["spans"][0]["start"], a["spans"][0]["stop"]))
 
 
+def _with_pieces(rows: DataFrame) -> DataFrame:
+    """Adds pieces, the text of each entity."""
+    return rows.withColumn("pieces", sp.pieces(F.col("text"), F.transform("ner", lambda a: a["spans"][0])))
+
+
+def _named(make) -> Column:
+    """All entities, each put through make(label, start, stop, text)."""
+    return F.transform("ner", lambda a, i: make(a["label"], a["spans"][0]["start"], a["spans"][0]["stop"], F.get("pieces", i)))
+
+
 # --- spans beside texts ------------------------------------------------------------------------------------------------
 
 
 @query(_ENTITIES)
 def reader_offset_csv(spark, d):
-    entity = lambda y, a, z: F.struct(a.alias("start"), z.alias("end"), y.alias("type"), text.piece(F.col("text"), a, z).alias("entity"))
-    rows = _docs(spark, d).select("text", F.to_json(_items("ner", entity)).alias("offsets"))
+    entity = lambda y, a, z, p: F.struct(a.alias("start"), z.alias("end"), y.alias("type"), p.alias("entity"))
+    rows = _with_pieces(_docs(spark, d)).select("text", F.to_json(_named(entity)).alias("offsets"))
     path = shared_folder(spark, "offset-csv")
     rows.write.csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     return _found(readers.read("offset_csv", spark, path))
@@ -74,15 +84,15 @@ def reader_byte_offset_jsonl(spark, d):
 def reader_plain_spans(spark, d):
     """A line of text, then its spans as a list in JSON."""
     quoted = lambda s: F.substring(F.to_json(F.array(s)), F.lit(2), F.length(F.to_json(F.array(s))) - 2)
-    entity = lambda y, a, z: F.concat(F.lit("["), a, F.lit(", "), z, F.lit(", "), quoted(y), F.lit(", "), quoted(text.piece(F.col("text"), a, z)), F.lit("]"))
-    line = F.concat(F.lit("["), F.array_join(_items("ner", entity), ", "), F.lit("]"))
-    return _found(readers.read("plain_spans", spark, _written(_docs(spark, d).select(F.concat_ws("\n", "text", line).alias("value")), "plain-spans")))
+    entity = lambda y, a, z, p: F.concat(F.lit("["), a, F.lit(", "), z, F.lit(", "), quoted(y), F.lit(", "), quoted(p), F.lit("]"))
+    line = F.concat(F.lit("["), F.array_join(_named(entity), ", "), F.lit("]"))
+    return _found(readers.read("plain_spans", spark, _written(_with_pieces(_docs(spark, d)).select(F.concat_ws("\n", "text", line).alias("value")), "plain-spans")))
 
 
 @query(_ENTITIES)
 def reader_dataset_spans(spark, d):
-    entity = lambda y, a, z: F.struct(text.piece(F.col("text"), a, z).alias("name"), F.array(a, z).alias("span"), y.alias("type"))
-    return _found(readers.read("dataset_spans", _docs(spark, d).select("text", _items("ner", entity).alias("entities"))))
+    entity = lambda y, a, z, p: F.struct(p.alias("name"), F.array(a, z).alias("span"), y.alias("type"))
+    return _found(readers.read("dataset_spans", _with_pieces(_docs(spark, d)).select("text", _named(entity).alias("entities"))))
 
 
 # --- tokens and their numbers ---------------------------------------------------------------------------------------------
@@ -150,11 +160,11 @@ _TITLE = 5
     "case when start < length(title) + 1 then stop else stop - length(title) - 1 end as stop from ent join t using (doc_id)"
 )
 def reader_pubtator(spark, d):
-    rows = _docs(spark, d)
-    line = lambda y, a, z: F.concat_ws("\t", "doc_id", a, z, text.piece(F.col("text"), a, z), y)
+    rows = _with_pieces(_docs(spark, d))
+    line = lambda y, a, z, p: F.concat_ws("\t", "doc_id", a, z, p, y)
     head = lambda kind, part: F.concat_ws("|", "doc_id", F.lit(kind), F.array_join(part, " "))
     title, abstract = F.slice("tokens", 1, _TITLE), F.slice("tokens", _TITLE + 1, 1 << 30)
-    lines = F.concat(F.array(head("t", title), head("a", abstract)), _items("ner", line), F.array(F.lit("")))
+    lines = F.concat(F.array(head("t", title), head("a", abstract)), _named(line), F.array(F.lit("")))
     found = readers.read("pubtator", spark, _written(rows.select(F.array_join(lines, "\n").alias("value")), "pubtator"))
     return flat(found.select(F.col("document_position").cast("int").alias("part"), _sha(), "ner"), "part", "text_sha").drop("ent_idx")
 
@@ -163,16 +173,16 @@ def reader_pubtator(spark, d):
 def reader_bioc_xml(spark, d):
     """One collection for each subset; offsets are counted from the passage's own, which is 100."""
     safe = lambda c: F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
-    entity = lambda y, a, z: F.concat(
+    entity = lambda y, a, z, p: F.concat(
         F.lit('<annotation><infon key="type">'), y, F.lit('</infon><location offset="'), a + 100, F.lit('" length="'), z - a,
-        F.lit('"/><text>'), safe(text.piece(F.col("text"), a, z)), F.lit("</text></annotation>"),
+        F.lit('"/><text>'), safe(p), F.lit("</text></annotation>"),
     )
     document = F.concat(
         F.lit("<document><id>"), "doc_id", F.lit("</id><passage><offset>100</offset><text>"), safe(F.col("text")), F.lit("</text>"),
-        F.array_join(_items("ner", entity), ""), F.lit("</passage></document>"),
+        F.array_join(_named(entity), ""), F.lit("</passage></document>"),
     )
     whole = F.concat(F.lit("<collection>"), F.array_join(F.collect_list(document), ""), F.lit("</collection>"))
-    rows = _docs(spark, d).groupBy("source").agg(whole.alias("value"))
+    rows = _with_pieces(_docs(spark, d)).groupBy("source").agg(whole.alias("value"))
     return _found(readers.read("bioc_xml", spark, _written(rows, "bioc", by="source")))
 
 
@@ -383,12 +393,8 @@ _MOVES = [0, *(s * k for k in range(1, 6) for s in (-1, 1))]
 )
 def repair_offsets(spark, d):
     """All entities, moved by up to five characters and mended: the nearest place that holds their text, the earlier of two."""
-    rows = annotated(_documents(spark, d)).select("doc_id", "text", F.posexplode("ner").alias("ent_idx", "a"))
-    rows = rows.select("doc_id", F.col("ent_idx").cast("long").alias("ent_idx"), "text", F.col("a.spans")[0].alias("s"))
-    by = F.when(F.col("s.start") > 5, F.pmod(F.col("doc_id") + F.col("ent_idx"), F.lit(11)) - 5).otherwise(F.lit(0))
-    expected = text.piece(F.col("text"), F.col("s.start"), F.col("s.stop"))
-    fixed = sp.repaired(F.col("text"), F.col("s.start") + by, F.col("s.stop") + by, expected)
-    return rows.withColumn("f", fixed).select("doc_id", "ent_idx", F.col("f.start").alias("start"), F.col("f.stop").alias("stop"))
+    by = lambda s, i: F.when(s["start"] > 5, F.pmod(F.col("doc_id") + i, F.lit(11)) - 5).otherwise(F.lit(0))
+    return moved_and_mended(annotated(_documents(spark, d)), by)
 
 
 # --- splits, ids, tables ----------------------------------------------------------------------------------------------------
