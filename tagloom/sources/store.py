@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.ids import sequence_id
+from ..functions.ids import sequence_id, uuid_bytes
 from ..operators.labels import label_inventory, tag_inventory
 from ..operators.stats import split_counts
 from ..schema import sequence_schema, signed
@@ -146,6 +146,11 @@ def with_ids(rows: DataFrame, dataset: str, subset: str, split: str, source: str
     return rows.withColumn("sequence_id", id_)
 
 
+def imported(rows: DataFrame) -> DataFrame:
+    """Rows of a corpus that was exported, whose ids are text, with ids of 16 bytes and the types of the schema."""
+    return signed(rows).withColumn("sequence_id", uuid_bytes(F.col("sequence_id")))
+
+
 def write_split(rows: DataFrame, folder: str | Path, relative: str, tagsets: list[str], tokenized: bool) -> Split:
     """Write a split with zstd, in the schema's order of columns, and count it."""
     schema = sequence_schema(tagsets, tokenized)

@@ -393,6 +393,24 @@ def test_normalised_splits(spark, tmp_path):
     assert {k: v.count() for k, v in after.rows.items()} == {"p/train": 1, "q/train": 1}
 
 
+def test_local_tables(spark, tmp_path):
+    path = write(tmp_path / "a.csv", 'word,tag\nNA,O\n,B-x\n"nu""ll",O\n')
+    rows = columnar.load(spark, path, "csv", ["text", "tag"], {"word": "text"})
+    assert [tuple(r) for r in rows.collect()] == [("NA", "O"), ("", "B-x"), ('nu"ll', "O")]
+    assert columnar.load(spark, write(tmp_path / "b.json", '{"a": 1}\n'), "json").first().a == 1
+    with pytest.raises(ValueError, match="unknown kind"):
+        columnar.load(spark, path, "xls")
+
+
+def test_imported_rows_and_own_splitters(spark, rows):
+    texts = rows.withColumn("sequence_id", F.lit("c9d3a311-7c27-4a86-b6fb-a52aa9f53b63"))
+    got = store.imported(texts).first()
+    assert bytes(got.sequence_id).hex() == "c9d3a3117c274a86b6fba52aa9f53b63"
+    df = spark.createDataFrame([("a; b ;c",), ("",), (None,)], "t string")
+    got = df.select(documents.split_by(F.col("t"), lambda t: t.split(";")).alias("x")).collect()
+    assert [r.x and [tuple(s) for s in r.x] for r in got] == [[(0, 1), (3, 4), (6, 7)], [], None]
+
+
 def test_boundary_tables(spark, rows, tmp_path, monkeypatch):
     monkeypatch.setattr(boundaries, "RANGE", 2)
     more = rows.withColumn("sentence_offsets", F.array(F.struct(F.lit(0).cast("long").alias("start"), F.length("text").cast("long").alias("stop"))))
