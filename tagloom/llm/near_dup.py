@@ -255,13 +255,15 @@ class _Join:
 
     def index(self) -> None:
         """Tables: rows (id, text_key, n, s1, s2), members (node, gid, n, low, s1, s2, parts), postings (gram, at, nth, gid, n, often, sketch)."""
+        heavy = self.share(self.heavy())
         signed = keep(
             self.docs.withColumn("text_key", F.xxhash64("text")).mapInArrow(
-                tidy(partial(_signed, heavy=self.share(self.heavy()), width=self.width, percent=self.percent)),
+                tidy(partial(_signed, heavy=heavy, width=self.width, percent=self.percent)),
                 "id long, text_key long, n long, s1 long, s2 long, p1 long, p2 long, often long, sketch long, parts binary, prefix array<long>",
             ),
             "signed",
         )
+        heavy.destroy()
         self.rows = keep(signed.select("id", "text_key", "n", "s1", "s2"), "rows")
         classes = (
             signed.where("n > 0")
