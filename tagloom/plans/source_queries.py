@@ -5,8 +5,6 @@ Annotations are those of catalog_queries. A reader doesn't know the ids of docum
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +13,7 @@ from ..functions import spans as sp
 from ..operators import boundaries, documents, sampling, stats
 from ..sources import columnar, conll, readers, store
 from ..sources.shared import shared_folder
-from .catalog_queries import CONV, LABELS, TAGS, _documents, _dotted, _sequences, _token_lines, annotated, flat, moved_and_mended, query, table, tagged
+from .catalog_queries import CONV, LABELS, TAGS, _documents, _dotted, _sequences, annotated, flat, moved_and_mended, query, table, tagged
 
 _SHA = "sha256(array_to_string(ts, ' '))"
 _ENTITIES = f"with {TAGS} select {_SHA} as text_sha, label, start, stop from ent join w using (doc_id)"
