@@ -18,7 +18,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .common import crowded, hashed_words, hot_keys, join_skewed, keep, may_contain, membership, rolled, spread, steps, table, text_or_empty, tidy
 
