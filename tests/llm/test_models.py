@@ -329,16 +329,28 @@ def odd_model(spark):
     return docs, counts, recurrent_lm.build(counts, 40)
 
 
+def known_words(m):
+    """The place of a head word, or None."""
+    place = {int(h): i for i, h in enumerate(m.known)}
+    return lambda word: place.get(int(recurrent_lm.hash_words(pa.array([word], pa.string()))[0]))
+
+
+def test_shapes_of_words():
+    words_ = ["a", "a.", "", "été", "日本", "x日", "ß,", "½", "3", "İ"]
+    want = [(0 if w.isascii() else 1 + ord(next(c for c in w if not c.isascii())) % 6) * 2 + w[-1:].isalnum() for w in words_]
+    assert recurrent_lm.shapes(pa.array(words_)).tolist() == want and max(want) < recurrent_lm.TAIL
+
+
 def test_probabilities_of_all_words_sum_to_one(spark):
     _, counts, m = odd_model(spark)
-    rows = counts.collect()
+    rows, known = counts.collect(), known_words(m)
     w = {k: v + np.random.default_rng(2).normal(0, 0.1, v.shape).astype(np.float32) for k, v in m.weights.items()}
     for h in np.random.default_rng(3).uniform(-1, 1, (3, recurrent_lm.HIDDEN)):
         p = plain_probabilities(w, h)
         total = sum(p[s] * 10**i for s, i in zip(*m.of_code[:2], strict=True))
-        rare = [(r.word, r.n) for r in rows if r.word not in m.known]
-        assert rare and len(m.known) <= 40
-        for shape, (_, n) in zip(recurrent_lm.shapes([x for x, _ in rare]), rare, strict=True):
+        rare = [(r.word, r.n) for r in rows if known(r.word) is None]
+        assert rare and len(m.known) <= 40 and len(rare) + len(m.known) == len(rows)
+        for shape, (_, n) in zip(recurrent_lm.shapes(pa.array([x for x, _ in rare])), rare, strict=True):
             total += p[recurrent_lm.FIRST_TAIL + shape] * (n + 1) / 10 ** m.tail[shape]
         for shape in range(recurrent_lm.TAIL):  # the unknown word of each shape
             total += p[recurrent_lm.FIRST_TAIL + shape] / 10 ** m.tail[shape]
@@ -348,7 +360,7 @@ def test_probabilities_of_all_words_sum_to_one(spark):
 def test_score_against_plain_steps(spark):
     """Texts of known, rare and unknown words: log10 of the three factors, step by step."""
     _, counts, m = odd_model(spark)
-    n = {r.word: r.n for r in counts.collect()}
+    n, known = {r.word: r.n for r in counts.collect()}, known_words(m)
     texts = [None, "", "w1 w2 Émile", "never Seen w3 日本語 zzz", odd_rows()[8][1]]
     docs = spark.createDataFrame([(i, t or "", False) for i, t in enumerate(texts)], "id long, text string, held_out boolean")
     for r in recurrent_lm.coded_documents(docs, m).collect():
@@ -356,11 +368,11 @@ def test_score_against_plain_steps(spark):
         words_ = [*lower(texts[r.id]), recurrent_lm.END]
         for word in words_:
             h = plain_step(m.weights, x, h)
-            if word in m.known:
-                x = m.of_code[0][m.known[word]]
-                inside += m.of_code[1][m.known[word]]
+            if known(word) is not None:
+                x = m.of_code[0][known(word)]
+                inside += m.of_code[1][known(word)]
             else:
-                shape = recurrent_lm.shapes([word])[0]
+                shape = recurrent_lm.shapes(pa.array([word]))[0]
                 x = recurrent_lm.FIRST_TAIL + shape
                 inside += np.log10(n.get(word, 0) + 1) - m.tail[shape]
             total += np.log10(plain_probabilities(m.weights, h)[x])
