@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .common import split_words
+from .common import hash_words, split_words
 
 #: Pieces of words that a Python worker remembers, about.
 CACHE_PIECES = 500_000
@@ -57,14 +57,16 @@ class Encoder:
         return cls._loaded[path]
 
     def _forget(self) -> None:
-        self._pieces: dict[str, int] = {"": 0}
+        """Number 0 is the empty piece. Known pieces are found by their hashes, and compared."""
+        self._words = pa.array([""], pa.string())
+        self._hashes, self._number = hash_words(self._words), np.zeros(1, np.int64)
         self._ids, self._size = [np.empty(0, np.uint32)], [np.zeros(1, np.int64)]
 
     def _row(self, text: str) -> np.ndarray:
         return np.array(self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Give each new piece a number, its ids and their number."""
+    def _learn(self, pieces: list[str]) -> list[str]:
+        """Keep the ids of new pieces; the pieces in the order of their numbers."""
         letters, plain, odd = [], [], []
         for p in pieces:
             (letters if p.isalpha() else odd if "<|" in p else plain).append(p)
@@ -87,19 +89,33 @@ class Encoder:
         for piece in odd:
             self._ids.append(self._row(piece))
             self._size.append(np.array([len(self._ids[-1])], np.int64))
-        self._pieces.update(zip([*learnt, *plain, *odd], range(len(self._pieces), len(self._pieces) + len(pieces)), strict=True))
+        return [*learnt, *plain, *odd]
 
     def _numbers(self, pieces: pa.Array) -> np.ndarray:
         """The number of each piece; null has that of the empty piece."""
         coded = pieces.dictionary_encode()
-        names, known = coded.dictionary.to_pylist(), self._pieces
-        self._learn([x for x in names if x not in known])
-        numbers = np.r_[np.fromiter(map(known.__getitem__, names), np.int64, len(names)), 0]
-        return numbers[coded.indices.fill_null(len(names)).to_numpy(zero_copy_only=False)]
+        words = coded.dictionary.cast(pa.string())
+        hashes = hash_words(words)
+        at = np.minimum(np.searchsorted(self._hashes, hashes), len(self._hashes) - 1)
+        met = self._hashes[at] == hashes
+        number = np.where(met, self._number[at], 0)
+        known = met & pc.equal(words, self._words.take(pa.array(number))).to_numpy(zero_copy_only=False)
+        fresh = np.flatnonzero(~known)
+        if len(fresh):
+            first = len(self._words)
+            ordered = self._learn(words.take(pa.array(fresh)).to_pylist())
+            self._words = pa.concat_arrays([self._words, pa.array(ordered, pa.string())])
+            place = {w: first + i for i, w in enumerate(ordered)}
+            number[fresh] = np.fromiter((place[w] for w in words.take(pa.array(fresh)).to_pylist()), np.int64, len(fresh))
+            new = fresh[~met[fresh]]  # a piece whose hash is another's is encoded each time
+            new = new[np.argsort(hashes[new])]
+            where = np.searchsorted(self._hashes, hashes[new])
+            self._hashes, self._number = np.insert(self._hashes, where, hashes[new]), np.insert(self._number, where, number[new])
+        return np.append(number, 0)[coded.indices.fill_null(len(words)).to_numpy(zero_copy_only=False)]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and where each text's begin (with the end)."""
-        if len(self._pieces) > CACHE_PIECES:
+        if len(self._words) > CACHE_PIECES:
             self._forget()
         codes, offsets, words = split_words(texts)
         tails = pc.struct_field(pc.extract_regex(words, _TAIL), "tail")
