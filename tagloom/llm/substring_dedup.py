@@ -23,7 +23,7 @@ from .common import crowded, hashed_words, hot_keys, join_skewed, keep, may_cont
 
 WINDOW = 50
 #: Bytes of text of one step here; windows take several times the memory of their text.
-STEP = 2 << 20
+STEP = 1 << 20
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 
 

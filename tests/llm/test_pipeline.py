@@ -81,7 +81,7 @@ def test_entry_lists_all_queries():
 
 
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="needs the shared tables")
-@pytest.mark.parametrize("name", ["op2_exact_dedup", "op6_license_scan"])
+@pytest.mark.parametrize("name", ["op2_exact_dedup", "op6_license_scan", "op7_ngram_jaccard_join", "op8_substring_dedup"])
 def test_queries_against_sql(spark, name):
     import duckdb
 
