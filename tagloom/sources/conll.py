@@ -193,14 +193,12 @@ def parse(
     each = rows.withColumn("_blank", (line == "") if strict_blank else line.rlike(f"^{SPACE}*$"))
     each = each.withColumn("_new", ~F.col("_blank") & F.lag("_blank", 1, True).over(order))
     start = line.startswith(d.docstart) if d.docstart and not d.comments else F.lit(False)
-    each = each.withColumns(
-        {
-            "segment": F.sum(F.col("_new").cast("long")).over(so_far),
-            "_begin": last(F.col("_new"), number),
-            "_opened": last(F.col("_new"), start),
-            "_body": last(~F.col("_blank") & ~line.startswith("#"), number),
-        }
-    )
+    new = {"segment": F.sum(F.col("_new").cast("long")).over(so_far)}
+    if d.comments:
+        new |= {"_begin": last(F.col("_new"), number), "_body": last(~F.col("_blank") & ~line.startswith("#"), number)}
+    elif d.docstart and d.ignore_docstart:
+        new["_opened"] = last(F.col("_new"), start)
+    each = each.withColumns(new)
     # Comments are the lines of # before a segment's first other line.
     comment = F.coalesce(F.col("_body") < F.col("_begin"), F.lit(True)) if d.comments else F.lit(False)
     each = each.withColumn("_comment", ~F.col("_blank") & comment)
@@ -217,7 +215,7 @@ def parse(
     text = F.when(told["segment"] == F.col("segment"), told["text"]) if d.comments else F.lit(None).cast("string")
     each = each.withColumns({"_document": document, "sentence_text": text})
     # An ignored start takes its whole segment with it; else it is a line of its own.
-    gone = F.col("_opened") if d.ignore_docstart else (F.col("_new") & start)
+    gone = F.col("_opened") if "_opened" in new else (F.col("_new") & start)
     each = each.where(~F.col("_blank") & ~F.col("_comment") & ~gone)
     changes = lambda c: ~F.col(c).eqNullSafe(F.lag(c).over(order))
     each = each.withColumns({"_next": changes("_document"), "_sentence": changes("segment")})
