@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import crc_remainder, give_back, hash_words, keep, most_frequent, split_words, steps, table, text_or_empty, tidy
+from .common import crc_remainder, discard, dropping_shuffles, give_back, hash_words, keep, mixed, most_frequent, split_words, steps, table, text_or_empty, tidy
 
 #: Words known to every task at most (those of two or more occurrences, most frequent first); all others are counted too.
 HEAD = 1 << 17
@@ -39,8 +39,10 @@ TAIL = 14
 HIDDEN = 24
 #: Steps that gradients run back, streams side by side, updates of a shard at least, and words of a shard, about.
 BACK, STREAMS, LEAST, SHARD_WORDS = 16, 256, 150, 2_000_000
-#: Documents whose letters the kinds are fitted on at most.
-KIND_SAMPLE = 2000
+#: Centres of kinds are at rest when none of their numbers moves by more than this part of the largest.
+REST = 1e-3
+#: Numbers that stand for a text's letters, and what a share of 1 becomes as a whole number.
+LETTERS, UNIT = 26 + 64, 65_535
 #: Words scored side by side at most, and rows of one output product.
 SCORED_WORDS, OUTPUT_ROWS = 2_000_000, 16_384
 END = ""  # no word is empty
@@ -270,27 +272,95 @@ def log_likelihoods(w: Weights, codes: np.ndarray, bounds: np.ndarray) -> np.nda
 
 def letters(texts: pa.Array) -> np.ndarray:
     """How often letters and bytes beyond ASCII stand in each text, as square roots of shares."""
-    out = np.zeros((len(texts), 26 + 64))
+    out = np.zeros((len(texts), LETTERS))
     for i, text in enumerate(texts.to_pylist()):
         n = np.bincount(np.frombuffer(text.encode(), np.uint8), minlength=256)
         out[i, :26], out[i, 26:] = n[65:91] + n[97:123], n[128:192]
     return np.sqrt(out / np.maximum(out.sum(1, keepdims=True), 1))
 
 
-def fit_kinds(x: np.ndarray, kinds: int, seed: int = 0) -> np.ndarray:
-    """Centres of k-means, started far from each other."""
+def _drawn(x: np.ndarray, centres: np.ndarray, factors: np.ndarray) -> tuple[float, bytes]:
+    """The least of exponential numbers, one for each point, at the rate of its squared distance from the centres, and that point's
+    bytes. What is random comes from a hash of the point, so no order matters. Points on a centre are at infinity."""
     if not len(x):
-        return np.zeros((1, 90))
-    rng = np.random.default_rng(seed)
-    centres = [x[rng.integers(len(x))]]
-    for _ in range(kinds - 1):
-        far = np.min([((x - c) ** 2).sum(1) for c in centres], axis=0)
-        centres.append(x[rng.choice(len(x), p=far / far.sum())] if far.sum() > 0 else centres[0])
-    centres = np.array(centres)
-    for _ in range(15):
-        own = ((x[:, None, :] - centres[None]) ** 2).sum(2).argmin(1)
-        centres = np.array([x[own == k].mean(0) if (own == k).any() else centres[k] for k in range(len(centres))])
-    return centres
+        return np.inf, b""
+    far = (x * x).sum(1) + (-2 * x @ centres.T + (centres**2).sum(1)).min(1) if len(centres) else np.ones(len(x))
+    bits = np.ascontiguousarray(x).view(np.uint64)
+    with np.errstate(over="ignore"):
+        h = mixed(((bits ^ (bits >> np.uint64(32))) * factors).sum(1))
+    with np.errstate(divide="ignore"):
+        key = np.where(far > 0, -np.log((h + 0.5) / 2.0**64) / np.maximum(far, 0), np.inf)
+    best = key.argmin()
+    return float(key[best]), x[best].tobytes()
+
+
+def _sums(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Of each centre: sums over the points nearest to it, and their number."""
+    own = kind_of(centres, x)[:, None] == np.arange(len(centres))
+    return np.c_[own.T.astype(float) @ x, own.sum(0)]
+
+
+def _points(batch: pa.RecordBatch) -> np.ndarray:
+    return np.frombuffer(b"".join(batch.column("x").to_pylist()), "<u2").reshape(-1, LETTERS).astype(float)
+
+
+def _drawn_of_all(rows: DataFrame, centres: np.ndarray, factors: np.ndarray) -> tuple[float, bytes]:
+    """_drawn over a table of points; a row of each task is compared."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, x = min((_drawn(_points(b), centres, factors) for b in batches), default=(np.inf, b""))
+        yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([x])], ["key", "x"])
+
+    found = rows.mapInArrow(tidy(run), "key double, x binary").orderBy("key", "x").first()
+    return (found["key"], bytes(found["x"])) if found else (np.inf, b"")
+
+
+def _sums_of_all(rows: DataFrame, centres: np.ndarray) -> np.ndarray:
+    """_sums over a table of points, which are whole numbers: sums are exact however rows are dealt."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(centres), LETTERS + 1))
+        for batch in batches:
+            total += _sums(_points(batch), centres)
+        flat = total.astype(np.int64).reshape(-1)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat)], ["at", "s"])
+
+    out = np.zeros(len(centres) * (LETTERS + 1))
+    with dropping_shuffles(rows.sparkSession):
+        for r in rows.mapInArrow(tidy(run), "at int, s long").groupBy("at").agg(F.sum("s").alias("s")).collect():  # one row per number
+            out[r["at"]] = r["s"]
+    return out.reshape(len(centres), -1)
+
+
+def fit_kinds(x: np.ndarray | DataFrame, kinds: int, seed: int = 0) -> np.ndarray:
+    """Centres of k-means over all points, of an array or of a table that `described` made, started far from each other; fewer
+    than `kinds` where fewer points differ. Of a table only one point, or a sum for each centre, reaches the driver a pass."""
+    draw, add = (_drawn, _sums) if isinstance(x, np.ndarray) else (_drawn_of_all, _sums_of_all)
+    factors = np.random.default_rng(seed).integers(0, 1 << 64, (kinds, LETTERS), np.uint64) | np.uint64(1)
+    centres = np.zeros((0, LETTERS))
+    for k in range(kinds):
+        key, found = draw(x, centres, factors[k])
+        if key == np.inf:
+            break
+        centres = np.r_[centres, np.frombuffer(found)[None]]
+    if not len(centres):
+        return np.zeros((1, LETTERS))
+    while True:  # the squares of distances shrink with each pass, so this ends
+        total = add(x, centres)
+        before, centres = centres, np.where(total[:, -1:] > 0, total[:, :-1] / np.maximum(total[:, -1:], 1), centres)
+        if np.abs(centres - before).max() <= REST * np.abs(centres).max():
+            return centres
+
+
+def described(docs: DataFrame) -> DataFrame:
+    """Each text's letters, in whole numbers of UNIT. docs: text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches, "text"):
+            x = np.rint(letters(batch.column("text")) * UNIT).astype("<u2")
+            yield pa.RecordBatch.from_arrays([pa.array([v.tobytes() for v in x], pa.binary())], ["x"])
+
+    return docs.mapInArrow(tidy(run), "x binary")
 
 
 def kind_of(centres: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -541,17 +611,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     part = crc_remainder(id_col, folds)
     docs = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"), (part == held).alias("held_out"))
     train = docs.where("not held_out")
-    spark = docs.sparkSession
-
-    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, "text"):
-            yield pa.RecordBatch.from_arrays([pa.array(letters(batch.column("text")).tolist(), pa.list_(pa.float64()))], ["x"])
-
-    # Ids are drawn before texts are read, so that no task gathers texts.
-    drawn = train.select("id", F.xxhash64("id").alias("h")).orderBy("h", "id").limit(KIND_SAMPLE)
-    few = train.join(F.broadcast(drawn.select("id").distinct()), "id").select("text")
-    sample = few.mapInArrow(tidy(describe), "x array<double>").toPandas()
-    centres = fit_kinds(np.array(sample["x"].tolist(), float).reshape(-1, 90), KINDS)
+    points = keep(described(train.select("text")), "letters")
+    centres = fit_kinds(points, KINDS) / UNIT
+    discard(points)
     counts = keep(count_words(train.select("text"), centres), "counts")
     model = build(counts)
     coded = keep(coded_documents(docs, model), "coded")

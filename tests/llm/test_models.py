@@ -271,6 +271,21 @@ def test_language_model_learns_context(spark):
     assert recurrent_lm.score(empty_docs(spark)).count() == 0
 
 
+def test_kinds_are_fitted_on_all_training_documents(spark, monkeypatch):
+    r, seen = random.Random(6), []
+    letters = ["etaoin", "shrdlu", "жзийкл", "αβγδεζ", "mnopqr", "uvwxyz"]
+    texts = ["".join(r.choices(letters[i % 6], k=r.randint(20, 60))) for i in range(3000)]
+    rows = [(None if i % 11 == 0 else i // 2, t) for i, t in enumerate(texts)]  # null ids, and ids that come twice
+    monkeypatch.setattr(recurrent_lm, "count_words", lambda docs, centres: seen.append(centres) or 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        recurrent_lm.score(spark.createDataFrame(rows, "doc_id int, text string").repartition(7))
+    x = recurrent_lm.letters(pa.array([t for i, t in rows if zlib.crc32(str("" if i is None else i).encode()) % 7 != 2]))
+    own = recurrent_lm.kind_of(seen[0], x)
+    assert len(x) > 2400 and len(set(own)) == recurrent_lm.KINDS
+    for k, centre in enumerate(seen[0]):  # at rest, a centre is the mean of all that are nearest to it
+        assert centre == pytest.approx(x[own == k].mean(0), abs=1e-4)
+
+
 def small_weights(dtype=np.float32):
     """Three classes of four slots, of which one doesn't exist, and two classes of one: targets 0 to 13, and 14 starts a text."""
     slots = np.arange(1, 13.0).reshape(3, 4)
