@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tagloom.llm import exact_dedup, mixing, near_dup, packing, toxicity
-from tagloom.llm.common import keep
+from tagloom.llm.common import bound_batches, keep
 
 #: Shares of the mix. Its size follows from them: no document is left out, so it grows until each domain has its share.
 MIX = {"low": 0.3, "low_toxic": 0.0, "high": 0.7, "high_toxic": 0.0}
@@ -20,6 +20,7 @@ SHINGLE, PERCENT = 5, 80
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score reaches a half go."""
+    bound_batches(spark)
     return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
@@ -30,16 +31,19 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates, the one with the smallest id stays."""
+    bound_batches(spark)
     return near_dup.drop_near_copies(docs, SHINGLE, PERCENT)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are repeated by their fitted rates."""
+    bound_batches(spark)
     return mixing.mixed_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), MIX, growth=None, floor=1.0)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces and their places in sequences of 2048 tokens."""
+    bound_batches(spark)
     return packing.pack(docs)
 
 

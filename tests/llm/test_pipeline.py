@@ -1,11 +1,12 @@
 import os
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
 from tagloom.llm import toxicity
-from tagloom.llm.common import keep
+from tagloom.llm.common import BATCH_BYTES, keep
 
 from .fixtures import SCHEMA, SEP, empty_docs, odd_rows
 from .test_duplicates import brute_components, family
@@ -108,3 +109,18 @@ def test_mix_reaches_its_shares(spark, tmp_path):
         before["high" if labels[r.doc_id][1] else "low"] += len(r.text.split())
     assert before["low"] / before.total() < 0.2
     assert tokens["low"] / tokens.total() == pytest.approx(corpus_pipeline.MIX["low"], abs=0.03)
+
+
+@pytest.mark.parametrize("name", ["toxicity", "n-gram Jaccard join", "mixing to target weights", "best-fit packing"])
+def test_python_functions_of_a_stage_get_bounded_batches(spark, folder, name):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64()), pa.array([b.nbytes], pa.int64())], ["n", "size"])
+
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(setting)
+    dict(corpus_pipeline.STAGES)[name](spark, spark.createDataFrame([], SCHEMA), folder)
+    long = spark.range(0, 2000, 1, 1).selectExpr("id as doc_id", "repeat('word ', 2000) as text")
+    found = long.mapInArrow(sizes, "n long, size long").collect()
+    spark.conf.unset(setting)
+    assert sum(r.n for r in found) == 2000 and max(r.size for r in found) < BATCH_BYTES + 100_000
