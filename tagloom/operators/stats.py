@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.passes import arrow, bounded
 from ..functions.text import IGNORED_LANGUAGES, is_number, is_punctuation, primary_language, words
 
 WORD_STATS = T.StructType(
@@ -60,6 +61,7 @@ def tokenized(rows: DataFrame, tokenizers: dict[str, Callable[[str], list[str]]]
                     raise ValueError(f"no tokenizer for {code}")
             yield frame.assign(tokens=out)
 
+    bounded(rows.sparkSession)
     return rows.mapInPandas(run, schema)
 
 
@@ -69,7 +71,7 @@ def number_of_tokens(text: Column, tokenizer: Callable[[str], list[str]]) -> Col
     def run(texts: pa.Array) -> pa.Array:
         return pa.array([len(tokenizer(t or "")) for t in texts.to_pylist()], pa.int64())
 
-    return F.arrow_udf(run, "bigint")(text)
+    return arrow(run, "bigint")(text)
 
 
 def append_stats(done: DataFrame | None, fresh: DataFrame) -> DataFrame:
