@@ -1,11 +1,15 @@
 """What a task holds must not grow with its input."""
 
+import os
+
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from tagloom.functions import passes
 from tagloom.functions import spans as sp
-from tagloom.plans import catalog_queries
+from tagloom.plans import catalog_queries, source_queries  # noqa: F401
+from tagloom.sources import conll
 
 
 def largest_batch(rows, *columns):
@@ -30,3 +34,58 @@ def test_batches_are_bounded(spark, tmp_path):
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "1m")
     passes.bounded(spark)
     assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "1m"
+
+
+# --- lines ------------------------------------------------------------------------------------------------------------
+
+
+LINES = "-DOCSTART-\tO\n\na\tB-X\nb\tI-X\n\nc\tO\n\n\n-DOCSTART-\tO\n\nd\tO\ne\tB-Y\nf\tO\n"
+
+
+def plan(rows) -> str:
+    return rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_file_is_read_in_parts(spark, tmp_path):
+    """As one text it would be one row, however large."""
+    (tmp_path / "a.txt").write_text(LINES * 50)
+    (tmp_path / "b.txt").write_text(LINES.replace("\n", "\r\n"))
+    key = "spark.sql.files.maxPartitionBytes"
+    whole = {r.line_no: r.line for r in conll.lines(spark, str(tmp_path / "a.txt")).collect()}
+    assert whole == dict(enumerate((LINES * 50).split("\n")[:-1]))
+    want = conll.read(spark, str(tmp_path), "conll2003_two_column").drop("source").collect()
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "257")
+        rows = conll.lines(spark, str(tmp_path))
+        assert rows.rdd.getNumPartitions() > 10
+        each = [r.line for r in rows.where(F.col("source").endswith("a.txt")).orderBy("line_no").collect()]
+        assert each == list(whole.values())
+        got = conll.read(spark, str(tmp_path), "conll2003_two_column").drop("source").collect()
+    finally:
+        spark.conf.set(key, old)
+    assert sorted(map(repr, got)) == sorted(map(repr, want)) and len(got) == 3 * 50 + 3
+
+
+def test_lines_go_on_from_batch_to_batch(spark):
+    """Batches of any size give the same tokens, for all kinds of dialects."""
+    text = {"conll2003_two_column": LINES, "conllu_uner": "# newdoc id = 1\n# text = A b\n1\tA\tB-X\t-\tx\n2\tb\tO\t-\tx\n# no comment\tc\tO\n\n# newdoc id = 2\n1\tC\tO\t-\tx\n"}
+    for dialect, one in text.items():
+        rows = [(s, i, line) for s in ("p", "q") for i, line in enumerate(((one + "\n") * 3).split("\n"))]
+        frame = spark.createDataFrame(rows, "source string, line_no long, line string")
+        wanted, size = None, "spark.sql.execution.arrow.maxRecordsPerBatch"
+        for many in (1, 2, 3, 7, 1000):
+            spark.conf.set(size, many)
+            got = sorted(map(repr, conll.parse(frame, dialect).collect())), sorted(map(repr, conll.of_lines(frame, dialect).collect()))
+            wanted = wanted or got
+            assert got == wanted and len(got[0]) == (36 if dialect == "conll2003_two_column" else 24)
+        spark.conf.unset(size)
+
+
+def test_lines_cut_from_rows_are_not_shuffled(spark):
+    d = "/root/testdata/sf0.001"
+    if not os.path.isdir(d):
+        pytest.skip("needs the shared tables")
+    for name in ("conll_dialects", "conll_row_parse", "preprocessor_e_ner", "columnar_segments"):
+        shown = plan(catalog_queries.QUERIES[name](spark, d))
+        assert "Window" not in shown and shown.count("hashpartitioning") == (name == "columnar_segments")
